@@ -7,3 +7,5 @@ from .registry import register
 
 register("g13_tpch_q3", tpch.g13, tpch.G13_SQL)
 register("g14_tpch_q10", tpch.g14, tpch.G14_SQL)
+from . import text_jobs  # noqa: F401,E402
+from . import relational_jobs  # noqa: F401,E402
