@@ -55,12 +55,12 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
     hot key never sits in one task.
     """
     order = [order] if isinstance(order, str) else list(order)
-    t = F.unix_millis(F.col(ts).cast("timestamp"))
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
     d = df.withColumn("_tms", t)
     b = time_bucket(ts, bucket_seconds)
     d = running(d, [key], order, "_tms", "max", "_prev", b, include_current=False)
     d = d.withColumn("_open", (F.col("_prev").isNull() |
-                               (F.col("_tms") - F.col("_prev") > gap_ms)).cast("long"))
+                               (F.col("_tms") - F.col("_prev") > gap_ms * 1000)).cast("long"))
     d = running(d, [key], order, "_open", "sum", "session_id", time_bucket(ts, bucket_seconds))
     return d.drop("_prev", "_open", "_tms")
 
@@ -139,12 +139,13 @@ def cascade(df: DataFrame, ts: str, first: str, second: str, keys=(), count_alia
                 .withColumn("window_end", F.col("w2.end")).drop("w2")
 
 
-def classify_lateness(df: DataFrame, ts: str, arrival: str, size: str, delay_ms: int,
+def classify_lateness(df: DataFrame, ts: str, arrival, size: str, delay_ms: int,
                       lateness_ms: int = 0, bucket_rows: int = 100_000) -> DataFrame:
     """Label each row ``on_time`` / ``late`` (window already
     fired, still within allowed lateness) / ``dropped``.
 
-    ``arrival`` is a long giving arrival order.  The watermark at a row's
+    ``arrival`` lists the columns giving arrival order (the first one a long
+    used for bucketing).  The watermark at a row's
     arrival is ``max(ts of earlier arrivals) - delay``; the window fires once
     the watermark reaches its end.
     """
@@ -152,8 +153,9 @@ def classify_lateness(df: DataFrame, ts: str, arrival: str, size: str, delay_ms:
     d = df.withColumn("_w", F.window(t, size)) \
           .withColumn("_end_ms", F.unix_millis(F.col("_w.end"))) \
           .withColumn("_tms", F.unix_millis(t))
-    d = running(d, [], [arrival], "_tms", "max", "_prev_max",
-                F.floor(F.col(arrival) / bucket_rows), include_current=False)
+    arrival = [arrival] if isinstance(arrival, str) else list(arrival)
+    d = running(d, [], arrival, "_tms", "max", "_prev_max",
+                F.floor(F.col(arrival[0]) / bucket_rows), include_current=False)
     wm = F.col("_prev_max") - delay_ms
     fired = wm.isNotNull() & (F.col("_end_ms") <= wm)
     too_late = wm.isNotNull() & (F.col("_end_ms") + lateness_ms <= wm)
@@ -174,10 +176,12 @@ def late_side_output(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("lateness") != "on_time")
 
 
-def allowed_lateness_firings(classified: DataFrame, key: str, arrival: str) -> DataFrame:
+def allowed_lateness_firings(classified: DataFrame, key: str, arrival) -> DataFrame:
     """Window results with re-fire: one ``first`` firing with the
     on-time count, then one ``update`` per late (within lateness) row with
-    the count so far.  Dropped rows do not fire."""
+    the count so far.  Dropped rows do not fire.  A window without on-time
+    rows fires ``first`` on its first late row."""
+    arrival = [arrival] if isinstance(arrival, str) else list(arrival)
     grp = [key, "window_start", "window_end"]
     base = classified.groupBy(*grp).agg(
         F.sum((F.col("lateness") == "on_time").cast("long")).alias("_on"))
@@ -185,19 +189,21 @@ def allowed_lateness_firings(classified: DataFrame, key: str, arrival: str) -> D
                                                  F.lit("first").alias("firing"),
                                                  F.lit(0).alias("firing_seq"))
     late = classified.filter(F.col("lateness") == "late")
-    w = Window.partitionBy(*grp).orderBy(arrival)
+    w = Window.partitionBy(*grp).orderBy(*arrival)
     late = late.withColumn("_i", F.row_number().over(w)).join(base, grp)
+    label = F.when((F.col("_on") == 0) & (F.col("_i") == 1), "first").otherwise("update")
     upd = late.select(*grp, (F.col("_on") + F.col("_i")).alias("cnt"),
-                      F.lit("update").alias("firing"), F.col("_i").cast("int").alias("firing_seq"))
+                      label.alias("firing"), F.col("_i").cast("int").alias("firing_seq"))
     return first.unionByName(upd)
 
 
-def punctuated_watermark(df: DataFrame, ts: str, arrival: str, marker: str,
+def punctuated_watermark(df: DataFrame, ts: str, arrival, marker: str,
                          bucket_rows: int = 100_000) -> DataFrame:
     """T04 (replay form): the watermark only advances on marker rows; each
     row gets the watermark in force when it arrived (max marker ts before)."""
     mts = F.when(F.col(marker), F.unix_millis(F.col(ts).cast("timestamp")))
     d = df.withColumn("_m", mts)
-    d = running(d, [], [arrival], "_m", "max", "_wm",
-                F.floor(F.col(arrival) / bucket_rows), include_current=False)
+    arrival = [arrival] if isinstance(arrival, str) else list(arrival)
+    d = running(d, [], arrival, "_m", "max", "_wm",
+                F.floor(F.col(arrival[0]) / bucket_rows), include_current=False)
     return d.withColumn("watermark", F.timestamp_millis(F.col("_wm"))).drop("_m", "_wm")

@@ -96,10 +96,11 @@ def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
     fixed constant), so a hot key is spread over many buckets and no per-key
     nested loop forms.
     """
+    lower_ms, upper_ms = lower_ms * 1000, upper_ms * 1000   # compare in micros
     span = upper_ms - lower_ms
     bucket = max(span, 1)
-    lt = F.unix_millis(F.col(ts_l).cast("timestamp"))
-    rt = F.unix_millis(F.col(ts_r).cast("timestamp"))
+    lt = F.unix_micros(F.col(ts_l).cast("timestamp"))
+    rt = F.unix_micros(F.col(ts_r).cast("timestamp"))
     lb = left.withColumn("_lo", F.floor((lt + lower_ms) / bucket)) \
              .withColumn("_hi", F.floor((lt + upper_ms) / bucket)) \
              .withColumn("_b", F.explode(F.sequence(F.col("_lo"), F.col("_hi")))) \
