@@ -10,3 +10,4 @@ register("g14_tpch_q10", tpch.g14, tpch.G14_SQL)
 from . import text_jobs  # noqa: F401,E402
 from . import relational_jobs  # noqa: F401,E402
 from . import window_jobs  # noqa: F401,E402
+from . import time_jobs  # noqa: F401,E402
