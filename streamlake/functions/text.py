@@ -24,6 +24,14 @@ def lines(df: DataFrame, text: str = "text", out: str = "line",
     return df.select(*[c for c in df.columns if c != text], F.explode(parts).alias(out))
 
 
+def java_split(c, sep_regex: str) -> Column:
+    """``String.split(regex)``: interior empty tokens kept, trailing empty
+    tokens dropped; a non-empty text made only of separators yields none."""
+    s = col_(c)
+    stripped = F.regexp_replace(s, f"(?:{sep_regex})+$", "")
+    return F.when((stripped == "") & (s != ""), EMPTY).otherwise(F.split(stripped, sep_regex))
+
+
 def java_split_space(c) -> Column:
     """``String.split(" ")``: interior empty tokens kept, trailing ones dropped;
     a non-empty text made only of separators yields no tokens."""

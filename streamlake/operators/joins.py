@@ -192,7 +192,8 @@ def lateral_split(df: DataFrame, col: str, sep: str, out: str = "s",
     """J22/J23 with D04: lateral table function that splits on ``sep`` and
     yields no rows when the separator is absent.  ``outer`` keeps such rows
     with a null (LEFT JOIN LATERAL ... ON TRUE)."""
-    arr = F.when(F.col(col).contains(sep), F.split(F.col(col), _regex_quote(sep))) \
+    from ..functions.text import java_split
+    arr = F.when(F.col(col).contains(sep), java_split(col, _regex_quote(sep))) \
            .otherwise(F.array().cast("array<string>"))
     gen = F.explode_outer(arr) if outer else F.explode(arr)
     return df.withColumn(out, gen)

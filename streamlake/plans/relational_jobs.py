@@ -480,11 +480,13 @@ def j23_left_lateral_split(spark, sf):
     return J.lateral_split(p, "url", "#", "s", outer=True).select("page_id", "s")
 
 
-register("j22_lateral_split", j22_lateral_split, """
-SELECT page_id, unnest(string_split(url, '#')) AS s FROM pages WHERE contains(url, '#')""")
-register("j23_left_lateral_split", j23_left_lateral_split, """
-SELECT page_id, unnest(string_split(url, '#')) AS s FROM pages WHERE contains(url, '#')
-UNION ALL SELECT page_id, NULL AS s FROM pages WHERE NOT contains(url, '#')""")
+_SHARP = """CASE WHEN regexp_replace(url, '#+$', '') = '' THEN []::VARCHAR[]
+                ELSE string_split(regexp_replace(url, '#+$', ''), '#') END"""
+register("j22_lateral_split", j22_lateral_split, f"""
+SELECT page_id, unnest({_SHARP}) AS s FROM pages WHERE contains(url, '#')""")
+register("j23_left_lateral_split", j23_left_lateral_split, f"""
+SELECT page_id, s FROM pages LEFT JOIN LATERAL (
+  SELECT unnest(CASE WHEN contains(url, '#') THEN {_SHARP} ELSE []::VARCHAR[] END) AS s) t ON TRUE""")
 
 
 def j24_connect_map(spark, sf):
