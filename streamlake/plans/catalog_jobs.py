@@ -12,3 +12,4 @@ from . import relational_jobs  # noqa: F401,E402
 from . import window_jobs  # noqa: F401,E402
 from . import time_jobs  # noqa: F401,E402
 from . import function_jobs  # noqa: F401,E402
+from . import iter_jobs  # noqa: F401,E402
