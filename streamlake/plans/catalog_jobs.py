@@ -14,3 +14,4 @@ from . import time_jobs  # noqa: F401,E402
 from . import function_jobs  # noqa: F401,E402
 from . import iter_jobs  # noqa: F401,E402
 from . import state_jobs  # noqa: F401,E402
+from . import misc_jobs  # noqa: F401,E402
