@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from .scalar import col_
 
-EMPTY = F.array().cast("array<string>")
+
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def lines(df: DataFrame, text: str = "text", out: str = "line",
@@ -29,7 +31,7 @@ def java_split(c, sep_regex: str) -> Column:
     tokens dropped; a non-empty text made only of separators yields none."""
     s = col_(c)
     stripped = F.regexp_replace(s, f"(?:{sep_regex})+$", "")
-    return F.when((stripped == "") & (s != ""), EMPTY).otherwise(F.split(stripped, sep_regex))
+    return F.when((stripped == "") & (s != ""), _empty()).otherwise(F.split(stripped, sep_regex))
 
 
 def java_split_space(c) -> Column:
@@ -37,7 +39,7 @@ def java_split_space(c) -> Column:
     a non-empty text made only of separators yields no tokens."""
     s = col_(c)
     stripped = F.regexp_replace(s, " +$", "")
-    return F.when((stripped == "") & (s != ""), EMPTY).otherwise(F.split(stripped, " "))
+    return F.when((stripped == "") & (s != ""), _empty()).otherwise(F.split(stripped, " "))
 
 
 def java_split_ws(c) -> Column:
@@ -45,7 +47,7 @@ def java_split_ws(c) -> Column:
     dropped (P07)."""
     s = col_(c)
     stripped = F.regexp_replace(s, r"\s+$", "")
-    return F.when((stripped == "") & (s != ""), EMPTY).otherwise(F.split(stripped, r"\s"))
+    return F.when((stripped == "") & (s != ""), _empty()).otherwise(F.split(stripped, r"\s"))
 
 
 def word_tokens(c) -> Column:

@@ -46,14 +46,17 @@ EVENT_TYPES = ["a", "b", "c", "d", "e", "f", "g"]
 
 _SIDX = {s: i for i, s in enumerate(STORED_STATES)}
 # NEXT[state][event] -> stored state index after the event; VALID likewise
-NEXT = [[0] * len(EVENT_TYPES) for _ in STORED_STATES]
-VALID = [[False] * len(EVENT_TYPES) for _ in STORED_STATES]
+# (one extra column for unknown event letters: always invalid)
+NEXT = [[0] * (len(EVENT_TYPES) + 1) for _ in STORED_STATES]
+VALID = [[False] * (len(EVENT_TYPES) + 1) for _ in STORED_STATES]
 for _s in STORED_STATES:
     for _j, _e in enumerate(EVENT_TYPES):
         _t = TRANSITIONS.get((_s, _e))
         VALID[_SIDX[_s]][_j] = _t is not None
         NEXT[_SIDX[_s]][_j] = _SIDX[_s] if _t is None else (0 if _t == "Terminal" else _SIDX[_t])
+    NEXT[_SIDX[_s]][len(EVENT_TYPES)] = _SIDX[_s]
 _EIDX = {e: j for j, e in enumerate(EVENT_TYPES)}
+_UNKNOWN = len(EVENT_TYPES)
 
 
 def state_machine_step(state: str | None, event: str) -> tuple[str | None, bool]:
@@ -71,7 +74,7 @@ def _block_function(types) -> list[int]:
     for start in range(len(STORED_STATES)):
         s = start
         for e in types:
-            s = NEXT[s][_EIDX[e]]
+            s = NEXT[s][_EIDX.get(e, _UNKNOWN)]
         out.append(s)
     return out
 
@@ -116,14 +119,16 @@ def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str
         s = int(pdf["_start"].iloc[0])
         ids, states, evs = [], [], []
         for rid, e in zip(pdf[row_id].tolist(), pdf[event].tolist()):
-            j = _EIDX[e]
+            j = _EIDX.get(e, _UNKNOWN)
             if not VALID[s][j]:
                 ids.append(rid)
                 states.append(STORED_STATES[s])
                 evs.append(e)
             s = NEXT[s][j]
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(ids), row_id: ids,
-                             "state": states, event: evs})
+        return pd.DataFrame({key: pd.Series([pdf[key].iloc[0]] * len(ids), dtype=pdf[key].dtype),
+                             row_id: pd.Series(ids, dtype=pdf[row_id].dtype),
+                             "state": pd.Series(states, dtype=object),
+                             event: pd.Series(evs, dtype=object)})
 
     joined = d.join(start, [key, "_blk"])
     return joined.groupBy(key, "_blk").applyInPandas(

@@ -26,9 +26,7 @@ def register(name: str, job: Job, sql: str | None = None) -> None:
 
 
 def _load_all() -> None:
-    if _JOBS:
-        return
-    from . import catalog_jobs  # noqa: F401  (registers on import)
+    from . import catalog_jobs  # noqa: F401  (registers every job on first import)
 
 
 def jobs() -> dict[str, Job]:
