@@ -29,6 +29,11 @@ def exact_sum(c, digits: int = 4) -> Column:
     return F.sum(col_(c).cast(f"decimal(18,{digits})")).cast("double")
 
 
+def exact_avg(c) -> Column:
+    """Order-independent average: exact decimal sum over the count."""
+    return exact_sum(c) / F.count(col_(c))
+
+
 def revenue(price="l_extendedprice", discount="l_discount") -> Column:
     """``price * (1 - discount)`` computed exactly (decimal(?,4))."""
     return money(price) * (F.lit(1) - money(discount))

@@ -151,3 +151,14 @@ def retract_changelog(df: DataFrame, keys, order, value_col: str, ts: str,
     add = r.select(F.lit(True).alias("is_add"), *keys, F.col("_new").alias("value"), *order,
                    F.lit(1).alias("seq"))
     return retract.unionByName(add)
+
+
+def running_reduce_labeled(df: DataFrame, key: str, order, value: str, label_col: str,
+                           ts: str, label: str = "Sum", bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """``keyBy(k).reduce((a, b) -> (a.k, "Sum", a.v + b.v))`` on a stream:
+    the first row of a key is emitted unchanged, every later row carries the
+    running total and the constant label."""
+    r = running_count(df, [key], order, "_n", ts, bucket_seconds)
+    r = running_sum(r, [key], order, value, "_s", ts, bucket_seconds)
+    return r.withColumn(label_col, F.when(F.col("_n") == 1, F.col(label_col)).otherwise(F.lit(label))) \
+            .withColumn(value, F.col("_s")).drop("_n", "_s")

@@ -68,17 +68,6 @@ def state_machine_step(state: str | None, event: str) -> tuple[str | None, bool]
     return (None if t == "Terminal" else t), False
 
 
-def _block_function(types) -> list[int]:
-    """End state for each start state after the block's events."""
-    out = []
-    for start in range(len(STORED_STATES)):
-        s = start
-        for e in types:
-            s = NEXT[s][_EIDX.get(e, _UNKNOWN)]
-        out.append(s)
-    return out
-
-
 def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str,
                          block_rows: int = 200_000, bucket_seconds: int = 3600,
                          ts: str = "ts") -> DataFrame:
@@ -89,65 +78,89 @@ def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str
     d = running(d, [key], order, F.lit(1).cast("long"), "sum", "_rn", time_bucket(ts, bucket_seconds))
     d = d.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows)).select(key, row_id, event, "_rn", "_blk")
     ktype = d.schema[key].dataType.simpleString()
+    rid_type = d.schema[row_id].dataType.simpleString()
+    nstates = len(STORED_STATES)
+    fcols = ", ".join(f"f{i} int" for i in range(nstates))
 
-    # pass A: transition function of every block (bounded group size)
-    def block_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn")
-        f = _block_function(pdf[event].tolist())
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "_blk": [int(pdf["_blk"].iloc[0])],
-                             **{f"f{i}": [v] for i, v in enumerate(f)}})
+    # pass A: transition function of every (key, block), streamed per block
+    funcs = keyed_scan(d, [key, "_blk"], ["_rn"], lambda: _BlockFunctionFold(nstates, event),
+                       f"{key} {ktype}, _blk long, {fcols}")
+    # pass B: compose block functions per key -> start state of each block
+    start = keyed_scan(funcs, key, ["_blk"], _BlockStartFold, f"{key} {ktype}, _blk long, _start int")
+    # pass C: replay each block from its start state, emit alerts
+    joined = d.join(start, [key, "_blk"])
+    return keyed_scan(joined, [key, "_blk"], ["_rn"], lambda: _ReplayFold(key, row_id, event),
+                      f"{key} {ktype}, {row_id} {rid_type}, state string, {event} string")
 
-    fschema = f"{key} {ktype}, _blk long, " + ", ".join(f"f{i} int" for i in range(len(STORED_STATES)))
-    funcs = d.groupBy(key, "_blk").applyInPandas(block_fn, fschema)
 
-    # pass B: compose block functions per key -> start state of each block
-    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_blk")
-        s, out = 0, []
-        for row in pdf.itertuples(index=False):
-            out.append(s)
-            s = getattr(row, f"f{s}")
-        return pd.DataFrame({key: pdf[key].values, "_blk": pdf["_blk"].values, "_start": out})
+class _BlockFunctionFold:
+    """Per (key, block): the state each possible start state ends in."""
 
-    start = funcs.groupBy(key).applyInPandas(starts, f"{key} {ktype}, _blk long, _start int")
+    def __init__(self, n, event):
+        self.n, self.evt = n, event
 
-    # pass C: replay each block from its start state, emit alerts
-    rid_type = d.schema[row_id].dataType.simpleString()
+    def start(self, key):
+        self.key, self.cur = key, list(range(self.n))
 
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn")
-        s = int(pdf["_start"].iloc[0])
-        ids, states, evs = [], [], []
-        for rid, e in zip(pdf[row_id].tolist(), pdf[event].tolist()):
-            j = _EIDX.get(e, _UNKNOWN)
-            if not VALID[s][j]:
-                ids.append(rid)
-                states.append(STORED_STATES[s])
-                evs.append(e)
-            s = NEXT[s][j]
-        return pd.DataFrame({key: pd.Series([pdf[key].iloc[0]] * len(ids), dtype=pdf[key].dtype),
-                             row_id: pd.Series(ids, dtype=pdf[row_id].dtype),
-                             "state": pd.Series(states, dtype=object),
-                             event: pd.Series(evs, dtype=object)})
+    def row(self, rec):
+        j = _EIDX.get(rec[self.evt], _UNKNOWN)
+        self.cur = [NEXT[s][j] for s in self.cur]
+        return []
 
-    joined = d.join(start, [key, "_blk"])
-    return joined.groupBy(key, "_blk").applyInPandas(
-        replay, f"{key} {ktype}, {row_id} {rid_type}, state string, {event} string")
+    def finish(self):
+        return [(*self.key, *self.cur)]
+
+
+class _BlockStartFold:
+    def start(self, key):
+        self.key, self.s = key, 0
+
+    def row(self, rec):
+        out = [(self.key, rec["_blk"], self.s)]
+        self.s = rec[f"f{self.s}"]
+        return out
+
+    def finish(self):
+        return []
+
+
+class _ReplayFold:
+    def __init__(self, key, row_id, event):
+        self.k, self.rid, self.evt = key, row_id, event
+
+    def start(self, key):
+        self.key, self.s = key, None
+
+    def row(self, rec):
+        if self.s is None:
+            self.s = rec["_start"]
+        j = _EIDX.get(rec[self.evt], _UNKNOWN)
+        out = []
+        if not VALID[self.s][j]:
+            out.append((rec[self.k], rec[self.rid], STORED_STATES[self.s], rec[self.evt]))
+        self.s = NEXT[self.s][j]
+        return out
+
+    def finish(self):
+        return []
 
 
 # ------------------------------------------------------------ keyed scan ---
-def keyed_scan(df: DataFrame, key: str, order, step_factory: Callable[[], "KeyedFold"],
+def keyed_scan(df: DataFrame, key, order, step_factory: Callable[[], "KeyedFold"],
                schema: str, partitions: int | None = None) -> DataFrame:
     """Run a per-key sequential fold over rows sorted by ``order``.
 
+    ``key`` is a column name or a list of them (the fold then sees a tuple).
     ``step_factory()`` returns an object with ``start(key)``,
     ``row(rec) -> list[tuple]`` and ``finish() -> list[tuple]``; it is
     re-created per partition and reset per key.
     """
     order = [order] if isinstance(order, str) else list(order)
-    d = df.repartition(partitions, key) if partitions else df.repartition(key)
-    d = d.sortWithinPartitions(key, *order)
+    keys = [key] if isinstance(key, str) else list(key)
+    d = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    d = d.sortWithinPartitions(*keys, *order)
     cols = df.columns
+    single = len(keys) == 1
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fold = step_factory()
@@ -157,7 +170,7 @@ def keyed_scan(df: DataFrame, key: str, order, step_factory: Callable[[], "Keyed
             out = []
             for tup in pdf[cols].itertuples(index=False, name=None):
                 rec = dict(zip(cols, tup))
-                k = rec[key]
+                k = rec[keys[0]] if single else tuple(rec[c] for c in keys)
                 if not started or k != cur:
                     if started:
                         out.extend(fold.finish())

@@ -160,3 +160,47 @@ def test_english_tokens_running_counts(spark):
                       ["w"], ["ts"], "cnt", "ts")
     got = sorted((x.w, x.cnt) for x in r.filter("id < 3").collect())
     assert got == [("apache", 1), ("apache", 2), ("apache", 3), ("flink", 1), ("flink", 2), ("flink", 3)]
+
+
+def _price_drop_model(rows, size_us, bnd_us, big=0.05, small=0.01):
+    """Plain-Python model of the price-drop trigger per (key, window)."""
+    out = []
+    groups = {}
+    for k, t, rid, p in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        groups.setdefault((k, t // size_us * size_us), []).append((t, p))
+    for (k, ws), items in groups.items():
+        buf, last, timers = [], None, set()
+        def emit(when, why):
+            if buf:
+                out.append((k, ws, when, why, len(buf), round(sum(buf) / len(buf), 9)))
+                buf.clear()
+        for t, p in items:
+            for tm in sorted(x for x in timers if x <= t):
+                emit(tm, "timer")
+                timers.discard(tm)
+            buf.append(p)
+            if last is not None:
+                if last - p > last * big:
+                    emit(t, "drop")
+                elif last - p > last * small:
+                    timers.add((t // bnd_us + 1) * bnd_us)
+            last = p
+        for tm in sorted(timers):
+            if tm < ws + size_us:
+                emit(tm, "timer")
+        emit(ws + size_us, "end")
+    return sorted(out)
+
+
+def test_price_drop_trigger_matches_model(spark):
+    from conftest import SF_SMALL
+    from streamlake.operators.triggers import price_drop_trigger
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = [(r.event_type, r.t, r.event_id, r.value) for r in
+            e.select("event_type", F.unix_micros("ts").alias("t"), "event_id", "value").collect()]
+    exp = _price_drop_model(rows, 3600 * 10**6, 600 * 10**6)
+    r = price_drop_trigger(e, "event_type", "ts", "event_id", "value", 3600, 600)
+    got = sorted((x.event_type, x.ws, x.fu, x.reason, x.n, round(x.avg_price, 9)) for x in r.select(
+        "event_type", F.unix_micros("window_start").alias("ws"), F.unix_micros("fire_time").alias("fu"),
+        "reason", "n", "avg_price").collect())
+    assert got == exp
