@@ -49,17 +49,19 @@ def _execute(spark: SparkSession, url: str, statements) -> None:
         conn.close()
 
 
-def merge_sql(target: str, staging: str, keys, cols) -> str:
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    upd = ", ".join(f"{c} = s.{c}" for c in cols if c not in keys)
+def merge_sql(target: str, staging: str, keys, cols, q: str = '"') -> str:
+    """MERGE from the staging table; Spark's JDBC writer creates the staging
+    columns as quoted identifiers, hence ``q`` around the staging side."""
+    on = " AND ".join(f"t.{k} = s.{q}{k}{q}" for k in keys)
+    upd = ", ".join(f"{c} = s.{q}{c}{q}" for c in cols if c not in keys)
     ins_c = ", ".join(cols)
-    ins_v = ", ".join(f"s.{c}" for c in cols)
+    ins_v = ", ".join(f"s.{q}{c}{q}" for c in cols)
     return (f"MERGE INTO {target} t USING {staging} s ON {on} "
             f"WHEN MATCHED THEN UPDATE SET {upd} WHEN NOT MATCHED THEN INSERT ({ins_c}) VALUES ({ins_v})")
 
 
 def upsert(df: DataFrame, url: str, target: str, keys, order_col: str | None = None,
-           staging: str | None = None) -> None:
+           staging: str | None = None, varchar: int = 4000) -> None:
     """Upsert by primary key.  Within the batch the last row per key
     (by ``order_col``) wins; the batch is staged, merged, and the staging
     table cleared."""
@@ -70,7 +72,13 @@ def upsert(df: DataFrame, url: str, target: str, keys, order_col: str | None = N
     else:
         df = df.dropDuplicates(keys)
     staging = staging or f"{target}_STAGE"
-    df.write.format("jdbc").option("url", url).option("dbtable", staging).mode("overwrite").save()
+    # strings as VARCHAR (not CLOB) so the MERGE can compare them with the target
+    text_cols = ", ".join(f"{f.name} VARCHAR({varchar})" for f in df.schema.fields
+                          if f.dataType.simpleString() == "string")
+    w = df.write.format("jdbc").option("url", url).option("dbtable", staging).mode("overwrite")
+    if text_cols:
+        w = w.option("createTableColumnTypes", text_cols)
+    w.save()
     _execute(df.sparkSession, url, [merge_sql(target, staging, keys, df.columns)])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .processors import (LatestStatusProcessor, RetractCountProcessor, RiseAlertProcessor,
-                         StateMachineProcessor)
+                         StateMachineProcessor, TtlCountProcessor)
 
 
 def state_machine_stream(events: DataFrame, letter) -> DataFrame:
@@ -48,3 +48,16 @@ def windowed_counts_stream(events: DataFrame, size: str, delay: str) -> DataFram
     return events.withWatermark("ts", delay).groupBy(
         "event_type", F.window("ts", size).alias("w")).agg(F.count(F.lit(1)).alias("cnt")) \
         .select("event_type", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
+
+
+def ttl_counts_stream(events: DataFrame, key: str, ttl_ms: int) -> DataFrame:
+    """Per-key counts with idle-state TTL (processing time)."""
+    return events.groupBy(key).transformWithStateInPandas(
+        TtlCountProcessor(ttl_ms), f"key {events.schema[key].dataType.simpleString()}, cnt long",
+        "Update", "ProcessingTime")
+
+
+def periodic_watermark_stream(events: DataFrame, delay: str, every: str, size: str):
+    """Bounded-delay watermark advanced on a periodic trigger: returns
+    the windowed counts and the trigger to start them with."""
+    return windowed_counts_stream(events, size, delay), {"processingTime": every}

@@ -153,3 +153,23 @@ class LatestStatusProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class TtlCountProcessor(StatefulProcessor):
+    """Running count per key whose state expires after ``ttl_ms`` of
+    processing time without updates (idle-state retention)."""
+
+    def __init__(self, ttl_ms: int = 3_600_000):
+        self.ttl = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long", ttlDurationMs=self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        n = self.count.get()[0] if self.count.exists() else 0
+        n += sum(len(p) for p in rows)
+        self.count.update((n,))
+        yield pd.DataFrame({"key": [key[0]], "cnt": [n]})
+
+    def close(self) -> None:
+        pass
