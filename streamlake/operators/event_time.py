@@ -207,3 +207,9 @@ def punctuated_watermark(df: DataFrame, ts: str, arrival, marker: str,
     d = running(d, [], arrival, "_m", "max", "_wm",
                 F.floor(F.col(arrival[0]) / bucket_rows), include_current=False)
     return d.withColumn("watermark", F.timestamp_millis(F.col("_wm"))).drop("_m", "_wm")
+
+
+def with_ingestion_time(df: DataFrame, col: str = "proctime") -> DataFrame:
+    """Stamp rows with the time they enter the job; windows over
+    this column are processing-time windows."""
+    return df.withColumn(col, F.current_timestamp())

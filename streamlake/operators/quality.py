@@ -45,3 +45,12 @@ def split_null_keys(df: DataFrame, key: str):
     """P20: (rows with a key, rows whose key is null) -- the second output is a
     quarantine instead of a silent null group."""
     return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+
+
+def parse_entity(df: DataFrame, col: str = "value", names=("symbol", "price", "volume"),
+                 types=("string", "int", "int"), tag: str = "tag", tag_value: str = "entity") -> DataFrame:
+    """``a,b,c`` record -> named entity; empty fields become null and a
+    constant tag column is appended."""
+    parts = F.split(F.col(col), ",")
+    fields = [F.nullif(parts[i], F.lit("")).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+    return df.select(*fields, F.lit(tag_value).alias(tag))

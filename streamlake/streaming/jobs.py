@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .processors import (LatestStatusProcessor, RetractCountProcessor, RiseAlertProcessor,
-                         StateMachineProcessor, TtlCountProcessor)
+                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor)
 
 
 def state_machine_stream(events: DataFrame, letter) -> DataFrame:
@@ -61,3 +61,10 @@ def periodic_watermark_stream(events: DataFrame, delay: str, every: str, size: s
     """Bounded-delay watermark advanced on a periodic trigger: returns
     the windowed counts and the trigger to start them with."""
     return windowed_counts_stream(events, size, delay), {"processingTime": every}
+
+
+def behavior_counts_stream(events: DataFrame) -> DataFrame:
+    """U02 on a stream: map state per user."""
+    e = events.select("user_id", "event_id", "ts", "event_type")
+    return e.groupBy("user_id").transformWithStateInPandas(
+        BehaviorCountProcessor(), "event_id long, user_id long, event_type string, cnt long", "Append", "None")

@@ -173,3 +173,25 @@ class TtlCountProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class BehaviorCountProcessor(StatefulProcessor):
+    """Map state (behaviour -> count) per user; every input row is
+    emitted with the updated count of its behaviour."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "behavior string", "n long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _sorted(rows, ["ts", "event_id"])
+        out = []
+        for rid, b in zip(pdf["event_id"].tolist(), pdf["event_type"].tolist()):
+            n = self.counts.getValue((b,))[0] + 1 if self.counts.containsKey((b,)) else 1
+            self.counts.updateValue((b,), (n,))
+            out.append((rid, b, n))
+        o = pd.DataFrame(out, columns=["event_id", "event_type", "cnt"])
+        o.insert(1, "user_id", key[0])
+        yield o
+
+    def close(self) -> None:
+        pass

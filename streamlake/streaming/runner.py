@@ -53,3 +53,18 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append",
     if q.exception():
         raise q.exception()
     return df.sparkSession.table(name)
+
+
+def run_until_idle(df: DataFrame, name: str, mode: str = "append", every: str = "1 second",
+                   checkpoint: str | None = None) -> DataFrame:
+    """Run ``df`` on a processing-time trigger until all available input is
+    processed, then stop (for processing-time state such as TTL, whose
+    housekeeping batches keep an ``availableNow`` query alive)."""
+    ck = checkpoint or tempfile.mkdtemp(prefix=f"sl-stream-{name}-")
+    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+         .option("checkpointLocation", ck).trigger(processingTime=every).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return df.sparkSession.table(name)

@@ -204,3 +204,19 @@ def test_price_drop_trigger_matches_model(spark):
         "event_type", F.unix_micros("window_start").alias("ws"), F.unix_micros("fire_time").alias("fu"),
         "reason", "n", "avg_price").collect())
     assert got == exp
+
+
+def test_missing_fields_and_entities(spark):
+    from streamlake.operators import quality as Q
+    rows = [("John", "Doe", "Foo Str."), ("Joe", "Johnson", ""), (None, "Kate Morn", "Bar Blvd."),
+            ("Tim", "Rinny", ""), ("Alicia", "Jackson", "  ")]
+    df = spark.createDataFrame(rows, "f0 string, f1 string, f2 string")
+    kept = [tuple(r) for r in Q.drop_missing(df, ["f0", "f1", "f2"]).collect()]
+    assert kept == [("John", "Doe", "Foo Str.")]
+    c = Q.missing_counts(df, ["f0", "f1", "f2"]).first()
+    assert (c.missing_f0, c.missing_f1, c.missing_f2) == (1, 0, 3)
+    t = spark.createDataFrame([(",297,100",), ("US2.AAPL,295,20",)], "value string")
+    ents = Q.parse_entity(t).collect()
+    assert ents[0].symbol is None and ents[0].price == 297 and ents[1].symbol == "US2.AAPL"
+    main, quarantine = Q.split_null_keys(Q.parse_entity(t), "symbol")
+    assert (main.count(), quarantine.count()) == (1, 1)

@@ -59,3 +59,11 @@ def test_windowed_counts_stream_equals_batch_cut(spark):
     bb = b.filter(F.col("window_end").cast("timestamp") <= F.lit(cut)).select(
         "event_type", F.col("window_start").cast("timestamp"), F.col("window_end").cast("timestamp"), "cnt")
     assert _rows(s) == _rows(bb)
+
+
+def test_map_state_stream_equals_batch(spark):
+    enable_state_store(spark)
+    s = run_to_memory(SJ.behavior_counts_stream(stream_events(spark, SF_SMALL)), "u02s")
+    b = E.queries()["a20_count_per_user_behavior"](spark, SF_SMALL)
+    cols = ["event_id", "user_id", "event_type", "cnt"]
+    assert _rows(s.select(*cols)) == _rows(b.select(*cols))
