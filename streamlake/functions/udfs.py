@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 # The bounding box of the reference's "four ring" check
@@ -34,7 +35,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.udf.register("weighted_avg_udaf", weighted_avg_udaf)
 
 
-@udtf(returnType="s: string")
+@udtf(returnType=T.StructType([T.StructField("s", T.StringType())]))
 class SplitSharp:
     """Split on ``#``; no rows when the text has no ``#`` (Java split:
     trailing empty pieces dropped)."""
@@ -48,7 +49,7 @@ class SplitSharp:
                 yield (p,)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def weighted_avg_udaf(v: pd.Series, w: pd.Series) -> float:
     """D05/A12 as a grouped-aggregate pandas UDF: truncating long division
     of sum(v*w) by sum(w); null when the weights sum to 0."""
@@ -60,7 +61,7 @@ def weighted_avg_udaf(v: pd.Series, w: pd.Series) -> float:
     return float(q if (num >= 0) == (den > 0) else -q)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def in_box_pandas(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """D01 Python form (string, float or double input): vectorised test."""
     x = pd.to_numeric(lon).astype("float64")

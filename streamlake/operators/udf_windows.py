@@ -9,14 +9,15 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _median(v: pd.Series) -> float:
     return float(v.median())
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _count(v: pd.Series) -> int:
     return int(len(v))
 

@@ -46,12 +46,14 @@ SELECT user_id, make_timestamp((epoch_us(ts) // 3600000000) * 3600000000) AS win
        make_timestamp((epoch_us(ts) // 3600000000) * 3600000000 + 3600000000) AS window_end,
        COUNT(event_type) AS behavior_cnt FROM events GROUP BY ALL""")
 
-_ADDR = (F.col("event_id") * 2654435761) % 4294967296
+def _addr():
+    return (F.col("event_id") * 2654435761) % 4294967296
 
 
 def s17_s18_event_codec(spark, sf):
     e = load(spark, sf, "events", "event_id", "event_type")
-    signed = F.when(_ADDR >= 2 ** 31, _ADDR - 2 ** 32).otherwise(_ADDR).cast("int")
+    a = _addr()
+    signed = F.when(a >= 2 ** 31, a - 2 ** 32).otherwise(a).cast("int")
     enc = e.select("event_id", codec.encode_event(signed, letter_col()).alias("bytes"))
     return enc.select("event_id", codec.decode_address("bytes").alias("address"),
                       codec.decode_type("bytes").alias("evt"),

@@ -142,24 +142,24 @@ def test_tokenizers(spark):
     df = spark.createDataFrame([("To be, or not to be,--that is the question:--",)], "text string")
     words = [r.word for r in T.tokenize_words(df).collect()]
     assert words == ["to", "be", "or", "not", "to", "be", "that", "is", "the", "question"]
-    lines = spark.createDataFrame([("Hello this is Flink",), ("Hello World",), ("a  b ",)], "line string")
+    lines = spark.createDataFrame([("Hello this is Spark",), ("Hello World",), ("a  b ",)], "line string")
     long_words = [r.word for r in T.tokenize_long_lines(lines, "line", 15).collect()]
-    assert long_words == ["Hello", "this", "is", "Flink"]
+    assert long_words == ["Hello", "this", "is", "Spark"]
     ws = [r.word for r in T.tokenize_whitespace_keep_empty(lines.filter("line = 'a  b '"), "line").collect()]
     assert ws == ["a", "", "b"]
 
 
 def test_english_tokens_running_counts(spark):
     from streamlake.operators.running import running_count
-    texts = ['{"text": "Apache Flink", "user": {"lang": "en"}}'] * 3 + ['{"text": "x", "user": {"lang": "de"}}']
+    texts = ['{"text": "Stream Tables", "user": {"lang": "en"}}'] * 3 + ['{"text": "x", "user": {"lang": "de"}}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, value string")
     toks = df.select("id", F.explode(F.split(F.get_json_object("value", "$.text"), " ")).alias("w"))
     words = T.english_tokens(df, "value").collect()
-    assert sorted(r.word for r in words) == ["apache"] * 3 + ["flink"] * 3
+    assert sorted(r.word for r in words) == ["stream"] * 3 + ["tables"] * 3
     r = running_count(toks.withColumn("ts", F.timestamp_seconds("id")).withColumn("w", F.lower("w")),
                       ["w"], ["ts"], "cnt", "ts")
     got = sorted((x.w, x.cnt) for x in r.filter("id < 3").collect())
-    assert got == [("apache", 1), ("apache", 2), ("apache", 3), ("flink", 1), ("flink", 2), ("flink", 3)]
+    assert got == [("stream", 1), ("stream", 2), ("stream", 3), ("tables", 1), ("tables", 2), ("tables", 3)]
 
 
 def _price_drop_model(rows, size_us, bnd_us, big=0.05, small=0.01):
