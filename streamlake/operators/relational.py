@@ -198,19 +198,6 @@ def having(agg: DataFrame, cond) -> DataFrame:
     return agg.filter(cond)
 
 
-def nearest_centroid(points: DataFrame, centroids: DataFrame, px="x", py="y",
-                     cid="id", cx="cx", cy="cy") -> DataFrame:
-    """Argmin distance per point; the lowest centroid id wins ties.
-
-    ``centroids`` must be small (k rows); the caller checks it before use.
-    """
-    d2 = (F.col(px) - F.col(cx)) ** 2 + (F.col(py) - F.col(cy)) ** 2
-    pairs = points.crossJoin(F.broadcast(centroids)).withColumn("_d", F.sqrt(d2))
-    keys = [c for c in points.columns]
-    best = F.min_by(F.col(cid), F.struct(F.col("_d"), F.col(cid)))
-    return pairs.groupBy(*keys).agg(best.alias(cid))
-
-
 # ------------------------------------------------------------ set ops -------
 def union_all(*dfs: DataFrame) -> DataFrame:
     """X01."""

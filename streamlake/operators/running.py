@@ -103,14 +103,42 @@ def running_distinct(df, entity, order, row_id, out, ts, keys=(),
                    time_bucket(ts, bucket_seconds)).drop("_fs")
 
 
-def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1) -> DataFrame:
+def lag_bucketed(df: DataFrame, keys, order, value, out: str, bucket: Column) -> DataFrame:
+    """``LAG(value) OVER (PARTITION BY keys ORDER BY order)`` without a window
+    over a whole key: lag inside each (keys, bucket), and for a bucket's
+    first row the last value of the key's previous non-empty bucket (from a
+    per-bucket table, one row per key and bucket).  ``bucket`` must be
+    monotone in ``order``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    v = F.col(value) if isinstance(value, str) else value
+    d = df.withColumn("_bk", bucket).withColumn("_v", v)
+    d = d.withColumn("_lag", F.lag("_v").over(Window.partitionBy(*keys, "_bk").orderBy(*order)))
+    last = d.groupBy(*keys, "_bk").agg(F.max_by("_v", F.struct(*order)).alias("_last"))
+    wb = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_bk")
+    carry = last.withColumn("_carry", F.lag("_last").over(wb)).drop("_last")
+    first = F.row_number().over(Window.partitionBy(*keys, "_bk").orderBy(*order)) == 1
+    d = d.join(carry, [*keys, "_bk"], "left")
+    return d.withColumn(out, F.when(first, F.col("_carry")).otherwise(F.col("_lag"))) \
+            .drop("_bk", "_v", "_lag", "_carry")
+
+
+def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1,
+                     ts: str | None = None, bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``SUM(v) OVER (PARTITION BY k ORDER BY o ROWS BETWEEN n PRECEDING
-    AND CURRENT ROW)``.  A bounded frame, so the window operator keeps only
-    ``n+1`` rows in its buffer."""
+    AND CURRENT ROW)``.  With ``ts`` given and ``preceding == 1`` it is
+    computed as ``v + LAG(v)`` over time buckets (skew-safe); otherwise as a
+    bounded-frame window (the operator keeps only n+1 rows in its buffer,
+    but a key's rows share one task)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    if ts is not None and preceding == 1:
+        d = lag_bucketed(df.withColumn("_cur", v), keys, order, "_cur", "_prev",
+                         time_bucket(ts, bucket_seconds))
+        return d.withColumn(out, F.when(F.col("_prev").isNull(), F.col("_cur"))
+                            .otherwise(F.col("_cur") + F.col("_prev"))).drop("_cur", "_prev")
     w = Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)) \
               .rowsBetween(-preceding, Window.currentRow)
-    v = F.col(value) if isinstance(value, str) else value
     return df.withColumn(out, F.sum(v).over(w))
 
 

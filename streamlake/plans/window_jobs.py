@@ -79,7 +79,7 @@ FROM events""")
 def w01_sum_one_preceding(spark, sf):
     e = _ev(spark, sf, "event_id", "ts", "event_type", "value") \
         .withColumn("v", F.col("value").cast("decimal(18,2)"))
-    r = RN.sliding_rows_sum(e, "event_type", ORDER, "v", "sum_2", preceding=1)
+    r = RN.sliding_rows_sum(e, "event_type", ORDER, "v", "sum_2", preceding=1, ts="ts")
     return r.select("event_id", "event_type", F.col("sum_2").cast("double").alias("sum_2"))
 
 
@@ -132,8 +132,13 @@ SELECT time_str, MAX(uv) AS uv FROM (
 
 
 def w05_row_number(spark, sf):
+    """ROW_NUMBER per user by value desc -- as a running count over
+    value buckets (monotone in the order), so a hot user is split."""
     e = _ev(spark, sf, "event_id", "user_id", "value")
-    return TN.row_number(e, "user_id", ["-value", "event_id"]).select("event_id", "user_id", "row_num")
+    order = [F.col("value").desc(), F.col("event_id").asc()]
+    r = RN.running(e, ["user_id"], order, F.lit(1).cast("long"), "sum", "row_num",
+                   -F.floor(F.col("value")))
+    return r.select("event_id", "user_id", F.col("row_num").cast("int").alias("row_num"))
 
 
 register("w05_row_number", w05_row_number, """
