@@ -89,7 +89,7 @@ def with_broadcast_set(df: DataFrame, small: DataFrame, max_rows: int = 10_000)
 def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
                   ts_l: str, ts_r: str, lower_ms: int, upper_ms: int,
                   lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
-    """Keyed interval join ``ts_r in [ts_l + lower, ts_l + upper]``.
+    """J14/J15 (F08 timestamp +/- interval, BETWEEN): keyed interval join ``ts_r in [ts_l + lower, ts_l + upper]``.
 
     Rows are matched on (key, time bucket): each left row is replicated into
     the buckets its interval touches (at most ceil(span/bucket)+1 of them, a

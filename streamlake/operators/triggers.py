@@ -196,3 +196,77 @@ class PriceDropFold(KeyedFold):
         if self.ws is not None:
             self._close(out)
         return out
+
+
+class TopSpeedFold(KeyedFold):
+    """T15 as one fold (streaming form): delta trigger on ``distance`` plus a
+    time-evicted buffer of the last ``evict_us``; a fire emits the buffer's
+    max-speed row (earliest, then lowest id, on ties).  Rows carry
+    ``ts_us``, ``row_id``, ``speed``, ``distance``."""
+
+    def __init__(self, threshold: float, evict_us: int):
+        super().__init__()
+        self.threshold, self.evict = threshold, evict_us
+
+    def start(self, key):
+        self.key, self.last, self.buf = key, None, []
+
+    def row(self, rec):
+        t = rec["ts_us"]
+        self.buf.append((t, rec["row_id"], rec["speed"]))
+        self.buf = [b for b in self.buf if b[0] > t - self.evict]
+        d = rec["distance"]
+        if self.last is None:
+            self.last = d
+            return []
+        if d - self.last > self.threshold:
+            self.last = d
+            best = max(self.buf, key=lambda b: (b[2], -b[0], -b[1]))
+            return [(self.key, t, rec["row_id"], best[1], best[2])]
+        return []
+
+    def finish(self):
+        return []
+
+
+class CoGroupFireFold(KeyedFold):
+    """J19 as one fold per key (streaming form): rows carry ``ws`` (window
+    start), ``side`` ('L'/'R'), ``v`` (Decimal or float).  Emits
+    (key, ws, fire_seq, trigger, n_left, n_right, sum_left, sum_right)."""
+
+    def start(self, key):
+        self.key, self.ws = key, None
+
+    def _open(self, ws):
+        self.ws, self.k, self.nr, self.sr, self.bl, self.sbl, self.seen_l = ws, 0, 0, None, 0, None, False
+
+    def _close(self, out):
+        out.append((self.key, self.ws, self.k + 1, "end", self.bl, self.nr,
+                    None if self.sbl is None else float(self.sbl), None if self.sr is None else float(self.sr)))
+
+    def row(self, rec):
+        out = []
+        if rec["ws"] != self.ws:
+            if self.ws is not None:
+                self._close(out)
+            self._open(rec["ws"])
+        self.k += 1
+        v = rec["v"]
+        if rec["side"] == "L":
+            self.seen_l = True
+            self.bl += 1
+            self.sbl = v if self.sbl is None else self.sbl + v
+        else:
+            self.nr += 1
+            self.sr = v if self.sr is None else self.sr + v
+        if self.seen_l and self.nr > 0:
+            out.append((self.key, self.ws, self.k, "both", self.bl, self.nr,
+                        None if self.sbl is None else float(self.sbl), float(self.sr)))
+            self.bl, self.sbl = 0, None          # evict the left side after firing
+        return out
+
+    def finish(self):
+        out = []
+        if self.ws is not None:
+            self._close(out)
+        return out

@@ -48,6 +48,7 @@ FROM (SELECT (epoch_us(ts) // 600000000) * 600000000 AS b FROM events) GROUP BY
 
 
 def f07_array_cardinality(spark, sf):
+    """ARRAY constructor and CARDINALITY."""
     d = load(spark, sf, "documents", "doc_id", "lang", "source", "text")
     return d.select("doc_id", F.cardinality(F.split("text", " ")).alias("n_pieces"),
                     F.cardinality(F.array("lang", "source")).alias("n_tags"))
@@ -71,6 +72,7 @@ SELECT doc_id, lower(source) AS src, length(text) AS n_chars, contains(text, 'th
 
 
 def f10_math(spark, sf):
+    """abs, sqrt, least/greatest (rand(seed) exists but is not engine-portable)."""
     li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     return li.select("l_orderkey", "l_linenumber",
                      F.abs(F.col("l_discount") - F.col("l_tax")).alias("abs_diff"),

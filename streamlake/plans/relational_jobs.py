@@ -280,6 +280,7 @@ register("a15_count_per_key", a15_count_per_key,
 
 
 def a16_expression_key(spark, sf):
+    """GROUP BY an expression (hour text of ts) and a column."""
     e = load(spark, sf, "events", "ts", "event_type")
     hour = F.substring(F.col("ts").cast("string"), 12, 2)
     return e.groupBy(hour.alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("cnt"))

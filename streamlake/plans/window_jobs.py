@@ -117,7 +117,7 @@ SELECT event_id, COUNT(DISTINCT user_id) OVER ({W_ALL}) AS uv FROM events""")
 
 
 def g17_uv_per_ten_minutes(spark, sf):
-    """Cumulative distinct users, reported per 10-minute label as the
+    """Cumulative distinct users, reported per 10-minute label as the
     label's max (the label itself is a running max, as in the SQL form)."""
     e = _ev(spark, sf, "event_id", "ts", "user_id").withColumn("label", ten_minute_bucket("ts"))
     r = RN.running_distinct(e, "user_id", ORDER, "event_id", "uv", "ts")

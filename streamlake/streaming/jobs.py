@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .processors import (LatestStatusProcessor, RetractCountProcessor, RiseAlertProcessor,
-                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor)
+                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor, FoldProcessor)
 
 
 def state_machine_stream(events: DataFrame, letter) -> DataFrame:
@@ -68,3 +68,40 @@ def behavior_counts_stream(events: DataFrame) -> DataFrame:
     e = events.select("user_id", "event_id", "ts", "event_type")
     return e.groupBy("user_id").transformWithStateInPandas(
         BehaviorCountProcessor(), "event_id long, user_id long, event_type string, cnt long", "Append", "None")
+
+
+def top_speed_stream(events: DataFrame, threshold: float, evict_ms: int) -> DataFrame:
+    """T15 on a stream; input needs ``distance`` (per-key running total)."""
+    from ..operators.triggers import TopSpeedFold
+    e = events.select(F.col("user_id"), F.unix_micros("ts").alias("ts_us"), F.col("event_id").alias("row_id"),
+                      F.col("value").alias("speed"), F.col("distance").cast("double").alias("distance"))
+    names = ["user_id", "fire_us", "fire_id", "max_id", "max_speed"]
+    return e.groupBy("user_id").transformWithStateInPandas(
+        FoldProcessor(lambda: TopSpeedFold(threshold, evict_ms * 1000), ["ts_us", "row_id"], names),
+        "user_id long, fire_us long, fire_id long, max_id long, max_speed double", "Append", "None")
+
+
+def price_drop_stream(events: DataFrame, size_s: int, boundary_s: int) -> DataFrame:
+    """T25 on a stream keyed by event type (a window closes when the key's
+    next window starts)."""
+    from ..operators.triggers import PriceDropFold
+    e = events.select(F.col("event_type").alias("key"), F.unix_micros("ts").alias("t"),
+                      F.col("event_id").alias("rid"), F.col("value").alias("p"))
+    names = ["key", "ws", "fire_us", "reason", "n", "avg_price"]
+    return e.groupBy("key").transformWithStateInPandas(
+        FoldProcessor(lambda: PriceDropFold(size_s * 10**6, boundary_s * 10**6, 0.05, 0.01), ["t", "rid"], names),
+        "key string, ws long, fire_us long, reason string, n long, avg_price double", "Append", "None")
+
+
+def cogroup_fire_stream(events: DataFrame, size: str = "1 hour") -> DataFrame:
+    """J19 on a stream: clicks (left) and purchases (right) per user."""
+    from ..operators.triggers import CoGroupFireFold
+    e = events.filter(F.col("event_type").isin("click", "purchase")).select(
+        "user_id", "ts", "event_id", F.window("ts", size).start.alias("ws"),
+        F.when(F.col("event_type") == "click", "L").otherwise("R").alias("side"),
+        F.col("value").cast("decimal(18,2)").alias("v"))
+    names = ["user_id", "ws", "fire_seq", "trigger", "n_left", "n_right", "sum_left", "sum_right"]
+    return e.groupBy("user_id").transformWithStateInPandas(
+        FoldProcessor(CoGroupFireFold, ["ts", "side", "event_id"], names),
+        "user_id long, ws timestamp, fire_seq long, trigger string, n_left long, n_right long, "
+        "sum_left double, sum_right double", "Append", "None")

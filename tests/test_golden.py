@@ -220,3 +220,38 @@ def test_missing_fields_and_entities(spark):
     assert ents[0].symbol is None and ents[0].price == 297 and ents[1].symbol == "US2.AAPL"
     main, quarantine = Q.split_null_keys(Q.parse_entity(t), "symbol")
     assert (main.count(), quarantine.count()) == (1, 1)
+
+
+# Small inline tables of the reference's SQL examples.
+WEIGHTED = [(1, 100, 1, "2020-03-06 00:00:00"), (1, 200, 2, "2020-03-06 00:00:01"), (3, 300, 3, "2020-03-06 00:00:13")]
+BEHAVIOR = [(1, 1000, "pv", "2020-03-06 00:00:00"), (2, 1001, "pv", "2020-03-06 00:00:00"),
+            (1, 1000, "pv", "2020-03-06 00:00:02"), (2, 1001, "cart", "2020-03-06 00:00:03"),
+            (2, 1001, "buy", "2020-03-06 00:01:04")]
+ITEM_VERSIONS = [(1000, 299, "2020-03-06 00:00:00"), (1001, 199, "2020-03-06 00:00:00"),
+                 (1000, 310, "2020-03-06 00:00:15"), (1001, 189, "2020-03-06 00:00:15")]
+SALES = [(1, "vegetable", 980), (2, "vegetable", 992), (3, "vegetable", 995), (4, "vegetable", 999),
+         (5, "vegetable", 991), (6, "vegetable", 989)]
+
+
+def test_weighted_average(spark):
+    from streamlake.operators.relational import weighted_avg
+    df = spark.createDataFrame(WEIGHTED, "id int, v long, w long, ts string")
+    got = {r.id: r.wavg for r in weighted_avg(df, "id", "v", "w").collect()}
+    assert got == {1: 166.0, 3: 300.0}
+
+
+def test_temporal_join(spark):
+    from streamlake.operators.joins import asof_join
+    ub = spark.createDataFrame(BEHAVIOR, "user_id long, item_id long, behavior string, ts string") \
+        .withColumn("ts", F.to_timestamp("ts")).filter("behavior = 'buy'")
+    items = spark.createDataFrame(ITEM_VERSIONS, "vid long, price long, version_ts string") \
+        .withColumn("version_ts", F.to_timestamp("version_ts"))
+    r = asof_join(ub, items, "item_id", "vid", "ts", "version_ts").select("item_id", "price", "ts").collect()
+    assert [(x.item_id, x.price, str(x.ts)) for x in r] == [(1001, 189, "2020-03-06 00:01:04")]
+
+
+def test_top3_sales(spark):
+    from streamlake.operators.topn import top_n
+    df = spark.createDataFrame(SALES, "item_id long, category string, sales long")
+    got = sorted((r.row_num, r.item_id, r.sales) for r in top_n(df, "category", ["-sales", "item_id"], 3).collect())
+    assert got == [(1, 4, 999), (2, 3, 995), (3, 2, 992)]
