@@ -40,7 +40,7 @@ def cogroup_early_fire(left: DataFrame, right: DataFrame, key: str, ts: str, ord
          .withColumn("_both", (F.col("_nl") > 0) & (F.col("_nr") > 0))
     u = u.withColumn("_first", F.col("_both") & ~F.coalesce(F.lag("_both").over(w), F.lit(False)))
     fires = u.filter("_both").select(
-        *g, F.col("_k").alias("fire_seq"), F.lit("both").alias("trigger"),
+        *g, F.col("_k").cast("long").alias("fire_seq"), F.lit("both").alias("trigger"),
         F.when(F.col("_first"), F.col("_nl")).otherwise(isL).cast("long").alias("n_left"),
         F.col("_nr").cast("long").alias("n_right"),
         F.when(F.col("_first"), F.col("_sl")).otherwise(F.when(isL == 1, F.col("_v"))).alias("sum_left"),
@@ -54,7 +54,7 @@ def cogroup_early_fire(left: DataFrame, right: DataFrame, key: str, ts: str, ord
         .filter(F.col("_lastfire").isNull() | (F.col("_k") > F.col("_lastfire"))) \
         .groupBy(*g).agg(F.count(F.lit(1)).alias("_tl"), F.sum("_v").alias("_tsl"))
     end = last.join(tail, g, "left").select(
-        *g, (F.col("_n") + 1).alias("fire_seq"), F.lit("end").alias("trigger"),
+        *g, (F.col("_n") + 1).cast("long").alias("fire_seq"), F.lit("end").alias("trigger"),
         F.coalesce(F.col("_tl"), F.lit(0)).cast("long").alias("n_left"), F.col("_nr").cast("long").alias("n_right"),
         F.col("_tsl").alias("sum_left"), F.col("_sr").alias("sum_right"))
     out = fires.unionByName(end)

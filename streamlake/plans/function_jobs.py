@@ -50,8 +50,8 @@ FROM (SELECT (epoch_us(ts) // 600000000) * 600000000 AS b FROM events) GROUP BY
 def f07_array_cardinality(spark, sf):
     """ARRAY constructor and CARDINALITY."""
     d = load(spark, sf, "documents", "doc_id", "lang", "source", "text")
-    return d.select("doc_id", F.cardinality(F.split("text", " ")).alias("n_pieces"),
-                    F.cardinality(F.array("lang", "source")).alias("n_tags"))
+    return d.select("doc_id", F.cardinality(F.split("text", " ")).cast("long").alias("n_pieces"),
+                    F.cardinality(F.array("lang", "source")).cast("long").alias("n_tags"))
 
 
 register("f07_array_cardinality", f07_array_cardinality, """
@@ -60,10 +60,10 @@ SELECT doc_id, len(string_split(text, ' ')) AS n_pieces, len([lang, source]) AS
 
 def f09_string_functions(spark, sf):
     d = load(spark, sf, "documents", "doc_id", "source", "lang", "text")
-    return d.select("doc_id", F.lower("source").alias("src"), F.length("text").alias("n_chars"),
+    return d.select("doc_id", F.lower("source").alias("src"), F.length("text").cast("long").alias("n_chars"),
                     F.col("text").contains("the").alias("has_the"),
                     F.regexp_replace("lang", "e", "E").alias("lang2"),
-                    F.length(F.trim(F.col("text"))).alias("trimmed_len"))
+                    F.length(F.trim(F.col("text"))).cast("long").alias("trimmed_len"))
 
 
 register("f09_string_functions", f09_string_functions, """
@@ -91,7 +91,7 @@ def f11_json_field(spark, sf):
 
 
 register("f11_json_field", f11_json_field,
-         f"SELECT event_type, SUM({PROPS_K_SQL}) AS sum_k FROM events GROUP BY event_type")
+         f"SELECT event_type, CAST(SUM({PROPS_K_SQL}) AS BIGINT) AS sum_k FROM events GROUP BY event_type")
 
 
 def f12_epoch_and_format(spark, sf):

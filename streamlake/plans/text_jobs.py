@@ -53,7 +53,7 @@ def p05_document_word_counts(spark, sf):
     """P05 per document: number of word tokens in each whole text."""
     docs = load(spark, sf, "documents", "doc_id", "text")
     toks = F.filter(T.word_tokens("text"), lambda w: F.length(w) > 0)
-    return docs.select("doc_id", F.size(toks).alias("n_words"))
+    return docs.select("doc_id", F.size(toks).cast("long").alias("n_words"))
 
 
 WORDS_SQL = "SELECT unnest(regexp_split_to_array(lower(text), '\\W+')) AS word FROM documents"

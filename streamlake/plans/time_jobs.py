@@ -100,7 +100,7 @@ def t16_window_last_and_volume(spark, sf):
 
 register("t16_window_last_and_volume", t16_window_last_and_volume, f"""
 SELECT event_type, {_bucket_sql(HOUR_US)} AS window_start, {_bucket_sql(HOUR_US)} + INTERVAL 1 HOUR AS window_end,
-       arg_max(value, ts) AS value, MAX(ts) AS ts, SUM({PROPS_K_SQL}) AS volume FROM events GROUP BY ALL""")
+       arg_max(value, ts) AS value, MAX(ts) AS ts, CAST(SUM({PROPS_K_SQL}) AS BIGINT) AS volume FROM events GROUP BY ALL""")
 
 
 def t17_window_max_min(spark, sf):
@@ -149,7 +149,7 @@ register("t20_cascaded_windows", t20_cascaded_windows, """
 WITH a AS (SELECT event_type, (epoch_us(ts) // 600000000) * 600000000 + 600000000 - 1 AS rowtime, COUNT(*) AS c
            FROM events GROUP BY ALL)
 SELECT event_type, make_timestamp((rowtime // 1800000000) * 1800000000) AS window_start,
-       make_timestamp((rowtime // 1800000000) * 1800000000 + 1800000000) AS window_end, SUM(c) AS cnt
+       make_timestamp((rowtime // 1800000000) * 1800000000 + 1800000000) AS window_end, CAST(SUM(c) AS BIGINT) AS cnt
 FROM a GROUP BY ALL""")
 
 DELAY_MS = 600_000
@@ -196,7 +196,7 @@ def t23_allowed_lateness_firings(spark, sf):
 
 
 register("t23_allowed_lateness_firings", t23_allowed_lateness_firings, _CLASSIFIED_SQL + """,
-base AS (SELECT event_type, window_start, window_end, SUM(CASE WHEN lateness = 'on_time' THEN 1 ELSE 0 END) AS on_cnt
+base AS (SELECT event_type, window_start, window_end, CAST(SUM(CASE WHEN lateness = 'on_time' THEN 1 ELSE 0 END) AS BIGINT) AS on_cnt
          FROM c GROUP BY ALL),
 late AS (SELECT c.event_type, c.window_start, c.window_end,
                 ROW_NUMBER() OVER (PARTITION BY c.event_type, c.window_start, c.window_end ORDER BY arrival, event_id) AS i

@@ -138,7 +138,7 @@ def w05_row_number(spark, sf):
     order = [F.col("value").desc(), F.col("event_id").asc()]
     r = RN.running(e, ["user_id"], order, F.lit(1).cast("long"), "sum", "row_num",
                    -F.floor(F.col("value")))
-    return r.select("event_id", "user_id", F.col("row_num").cast("int").alias("row_num"))
+    return r.select("event_id", "user_id", F.col("row_num").cast("long").alias("row_num"))
 
 
 register("w05_row_number", w05_row_number, """
@@ -151,7 +151,8 @@ _LI_ORDER = ["-l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_q
 def w06_top3_per_supplier(spark, sf):
     li = load(spark, sf, "lineitem")
     return TN.top_n(li, "l_suppkey", _LI_ORDER, 3) \
-        .select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice", "row_num")
+        .select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice",
+                F.col("row_num").cast("long").alias("row_num"))
 
 
 register("w06_top3_per_supplier", w06_top3_per_supplier, """
