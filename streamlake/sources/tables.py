@@ -49,3 +49,21 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the tables as temporary views for SQL text."""
     for n in names:
         load(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (e.g. one big single-row-group file) before CPU-heavy per-row work such
+    as regex tokenizing.  On real inputs of many splits this is a no-op, so
+    no extra shuffle is added at scale.  Hash-partitions on ``key`` when
+    given (deterministic on retry)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
+
+
+def load_spread(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """``load`` + ``spread`` keyed on ``key`` (which is kept in the scan)."""
+    cols = columns if (not columns or key in columns) else (key, *columns)
+    return spread(load(spark, sf_dir, name, *cols), key)
