@@ -62,9 +62,14 @@ def join_filter(left: DataFrame, right: DataFrame, on, keep) -> DataFrame:
 
 
 def join_fanout(left: DataFrame, adjacency: DataFrame, on: str, array_col: str,
-                out_col: str) -> DataFrame:
-    """Join then emit one row per element of the neighbour array."""
-    return left.join(adjacency, on).withColumn(out_col, F.explode(array_col))
+                out_col: str, pos_col: str | None = None) -> DataFrame:
+    """Join then emit one row per element of the neighbour array
+    (``pos_col`` also keeps the element's position)."""
+    j = left.join(adjacency, on)
+    keep = [c for c in j.columns if c != array_col]
+    if pos_col:
+        return j.select(*keep, F.posexplode(array_col).alias(pos_col, out_col))
+    return j.select(*keep, F.explode(array_col).alias(out_col))
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:

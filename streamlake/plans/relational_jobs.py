@@ -415,14 +415,18 @@ WHERE o_totalprice < c_acctbal * 20""")
 
 
 def j08_join_fanout(spark, sf):
-    adj = R.group_to_list(load(spark, sf, "orders", "o_custkey", "o_orderkey"),
-                          "o_custkey", "o_orderkey", "orders")
-    c = load(spark, sf, "customer", "c_custkey", "c_nationkey").withColumnRenamed("c_custkey", "o_custkey")
-    return J.join_fanout(c, adj, "o_custkey", "orders", "o_orderkey").select("c_nationkey", "o_orderkey")
-
-
-register("j08_join_fanout", j08_join_fanout,
-         "SELECT c_nationkey, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey")
+    """Join each vector with its label's group size, then fan out over
+    the vector's array (one row per component)."""
+    emb = load(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    sizes = emb.groupBy("label").agg(F.count(F.lit(1)).alias("label_size"))
+    return J.join_fanout(sizes, emb, "label", "embedding", "component", pos_col="dim") \
+        .select("vec_id", "label", "label_size", "dim", "component")
+
+
+register("j08_join_fanout", j08_join_fanout, """
+WITH s AS (SELECT label, COUNT(*) AS label_size FROM embeddings GROUP BY label)
+SELECT vec_id, e.label, s.label_size, CAST(g.i - 1 AS INTEGER) AS dim, e.embedding[g.i] AS component
+FROM embeddings e JOIN s ON e.label = s.label, LATERAL (SELECT generate_subscripts(e.embedding, 1) AS i) g""")
 
 
 def j09_anti_join(spark, sf):
