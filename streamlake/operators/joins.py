@@ -126,34 +126,45 @@ def version_table(versions: DataFrame, key: str, ts: str,
 
 
 def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
-              ts_p: str, ts_v: str, bucket_seconds: int = 86_400) -> DataFrame:
+              ts_p: str, ts_v: str, bucket_seconds: int = 86_400,
+              version_order: str | None = None) -> DataFrame:
     """For each probe row the latest version with ``ts_v <= ts_p``
-    (inner: probes without an earlier version are dropped).
-
-    Plan: versions get ``[valid_from, valid_to)`` by ``lead``; every version is
-    copied into each time bucket its validity overlaps, and probes join on
-    (key, bucket) plus the range test.  A long-lived version is copied once
-    per bucket it spans -- bounded by the data's time span / bucket -- so no
-    probe ever scans a whole key.
+    of the same key (inner: probes without an earlier version are dropped).
+
+    Plan: one tagged union of probes and versions ordered by (ts, versions
+    first), scanned for "last version so far" in two levels -- inside each
+    (key, time bucket) with a window, and across buckets through a small
+    per-(key, bucket) table of each bucket's last version.  Nothing is
+    replicated and no window spans a whole key, so hot keys and long-lived
+    versions cost no more than their rows.  ``version_order`` breaks ties
+    between versions with equal timestamps (the later one wins).
     """
-    v = version_table(versions, key_v, ts_v, "_vf", "_vt")
-    far = F.lit(None).cast("timestamp")
-    v = v.withColumn("_vt_b", F.coalesce(F.col("_vt"), far))
-    vf = F.unix_seconds(F.col("_vf").cast("timestamp"))
-    # open-ended last version: bucket range closed by the probe side's max ts
-    pmax = probe.agg(F.max(F.unix_seconds(F.col(ts_p).cast("timestamp"))).alias("_pmax"))
-    v = v.crossJoin(F.broadcast(pmax))
-    vt = F.coalesce(F.unix_seconds(F.col("_vt").cast("timestamp")) - 1, F.col("_pmax"))
-    v = v.withColumn("_b", F.explode(F.sequence(F.floor(vf / bucket_seconds),
-                                                F.greatest(F.floor(vf / bucket_seconds),
-                                                           F.floor(vt / bucket_seconds)))))
-    v = v.drop("_pmax", "_vt_b")
-    pb = probe.withColumn("_pb", F.floor(F.unix_seconds(F.col(ts_p).cast("timestamp")) / bucket_seconds))
-    pt = F.col(ts_p).cast("timestamp")
-    cond = ((pb[key_p] == v[key_v]) & (pb["_pb"] == v["_b"]) &
-            (pt >= v["_vf"].cast("timestamp")) &
-            (v["_vt"].isNull() | (pt < v["_vt"].cast("timestamp"))))
-    return pb.join(v, cond).drop("_pb", "_b", "_vf", "_vt")
+    vcols, pcols = list(versions.columns), list(probe.columns)
+    ver_type = versions.select(F.struct(*vcols).alias("v")).schema["v"].dataType
+    prb_type = probe.select(F.struct(*pcols).alias("p")).schema["p"].dataType
+    tie = F.col(version_order) if version_order else F.lit(0)
+    vt = versions.select(F.col(key_v).alias("_k"), F.col(ts_v).cast("timestamp").alias("_t"),
+                         F.lit(0).alias("_side"), tie.alias("_tie"),
+                         F.struct(*vcols).alias("_ver"), F.lit(None).cast(prb_type).alias("_prb"))
+    pt = probe.select(F.col(key_p).alias("_k"), F.col(ts_p).cast("timestamp").alias("_t"),
+                      F.lit(1).alias("_side"), F.lit(0).alias("_tie"),
+                      F.lit(None).cast(ver_type).alias("_ver"), F.struct(*pcols).alias("_prb"))
+    u = vt.unionByName(pt).withColumn("_bk", F.floor(F.unix_seconds("_t") / bucket_seconds))
+    order = ["_t", "_side", "_tie"]
+    # level 1: last version so far inside each (key, bucket)
+    w_in = Window.partitionBy("_k", "_bk").orderBy(*order) \
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumn("_cur", F.last("_ver", ignorenulls=True).over(w_in))
+    # level 2: one row per (key, bucket) with data: the bucket's last version,
+    # carried forward to later buckets of the key
+    buckets = u.groupBy("_k", "_bk").agg(
+        F.max_by("_ver", F.struct(F.col("_ver").isNotNull(), *order)).alias("_bl"))
+    w_prev = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = buckets.withColumn("_carry", F.last("_bl", ignorenulls=True).over(w_prev)).drop("_bl")
+    r = u.filter(F.col("_side") == 1).join(carry, ["_k", "_bk"], "left") \
+         .withColumn("_v", F.coalesce("_cur", "_carry")).filter(F.col("_v").isNotNull())
+    return r.select(*[F.col(f"_prb.{c}").alias(c) for c in pcols],
+                    *[F.col(f"_v.{c}").alias(c) for c in vcols])
 
 
 def window_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
