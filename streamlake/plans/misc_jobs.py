@@ -70,19 +70,17 @@ FROM (SELECT event_id, event_type, (event_id * 2654435761) % 4294967296 AS a FRO
 
 
 def u03_keyed_side_output(spark, sf):
-    """Per key, large values to the side output; the main output keeps
-    a constant marker (here both outputs tagged in one result)."""
+    """Per key, large values go to the side output and the main output
+    carries a constant marker -- one pass, each row tagged with its output."""
     e = load(spark, sf, "events", "event_id", "user_id", "value")
-    side = e.filter(F.col("value") > 100).select("event_id", "user_id", F.lit("side").alias("output"),
-                                                  F.col("value").cast("string").alias("payload"))
-    main = e.filter(~(F.col("value") > 100)).select("event_id", "user_id", F.lit("main").alias("output"),
-                                                     F.lit("normal").alias("payload"))
-    return side.unionByName(main)
+    big = F.col("value") > 100
+    return e.select("event_id", "user_id", F.when(big, "side").otherwise("main").alias("output"),
+                    F.when(big, F.col("value").cast("string")).otherwise(F.lit("normal")).alias("payload"))
 
 
 register("u03_keyed_side_output", u03_keyed_side_output, """
-SELECT event_id, user_id, 'side' AS output, CAST(value AS VARCHAR) AS payload FROM events WHERE value > 100
-UNION ALL SELECT event_id, user_id, 'main' AS output, 'normal' AS payload FROM events WHERE NOT (value > 100)""")
+SELECT event_id, user_id, CASE WHEN value > 100 THEN 'side' ELSE 'main' END AS output,
+       CASE WHEN value > 100 THEN CAST(value AS VARCHAR) ELSE 'normal' END AS payload FROM events""")
 
 
 def u04_length_side_output(spark, sf):

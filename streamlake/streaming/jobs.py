@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .processors import (LatestStatusProcessor, RetractCountProcessor, RiseAlertProcessor,
-                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor, FoldProcessor)
+                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor, FoldProcessor,
+                         LatenessProcessor)
 
 
 def state_machine_stream(events: DataFrame, letter) -> DataFrame:
@@ -105,3 +106,11 @@ def cogroup_fire_stream(events: DataFrame, size: str = "1 hour") -> DataFrame:
         FoldProcessor(CoGroupFireFold, ["ts", "side", "event_id"], names),
         "user_id long, ws timestamp, fire_seq long, trigger string, n_left long, n_right long, "
         "sum_left double, sum_right double", "Append", "None")
+
+
+def lateness_stream(events: DataFrame, size_ms: int, delay: str, lateness_ms: int = 0) -> DataFrame:
+    """T21/T22 on a stream: per-row lateness tag against the watermark."""
+    e = events.withWatermark("ts", delay).select(
+        "event_type", "event_id", "ts", F.unix_millis("ts").alias("ts_ms"))
+    return e.groupBy("event_type").transformWithStateInPandas(
+        LatenessProcessor(size_ms, lateness_ms), "event_id long, lateness string", "Append", "EventTime")

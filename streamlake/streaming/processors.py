@@ -227,3 +227,29 @@ class FoldProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LatenessProcessor(StatefulProcessor):
+    """T21/T22 on a stream: tag each row against the watermark in force for
+    its micro-batch -- ``on_time``, ``late`` (its tumbling window already
+    closed, still within allowed lateness) or ``dropped``.  The tagged rows
+    feed the main path and a side output (two filters or ``foreachBatch``)."""
+
+    def __init__(self, size_ms: int, lateness_ms: int = 0):
+        self.size, self.lateness = size_ms, lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        wm = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            end = (pdf["ts_ms"] // self.size + 1) * self.size
+            status = pd.Series("on_time", index=pdf.index, dtype=object)
+            if wm > 0:
+                status[end <= wm] = "late"
+                status[end + self.lateness <= wm] = "dropped"
+            yield pd.DataFrame({"event_id": pdf["event_id"], "lateness": status})
+
+    def close(self) -> None:
+        pass

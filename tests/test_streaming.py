@@ -119,3 +119,41 @@ def test_cogroup_fire_stream_equals_batch(spark):
     types = ["click", "purchase"]
     assert _rows(_before_last_window(spark, s.select(*cols), "user_id", "ws", "user_id", types=types)) == \
         _rows(_before_last_window(spark, b.select(*cols), "user_id", "ws", "user_id", types=types))
+
+
+def test_lateness_stream_against_batch_watermarks(spark, tmpdir_path):
+    """Arrival-ordered files, one per micro-batch: a row is late when its
+    window ended before the watermark of its batch (max event time of the
+    earlier batches minus the delay)."""
+    from streamlake.plans.derived import arrival_order
+    from streamlake.streaming.runner import stream_parquet
+    enable_state_store(spark)
+    e = arrival_order(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    rows = sorted(e.select("arrival", "event_id", "ts", "event_type").collect(), key=lambda r: (r.arrival, r.event_id))
+    n = 10
+    chunks = [rows[i * len(rows) // n:(i + 1) * len(rows) // n] for i in range(n)]
+    for i, c in enumerate(chunks):
+        spark.createDataFrame(c, e.select("arrival", "event_id", "ts", "event_type").schema) \
+            .coalesce(1).write.parquet(f"{tmpdir_path}/in/part{i:02d}")
+    import glob, shutil, os
+    os.makedirs(f"{tmpdir_path}/flat")
+    for i in range(n):
+        f = glob.glob(f"{tmpdir_path}/in/part{i:02d}/*.parquet")[0]
+        shutil.copy(f, f"{tmpdir_path}/flat/{i:02d}.parquet")
+        os.utime(f"{tmpdir_path}/flat/{i:02d}.parquet", (1_000_000 + i, 1_000_000 + i))
+    st = stream_parquet(spark, f"{tmpdir_path}/flat", max_files=1).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = {r.event_id: r.lateness for r in run_to_memory(
+        SJ.lateness_stream(st, 3_600_000, "10 minutes", 1_200_000), "t22s").collect()}
+    import datetime
+    epoch = datetime.datetime(1970, 1, 1)
+    ms = lambda t: int((t - epoch).total_seconds() * 1000)
+    exp, seen_max = {}, None
+    for c in chunks:
+        wm = (seen_max - 600_000) if seen_max is not None else 0
+        for r in c:
+            end = (ms(r.ts) // 3_600_000 + 1) * 3_600_000
+            exp[r.event_id] = ("on_time" if wm <= 0 or end > wm else
+                               "late" if end + 1_200_000 > wm else "dropped")
+        seen_max = max([seen_max or 0] + [ms(r.ts) for r in c])
+    assert sum(v != "on_time" for v in exp.values()) > 0
+    assert out == exp
