@@ -46,6 +46,10 @@ def running(df: DataFrame, keys, order, value, kind: str, out: str,
                  .rowsBetween(Window.unboundedPreceding,
                               Window.currentRow if include_current else -1)
     d = d.withColumn("_in", agg("_v").over(w_in))
+    # per-bucket totals: Catalyst prunes this branch to a narrow scan with a
+    # map-side partial aggregate, so only one row per (keys, bucket) and task
+    # is shuffled (sharing the window's full-row exchange is not possible:
+    # the two branches project different columns)
     totals = d.groupBy(*keys, "_bk").agg(agg("_v").alias("_t"))
     w_prev = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))) \
         .orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
