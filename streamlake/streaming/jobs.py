@@ -114,3 +114,17 @@ def lateness_stream(events: DataFrame, size_ms: int, delay: str, lateness_ms: in
         "event_type", "event_id", "ts", F.unix_millis("ts").alias("ts_ms"))
     return e.groupBy("event_type").transformWithStateInPandas(
         LatenessProcessor(size_ms, lateness_ms), "event_id long, lateness string", "Append", "EventTime")
+
+
+def sliding_counts_stream(events: DataFrame, size: str, slide: str, delay: str) -> DataFrame:
+    """T11 on a stream (append: a window is emitted once the watermark passes it)."""
+    return events.withWatermark("ts", delay).groupBy(
+        "event_type", F.window("ts", size, slide).alias("w")).agg(F.count(F.lit(1)).alias("cnt")) \
+        .select("event_type", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
+
+
+def sessions_stream(events: DataFrame, gap: str, delay: str) -> DataFrame:
+    """T12 on a stream with Spark's session windows."""
+    return events.withWatermark("ts", delay).groupBy(
+        "user_id", F.session_window("ts", gap).alias("s")).agg(F.count(F.lit(1)).alias("cnt")) \
+        .select("user_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "cnt")

@@ -255,3 +255,17 @@ def test_top3_sales(spark):
     df = spark.createDataFrame(SALES, "item_id long, category string, sales long")
     got = sorted((r.row_num, r.item_id, r.sales) for r in top_n(df, "category", ["-sales", "item_id"], 3).collect())
     assert got == [(1, 4, 999), (2, 3, 995), (3, 2, 992)]
+
+
+def test_broadcast_guard_and_spread(spark):
+    from streamlake.operators.sizing import bounded_broadcast, row_count_at_most
+    from streamlake.sources.tables import spread
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert row_count_at_most(small, 10) and not row_count_at_most(big, 999)
+    j = spark.range(100).join(bounded_broadcast(small, 10), "id")
+    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString() or j.count() == 10
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(many) is many

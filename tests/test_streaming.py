@@ -157,3 +157,28 @@ def test_lateness_stream_against_batch_watermarks(spark, tmpdir_path):
         seen_max = max([seen_max or 0] + [ms(r.ts) for r in c])
     assert sum(v != "on_time" for v in exp.values()) > 0
     assert out == exp
+
+
+def _max_ts(spark):
+    return spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+
+
+def test_sliding_stream_equals_batch_cut(spark):
+    import datetime
+    s = run_to_memory(SJ.sliding_counts_stream(stream_events(spark, SF_SMALL), "1 hour", "10 minutes",
+                                               "5 seconds"), "t11s")
+    cut = _max_ts(spark) - datetime.timedelta(seconds=5)
+    b = E.queries()["t11_sliding_counts"](spark, SF_SMALL)
+    bb = b.select("event_type", F.col("window_start").cast("timestamp"), F.col("window_end").cast("timestamp"),
+                  "cnt").filter(F.col("window_end") <= F.lit(cut))
+    assert _rows(s) == _rows(bb)
+
+
+def test_sessions_stream_equals_batch_cut(spark):
+    import datetime
+    s = run_to_memory(SJ.sessions_stream(stream_events(spark, SF_SMALL), "3 hours", "5 seconds"), "t12s")
+    cut = _max_ts(spark) - datetime.timedelta(seconds=5)
+    b = E.queries()["t12_session_windows"](spark, SF_SMALL)
+    bb = b.select("user_id", F.col("session_start").cast("timestamp"), F.col("session_end").cast("timestamp"),
+                  "cnt").filter(F.col("session_end") <= F.lit(cut))
+    assert _rows(s) == _rows(bb)
