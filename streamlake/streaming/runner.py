@@ -43,10 +43,20 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """A fresh query checkpoint folder under the shared ``spark.checkpoint.dir``
+    (a local scratch folder only when that setting is absent, as in tests)."""
+    import uuid
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"sl-stream-{name}-")
+
+
 def run_to_memory(df: DataFrame, name: str, mode: str = "append",
                   checkpoint: str | None = None) -> DataFrame:
     """Run ``df`` with ``availableNow`` into a memory table and return it."""
-    ck = checkpoint or tempfile.mkdtemp(prefix=f"sl-stream-{name}-")
+    ck = checkpoint or stream_checkpoint(df.sparkSession, name)
     q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -60,7 +70,7 @@ def run_until_idle(df: DataFrame, name: str, mode: str = "append", every: str =
     """Run ``df`` on a processing-time trigger until all available input is
     processed, then stop (for processing-time state such as TTL, whose
     housekeeping batches keep an ``availableNow`` query alive)."""
-    ck = checkpoint or tempfile.mkdtemp(prefix=f"sl-stream-{name}-")
+    ck = checkpoint or stream_checkpoint(df.sparkSession, name)
     q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
          .option("checkpointLocation", ck).trigger(processingTime=every).start())
     try:
