@@ -112,3 +112,30 @@ def test_async_lookup_ordered_and_unordered(spark):
     assert [r.k for r in o] == list(range(40)) and all(r.sq == r.k * r.k for r in o)
     u = async_lookup(df, "k", slow_square, "sq", "long", capacity=20, ordered=False).collect()
     assert sorted((r.k, r.sq) for r in u) == [(k, k * k) for k in range(40)]
+
+
+def test_stream_sinks(spark, tmpdir_path):
+    """Windowed counts appended to a CSV table; K16: two outputs per
+    micro-batch; K06: a user function per batch."""
+    from conftest import SF_SMALL
+    from streamlake.streaming.jobs import windowed_counts_stream
+    from streamlake.streaming.runner import stream_events
+    counts = windowed_counts_stream(stream_events(spark, SF_SMALL), "1 hour", "5 seconds") \
+        .select("event_type", F.col("window_start").cast("string").alias("ws"), "cnt")
+    q = sinks.append_table_stream(counts, f"{tmpdir_path}/k10", f"{tmpdir_path}/ck10")
+    q.awaitTermination()
+    got = spark.read.schema("event_type string, ws string, cnt long").csv(f"{tmpdir_path}/k10")
+    assert got.count() > 0 and got.agg(F.sum("cnt")).first()[0] > 0
+    ev = stream_events(spark, SF_SMALL)
+    q2 = ev.writeStream.option("checkpointLocation", f"{tmpdir_path}/ck16").trigger(availableNow=True) \
+        .foreachBatch(lambda b, _i: sinks.write_two_append(b, F.col("value") > 100, f"{tmpdir_path}/main",
+                                                            f"{tmpdir_path}/side")).start()
+    q2.awaitTermination()
+    n_main = spark.read.parquet(f"{tmpdir_path}/main").count()
+    n_side = spark.read.parquet(f"{tmpdir_path}/side").count()
+    assert n_main + n_side == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    seen = []
+    q3 = sinks.foreach_batch(ev.select("event_id"), lambda b, i: seen.append(b.count()), f"{tmpdir_path}/ck06")
+    q3.processAllAvailable()
+    q3.stop()
+    assert sum(seen) == n_main + n_side
