@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target size AQE uses to coalesce small shuffle partitions and to split
+    # skewed join partitions
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -62,5 +65,15 @@ def apply_base_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes",
               "spark.sql.execution.arrow.pyspark.enabled"):
         spark.conf.set(k, BASE_CONF[k])
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
+                          minimum: int = 200) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for an input size: about one
+    partition per ``target_bytes`` (AQE coalesces small ones at runtime).
+    E.g. 100 TB -> ~800k; then set ``spark.sql.files.maxPartitionBytes`` near
+    the same target so scan tasks fit executor memory too."""
+    return max(minimum, -(-input_bytes // target_bytes))
