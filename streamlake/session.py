@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, app: str = "streamlake",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -61,6 +62,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``streamlake`` importable on the executors' Python workers
+    (``addPyFile`` of a zip of the package, once per SparkContext), so pandas
+    UDFs and keyed folds work wherever the driver was started from."""
+    import shutil
+    sc = spark.sparkContext
+    token = sc.applicationId
+    if token in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="streamlake-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "streamlake"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="streamlake")
+    sc.addPyFile(archive)
+    _SHIPPED.add(token)
+
+
 def apply_base_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
@@ -68,6 +89,7 @@ def apply_base_conf(spark: SparkSession) -> None:
               "spark.sql.adaptive.advisoryPartitionSizeInBytes",
               "spark.sql.execution.arrow.pyspark.enabled"):
         spark.conf.set(k, BASE_CONF[k])
+    ship_package(spark)
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
