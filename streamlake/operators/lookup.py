@@ -14,7 +14,6 @@ from __future__ import annotations
 import concurrent.futures as cf
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col_
@@ -83,14 +83,14 @@ def filter_contains_all(df: DataFrame, col: str, keywords) -> DataFrame:
 
 
 # ------------------------------------------------------------ keys ----------
-def key_by(df: DataFrame, key) -> "GroupedData":  # noqa: F821
+def key_by(df: DataFrame, key) -> GroupedData:
     """Key by position, field name or expression (a grouping)."""
     if isinstance(key, int):
         key = df.columns[key]
     return df.groupBy(col_(key))
 
 
-def constant_key(df: DataFrame):
+def constant_key(df: DataFrame) -> GroupedData:
     """One global group."""
     return df.groupBy()
 

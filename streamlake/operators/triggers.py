@@ -6,7 +6,6 @@ key with O(window) state, so no key is collected whole.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

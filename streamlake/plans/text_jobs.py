@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources.tables import load, load_spread
+from ..sources.tables import load_spread
 from .registry import register
 
 
