@@ -330,6 +330,7 @@ EXCEPT SELECT DISTINCT user_id FROM events WHERE value > 250""")
 
 # ------------------------------------------------------------------ J ------
 def j01_equi_join(spark, sf):
+    """Inner equi-join (DataFrame form of the Table-API join)."""
     o = load(spark, sf, "orders", "o_orderkey", "o_custkey")
     c = load(spark, sf, "customer", "c_custkey", "c_name")
     return J.equi_join(o, c, "o_custkey", "c_custkey").select("o_orderkey", "c_name")

@@ -247,6 +247,7 @@ def _side(spark, sf, etype, prefix):
 
 
 def j14_time_window_join(spark, sf):
+    """``p.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR``."""
     v, p = _side(spark, sf, "view", "v"), _side(spark, sf, "purchase", "p")
     r = J.interval_join(v, p, "v_user", "p_user", "v_ts", "p_ts", 0, 3_600_000)
     return r.select(F.col("v_id").alias("view_id"), F.col("p_id").alias("purchase_id"))

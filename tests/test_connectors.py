@@ -10,6 +10,7 @@ from streamlake.sources import codec, copy, files, jdbc, kafka, sinks
 
 
 def test_delimited_mask_and_lines(spark, tmpdir_path):
+    """[S02 S03 S04 S06]"""
     p = os.path.join(tmpdir_path, "c.tbl")
     with open(p, "w") as f:
         f.write("1|Alice|x|7|AUTOMOBILE\n2|Bob|y|8|BUILDING\n")
@@ -22,6 +23,7 @@ def test_delimited_mask_and_lines(spark, tmpdir_path):
 
 
 def test_parsers(spark):
+    """[S10 S11]"""
     t = spark.createDataFrame([("(1,40)",), ("(7, 9)",)], "value string")
     assert [tuple(r) for r in files.parse_tuple_text(t, ["a", "b"], ["int", "int"]).collect()] == [(1, 40), (7, 9)]
     s = spark.createDataFrame([("a 1000 3",)], "value string")
@@ -29,6 +31,7 @@ def test_parsers(spark):
 
 
 def test_stock_and_behavior_sources(spark, tmpdir_path):
+    """[S08 S09]"""
     p = os.path.join(tmpdir_path, "stock.csv")
     with open(p, "w") as f:
         f.write("US2.AAPL,20200108,093003,295.97,100\nUS1.AMZN,20200108,093004,1900.25,50\n")
@@ -43,6 +46,7 @@ def test_stock_and_behavior_sources(spark, tmpdir_path):
 
 
 def test_codec_round_trip(spark):
+    """[S17 S18 P24]"""
     df = spark.createDataFrame([(-5, "a"), (2 ** 31 - 1, "g"), (167772160, "c")], "addr int, t string")
     enc = df.select("addr", "t", codec.encode_event(F.col("addr"), F.col("t")).alias("b"))
     out = enc.select("addr", "t", codec.decode_address("b").alias("a2"), codec.decode_type("b").alias("t2"),
@@ -53,6 +57,7 @@ def test_codec_round_trip(spark):
 
 
 def test_text_and_csv_sinks(spark, tmpdir_path):
+    """[K03 K04 K05 K16]"""
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     sinks.write_text(df, os.path.join(tmpdir_path, "t"), single_file=True)
     assert sorted(r.value for r in spark.read.text(os.path.join(tmpdir_path, "t")).collect()) == ["(1,a)", "(2,b)"]
@@ -64,6 +69,7 @@ def test_text_and_csv_sinks(spark, tmpdir_path):
 
 
 def test_distributed_copy(spark, tmpdir_path):
+    """[K15]"""
     src = os.path.join(tmpdir_path, "src")
     os.makedirs(os.path.join(src, "sub"))
     for name, n in (("a.bin", 10), ("sub/b.bin", 20000)):
@@ -78,6 +84,7 @@ def test_distributed_copy(spark, tmpdir_path):
 
 
 def test_jdbc_append_and_upsert(spark, tmpdir_path):
+    """[S20 K08 K09]"""
     url = f"jdbc:derby:{tmpdir_path}/db;create=true"
     try:
         jdbc._execute(spark, url, ["CREATE TABLE hits (ip VARCHAR(32) NOT NULL, win VARCHAR(8) NOT NULL, "
@@ -94,12 +101,14 @@ def test_jdbc_append_and_upsert(spark, tmpdir_path):
 
 
 def test_kafka_options():
+    """[S14 S15 S16 K07]"""
     o = kafka.source_options("h:9092", "user_behavior", "earliest")
     assert o == {"kafka.bootstrap.servers": "h:9092", "subscribe": "user_behavior", "startingOffsets": "earliest"}
     assert kafka.sink_options("h:9092", "t", "/ck")["topic"] == "t"
 
 
 def test_async_lookup_ordered_and_unordered(spark):
+    """[U08 U09]"""
     def slow_square(x):
         import time as _t
         _t.sleep(0.05)
@@ -115,7 +124,7 @@ def test_async_lookup_ordered_and_unordered(spark):
 
 
 def test_stream_sinks(spark, tmpdir_path):
-    """Windowed counts appended to a CSV table; K16: two outputs per
+    """[K06 K10 K12 K16] K10: windowed counts appended to a CSV table; K16: two outputs per
     micro-batch; K06: a user function per batch."""
     from conftest import SF_SMALL
     from streamlake.streaming.jobs import windowed_counts_stream
@@ -139,3 +148,28 @@ def test_stream_sinks(spark, tmpdir_path):
     q3.processAllAvailable()
     q3.stop()
     assert sum(seen) == n_main + n_side
+
+
+def test_more_readers(spark, tmpdir_path):
+    """[S05 S13 S22 P16 T10]"""
+    from streamlake.operators.event_time import with_ingestion_time
+    from streamlake.operators.quality import count_rows_observed
+    p = os.path.join(tmpdir_path, "recs.txt")
+    with open(p, "w") as f:
+        f.write("1 2 3;4 5;6")
+    assert [r.value for r in files.read_lines(spark, p, line_sep=";").collect()] == ["1 2 3", "4 5", "6"]
+    c = os.path.join(tmpdir_path, "ub.csv")
+    with open(c, "w") as f:
+        f.write("1,10,100,pv,1511544070\n2,11,100,buy,1511544080\n")
+    files.csv_table(spark, "ub_table", c, files.BEHAVIOR_SCHEMA)
+    assert spark.sql("SELECT COUNT(*) AS n FROM ub_table WHERE behavior = 'buy'").first().n == 1
+    d, r, v = (os.path.join(tmpdir_path, n) for n in ("docs", "ranks", "visits"))
+    for path, body in ((d, "url_1|some text\n"), (r, "45|url_1|7\n"), (v, "1.1.1.1|url_1|2007-01-02\n")):
+        with open(path, "w") as f:
+            f.write(body)
+    docs, ranks, visits = files.read_web_logs(spark, d, r, v)
+    assert (docs.first().url, ranks.first().rank, visits.first().date) == ("url_1", 45, "2007-01-02")
+    observed, obs = count_rows_observed(files.read_lines(spark, p, line_sep=";"), "num_lines")
+    observed.collect()
+    assert obs.get["num_lines"] == 3
+    assert with_ingestion_time(spark.range(2)).filter("proctime IS NOT NULL").count() == 2

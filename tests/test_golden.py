@@ -44,6 +44,7 @@ def _edges(spark, rows):
 
 
 def test_connected_components(spark):
+    """[G04 G03 P21 A02 J07]"""
     e = _edges(spark, CC_EDGES)
     v = spark.createDataFrame([(x,) for x in CC_VERTICES], "v long")
     got = {r.vertex: r.component for r in G.connected_components(v, e).collect()}
@@ -54,6 +55,7 @@ def test_connected_components(spark):
 
 
 def test_pagerank(spark):
+    """[G05 G02 J08]"""
     e = _edges(spark, PR_EDGES)
     pages = spark.createDataFrame([(x,) for x in range(1, 16)], "v long")
     got = {r.page: r.rank for r in G.pagerank(pages, e, 15).collect()}
@@ -65,6 +67,7 @@ def test_pagerank(spark):
 
 
 def test_delta_pagerank(spark):
+    """[G06 S12]"""
     lines = spark.createDataFrame([("1 2 3 4",), ("2 1",), ("3 5",), ("4 2 3",), ("5 2 4",)], "value string")
     from streamlake.sources.files import parse_adjacency
     adj = parse_adjacency(lines)
@@ -76,17 +79,20 @@ def test_delta_pagerank(spark):
 
 
 def test_triangles(spark):
+    """[G07 A09 P22 J06 W09]"""
     e = spark.createDataFrame(TRI_EDGES, "src long, dst long")
     got = sorted(tuple(r) for r in G.triangles(e).collect())
     assert got == [(1, 2, 3), (1, 2, 5), (1, 3, 4), (3, 7, 8)]
 
 
 def test_transitive_closure(spark):
+    """[G08 J26 X02 X03 J10]"""
     got = G.transitive_closure(_edges(spark, CC_EDGES), max_rounds=10)
     assert got.count() == 35
 
 
 def test_kmeans(spark):
+    """[G09 A18 A19 J11 G01]"""
     pts = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(KM_POINTS)], "pid long, x double, y double")
     cents = spark.createDataFrame(KM_CENTROIDS, "id int, cx double, cy double")
     assigned, final = M.kmeans(pts, cents, rounds=10)
@@ -97,6 +103,7 @@ def test_kmeans(spark):
 
 
 def test_linear_regression(spark):
+    """[G10 G01 A07]"""
     d = spark.createDataFrame(LR_DATA, "x double, y double")
     r = M.linear_regression(d, rounds=10).collect()[0]
     assert r.theta0 == pytest.approx(0.2513203937, abs=1e-9)
@@ -104,6 +111,7 @@ def test_linear_regression(spark):
 
 
 def test_session_windows(spark):
+    """[T12 T05]"""
     df = spark.createDataFrame(SESSION_INPUT, "key string, ms long, n int") \
         .withColumn("ts", F.timestamp_millis("ms"))
     s = ET.session_windows(df, "key", "ts", ["ts"], 3, [F.sum("n").alias("n"), F.min("ms").alias("first_ms")])
@@ -112,13 +120,14 @@ def test_session_windows(spark):
 
 
 def test_fibonacci_feedback(spark):
+    """[U07]"""
     pairs = spark.createDataFrame(FIB_PAIRS, "a int, b int")
     got = {(r.a, r.b): r.steps for r in fibonacci_steps(pairs).collect()}
     assert got == FIB_STEPS
 
 
 def test_state_machine_blocks_compose(spark):
-    """Tiny blocks force many composed block functions; result must not change."""
+    """[U05] Tiny blocks force many composed block functions; result must not change."""
     rows = [(1, i, e) for i, e in enumerate("acbegaxbgce")] + [(2, i, e) for i, e in enumerate("cdgab")]
     df = spark.createDataFrame(rows, "addr long, seq long, evt string") \
         .withColumn("ts", F.timestamp_seconds("seq"))
@@ -139,6 +148,7 @@ def test_state_machine_blocks_compose(spark):
 
 
 def test_tokenizers(spark):
+    """[P05 P06 P07 G12]"""
     df = spark.createDataFrame([("To be, or not to be,--that is the question:--",)], "text string")
     words = [r.word for r in T.tokenize_words(df).collect()]
     assert words == ["to", "be", "or", "not", "to", "be", "that", "is", "the", "question"]
@@ -150,6 +160,7 @@ def test_tokenizers(spark):
 
 
 def test_english_tokens_running_counts(spark):
+    """[P08 S21 S01 A03]"""
     from streamlake.operators.running import running_count
     texts = ['{"text": "Stream Tables", "user": {"lang": "en"}}'] * 3 + ['{"text": "x", "user": {"lang": "de"}}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, value string")
@@ -193,6 +204,7 @@ def _price_drop_model(rows, size_us, bnd_us, big=0.05, small=0.01):
 
 
 def test_price_drop_trigger_matches_model(spark):
+    """[T25]"""
     from conftest import SF_SMALL
     from streamlake.operators.triggers import price_drop_trigger
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -207,6 +219,7 @@ def test_price_drop_trigger_matches_model(spark):
 
 
 def test_missing_fields_and_entities(spark):
+    """[P15 P20 P26]"""
     from streamlake.operators import quality as Q
     rows = [("John", "Doe", "Foo Str."), ("Joe", "Johnson", ""), (None, "Kate Morn", "Bar Blvd."),
             ("Tim", "Rinny", ""), ("Alicia", "Jackson", "  ")]
@@ -234,6 +247,7 @@ SALES = [(1, "vegetable", 980), (2, "vegetable", 992), (3, "vegetable", 995), (4
 
 
 def test_weighted_average(spark):
+    """[A12 D05]"""
     from streamlake.operators.relational import weighted_avg
     df = spark.createDataFrame(WEIGHTED, "id int, v long, w long, ts string")
     got = {r.id: r.wavg for r in weighted_avg(df, "id", "v", "w").collect()}
@@ -241,6 +255,7 @@ def test_weighted_average(spark):
 
 
 def test_temporal_join(spark):
+    """[J16]"""
     from streamlake.operators.joins import asof_join
     ub = spark.createDataFrame(BEHAVIOR, "user_id long, item_id long, behavior string, ts string") \
         .withColumn("ts", F.to_timestamp("ts")).filter("behavior = 'buy'")
@@ -251,6 +266,7 @@ def test_temporal_join(spark):
 
 
 def test_top3_sales(spark):
+    """[W05 W06]"""
     from streamlake.operators.topn import top_n
     df = spark.createDataFrame(SALES, "item_id long, category string, sales long")
     got = sorted((r.row_num, r.item_id, r.sales) for r in top_n(df, "category", ["-sales", "item_id"], 3).collect())
@@ -258,6 +274,7 @@ def test_top3_sales(spark):
 
 
 def test_broadcast_guard_and_spread(spark):
+    """[J04 J21]"""
     from streamlake.operators.sizing import bounded_broadcast, row_count_at_most
     from streamlake.sources.tables import spread
     small = spark.range(10)

@@ -16,6 +16,7 @@ def _rows(df):
 
 
 def test_state_machine_stream_equals_batch(spark):
+    """[U05]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.state_machine_stream(stream_events(spark, SF_SMALL), letter_col()), "u05s")
     b = E.queries()["u05_state_machine_alerts"](spark, SF_SMALL)
@@ -23,6 +24,7 @@ def test_state_machine_stream_equals_batch(spark):
 
 
 def test_retract_stream_equals_batch(spark):
+    """[K11 K12]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.retract_count_stream(stream_events(spark, SF_SMALL)), "k11s")
     b = E.queries()["k11_retract_changelog"](spark, SF_SMALL)
@@ -31,6 +33,7 @@ def test_retract_stream_equals_batch(spark):
 
 
 def test_latest_status_stream_equals_batch(spark):
+    """[J20 J24]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.latest_status_stream(stream_events(spark, SF_SMALL), "purchase", "error"), "j20s")
     b = E.queries()["j20_latest_status"](spark, SF_SMALL)
@@ -38,6 +41,7 @@ def test_latest_status_stream_equals_batch(spark):
 
 
 def test_rise_alerts_stream_equals_batch_until_watermark(spark):
+    """[U01]"""
     enable_state_store(spark)
     ev = stream_events(spark, SF_SMALL)
     s = run_to_memory(SJ.rise_alerts_stream(ev, 3_600_000), "u01s")
@@ -51,6 +55,7 @@ def test_rise_alerts_stream_equals_batch_until_watermark(spark):
 
 
 def test_windowed_counts_stream_equals_batch_cut(spark):
+    """[T09 T01 T08 T21]"""
     s = run_to_memory(SJ.windowed_counts_stream(stream_events(spark, SF_SMALL), "1 hour", "5 seconds"), "t09s")
     b = E.queries()["t09_tumbling_counts"](spark, SF_SMALL)
     max_ts = spark.read.parquet(f"{SF_SMALL}/events.parquet").agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
@@ -62,6 +67,7 @@ def test_windowed_counts_stream_equals_batch_cut(spark):
 
 
 def test_map_state_stream_equals_batch(spark):
+    """[U02 A20]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.behavior_counts_stream(stream_events(spark, SF_SMALL)), "u02s")
     b = E.queries()["a20_count_per_user_behavior"](spark, SF_SMALL)
@@ -82,7 +88,7 @@ def _before_last_window(spark, df, key, ws, ev_key, hour_us=3_600_000_000, types
 
 
 def test_top_speed_stream_equals_batch(spark, tmpdir_path):
-    """The stream gets the per-user running distance as an input column (a
+    """[T15] The stream gets the per-user running distance as an input column (a
     stream has no ordered running sum); fires and maxima must equal batch."""
     enable_state_store(spark)
     from streamlake.operators import running as RN
@@ -101,6 +107,7 @@ def test_top_speed_stream_equals_batch(spark, tmpdir_path):
 
 
 def test_price_drop_stream_equals_batch(spark):
+    """[T25]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.price_drop_stream(stream_events(spark, SF_SMALL), 3600, 600), "t25s")
     b = E.queries()["t25_price_drop_trigger"](spark, SF_SMALL).select(
@@ -111,6 +118,7 @@ def test_price_drop_stream_equals_batch(spark):
 
 
 def test_cogroup_fire_stream_equals_batch(spark):
+    """[J19 J18]"""
     enable_state_store(spark)
     s = run_to_memory(SJ.cogroup_fire_stream(stream_events(spark, SF_SMALL)), "j19s")
     b = E.queries()["j19_cogroup_early_fire"](spark, SF_SMALL).withColumnRenamed("window_start", "ws") \
@@ -122,7 +130,7 @@ def test_cogroup_fire_stream_equals_batch(spark):
 
 
 def test_lateness_stream_against_batch_watermarks(spark, tmpdir_path):
-    """Arrival-ordered files, one per micro-batch: a row is late when its
+    """[T21 T22 T23 U06] Arrival-ordered files, one per micro-batch: a row is late when its
     window ended before the watermark of its batch (max event time of the
     earlier batches minus the delay)."""
     from streamlake.plans.derived import arrival_order
@@ -164,6 +172,7 @@ def _max_ts(spark):
 
 
 def test_sliding_stream_equals_batch_cut(spark):
+    """[T11]"""
     import datetime
     s = run_to_memory(SJ.sliding_counts_stream(stream_events(spark, SF_SMALL), "1 hour", "10 minutes",
                                                "5 seconds"), "t11s")
@@ -175,6 +184,7 @@ def test_sliding_stream_equals_batch_cut(spark):
 
 
 def test_sessions_stream_equals_batch_cut(spark):
+    """[T12 T02]"""
     import datetime
     s = run_to_memory(SJ.sessions_stream(stream_events(spark, SF_SMALL), "3 hours", "5 seconds"), "t12s")
     cut = _max_ts(spark) - datetime.timedelta(seconds=5)
@@ -182,3 +192,12 @@ def test_sessions_stream_equals_batch_cut(spark):
     bb = b.select("user_id", F.col("session_start").cast("timestamp"), F.col("session_end").cast("timestamp"),
                   "cnt").filter(F.col("session_end") <= F.lit(cut))
     assert _rows(s) == _rows(bb)
+
+
+def test_periodic_watermark_stream(spark):
+    """[T03] bounded-delay watermark advanced on a periodic processing-time trigger."""
+    from streamlake.streaming.runner import run_until_idle
+    df, trigger = SJ.periodic_watermark_stream(stream_events(spark, SF_SMALL), "1 minute", "1 second", "1 hour")
+    assert trigger == {"processingTime": "1 second"}
+    s = run_until_idle(df, "t03s", every=trigger["processingTime"])
+    assert s.count() > 0
