@@ -70,7 +70,10 @@ def ship_package(spark: SparkSession) -> None:
     (``addPyFile`` of a zip of the package, once per SparkContext), so pandas
     UDFs and keyed folds work wherever the driver was started from."""
     import shutil
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship via the client instead
+        return
     token = sc.applicationId
     if token in _SHIPPED:
         return

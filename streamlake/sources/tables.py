@@ -57,8 +57,11 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     as regex tokenizing.  On real inputs of many splits this is a no-op, so
     no extra shuffle is added at scale.  Hash-partitions on ``key`` when
     given (deterministic on retry)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
 
