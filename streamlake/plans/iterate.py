@@ -58,9 +58,10 @@ def delta_iterate(solution: DataFrame, workset: DataFrame, key,
     sol, ws = cut(solution), cut(workset)
     for i in range(1, max_rounds + 1):
         delta, nws = step(sol, ws)
+        same = nws is delta
         delta = cut(delta)
         sol = cut(sol.join(delta.select(*keys), keys, "left_anti").unionByName(delta))
-        ws = cut(nws) if nws is not delta else delta
+        ws = delta if same else cut(nws)
         if ws.isEmpty():
             return sol, i
     return sol, max_rounds
