@@ -20,9 +20,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_SCHEMAS: dict = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; optional ``columns`` prune the scan."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Read one table; optional ``columns`` prune the scan.  The schema read
+    from the footers the first time is passed explicitly afterwards, so later
+    reads skip schema inference."""
+    path = table_path(sf_dir, name)
+    schema = _SCHEMAS.get(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    if schema is None:
+        _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
@@ -52,16 +61,17 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (e.g. one big single-row-group file) before CPU-heavy per-row work such
-    as regex tokenizing.  On real inputs of many splits this is a no-op, so
-    no extra shuffle is added at scale.  Hash-partitions on ``key`` when
-    given (deterministic on retry)."""
+    """Spread a scan over fewer files than the cluster has cores (e.g. one
+    big single-row-group file) before CPU-heavy per-row work such as regex
+    tokenizing or a large join probe.  On real inputs of many files this is a
+    no-op, so no extra shuffle is added at scale.  Hash-partitions on ``key``
+    when given (deterministic on retry; a later join on that key reuses it)."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 - no file listing (e.g. Spark Connect): leave as is
+        return df
+    if not files or len(files) >= cores:
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)
 
