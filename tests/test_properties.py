@@ -103,3 +103,54 @@ def test_sessions_match_brute_force(spark, rows, gap):
         exp[i] = sid
         state[k] = (t, sid)
     assert got == exp
+
+
+@SETTINGS
+@given(rows=rows_st, size=st.integers(1, 5), slide=st.integers(1, 4))
+def test_count_window_matches_brute_force(spark, rows, size, slide):
+    """[T13]"""
+    from streamlake.operators.event_time import count_window_sum
+    df = _df(spark, rows)
+    r = count_window_sum(df, "k", ["ts", "id"], "v", size, slide, "ts", bucket_seconds=6)
+    got = sorted((x.k, x.row_count, x.sum_v) for x in r.collect())
+    exp, seen = [], {}
+    for k, t, i, v in _ordered(rows):
+        seen.setdefault(k, []).append(v)
+        n = len(seen[k])
+        if n % slide == 0:
+            exp.append((k, n, sum(seen[k][-size:])))
+    assert got == sorted(exp)
+
+
+@SETTINGS
+@given(rows=rows_st)
+def test_running_distinct_matches_brute_force(spark, rows):
+    """[W04]"""
+    df = _df(spark, rows)
+    r = RN.running_distinct(df, "v", ["ts", "id"], "id", "uv", "ts", bucket_seconds=5)
+    got = {x.id: x.uv for x in r.collect()}
+    exp, seen = {}, set()
+    for t, i, v in sorted(((t, i, v) for i, (k, t, v) in enumerate(rows))):
+        seen.add(v)
+        exp[i] = len(seen)
+    assert got == exp
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 60), st.integers(0, 9)), min_size=1, max_size=30),
+       delay=st.integers(0, 8), lateness=st.integers(0, 8))
+def test_lateness_matches_brute_force(spark, rows, delay, lateness):
+    """[T21 T22 T23]"""
+    from streamlake.operators.event_time import classify_lateness
+    data = [(i, k, EPOCH + datetime.timedelta(seconds=t), a) for i, (k, t, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, ts timestamp, arrival long")
+    r = classify_lateness(df, "ts", ["arrival", "id"], "10 seconds", delay * 1000, lateness * 1000, bucket_rows=3)
+    got = {x.id: x.lateness for x in r.collect()}
+    exp, prev_max = {}, None
+    base = int((EPOCH - datetime.datetime(1970, 1, 1)).total_seconds()) * 1000
+    for a, i, t in sorted((a, i, t) for i, (k, t, a) in enumerate(rows)):
+        end = ((base + t * 1000) // 10_000 + 1) * 10_000
+        wm = None if prev_max is None else prev_max - delay * 1000
+        exp[i] = ("on_time" if wm is None or end > wm else "late" if end + lateness * 1000 > wm else "dropped")
+        prev_max = max(prev_max or 0, base + t * 1000)
+    assert got == exp
