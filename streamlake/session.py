@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # iteration rounds checkpoint into the shared folder; let the context
+    # cleaner delete checkpoints no longer referenced (startup-only setting)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
