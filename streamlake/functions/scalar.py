@@ -86,8 +86,10 @@ def format_ts_millis(c) -> Column:
 
 
 def time_diff_ms(a, b) -> Column:
-    """``b - a`` in milliseconds between two timestamps."""
-    return F.unix_millis(col_(b).cast("timestamp")) - F.unix_millis(col_(a).cast("timestamp"))
+    """``b - a`` in whole milliseconds (floor of the exact difference,
+    like a duration's millisecond count)."""
+    d = F.unix_micros(col_(b).cast("timestamp")) - F.unix_micros(col_(a).cast("timestamp"))
+    return F.floor(d / 1000).cast("long")
 
 
 def ts_to_string(c) -> Column:

@@ -30,7 +30,7 @@ def register_sql_functions(spark: SparkSession) -> None:
                   RETURNS BOOLEAN RETURN lon BETWEEN {LON_WEST} AND {LON_EAST}
                                      AND lat BETWEEN {LAT_SOUTH} AND {LAT_NORTH}""")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION time_diff_ms(a TIMESTAMP, b TIMESTAMP)
-                 RETURNS BIGINT RETURN unix_micros(b) DIV 1000 - unix_micros(a) DIV 1000""")
+                 RETURNS BIGINT RETURN CAST(floor((unix_micros(b) - unix_micros(a)) / 1000) AS BIGINT)""")
     spark.udtf.register("split_sharp", SplitSharp)
     spark.udf.register("weighted_avg_udaf", weighted_avg_udaf)
 

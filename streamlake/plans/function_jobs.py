@@ -144,7 +144,7 @@ def d02_time_diff(spark, sf):
 
 
 register("d02_time_diff", d02_time_diff, """
-SELECT l_orderkey, l_linenumber, (epoch_us(l_shipdate) // 1000) - (epoch_us(o_orderdate) // 1000) AS diff_ms
+SELECT l_orderkey, l_linenumber, CAST(floor((epoch_us(l_shipdate) - epoch_us(o_orderdate)) / 1000.0) AS BIGINT) AS diff_ms
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 
@@ -194,7 +194,7 @@ def d07_sql_udf(spark, sf):
 
 
 register("d07_sql_udf", d07_sql_udf, f"""
-SELECT event_id, epoch_us(ts) // 1000 - epoch_us(TIMESTAMP '2024-01-01 00:00:00') // 1000 AS ms FROM events
+SELECT event_id, CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1000.0) AS BIGINT) AS ms FROM events
 WHERE value BETWEEN 100 AND 200 AND {PROPS_K_SQL} BETWEEN 20 AND 60""")
 
 

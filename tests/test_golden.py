@@ -287,3 +287,14 @@ def test_broadcast_guard_and_spread(spark):
     assert spread(one, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     generated = spark.range(0, 100, numPartitions=1)
     assert spread(generated) is generated          # not a file scan: untouched
+
+
+def test_time_diff_floors_the_difference(spark):
+    """[D02 D03] millisecond difference floors the exact difference; timestamp
+    text keeps at least one fraction digit."""
+    from streamlake.functions.scalar import time_diff_ms, ts_to_string
+    df = spark.createDataFrame([("2020-03-06 00:00:00.0009", "2020-03-06 00:00:00.0011"),
+                                ("2020-03-06 00:00:01.5", "2020-03-06 00:00:00.0")], "a string, b string") \
+        .select(F.to_timestamp("a").alias("a"), F.to_timestamp("b").alias("b"))
+    got = [(r.d, r.s) for r in df.select(time_diff_ms("a", "b").alias("d"), ts_to_string("b").alias("s")).collect()]
+    assert got == [(0, "2020-03-06 00:00:00.0011"), (-1500, "2020-03-06 00:00:00.0")]
