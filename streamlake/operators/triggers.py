@@ -130,14 +130,16 @@ def price_drop_trigger(df: DataFrame, key: str, ts: str, row_id: str, price: str
     * whatever is left fires at the window end.
 
     The window's clock is the event time (replay of the processing-time
-    original).  Groups are (key, window): bounded by the window length.
+    original).  The trigger state is window-scoped, so windows are independent:
+    the scan is keyed by (key, window) and a hot key spreads over tasks.
     """
     size_us, bnd_us = size_s * 1_000_000, boundary_s * 1_000_000
     d = df.select(F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"),
                   F.col(row_id).alias("rid"), F.col(price).cast("double").alias("p"))
     ktype = df.schema[key].dataType.simpleString()
     schema = f"key {ktype}, ws long, fire_us long, reason string, n long, avg_price double"
-    r = keyed_scan(d, "key", ["t", "rid"], lambda: PriceDropFold(size_us, bnd_us, big, small), schema)
+    d = d.withColumn("_ws", F.floor(F.col("t") / size_us))
+    r = keyed_scan(d, ["key", "_ws"], ["t", "rid"], lambda: PriceDropFold(size_us, bnd_us, big, small), schema)
     return r.select(F.col("key").alias(key), F.timestamp_micros("ws").alias("window_start"),
                     F.timestamp_micros("fire_us").alias("fire_time"), "reason", "n", "avg_price")
 
@@ -151,7 +153,8 @@ class PriceDropFold(KeyedFold):
         self.size, self.bnd, self.big, self.small = size_us, bnd_us, big, small
 
     def start(self, key):
-        self.key, self.ws = key, None
+        # key is the grouping key, or (key, window index) when scanned per window
+        self.key, self.ws = (key[0] if isinstance(key, tuple) else key), None
 
     def _open(self, ws):
         self.ws, self.buf, self.last, self.timers = ws, [], None, []
