@@ -48,12 +48,15 @@ def join_with_tiny(big: DataFrame, tiny: DataFrame, on, how: str = "inner",
     return big.join(bounded_broadcast(tiny, max_rows), on, how)
 
 
-def join_with_huge(small: DataFrame, huge: DataFrame, on, how: str = "inner") -> DataFrame:
-    """The other side is huge: shuffle-hash on it, never broadcast it.
+def join_with_huge(small: DataFrame, huge: DataFrame, on, how: str = "inner",
+                   max_rows: int = 2_000_000) -> DataFrame:
+    """The *other* side is huge: never build from or move it if avoidable.
 
-    Whether ``small`` itself is broadcast is left to AQE's size statistics.
+    The first side is broadcast when a bounded probe proves it small; beyond
+    the bound the join is a plain (AQE-managed, skew-split) shuffle join, so
+    the huge side is never broadcast.
     """
-    return small.join(huge.hint("shuffle_hash"), on, how)
+    return bounded_broadcast(small, max_rows).join(huge, on, how)
 
 
 def join_filter(left: DataFrame, right: DataFrame, on, keep) -> DataFrame:
