@@ -85,13 +85,16 @@ def cogroup_difference(new: DataFrame, old: DataFrame) -> DataFrame:
     return new.distinct().exceptAll(old.distinct())
 
 
-def with_broadcast_set(df: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Make a small data set available to every row (cross with a
-    size-checked broadcast).  Raises if the set is not small."""
+def with_broadcast_set(df: DataFrame, small: DataFrame, name: str,
+                       max_rows: int = 10_000) -> DataFrame:
+    """Make a small data set available to every row, as one array
+    column ``name`` (the set travels once per task as a one-row broadcast;
+    rows are not multiplied).  Raises if the set is not provably small."""
     from .sizing import row_count_at_most
     if not row_count_at_most(small, max_rows):
         raise ValueError("broadcast set exceeds its bound of %d rows" % max_rows)
-    return df.crossJoin(F.broadcast(small))
+    one = small.agg(F.collect_list(F.struct(*small.columns)).alias(name))
+    return df.crossJoin(F.broadcast(one))
 
 
 def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,

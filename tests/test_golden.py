@@ -298,3 +298,12 @@ def test_time_diff_floors_the_difference(spark):
         .select(F.to_timestamp("a").alias("a"), F.to_timestamp("b").alias("b"))
     got = [(r.d, r.s) for r in df.select(time_diff_ms("a", "b").alias("d"), ts_to_string("b").alias("s")).collect()]
     assert got == [(0, "2020-03-06 00:00:00.0011"), (-1500, "2020-03-06 00:00:00.0")]
+
+
+def test_broadcast_set_is_one_array(spark):
+    """[J11] every row sees the whole small set; rows are not multiplied."""
+    from streamlake.operators.joins import with_broadcast_set
+    big = spark.range(50)
+    small = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    r = with_broadcast_set(big, small, "s")
+    assert r.count() == 50 and {len(x.s) for x in r.collect()} == {2}
