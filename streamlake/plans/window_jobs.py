@@ -148,21 +148,21 @@ _LI_ORDER = ["-l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_q
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def w06_top3_per_supplier(spark, sf):
+def w06_top_three_per_supplier(spark, sf):
     li = load(spark, sf, "lineitem")
     return TN.top_n(li, "l_suppkey", _LI_ORDER, 3) \
         .select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice",
                 F.col("row_num").cast("long").alias("row_num"))
 
 
-register("w06_top3_per_supplier", w06_top3_per_supplier, """
+register("w06_top_three_per_supplier", w06_top_three_per_supplier, """
 SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, row_num FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
          l_partkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS row_num
   FROM lineitem) WHERE row_num <= 3""")
 
 
-def w07_top5_per_hour(spark, sf):
+def w07_top_five_per_hour(spark, sf):
     """Per 1-hour window the 5 users with the largest value sum
     (rank dropped); ties broken by user id."""
     e = _ev(spark, sf, "ts", "user_id", "value")
@@ -172,7 +172,7 @@ def w07_top5_per_hour(spark, sf):
     return to_ntz(top.select("user_id", "rss", "start_time"), "start_time")
 
 
-register("w07_top5_per_hour", w07_top5_per_hour, """
+register("w07_top_five_per_hour", w07_top_five_per_hour, """
 SELECT user_id, rss, start_time FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY start_time ORDER BY rss DESC, user_id) AS rn FROM (
     SELECT user_id, make_timestamp((epoch_us(ts) // 3600000000) * 3600000000) AS start_time,

@@ -265,7 +265,7 @@ def test_temporal_join(spark):
     assert [(x.item_id, x.price, str(x.ts)) for x in r] == [(1001, 189, "2020-03-06 00:01:04")]
 
 
-def test_top3_sales(spark):
+def test_top_three_sales(spark):
     """[W05 W06]"""
     from streamlake.operators.topn import top_n
     df = spark.createDataFrame(SALES, "item_id long, category string, sales long")

@@ -51,5 +51,5 @@ def test_state_machine_streams_partitions(spark):
 
 def test_topn_uses_group_limit(spark):
     """[W06] row_number <= n is planned with a per-group limit before the shuffle."""
-    p = _plan(spark, "w06_top3_per_supplier")
+    p = _plan(spark, "w06_top_three_per_supplier")
     assert "WindowGroupLimit" in p
