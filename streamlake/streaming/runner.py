@@ -78,3 +78,26 @@ def run_until_idle(df: DataFrame, name: str, mode: str = "append", every: str =
     finally:
         q.stop()
     return df.sparkSession.table(name)
+
+
+def run_until_consumed(df: DataFrame, name: str, input_rows: int, mode: str = "update",
+                       every: str = "1 second", timeout_s: float = 120.0,
+                       checkpoint: str | None = None) -> DataFrame:
+    """Run ``df`` on a processing-time trigger until ``input_rows`` input rows
+    were processed (or ``timeout_s`` passed), then stop.  For processing-time
+    state (TTL), whose housekeeping batches keep ``availableNow`` and
+    ``processAllAvailable`` from returning."""
+    import time
+    ck = checkpoint or stream_checkpoint(df.sparkSession, name)
+    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+         .option("checkpointLocation", ck).trigger(processingTime=every).start())
+    seen, t0 = 0, time.time()
+    try:
+        while seen < input_rows and time.time() - t0 < timeout_s and q.exception() is None:
+            time.sleep(0.5)
+            seen = sum(p.get("numInputRows", 0) for p in q.recentProgress)
+        if q.exception() is not None:
+            raise q.exception()
+    finally:
+        q.stop()
+    return df.sparkSession.table(name)

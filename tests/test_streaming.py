@@ -201,3 +201,15 @@ def test_periodic_watermark_stream(spark):
     assert trigger == {"processingTime": "1 second"}
     s = run_until_idle(df, "t03s", every=trigger["processingTime"])
     assert s.count() > 0
+
+
+def test_ttl_counts_stream(spark):
+    """[T26] per-key counts kept in TTL'd state (processing time)."""
+    from streamlake.streaming.runner import run_until_consumed
+    enable_state_store(spark)
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    s = run_until_consumed(SJ.ttl_counts_stream(stream_events(spark, SF_SMALL), "event_type", 3_600_000),
+                           "t26s", n)
+    b = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy(F.col("event_type").alias("key")).count()
+    got = {r.key: r.cnt for r in s.groupBy("key").agg(F.max("cnt").alias("cnt")).collect()}
+    assert got == {r.key: r["count"] for r in b.collect()}
