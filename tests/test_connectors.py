@@ -173,3 +173,10 @@ def test_more_readers(spark, tmpdir_path):
     observed.collect()
     assert obs.get["num_lines"] == 3
     assert with_ingestion_time(spark.range(2)).filter("proctime IS NOT NULL").count() == 2
+
+
+def test_socket_reader_is_built_without_connecting(spark):
+    """[S19] the socket source is declared (nothing connects until a query
+    starts; no server is opened by the test)."""
+    df = files.socket_lines(spark, "localhost", 9)
+    assert df.isStreaming and df.columns == ["value"]
