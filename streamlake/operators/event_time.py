@@ -45,14 +45,16 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys=(), aggs=()) ->
 
 
 def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
-                bucket_seconds: int = 3600) -> DataFrame:
+                bucket_seconds: int = 3600, materialize: bool = True) -> DataFrame:
     """T12 (batch): gap-and-island session numbering, skew-safe.
 
     A row opens a session when it is the key's first row or follows the
     previous row by more than ``gap_ms`` (rows exactly one gap apart merge).
     The previous timestamp is a running max over rows strictly before, and
     the session number a running count of openings -- both bucketed, so a
-    hot key never sits in one task.
+    hot key never sits in one task.  The open flags are materialised once in
+    the shared checkpoint folder (``materialize``), because both branches of
+    the second pass read them.
     """
     order = [order] if isinstance(order, str) else list(order)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -61,6 +63,10 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
     d = running(d, [key], order, "_tms", "max", "_prev", b, include_current=False)
     d = d.withColumn("_open", (F.col("_prev").isNull() |
                                (F.col("_tms") - F.col("_prev") > gap_ms * 1000)).cast("long"))
+    if materialize and not d.isStreaming:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
     d = running(d, [key], order, "_open", "sum", "session_id", time_bucket(ts, bucket_seconds))
     return d.drop("_prev", "_open", "_tms")
 

@@ -77,6 +77,10 @@ def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str
     d = df.select(key, row_id, event, *[c for c in order if c not in (row_id,)])
     d = running(d, [key], order, F.lit(1).cast("long"), "sum", "_rn", time_bucket(ts, bucket_seconds))
     d = d.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows)).select(key, row_id, event, "_rn", "_blk")
+    # read by pass A and pass C: materialise the numbered rows once
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
+    d = d.checkpoint(eager=True)
     ktype = d.schema[key].dataType.simpleString()
     rid_type = d.schema[row_id].dataType.simpleString()
     nstates = len(STORED_STATES)
