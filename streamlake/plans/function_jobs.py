@@ -14,7 +14,7 @@ from .registry import register
 
 
 def f01_f03_ten_minute_labels(spark, sf):
-    """SUBSTR, || and DATE_FORMAT building 10-minute labels."""
+    """SUBSTR, || and DATE_FORMAT building 10-minute labels."""
     e = events(spark, sf, "ts")
     return e.groupBy(S.ten_minute_bucket("ts").alias("time_str")).agg(F.count(F.lit(1)).alias("cnt"))
 

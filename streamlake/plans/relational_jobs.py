@@ -221,6 +221,7 @@ register("a07_global_reduce", a07_global_reduce,
 
 
 def a08_group_to_list(spark, sf):
+    """Group-reduce to a list sorted inside the group."""
     o = load(spark, sf, "orders", "o_custkey", "o_orderkey")
     return R.group_to_list(o, "o_custkey", "o_orderkey", "orders")
 
