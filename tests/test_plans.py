@@ -53,3 +53,9 @@ def test_topn_uses_group_limit(spark):
     """[W06] row_number <= n is planned with a per-group limit before the shuffle."""
     p = _plan(spark, "w06_top_three_per_supplier")
     assert "WindowGroupLimit" in p
+
+
+def test_no_cartesian_products(spark):
+    """No registered job pairs every row with every row of another input."""
+    for name in E.queries():
+        assert "CartesianProduct" not in _plan(spark, name), name
