@@ -1,4 +1,8 @@
-"""Registration of every job over the driver tables, with its SQL oracle."""
+"""Registration of every job over the driver tables, with its SQL oracle.
+
+Importing a ``*_jobs`` module registers its jobs; the import order below is
+the order of ``queries()``.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from .registry import register
 
 register("g13_tpch_q3", tpch.g13, tpch.G13_SQL)
 register("g14_tpch_q10", tpch.g14, tpch.G14_SQL)
+
 from . import text_jobs  # noqa: F401,E402
 from . import relational_jobs  # noqa: F401,E402
 from . import window_jobs  # noqa: F401,E402
