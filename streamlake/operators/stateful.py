@@ -250,3 +250,64 @@ def rise_alerts(df: DataFrame, key: str, ts: str, value: str, order, interval_ms
     r = keyed_scan(d, key, ["ts_ms"] + [c for c in order if c != ts],
                    lambda: RiseAlertFold(interval_ms), f"{key} {ktype}, alert_ms long")
     return r.withColumn("alert_time", F.timestamp_millis("alert_ms"))
+
+
+class _RiseSegmentFold(KeyedFold):
+    """U01 inside one segment (rows from a reset to the next reset): the
+    first row only records its value; later rows (never drops) fire a pending
+    timer that is earlier than them and register a new one when none is
+    pending.  At the end, the pending timer fires if it is earlier than the
+    next segment's first row (or there is none)."""
+
+    def __init__(self, interval_ms: int):
+        super().__init__()
+        self.interval = interval_ms
+
+    def start(self, key):
+        self.key, self.timer, self.first, self.next_t = key[0], None, True, None
+
+    def row(self, rec):
+        out = []
+        t = rec["ts_ms"]
+        self.next_t = rec["_tnext"]
+        if self.first:
+            self.first = False
+            return out
+        if self.timer is not None and self.timer < t:
+            out.append((self.key, self.timer))
+            self.timer = None
+        if self.timer is None:
+            self.timer = t + self.interval
+        return out
+
+    def finish(self):
+        if self.timer is not None and (self.next_t is None or pd.isna(self.next_t) or self.timer < self.next_t):
+            return [(self.key, self.timer)]
+        return []
+
+
+def rise_alerts_segmented(df: DataFrame, key: str, ts: str, value: str, order,
+                          interval_ms: int = 3000, bucket_seconds: int = 3600) -> DataFrame:
+    """U01 split at resets: a falling value always clears the timer, so the
+    rows between two falls form independent segments.  Falls come from a
+    bucketed lag, segment numbers from a bucketed running count, and each
+    segment learns the next segment's start time by an equi-join on the
+    (dense) segment number -- then segments are folded in parallel, so a hot
+    key is spread over tasks."""
+    from .running import lag_bucketed, running
+    order = [order] if isinstance(order, str) else list(order)
+    d = df.select(F.col(key), F.col(ts).cast("timestamp").alias("_ts"),
+                  F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"),
+                  F.col(value).alias("_val"), *[c for c in order if c not in (key, ts, value)])
+    o = ["_ts"] + [c for c in order if c != ts]
+    b = time_bucket("_ts", bucket_seconds)
+    d = lag_bucketed(d, [key], o, "_val", "_pv", b)
+    d = d.withColumn("_start", (F.col("_pv").isNull() | (F.col("_val") < F.col("_pv"))).cast("long"))
+    d = running(d, [key], o, "_start", "sum", "_seg", time_bucket("_ts", bucket_seconds))
+    nxt = d.filter(F.col("_start") == 1).select(F.col(key).alias("_k2"), (F.col("_seg") - 1).alias("_s2"),
+                                                F.col("ts_ms").alias("_tnext"))
+    d = d.join(nxt, (d[key] == nxt["_k2"]) & (d["_seg"] == nxt["_s2"]), "left").drop("_k2", "_s2")
+    ktype = df.schema[key].dataType.simpleString()
+    r = keyed_scan(d.select(key, "_seg", "ts_ms", "_tnext", *o), [key, "_seg"], o,
+                   lambda: _RiseSegmentFold(interval_ms), f"{key} {ktype}, alert_ms long")
+    return r.withColumn("alert_time", F.timestamp_millis("alert_ms"))

@@ -49,7 +49,7 @@ SELECT user_id, event_id, split_part(t, '|', 1) AS state, split_part(t, '|', 2)
 def u01_rise_alerts(spark, sf):
     """Per user, alert when the event value has not fallen for one hour."""
     e = events(spark, sf, "event_id", "ts", "user_id", "value")
-    r = ST.rise_alerts(e, "user_id", "ts", "value", ["ts", "event_id"], interval_ms=3_600_000)
+    r = ST.rise_alerts_segmented(e, "user_id", "ts", "value", ["ts", "event_id"], interval_ms=3_600_000)
     return to_ntz(r.select("user_id", "alert_time"), "alert_time")
 
 

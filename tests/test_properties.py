@@ -173,3 +173,17 @@ def test_state_machine_blocks_match_model(spark, rows, block):
             exp.append((k, i, state.get(k) or "Initial", e))
         state[k] = new
     assert got == sorted(exp)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 30), st.integers(0, 3)), min_size=1, max_size=30),
+       interval=st.integers(1, 8))
+def test_segmented_rise_alerts_match_fold(spark, rows, interval):
+    """[U01] the reset-segmented form equals the sequential fold."""
+    from streamlake.operators import stateful as ST
+    data = [(k, i, EPOCH + datetime.timedelta(seconds=t), float(v)) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, id long, ts timestamp, v double")
+    a = ST.rise_alerts(df, "k", "ts", "v", ["ts", "id"], interval_ms=interval * 1000).select("k", "alert_ms")
+    b = ST.rise_alerts_segmented(df, "k", "ts", "v", ["ts", "id"], interval_ms=interval * 1000,
+                                 bucket_seconds=5).select("k", "alert_ms")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
