@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, url_filter
+from . import ann, chat, exact_dedup, minhash, mixing, packing, quality, token_counts, url_filter
 from .common import load_table, prepare
 
+
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 #: (verdict, host, path prefix)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -43,7 +49,50 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM n WINDOW w AS (PARTITION BY t)
 """
 
-_QUERIES = {"op1_url_filter": op1_url_filter, "op3_exact_dedup": op3_exact_dedup}
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.score(docs, quality.fit(docs, load_table(spark, sf_dir, "labels")))
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op6_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(load_table(spark, sf_dir, "documents", "doc_id", "text"), WORD_BPE)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(load_table(spark, sf_dir, "documents", "doc_id", "text")).drop("key")
+
+
+def op9_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(load_table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_RANKS,
+                                       public_tokenizers.PATTERN)
+
+
+#: a conversation that consists of control strings
+TRAP = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame(TRAP, turns.schema)
+    return chat.read_back(chat.format_windows(turns.unionByName(trap), BYTE_RANKS, public_tokenizers.PATTERN))
+
+
+_QUERIES = {"op1_url_filter": op1_url_filter, "op2_source_mixing": op2_source_mixing,
+            "op3_exact_dedup": op3_exact_dedup, "op4_quality_classifier": op4_quality_classifier,
+            "op5_nearest_neighbours": op5_nearest_neighbours, "op6_sequence_packing": op6_sequence_packing,
+            "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
+            "op10_chat_windows": op10_chat_windows}
 _SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL}
 
 
