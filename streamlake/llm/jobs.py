@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, minhash, mixing, packing, quality, token_counts, url_filter
+from . import ann, chat, exact_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, url_filter
 from .common import load_table, prepare
 
 
@@ -69,6 +69,10 @@ def op6_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(load_table(spark, sf_dir, "documents", "doc_id", "text")).drop("key")
 
@@ -91,7 +95,7 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = {"op1_url_filter": op1_url_filter, "op2_source_mixing": op2_source_mixing,
             "op3_exact_dedup": op3_exact_dedup, "op4_quality_classifier": op4_quality_classifier,
             "op5_nearest_neighbours": op5_nearest_neighbours, "op6_sequence_packing": op6_sequence_packing,
-            "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
+            "op7_repeated_spans": op7_repeated_spans, "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
             "op10_chat_windows": op10_chat_windows}
 _SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL}
 
