@@ -71,11 +71,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, with all their columns."""
     g = groups(docs, id_col, text_col)
     odd = write_table(g.filter((F.col("copies") > 1) | ~F.col("id").eqNullSafe(F.col("keep_id")))
-                      .select(F.col("id").alias("_id"), F.col("sha").alias("_sha"),
-                              (~F.col("id").eqNullSafe(F.col("keep_id"))).alias("_drop")), "dedup-odd")
-    keyed = docs.withColumn("_key_sha", F.sha2(normalise_space(F.col(text_col)), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key_sha") == F.col("_sha"))
+                      .select("id", "sha", (~F.col("id").eqNullSafe(F.col("keep_id"))).alias("goes")), "dedup-odd")
+    # whole rows travel as one column, so their names cannot clash with these
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"),
+                        F.sha2(normalise_space(F.col(text_col)), 256).alias("digest"))
+    same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))
     alone = keyed.join(odd, same, "left_anti")
-    again = (keyed.join(odd.filter(~F.col("_drop")), same, "left_semi")
-             .dropDuplicates([id_col, "_key_sha"]))
-    return alone.unionByName(again).select(*docs.columns)
+    again = keyed.join(odd.filter("not goes"), same, "left_semi").dropDuplicates(["doc", "digest"])
+    return alone.union(again).select("row.*")

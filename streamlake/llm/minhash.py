@@ -268,29 +268,30 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` that stay: one of each component, and all rows
     with an empty set. Where the smallest id stands on several rows of its
     component, one of them stays."""
-    grouped = group(docs, id_col, text_col, width, percent)
-    rows = write_table(grouped.groupBy(id_col, "component_id", "key").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")), "forest-groups")
-    stays = rows.filter("key is not null and kept").groupBy("component_id").agg(
-        F.min("key").alias("key"), F.sum("rows").alias("rows"))
-    dropped = rows.filter("not kept").select(F.col(id_col).alias("_id")).distinct()
-    several = stays.filter("rows > 1").select(F.col("component_id").alias("_id"), F.col("key").alias("_key"))
-    same = F.col(id_col).eqNullSafe(F.col("_id"))
-    if rows.groupBy(id_col).agg(F.sum("rows").alias("r")).filter("r > 1").isEmpty():
-        return docs.join(dropped, same, "left_anti")
+    rows = write_table(group(docs, id_col, text_col, width, percent)
+                       .select(F.col(id_col).alias("id"), "component_id", "key", "kept")
+                       .groupBy("id", "component_id", "key")
+                       .agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")), "forest-groups")
+    # whole rows travel as one column, so their names cannot clash with these
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    if rows.groupBy("id").agg(F.sum("n").alias("n")).filter("n > 1").isEmpty():
+        gone = rows.filter("not kept").select("id")
+        return whole.join(gone, F.col("doc").eqNullSafe(F.col("id")), "left_anti").select("row.*")
     # ids that repeat: rows are told apart by their set's digest
-    keyed = _with_key(docs, text_col, width)
-    gone = rows.filter("not kept").select(F.col(id_col).alias("_id"), F.col("key").alias("_gone"))
-    left = keyed.join(gone, same & F.col("_set_key").eqNullSafe(F.col("_gone")), "left_anti")
-    alone = left.join(several, same & F.col("_set_key").isNotNull(), "left_anti")
-    one = (left.join(several, same & (F.col("_set_key") == F.col("_key")), "left_semi")
-           .dropDuplicates([id_col, "_set_key"]))
-    return alone.unionByName(one).select(*docs.columns)
-
-
-def _with_key(docs: DataFrame, text_col: str, width: int) -> DataFrame:
+    keyed = whole.withColumn("digest", _set_digest(width)("text"))
+    chosen = (rows.filter("kept and key is not null").groupBy("component_id")
+              .agg(F.min(F.struct("key", "id")).alias("c"), F.sum("n").alias("n"))
+              .select(F.col("c.id").alias("id"), F.col("c.key").alias("key"), "n"))
+    here = F.col("doc").eqNullSafe(F.col("id")) & F.col("digest").eqNullSafe(F.col("key"))
+    empty = keyed.filter("digest is null")
+    one = keyed.join(chosen.filter("n = 1"), here, "left_semi")
+    several = keyed.join(chosen.filter("n > 1"), here, "left_semi").dropDuplicates(["doc", "digest"])
+    return empty.union(one).union(several).select("row.*")
+
+
+def _set_digest(width: int):
     @pandas_udf("binary")
-    def key(texts):
+    def digest(texts):
         return texts.map(lambda t: next((_set_key(s) for s in shingle_sets([(t or "").encode()], width)
                                          if len(s)), None))
-    return docs.withColumn("_set_key", key(F.col(text_col)))
+    return digest

@@ -67,13 +67,14 @@ def _rate(lam: Column, x: Column, cap: float) -> Column:
 def solve(hist: DataFrame, state: DataFrame, cap: float, tolerance: float = 1e-9, steps: int = 100) -> DataFrame:
     """Multipliers per source: ``sid, top, lam`` (null where no multiplier
     exists: an empty source, or one at its cap). ``hist``: sid, size, docs.
-    Each Newton step is checkpointed; ``steps`` bounds a loop that ends by its
+    Each Newton step is written; ``steps`` bounds a loop that ends by its
     tolerance, and what remains is corrected when the rates are rounded."""
     now = state.select("sid", "top", "target",
                        F.when((F.col("target") > 0) & (F.col("target") < cap * F.col("source_size") * (1 - 1e-12)),
                               F.lit(0.0)).alias("lam"),
                        F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
-                       F.lit(1.0).alias("gap")).checkpoint()
+                       F.lit(1.0).alias("gap"))
+    now = write_table(now, "mix-step")
     for _ in range(steps):
         x = F.col("size") / F.col("top")
         rate = _rate(F.col("lam"), x, cap)
@@ -90,10 +91,10 @@ def solve(hist: DataFrame, state: DataFrame, cap: float, tolerance: float = 1e-9
         step = (F.when(g == 0, F.col("lam")).when(inside, newton)
                 .when(low.isNotNull() & high.isNotNull(), (low + high) / 2)
                 .otherwise(F.col("lam") - F.signum(g) * (4 + 4 * F.abs(F.col("lam")))))
-        now = (now.join(sums, "sid", "left").select(
+        now = write_table(now.join(sums, "sid", "left").select(
             "sid", "top", "target", F.when(F.col("lam").isNotNull(), step).alias("lam"),
             low.alias("low"), high.alias("high"),
-            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap")).checkpoint())
+            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap")), "mix-step")
         if now.agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0] <= tolerance:
             break
     # rounded: sums of doubles depend on their order in the last digits, reruns must agree
@@ -129,40 +130,49 @@ def _shifts(rows: DataFrame, state: DataFrame, cap: int) -> DataFrame:
                      .groupBy("sid").agg(F.min(F.struct("k", "sum", "words")).alias("c")))
             spent = inside.groupBy("sid").agg(F.sum("words").alias("all"))
             # if no cell exceeds the need, all gains of the range are taken and the cell moves past it
-            cell = cell.join(first, "sid", "left").join(spent, "sid", "left").select(
+            cell = write_table(cell.join(first, "sid", "left").join(spent, "sid", "left").select(
                 "sid", F.when(F.col("c").isNull(), F.col("need") - F.coalesce("all", F.lit(0)))
                 .otherwise(F.col("need") - F.col("c.sum") + F.col("c.words")).alias("need"),
                 (F.col("low") + F.coalesce(F.col("c.k").cast("double"), F.lit(float(CELLS))) * F.col("width") / CELLS)
-                .alias("low"), (F.col("width") / CELLS).alias("width")).checkpoint()
-        known = (known.drop("need").join(cell.select("sid", "need", F.col("low").alias(f"shift_{r}")), "sid")
-                 .checkpoint())
+                .alias("low"), (F.col("width") / CELLS).alias("width")), "mix-cells")
+        known = write_table(known.drop("need").join(
+            cell.select("sid", "need", F.col("low").alias(f"shift_{r}")), "sid"), "mix-shifts")
     return known.drop("need")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: id, ``source``, ``size``, ``source_size``,
-    ``target``, ``rate``, ``copies`` (0 to ``cap``) and ``taken`` = copies * size."""
-    sized = write_table(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                                    word_count(F.col(text_col)).alias("size")), "mix-sizes")
+def fit(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """Per source what its documents' copies follow from: ``source, sid,
+    source_size, target, top, lam`` and the shifts. ``sized``: id, source, size."""
     counts = write_table(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "mix-histogram")
-    sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"),
-                                         F.max("size").alias("top"))
-    state = (targets(sizes.drop("top"), weights, cap).alias("t")
-             .join(sizes.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
-             .select("t.source", "sid", "t.source_size", "target", "top").checkpoint())
-    key = lambda df: df.join(state.select(F.col("source").alias("_source"), "sid"),
-                             F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    solved = solve(key(counts).select("sid", "size", "docs"), state, float(cap))
-    params = state.join(solved.select("sid", "lam"), "sid").checkpoint()
-    # a source at its cap takes everything cap times, one without words nothing
+    sizes = write_table(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"),
+                                                     F.max("size").alias("top")), "mix-sources")
+    state = write_table(targets(sizes.drop("top"), weights, cap).alias("t")
+                        .join(sizes.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
+                        .select("t.source", "sid", "t.source_size", "target", "top"), "mix-targets")
+    hist = _of_source(counts, state.select("source", "sid")).select("sid", "size", "docs")
+    params = write_table(state.join(solve(hist, state, float(cap)), ["sid", "top"]), "mix-multipliers")
+    levels = _level(_of_source(sized, params), cap).select("sid", "size", "level")
+    return write_table(params.join(_shifts(write_table(levels, "mix-levels"), state, cap), "sid"), "mix-parameters")
+
+
+def _of_source(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """Join on the source, null with null."""
+    own = params.withColumnRenamed("source", "_source")
+    return rows.join(own, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+
+
+def _level(rows: DataFrame, cap: int) -> DataFrame:
+    """Adds ``rate`` and ``level`` = rate + a hash of the id in [0, 1). A
+    source at its cap takes everything cap times, one without target nothing."""
     rate = (F.when(F.col("lam").isNotNull(), _rate(F.col("lam"), F.col("size") / F.col("top"), float(cap)))
             .when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0)))
     unit = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("id")), 11).cast("double") / F.lit(float(1 << 53))
-    rows = (sized.join(params.withColumnRenamed("source", "_source"),
-                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-            .withColumn("rate", rate).withColumn("level", F.col("rate") + unit))
-    shifts = _shifts(rows.select("sid", "size", "level"), state, cap)
+    return rows.withColumn("rate", rate).withColumn("level", F.col("rate") + unit)
+
+
+def with_copies(rows: DataFrame, params: DataFrame, cap: int = 3) -> DataFrame:
+    """Adds the parameters of its source, ``rate`` and ``copies`` to every row
+    (id, source, size, ...). Documents without words stay once."""
     shift = F.col("shift_0")
     for r in range(1, ROUNDS):
         shift = F.when(F.col("size") <= F.col(f"limit_{r}"), F.col(f"shift_{r}")).otherwise(shift)
@@ -170,20 +180,31 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, i
     below = lambda upto: sum((F.when(F.lit(float(j)) - F.col("level") < upto, 1).otherwise(0)
                               for j in range(1, cap + 1)), F.lit(0))
     copies = F.least(below(shift), below(F.col("shift_0") + 1))
-    return (rows.join(shifts, "sid").withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(1)))
-            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "rate", "copies",
-                    (F.col("copies") * F.col("size")).cast("long").alias("taken")))
-
-
-def apply_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with every row repeated ``copies`` times (0: dropped). A
-    document id that occurs in several rows has one number of copies per
-    (id, source, size), found again for each row."""
-    keys = (mixed.groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-            .agg(F.max("copies").alias("_copies")))
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    same = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("_words") == F.col("_size")))
-    return (sized.join(keys, same).filter("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+    return (_level(_of_source(rows, params), cap)
+            .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(1))))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                       word_count(F.col(text_col)).alias("size"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: id, ``source``, ``size``, ``source_size``,
+    ``target``, ``rate``, ``copies`` (0 to ``cap``) and ``taken`` = copies * size."""
+    sized = write_table(_sized(docs, id_col, text_col, source_col), "mix-sizes")
+    return with_copies(sized, fit(sized, weights, cap), cap).select(
+        F.col("id").alias(id_col), "source", "size", "source_size", "target", "rate", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id",
+                text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: every row of ``docs`` ``copies`` times (0: not at all).
+    Texts stay where they are; only the parameters travel."""
+    params = fit(write_table(_sized(docs, id_col, text_col, source_col), "mix-sizes"), weights, cap)
+    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                      word_count(F.col(text_col)).alias("size"))
+    return (with_copies(row, params, cap).filter("copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*"))

@@ -36,8 +36,10 @@ from .words import U, chunks, shingle_sets, word_table
 
 SAMPLE_ROWS = 16384
 BITS = 18
+BEGINNINGS = (4, 5)  # bytes
 SHAPES = ("shouted", "symbols", "repeated", "fragments")
 SHARE = 0.15  # of a document's words; above it a shape votes bad
+LEAST = 8  # smallest shingles that tell near copies in the sample
 LEAST_WORDS = 4  # with fewer words the shapes abstain
 QUALITY, TOXIC = (*SHAPES, "human"), ("lexicon", "lexicon_share", "human")
 
@@ -54,8 +56,8 @@ _PUNCT = _lut((0x21, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x7F))
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Shares of word shapes (one row per text), distinct hashed words per
-    text (split at punctuation too), and the number of words."""
+    """Shares of word shapes (one row per text), distinct hashed words and
+    word beginnings per text (split at punctuation too), and the number of words."""
     joined, first, end, hashes, begins = word_table(texts)
     sums = [np.concatenate([[0], np.cumsum(lut[joined])]) for lut in (_UPPER, _LOWER, _PUNCT)]
     upper, lower, punct = (s[end] - s[first] for s in sums)
@@ -68,15 +70,17 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
     counts = np.diff(begins)
     total = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(marks, axis=1)], axis=1)
     shares = ((total[:, begins[1:]] - total[:, begins[:-1]]) / np.maximum(counts, 1)).T
-    bare = word_table(texts, strip=_PUNCT.astype(bool))
-    slots = (bare[3] >> U(64 - BITS)).astype(np.int32)
+    bare = word_table(texts, _PUNCT.astype(bool), BEGINNINGS)
+    slots = (np.column_stack([bare[3], *bare[5:]]) >> U(64 - BITS)).astype(np.int32)
     words = [np.unique(slots[a:b]) for a, b in zip(bare[4][:-1], bare[4][1:])]
     return shares, words, counts
 
 
 def votes(shares: np.ndarray, words: list[np.ndarray], counts: np.ndarray, lexicon: np.ndarray) -> np.ndarray:
     """One row per text: the votes of SHAPES, lexicon and lexicon_share."""
-    out = np.where(shares > SHARE, 1, 0)
+    fires = shares > SHARE
+    # a shape that does not fire says good only of documents that no other one marks
+    out = np.where(fires, 1, np.where(fires.any(axis=1, keepdims=True), -1, 0))
     out[counts < LEAST_WORDS] = -1
     if not len(lexicon):
         return np.column_stack([out, np.full((len(out), 2), -1)])
@@ -117,15 +121,23 @@ def posterior(patterns: np.ndarray, prior: float, rates: np.ndarray) -> np.ndarr
 
 
 def train(shares: np.ndarray, words: list[np.ndarray], target: np.ndarray, rounds: int = 300,
-          penalty: float = 4e-4, least_rows: int = 4) -> np.ndarray:
+          penalty: float = 1e-3, least_rows: int = 4, features_used: int = 2048) -> np.ndarray:
     """Logistic regression on soft targets with an L1 penalty on the words, so
     that only words that set the classes apart count (Adam with a proximal
-    step, full batches): weights of the hashed words that ``least_rows`` rows
-    hold, the shapes and the intercept."""
+    step, full batches): weights of the hashed words, the shapes and the
+    intercept. Of the words that ``least_rows`` rows hold, the
+    ``features_used`` that depend most on the target take part."""
     rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
     slots = np.concatenate(words) if words else np.zeros(0, np.int32)
-    common = np.bincount(slots, minlength=1 << BITS) >= least_rows
-    rows, slots = rows[common[slots]], slots[common[slots]]
+    held = np.bincount(slots, minlength=1 << BITS)
+    mean = target.mean() if len(target) else 0.0
+    # squared standardised difference of the target with and without the word
+    apart = ((np.bincount(slots, target[rows], 1 << BITS) - held * mean) ** 2 / np.maximum(held, 1))
+    apart[held < least_rows] = 0
+    taken = np.zeros(1 << BITS, bool)
+    taken[np.argsort(-apart, kind="stable")[:features_used]] = True
+    taken &= apart > 0
+    rows, slots = rows[taken[slots]], slots[taken[slots]]
     used, at = np.unique(slots, return_inverse=True)
     w, dense = np.zeros(len(used)), np.zeros(shares.shape[1] + 1)
     x = np.column_stack([shares, np.ones(len(shares))])
@@ -161,15 +173,26 @@ class Model:
 
 
 def find_lexicon(words: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Hashed words that labelled toxic rows hold far more often than others:
-    ten times as often, in at least 3 and 3 % of them."""
+    """Hashed words that at least 3 and 3 % of the labelled toxic rows hold and
+    hardly any other labelled row: 95 % of the rows with the word are toxic."""
     yes, no = (toxic == 1), (toxic == 0)
     count = lambda which: np.bincount(np.concatenate(
         [w for w, k in zip(words, which) if k] or [np.zeros(0, np.int32)]), minlength=1 << BITS)
     have, other = count(yes), count(no)
     often = have >= max(3, 0.03 * yes.sum())
-    rate = (have / max(yes.sum(), 1)) / ((other + 0.5) / max(no.sum(), 1))
-    return np.flatnonzero(often & (rate >= 10)).astype(np.int32)
+    return np.flatnonzero(often & (have >= 0.95 * (have + other))).astype(np.int32)
+
+
+def without_near_copies(least: list[list[int]]) -> list[int]:
+    """Indices of rows of which fewer than half of the LEAST smallest
+    shingles stand in an earlier row: near copies would vote many times."""
+    seen: set[int] = set()
+    out = []
+    for k, smallest in enumerate(least):
+        if 2 * sum(s in seen for s in smallest) < max(len(smallest), 1):
+            out.append(k)
+        seen.update(smallest)
+    return out
 
 
 def _human(labels: DataFrame) -> DataFrame:
@@ -197,23 +220,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
             done = 0
             for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
                 shares, words, counts = features(texts)
-                least = [s[0].item() - (1 << 63) if len(s) else None for s in shingle_sets(texts)]
+                least = [s[:LEAST].astype("<u8").tobytes() for s in shingle_sets(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[done:done + len(texts)], batch.schema.field("id").type),
                      pa.array([s.astype("<f8").tobytes() for s in shares], pa.binary()),
                      pa.array([w.astype("<i4").tobytes() for w in words], pa.binary()),
-                     pa.array(counts, pa.int64()), pa.array(least, pa.int64())],
+                     pa.array(counts, pa.int64()), pa.array(least, pa.binary())],
                     ["id", "shares", "words", "n", "least"])
                 done += len(texts)
 
     kind = dict(rows.dtypes)["id"]
-    found = (drawn.mapInArrow(extract, f"id {kind}, shares binary, words binary, n long, least long")
+    found = (drawn.mapInArrow(extract, f"id {kind}, shares binary, words binary, n long, least binary")
              .join(human, F.col("id") == F.col("_id"), "left")
              .select("id", "shares", "words", "n", "least", F.coalesce("low", F.lit(-1)).alias("low"),
                      F.coalesce("toxic", F.lit(-1)).alias("toxic")).collect())  # about sample_rows rows
-    # near copies would vote many times; one row for each smallest shingle
-    found = list({r["least"]: r for r in sorted(found, key=lambda r: (str(r["id"]), r["words"]), reverse=True)
-                  if r["least"] is not None}.values())
+    found.sort(key=lambda r: (r["id"] is None, r["id"], r["words"]))
+    found = [found[k] for k in without_near_copies([np.frombuffer(r["least"], "<u8").tolist() for r in found])]
     shares = np.array([np.frombuffer(r["shares"], "<f8") for r in found]).reshape(len(found), len(SHAPES))
     words = [np.frombuffer(r["words"], "<i4") for r in found]
     counts = np.array([r["n"] for r in found], np.int64)

@@ -137,9 +137,10 @@ def match(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url_col: str
                                                         for k in range(len(hosts))]})
 
     host, path = split_url(F.col(url_col))
-    kept = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url_col])
-    named = kept.withColumns({"host": host, "path": path}).withColumn("_hit", probe("host", "path"))
-    return named.withColumns({
-        "rule": F.col("_hit.rule"),
-        "verdict": F.when(F.col("_hit.block").isNull(), F.lit(default))
-        .when(F.col("_hit.block"), F.lit("block")).otherwise(F.lit("allow"))}).drop("_hit")
+    own = ("host", "path", "rule", "verdict")
+    # whole rows travel as one column, so their names cannot clash with these
+    named = pages.select(F.struct(*[F.col(c) for c in pages.columns if c not in own or c == url_col]).alias("row"),
+                         host.alias("host"), path.alias("path")).withColumn("hit", probe("host", "path"))
+    verdict = (F.when(F.col("hit.block").isNull(), F.lit(default))
+               .when(F.col("hit.block"), F.lit("block")).otherwise(F.lit("allow")))
+    return named.select("row.*", "host", "path", F.col("hit.rule").alias("rule"), verdict.alias("verdict"))

@@ -55,10 +55,11 @@ def chunks(texts: list[bytes], size: int = 2_000_000) -> Iterator[list[bytes]]:
         yield out
 
 
-def word_table(texts: list[bytes], strip: np.ndarray | None = None) -> tuple:
+def word_table(texts: list[bytes], strip: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> tuple:
     """All words of the texts in order: the joined bytes, where words start
     and end in them, their hashes, and each text's first word (one entry more
-    than texts). ``strip`` marks bytes that separate words as white space does."""
+    than texts); then the hashes of their first bytes, per length in
+    ``prefixes``. ``strip`` marks bytes that separate words as white space does."""
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     space = (_SPACE if strip is None else _SPACE | strip)[joined]
     edge = np.flatnonzero(np.diff(space, prepend=True))
@@ -68,12 +69,13 @@ def word_table(texts: list[bytes], strip: np.ndarray | None = None) -> tuple:
     np.cumsum(_BYTE[joined] * power, out=total[1:])
     hashes = mix((total[end] - total[first]) * inverse[first])
     begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    return joined, first, end, hashes, np.searchsorted(first, begins)
+    heads = [mix((total[np.minimum(first + n, end)] - total[first]) * inverse[first] + U(n)) for n in prefixes]
+    return joined, first, end, hashes, np.searchsorted(first, begins), *heads
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin."""
-    return word_table(texts)[3:]
+    return word_table(texts)[3:5]
 
 
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
