@@ -18,8 +18,10 @@ gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,21 +31,44 @@ from pyspark.sql import functions as F
 
 from .common import write_table
 
-CACHE_CHARS = 6_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
+CACHE_CHARS = 9_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
 # white space that str.split() and the tokenizer may not treat alike
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 _TOKENIZERS: dict = {}
 
 
-class WordIds:
-    """Ids of a text whose tokenizer never joins characters across white
-    space: each word is encoded once and kept."""
+def _byte_letters() -> dict[int, int]:
+    """The printable character that stands for each byte in a byte-level
+    vocabulary: printable bytes for themselves, the others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+
+
+class WordIds(dict):
+    """Ids (unsigned little-endian 32-bit) of words, and so of texts whose
+    tokenizer never joins characters across white space: each word is encoded
+    once and kept until CACHE_CHARS are held.
+
+    Words of Latin letters with closing punctuation, if the tokenizer lower-cases
+    and splits letters from punctuation, go to its BPE model directly, piece
+    by piece; all others go through the whole tokenizer."""
+
+    #: Fixed value: the split of the tokenizer that may take the direct way.
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?()*$%&#+=/-]*)")
+    _LETTERS = _byte_letters()
 
     def __init__(self, definition: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        steps = json.loads(definition)
+        split = ((steps.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0].get("pattern")
+        kinds = [n["type"] for n in (steps.get("normalizer") or {}).get("normalizers", [])]
+        self.direct = split == {"Regex": self.SPLIT} and kinds == ["NFC", "Replace", "Lowercase"]
         self.chars = 0
 
     @staticmethod
@@ -53,22 +78,40 @@ class WordIds:
             _TOKENIZERS[key] = WordIds(definition)
         return _TOKENIZERS[key]
 
+    def __missing__(self, word: str) -> bytes:
+        plain = self.direct and self._PLAIN.fullmatch(word)
+        if plain:
+            letters, marks = plain[1].lower(), plain[2]
+            if letters == word:
+                spelled = word.encode().decode("latin-1").translate(self._LETTERS)
+                ids = [t.id for t in self.model.tokenize(spelled)]
+                packed = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                packed = self[letters] + (self._marks(marks) if marks else b"")
+        else:
+            packed = self.whole(word)
+        self[word] = packed
+        self.chars += len(word)
+        return packed
+
+    def _marks(self, marks: str) -> bytes:
+        key = " " + marks  # no word has a space
+        if key not in self:
+            ids = [t.id for t in self.model.tokenize(marks)]
+            self[key] = struct.pack(f"<{len(ids)}I", *ids)
+        return self[key]
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
-        """Unsigned little-endian 32-bit ids."""
         if _ODD_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.split()
-        new = [w for w in set(words) if w not in self.words]
-        if new:
-            if self.chars > CACHE_CHARS:
-                self.words, self.chars = {}, 0
-                new = list(set(words))
-            for at in range(0, len(new), 1000):
-                some = new[at:at + 1000]
-                for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                    self.words[w] = np.array(e.ids, "<u4").tobytes()
-            self.chars += sum(map(len, new))
-        return b"".join([self.words[w] for w in words])
+            return self.whole(text)
+        if self.chars > CACHE_CHARS:
+            self.clear()
+            self.chars = 0
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048,
