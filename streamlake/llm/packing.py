@@ -33,7 +33,7 @@ from .common import write_table
 
 CACHE_CHARS = 9_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
 # white space that str.split() and the tokenizer may not treat alike
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _TOKENIZERS: dict = {}
 
 
