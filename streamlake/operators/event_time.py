@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_keys
 from .running import running, time_bucket
 
 
@@ -106,7 +107,7 @@ def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slid
     fire = d.filter(F.col("_n") % slide == 0)
     base = d.select(F.col(key).alias("_k"), (F.col("_n") + size).alias("_n2"),
                     F.col("_s").alias("_s0"))
-    out = fire.join(base, (fire[key] == base["_k"]) & (fire["_n"] == base["_n2"]), "left")
+    out = fire.join(base, fire[key].eqNullSafe(base["_k"]) & (fire["_n"] == base["_n2"]), "left")
     return out.select(key, F.col("_n").alias("row_count"),
                       (F.col("_s") - F.coalesce(F.col("_s0"), F.lit(0).cast(
                           out.schema["_s"].dataType))).alias(f"sum_{value}"))
@@ -196,7 +197,8 @@ def allowed_lateness_firings(classified: DataFrame, key: str, arrival) -> DataFr
                                                  F.lit(0).alias("firing_seq"))
     late = classified.filter(F.col("lateness") == "late")
     w = Window.partitionBy(*grp).orderBy(*arrival)
-    late = late.withColumn("_i", F.row_number().over(w)).join(base, grp)
+    late = late.withColumn("_i", F.row_number().over(w))
+    late = join_keys(late, base, grp, "inner")
     label = F.when((F.col("_on") == 0) & (F.col("_i") == 1), "first").otherwise("update")
     upd = late.select(*grp, (F.col("_on") + F.col("_i")).alias("cnt"),
                       label.alias("firing"), F.col("_i").cast("int").alias("firing_seq"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast
+from .sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
@@ -43,20 +43,20 @@ def join_project(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
 
 
 def join_with_tiny(big: DataFrame, tiny: DataFrame, on, how: str = "inner",
-                   max_rows: int = 100_000) -> DataFrame:
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast the small side -- only after its size is checked."""
-    return big.join(bounded_broadcast(tiny, max_rows), on, how)
+    return big.join(bounded_broadcast(tiny, max_bytes), on, how)
 
 
 def join_with_huge(small: DataFrame, huge: DataFrame, on, how: str = "inner",
-                   max_rows: int = 2_000_000) -> DataFrame:
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """The *other* side is huge: never build from or move it if avoidable.
 
-    The first side is broadcast when a bounded probe proves it small; beyond
+    The first side is broadcast when its estimated bytes are bounded; beyond
     the bound the join is a plain (AQE-managed, skew-split) shuffle join, so
     the huge side is never broadcast.
     """
-    return bounded_broadcast(small, max_rows).join(huge, on, how)
+    return bounded_broadcast(small, max_bytes).join(huge, on, how)
 
 
 def join_filter(left: DataFrame, right: DataFrame, on, keep) -> DataFrame:
@@ -85,18 +85,25 @@ def cogroup_difference(new: DataFrame, old: DataFrame) -> DataFrame:
     return new.distinct().exceptAll(old.distinct())
 
 
-def with_broadcast_set(df: DataFrame, small: DataFrame, name: str,
-                       max_rows: int = 10_000) -> DataFrame:
+def with_broadcast_set(df: DataFrame, small: DataFrame, name: str) -> DataFrame:
     """Make a small data set available to every row, as one array
     column ``name`` (the set travels once per task as a one-row broadcast;
-    rows are not multiplied).  Raises if the set is not provably small."""
-    from .sizing import row_count_at_most
-    if not row_count_at_most(small, max_rows):
-        raise ValueError("broadcast set exceeds its bound of %d rows" % max_rows)
+    rows are not multiplied).  For sets that are small by their meaning; a
+    set that may grow is passed block by block (``broadcast_blocks``)."""
     one = small.agg(F.collect_list(F.struct(*small.columns)).alias(name))
     return df.crossJoin(F.broadcast(one))
 
 
+def broadcast_blocks(small: DataFrame, order: str, block_rows: int = 10_000) -> list[DataFrame]:
+    """``small`` in blocks of at most ``block_rows`` rows by rank of ``order``."""
+    n = small.count()
+    if n <= block_rows:
+        return [small]
+    ranked = small.withColumn("_rank", F.row_number().over(Window.orderBy(order)) - 1)
+    return [ranked.filter(F.floor(F.col("_rank") / block_rows) == k).drop("_rank")
+            for k in range(-(-n // block_rows))]
+
+
 def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
                   ts_l: str, ts_r: str, lower_ms: int, upper_ms: int,
                   lower_inclusive: bool = True, upper_inclusive: bool = True) -> DataFrame:
@@ -204,9 +211,9 @@ def latest_value_enrich(stream: DataFrame, status: DataFrame, key: str, ts: str,
                      key, "_sk", ts, "_sts").drop("_sk", "_sts")
 
 
-def lookup_join(df: DataFrame, dim: DataFrame, on, max_rows: int = 1_000_000) -> DataFrame:
+def lookup_join(df: DataFrame, dim: DataFrame, on, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Preloaded dimension lookup, inner (misses dropped)."""
-    return df.join(bounded_broadcast(dim, max_rows), on, "inner")
+    return df.join(bounded_broadcast(dim, max_bytes), on, "inner")
 
 
 def lateral_split(df: DataFrame, col: str, sep: str, out: str = "s",

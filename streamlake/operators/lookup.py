@@ -12,46 +12,56 @@ concurrent.
 from __future__ import annotations
 
 import concurrent.futures as cf
+import time
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 
+_FAIL = object()
+
+
 def async_lookup(df: DataFrame, key: str, fn: Callable, out_col: str, out_type: str,
                  capacity: int = 20, timeout_s: float = 10.0, ordered: bool = True,
-                 on_timeout=None) -> DataFrame:
+                 on_timeout=_FAIL) -> DataFrame:
     """Add ``out_col = fn(key)`` computed with ``capacity`` concurrent calls
-    per task; a call exceeding ``timeout_s`` yields ``on_timeout``."""
+    per task.  A call that takes longer than ``timeout_s`` (from its start)
+    fails the query, unless a value ``on_timeout`` is given for it.  At most
+    ``capacity`` calls are under way at a time, so waiting ones don't expire."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + \
         f", `{out_col}` {out_type}"
+    fail = on_timeout is _FAIL
+    default = None if fail else on_timeout
 
     def run(batches):
-        with cf.ThreadPoolExecutor(max_workers=capacity) as pool:
+        def answer(call, started):
+            try:
+                return call.result(timeout=max(0.0, started + timeout_s - time.monotonic()))
+            except cf.TimeoutError:
+                if fail:
+                    raise TimeoutError(f"lookup took longer than {timeout_s} s") from None
+                return default
+
+        pool = cf.ThreadPoolExecutor(max_workers=capacity)
+        try:
             for pdf in batches:
-                keys = pdf[key].tolist()
-                futs = [pool.submit(fn, k) for k in keys]
-                if ordered:
-                    vals = []
-                    for f in futs:
-                        try:
-                            vals.append(f.result(timeout=timeout_s))
-                        except cf.TimeoutError:
-                            vals.append(on_timeout)
-                    yield pdf.assign(**{out_col: vals})
-                else:
-                    index = {f: i for i, f in enumerate(futs)}
-                    order, vals = [], []
-                    try:
-                        for f in cf.as_completed(futs, timeout=timeout_s * max(1, len(futs) / capacity)):
-                            order.append(index[f])
-                            vals.append(f.result())
-                    except cf.TimeoutError:
-                        done = set(order)
-                        for i in range(len(futs)):
-                            if i not in done:
-                                order.append(i)
-                                vals.append(on_timeout)
-                    out = pdf.iloc[order].reset_index(drop=True)
-                    yield out.assign(**{out_col: vals})
+                vals, order, waiting = [], [], deque()
+                for i, k in enumerate(pdf[key].tolist()):
+                    if len(waiting) == capacity:
+                        at = 0 if ordered else next((n for n, w in enumerate(waiting) if w[1].done()), 0)
+                        waiting.rotate(-at)
+                        j, call, started = waiting.popleft()
+                        order.append(j)
+                        vals.append(answer(call, started))
+                        waiting.rotate(at)
+                    waiting.append((i, pool.submit(fn, k), time.monotonic()))
+                for j, call, started in waiting:
+                    order.append(j)
+                    vals.append(answer(call, started))
+                out = pdf if ordered else pdf.iloc[order].reset_index(drop=True)
+                yield out.assign(**{out_col: vals})
+        finally:
+            pool.shutdown(wait=False, cancel_futures=True)
 
     return df.mapInPandas(run, schema)

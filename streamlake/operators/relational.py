@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col_
+from .keys import join_keys
 
 
 # ------------------------------------------------------------ projection ----
@@ -68,11 +69,13 @@ def filter_date_after(df: DataFrame, col: str, date: str) -> DataFrame:
 
 
 def filter_year(df: DataFrame, col: str, op: str, year: int) -> DataFrame:
-    """Year-of-date filter (``>``, ``==``, ``<`` ...) on the first four
-    characters of the date text."""
-    y = F.substring(F.col(col).cast("string"), 1, 4).cast("int")
-    tests = {"==": y == year, ">": y > year, "<": y < year,
-             ">=": y >= year, "<=": y <= year, "!=": y != year}
+    """Year-of-date filter (``>``, ``==``, ``<`` ...) on a date or
+    timestamp column, as a range of its own type (so the scan can skip by it)."""
+    kind = df.schema[col].dataType
+    first, after = (F.lit(f"{y:04d}-01-01").cast(kind) for y in (year, year + 1))
+    c = F.col(col)
+    tests = {"==": (c >= first) & (c < after), ">": c >= after, "<": c < first,
+             ">=": c >= first, "<=": c < after, "!=": (c < first) | (c >= after)}
     return df.filter(tests[op])
 
 
@@ -211,4 +214,4 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 def difference(new: DataFrame, old: DataFrame) -> DataFrame:
     """Rows of ``new`` that are not in ``old``."""
-    return new.join(old, list(new.columns), "left_anti")
+    return join_keys(new, old, new.columns, "left_anti")

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_keys
+
 DEFAULT_BUCKET_SECONDS = 3600
 
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
@@ -55,7 +57,7 @@ def running(df: DataFrame, keys, order, value, kind: str, out: str,
         .orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     carry_agg = F.sum if kind in ("sum", "count") else agg
     carry = totals.withColumn("_c", carry_agg("_t").over(w_prev)).drop("_t")
-    d = d.join(carry, [*keys, "_bk"], "left")
+    d = join_keys(d, carry, [*keys, "_bk"])
     if kind in ("sum", "count"):
         zero = F.lit(0).cast(d.schema["_in"].dataType)
         res = F.coalesce(F.col("_in"), zero) + F.coalesce(F.col("_c"), zero)
@@ -84,7 +86,8 @@ def running_max(df, keys, order, value, out, ts, bucket_seconds=DEFAULT_BUCKET_S
 
 def first_seen_flag(df: DataFrame, entity, order, row_id: str, out: str = "first_seen",
                     keys=()) -> DataFrame:
-    """1 on the first row of each (``keys``, ``entity``) in ``order``, else 0.
+    """1 on the first row of each (``keys``, ``entity``) in ``order``, else 0;
+    a null entity is never a sighting (as in ``COUNT(DISTINCT)``).
 
     The first row comes from a grouped ``min_by`` (partial aggregation, so a
     hot entity is combined map-side) and is joined back by ``row_id``.
@@ -93,8 +96,8 @@ def first_seen_flag(df: DataFrame, entity, order, row_id: str, out: str = "first
     group = [*keys, entity]
     firsts = df.groupBy(*group).agg(
         F.min_by(F.col(row_id), F.struct(*[F.col(c) for c in order])).alias("_first"))
-    return df.join(firsts, group).withColumn(
-        out, (F.col(row_id) == F.col("_first")).cast("long")).drop("_first")
+    return join_keys(df, firsts, group).withColumn(
+        out, (F.col(entity).isNotNull() & (F.col(row_id) == F.col("_first"))).cast("long")).drop("_first")
 
 
 def running_distinct(df, entity, order, row_id, out, ts, keys=(),
@@ -122,7 +125,7 @@ def lag_bucketed(df: DataFrame, keys, order, value, out: str, bucket: Column) ->
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_bk")
     carry = last.withColumn("_carry", F.lag("_last").over(wb)).drop("_last")
     first = F.row_number().over(Window.partitionBy(*keys, "_bk").orderBy(*order)) == 1
-    d = d.join(carry, [*keys, "_bk"], "left")
+    d = join_keys(d, carry, [*keys, "_bk"])
     return d.withColumn(out, F.when(first, F.col("_carry")).otherwise(F.col("_lag"))) \
             .drop("_bk", "_v", "_lag", "_carry")
 
@@ -155,7 +158,7 @@ def running_max_keep_first(df: DataFrame, keys, order, value, ts, out_prefix="",
     others = [c for c in df.columns if c not in keys and c != value]
     firsts = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_f"))
     r = running_max(df.select(*keys, *order, value), keys, order, value, "_m", ts, bucket_seconds)
-    return r.join(firsts, keys).select(*keys, *order, F.col("_m").alias(value),
+    return join_keys(r, firsts, keys).select(*keys, *order, F.col("_m").alias(value),
                                        *[F.col(f"_f.{c}").alias(f"{out_prefix}{c}")
                                          for c in others if c not in order])
 

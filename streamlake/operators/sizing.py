@@ -1,7 +1,9 @@
 """Size checks that guard broadcasts.
 
-A side is broadcast only after a bounded probe proves it small; beyond the
-bound the caller's plain join (sort-merge / shuffle-hash, AQE-managed) runs.
+A side is broadcast only if the optimizer's own estimate of its bytes (file
+sizes and what the plan does to them) is below a bound; beyond it the
+caller's plain join (sort-merge / shuffle-hash, AQE-managed) runs.  No job
+runs for the check.
 """
 
 from __future__ import annotations
@@ -9,20 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on broadcast rows.  At ~100 bytes a row this stays well under
-# Spark's 8 GB broadcast ceiling and a few hundred MB of executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df`` in bytes (an unknown
+    size is huge, so an unknown side is never broadcast)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    Reads no more than ``max_rows + 1`` rows (a limit pushed into the scan),
-    so the probe costs O(bound), not O(table).
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it is proven to be small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if it is known to be small."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import join_keys
 from .running import running, time_bucket
 
 # ----------------------------------------------------------------- U05 -----
@@ -92,7 +93,7 @@ def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str
     # pass B: compose block functions per key -> start state of each block
     start = keyed_scan(funcs, key, ["_blk"], _BlockStartFold, f"{key} {ktype}, _blk long, _start int")
     # pass C: replay each block from its start state, emit alerts
-    joined = d.join(start, [key, "_blk"])
+    joined = join_keys(d, start, [key, "_blk"], "inner")
     return keyed_scan(joined, [key, "_blk"], ["_rn"], lambda: _ReplayFold(key, row_id, event),
                       f"{key} {ktype}, {row_id} {rid_type}, state string, {event} string")
 
@@ -174,6 +175,9 @@ def keyed_scan(df: DataFrame, key, order, step_factory: Callable[[], "KeyedFold"
             out = []
             for tup in pdf[cols].itertuples(index=False, name=None):
                 rec = dict(zip(cols, tup))
+                for c in keys:
+                    if rec[c] != rec[c]:  # pandas shows a null number as NaN, which differs from itself
+                        rec[c] = None
                 k = rec[keys[0]] if single else tuple(rec[c] for c in keys)
                 if not started or k != cur:
                     if started:
@@ -306,7 +310,7 @@ def rise_alerts_segmented(df: DataFrame, key: str, ts: str, value: str, order,
     d = running(d, [key], o, "_start", "sum", "_seg", time_bucket("_ts", bucket_seconds))
     nxt = d.filter(F.col("_start") == 1).select(F.col(key).alias("_k2"), (F.col("_seg") - 1).alias("_s2"),
                                                 F.col("ts_ms").alias("_tnext"))
-    d = d.join(nxt, (d[key] == nxt["_k2"]) & (d["_seg"] == nxt["_s2"]), "left").drop("_k2", "_s2")
+    d = d.join(nxt, d[key].eqNullSafe(nxt["_k2"]) & (d["_seg"] == nxt["_s2"]), "left").drop("_k2", "_s2")
     ktype = df.schema[key].dataType.simpleString()
     r = keyed_scan(d.select(key, "_seg", "ts_ms", "_tnext", *o), [key, "_seg"], o,
                    lambda: _RiseSegmentFold(interval_ms), f"{key} {ktype}, alert_ms long")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_keys
 from .joins import interval_join
 from .stateful import KeyedFold, keyed_scan
 
@@ -49,10 +50,10 @@ def cogroup_early_fire(left: DataFrame, right: DataFrame, key: str, ts: str, ord
         F.max("_k").alias("_n"), F.max("_nr").alias("_nr"), F.sum(F.when(isR == 1, F.col("_v"))).alias("_sr"),
         F.max(F.when(F.col("_both"), F.col("_k"))).alias("_lastfire"))
     lefts = u.filter(F.col("_side") == "L").select(*g, "_k", "_v")
-    tail = lefts.join(last.select(*g, "_lastfire"), g) \
+    tail = join_keys(lefts, last.select(*g, "_lastfire"), g, "inner") \
         .filter(F.col("_lastfire").isNull() | (F.col("_k") > F.col("_lastfire"))) \
         .groupBy(*g).agg(F.count(F.lit(1)).alias("_tl"), F.sum("_v").alias("_tsl"))
-    end = last.join(tail, g, "left").select(
+    end = join_keys(last, tail, g).select(
         *g, (F.col("_n") + 1).cast("long").alias("fire_seq"), F.lit("end").alias("trigger"),
         F.coalesce(F.col("_tl"), F.lit(0)).cast("long").alias("n_left"), F.col("_nr").cast("long").alias("n_right"),
         F.col("_tsl").alias("sum_left"), F.col("_sr").alias("sum_right"))

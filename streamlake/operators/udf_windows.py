@@ -1,49 +1,18 @@
-"""Full-window functions that need every row of a window.
+"""Functions over all rows of a window.
 
-Groups are (key, time window): bounded by the window length, never a whole
-key.  The per-group body is pandas over Arrow batches.
+The median of a window is Spark's exact ``percentile``, an aggregate that
+keeps value counts and merges partial results, so no window's rows are
+collected into one Python worker.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-@F.pandas_udf(T.DoubleType())
-def _median(v: pd.Series) -> float:
-    return float(v.median())
-
-
-@F.pandas_udf(T.LongType())
-def _count(v: pd.Series) -> int:
-    return int(len(v))
 
 
 def window_median(df: DataFrame, key: str, ts: str, size: str, value: str) -> DataFrame:
-    """A window function over all of the window's values, as a grouped
-    aggregate pandas UDF (one Arrow batch per group, no per-group frames)."""
+    """Median and count of each (key, window)."""
     w = F.window(F.col(ts).cast("timestamp"), size)
     return df.groupBy(key, w.start.alias("window_start"), w.end.alias("window_end")) \
-             .agg(_median(F.col(value)).alias("median_value"), _count(F.col(value)).alias("cnt"))
-
-
-def window_median_frames(df: DataFrame, key: str, ts: str, size: str, value: str) -> DataFrame:
-    """A WindowFunction that sees all of the window's values (median and
-    count), run per (key, window) with ``applyInPandas``."""
-    w = F.window(F.col(ts).cast("timestamp"), size)
-    d = df.select(key, w.start.alias("window_start"), w.end.alias("window_end"), value)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: [pdf[key].iloc[0]],
-                             "window_start": [pdf["window_start"].iloc[0]],
-                             "window_end": [pdf["window_end"].iloc[0]],
-                             "median_value": [float(pdf[value].median())],
-                             "cnt": [int(len(pdf))]})
-
-    key_type = d.schema[key].dataType.simpleString()
-    schema = (f"{key} {key_type}, window_start timestamp, window_end timestamp, "
-              "median_value double, cnt long")
-    return d.groupBy(key, "window_start", "window_end").applyInPandas(fn, schema)
+             .agg(F.percentile(value, 0.5).alias("median_value"), F.count(F.lit(1)).alias("cnt"))

@@ -8,26 +8,22 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import load
 
-GRAPH_GAP_SECONDS = 60
 
-
-def event_graph_edges(spark, sf, gap_seconds: int = GRAPH_GAP_SECONDS) -> DataFrame:
+def event_graph_edges(spark, sf) -> DataFrame:
     """Directed user graph: an edge a -> b when b's event directly follows
-    a's event (next ``event_id``) within ``gap_seconds``; distinct, no loops.
+    a's event (next ``event_id``); distinct, no loops.
 
     Built with an equi-join on ``event_id + 1`` -- no global ordering window.
     """
-    e = load(spark, sf, "events", "event_id", "ts", "user_id")
-    a = e.select(F.col("event_id").alias("_id"), F.col("ts").alias("_ts"), F.col("user_id").alias("src"))
-    b = e.select((F.col("event_id") - 1).alias("_id"), F.col("ts").alias("_ts2"), F.col("user_id").alias("dst"))
-    j = a.join(b, "_id").filter((F.col("src") != F.col("dst")) &
-                                (F.col("_ts2") <= F.col("_ts") + F.expr(f"INTERVAL {gap_seconds} SECONDS")))
-    return j.select("src", "dst").distinct()
+    e = load(spark, sf, "events", "event_id", "user_id")
+    a = e.select(F.col("event_id").alias("_id"), F.col("user_id").alias("src"))
+    b = e.select((F.col("event_id") - 1).alias("_id"), F.col("user_id").alias("dst"))
+    return a.join(b, "_id").filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
-EDGES_SQL = f"""(SELECT DISTINCT e1.user_id AS src, e2.user_id AS dst
+EDGES_SQL = """(SELECT DISTINCT e1.user_id AS src, e2.user_id AS dst
    FROM events e1 JOIN events e2 ON e2.event_id = e1.event_id + 1
-   WHERE e1.user_id <> e2.user_id AND e2.ts <= e1.ts + INTERVAL {GRAPH_GAP_SECONDS} SECOND)"""
+   WHERE e1.user_id <> e2.user_id)"""
 
 
 def arrival_order(df: DataFrame, id_col: str = "event_id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..functions import text as T
 from ..functions import udfs as U
-from ..sources.tables import events, load, load_spread, to_ntz
+from ..sources.tables import events, load, to_ntz
 from . import catalog as C
 from .derived import PROPS_K_SQL, props_k
 from .registry import register
@@ -110,7 +110,7 @@ SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, strftime(ts, '%Y-%m-%d %H:%M:
 def f13_prefixed_rejects(spark, sf):
     """Words longer than 12 characters go to a side output as
     ``rejected: <word>`` (counted here)."""
-    w = T.tokenize_words(load_spread(spark, sf, "documents", "doc_id", "text"))
+    w = T.tokenize_words(load(spark, sf, "documents", "doc_id", "text"))
     rej = w.filter(F.length("word") > 12).select(S.prefix_text("rejected: ", "word").alias("msg"))
     return rej.groupBy("msg").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -11,11 +11,13 @@ probe -- nothing but a boolean reaches the driver.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import join_keys
 from ..session import ensure_checkpoint_dir
 
 
@@ -33,45 +35,57 @@ def iterate(initial: DataFrame, step: Callable[[DataFrame], DataFrame], rounds:
     return cur
 
 
+def _rounds(limit: int | None):
+    return itertools.count(1) if limit is None else range(1, limit + 1)
+
+
 def iterate_with_termination(initial: DataFrame, step: Callable[[DataFrame], DataFrame],
                              criterion: Callable[[DataFrame, DataFrame], DataFrame],
-                             max_rounds: int) -> tuple[DataFrame, int]:
+                             max_rounds: int | None = None) -> tuple[DataFrame, bool]:
     """Bulk iteration that stops after the first round whose
-    termination set ``criterion(prev, next)`` is empty, or after
-    ``max_rounds``.  Returns (result, rounds run)."""
+    termination set ``criterion(prev, next)`` is empty; an explicit
+    ``max_rounds`` stops it earlier.  Returns (result, finished)."""
     cur = cut(initial)
-    for i in range(1, max_rounds + 1):
+    for _ in _rounds(max_rounds):
         nxt = cut(step(cur))
         if criterion(cur, nxt).isEmpty():
-            return nxt, i
+            return nxt, True
         cur = nxt
-    return cur, max_rounds
+    return cur, False
 
 
 def delta_iterate(solution: DataFrame, workset: DataFrame, key,
                   step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
-                  max_rounds: int) -> tuple[DataFrame, int]:
+                  max_rounds: int | None = None) -> tuple[DataFrame, bool]:
     """Delta iteration.  ``step(solution, workset)`` returns
     ``(delta, next_workset)``; ``delta`` rows replace the solution rows with
-    the same key.  Stops when the workset is empty or after ``max_rounds``."""
+    the same key.  Stops when the workset is empty; an explicit
+    ``max_rounds`` stops it earlier.  Returns (solution, finished).  A
+    ``delta`` that is already cut may also be the next workset."""
     keys = [key] if isinstance(key, str) else list(key)
     sol, ws = cut(solution), cut(workset)
-    for i in range(1, max_rounds + 1):
+    for _ in _rounds(max_rounds):
         delta, nws = step(sol, ws)
         same = nws is delta
         delta = cut(delta)
-        sol = cut(sol.join(delta.select(*keys), keys, "left_anti").unionByName(delta))
-        ws = delta if same else cut(nws)
+        sol = cut(join_keys(sol, delta.select(*keys), keys, "left_anti").unionByName(delta))
+        ws = delta if same else nws
         if ws.isEmpty():
-            return sol, i
-    return sol, max_rounds
+            return sol, True
+    return sol, False
+
+
+def report(df: DataFrame, finished: bool, max_rounds: int | None) -> DataFrame:
+    """With an explicit limit the result says whether it is complete."""
+    return df if max_rounds is None else df.withColumn("converged", F.lit(finished))
 
 
 def feedback_loop(initial: DataFrame, step: Callable[[DataFrame], DataFrame],
                   keep_iterating, max_rounds: int = 10_000) -> DataFrame:
     """U07 (re-aimed streaming feedback edge): apply ``step`` to the rows
     still iterating; rows for which ``keep_iterating`` turns false leave the
-    loop and are output.  Runs until no row is left in the loop."""
+    loop and are output.  Runs until no row is left in the loop, and fails if
+    some are after ``max_rounds`` -- no row is ever left out."""
     out = None
     cur = cut(initial)
     for _ in range(max_rounds):
@@ -80,8 +94,8 @@ def feedback_loop(initial: DataFrame, step: Callable[[DataFrame], DataFrame],
         out = done if out is None else out.unionByName(done)
         cur = cut(nxt.filter(keep_iterating))
         if cur.isEmpty():
-            break
-    return out
+            return out
+    raise RuntimeError(f"rows are still in the loop after {max_rounds} rounds")
 
 
 # ---------------------------------------------------------------- U07 ------

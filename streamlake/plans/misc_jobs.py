@@ -9,7 +9,7 @@ from ..functions.scalar import int_to_ip
 from ..functions.text import tokenize_words
 from ..operators import event_time as ET
 from ..sources import codec
-from ..sources.tables import events, load, load_spread, to_ntz
+from ..sources.tables import events, load, to_ntz
 from .registry import register
 from .state_jobs import EVENT_LETTERS, letter_col
 from .weblog import web_log_analysis
@@ -86,7 +86,7 @@ SELECT event_id, user_id, CASE WHEN value > 100 THEN 'side' ELSE 'main' END AS o
 def u04_length_side_output(spark, sf):
     """Words longer than 5 characters are rejected to a side output;
     the rest are counted per word (main path)."""
-    w = tokenize_words(load_spread(spark, sf, "documents", "doc_id", "text"))
+    w = tokenize_words(load(spark, sf, "documents", "doc_id", "text"))
     main = w.filter(F.length("word") <= 5).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     return main
 

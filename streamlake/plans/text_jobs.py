@@ -5,31 +5,31 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources.tables import load_spread
+from ..sources.tables import load
 from .registry import register
 
 
 def g12_word_count(spark, sf):
     """Batch word count over whole documents."""
-    docs = load_spread(spark, sf, "documents", "doc_id", "text")
+    docs = load(spark, sf, "documents", "doc_id", "text")
     return T.word_count(T.tokenize_words(docs))
 
 
 def p06_long_line_words(spark, sf):
     """Words of lines longer than 15 characters, split on spaces."""
-    ls = T.lines(load_spread(spark, sf, "documents", "doc_id", "text"), number=None)
+    ls = T.lines(load(spark, sf, "documents", "doc_id", "text"), number=None)
     return T.word_count(T.tokenize_long_lines(ls, "line", 15))
 
 
 def p07_whitespace_words(spark, sf):
     """Split on single whitespace characters, empty tokens kept."""
-    ls = T.lines(load_spread(spark, sf, "documents", "doc_id", "text"), number=None)
+    ls = T.lines(load(spark, sf, "documents", "doc_id", "text"), number=None)
     return T.word_count(T.tokenize_whitespace_keep_empty(ls, "line"))
 
 
 def p08_english_words(spark, sf):
     """JSON records -> English texts -> whitespace tokens (S21 lines)."""
-    docs = load_spread(spark, sf, "documents", "doc_id", "lang", "text")
+    docs = load(spark, sf, "documents", "doc_id", "lang", "text")
     js = docs.select(F.to_json(F.struct(F.struct(F.col("lang")).alias("user"),
                                         F.col("text"))).alias("value"))
     return T.word_count(T.english_tokens(js, "value"))
@@ -40,7 +40,7 @@ KEYWORDS = (" the ", " and ")
 
 def p13_keyword_documents(spark, sf):
     """Documents that contain every (space padded) keyword."""
-    docs = load_spread(spark, sf, "documents", "doc_id", "text")
+    docs = load(spark, sf, "documents", "doc_id", "text")
     return docs.filter(T.contains_all("text", KEYWORDS)).select("doc_id")
 
 
@@ -51,7 +51,7 @@ def p17_words_seen_twice(spark, sf):
 
 def p05_document_word_counts(spark, sf):
     """P05 per document: number of word tokens in each whole text."""
-    docs = load_spread(spark, sf, "documents", "doc_id", "text")
+    docs = load(spark, sf, "documents", "doc_id", "text")
     toks = F.filter(T.word_tokens("text"), lambda w: F.length(w) > 0)
     return docs.select("doc_id", F.size(toks).cast("long").alias("n_words"))
 

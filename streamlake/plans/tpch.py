@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import exact_sum, revenue
 from ..operators.joins import join_with_tiny
-from ..sources.tables import load, spread
+from ..operators.relational import filter_year
+from ..sources.tables import load
 
 
 def q3_shipping_priority(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
@@ -49,8 +50,7 @@ def q10_returned_items(customer: DataFrame, orders: DataFrame, lineitem: DataFra
     lineitem side is the huge one (J05) and is pre-aggregated per order
     customer before meeting the customer table.
     """
-    ords = orders.filter(F.substring(F.col("o_orderdate").cast("string"), 1, 4).cast("int") > min_year) \
-                 .select("o_orderkey", "o_custkey")
+    ords = filter_year(orders, "o_orderdate", ">", min_year).select("o_orderkey", "o_custkey")
     items = lineitem.filter(F.col("l_returnflag") == "R") \
                     .select("l_orderkey", revenue().alias("rev"))
     rev = ords.join(items, ords.o_orderkey == items.l_orderkey) \
@@ -65,11 +65,7 @@ def q10_returned_items(customer: DataFrame, orders: DataFrame, lineitem: DataFra
 
 
 def _orders_items(spark: SparkSession, sf_dir: str):
-    """Orders and line items; a scan with fewer splits than cores is spread
-    by the order key, which the order/lineitem join then reuses (so no extra
-    exchange) -- on real inputs of many splits this is a no-op."""
-    return (spread(load(spark, sf_dir, "orders"), "o_orderkey"),
-            spread(load(spark, sf_dir, "lineitem"), "l_orderkey"))
+    return load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem")
 
 
 def g13(spark: SparkSession, sf_dir: str) -> DataFrame:

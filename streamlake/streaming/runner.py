@@ -9,11 +9,13 @@ from ``streamlake.sources``.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,11 +48,10 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """A fresh query checkpoint folder under the shared ``spark.checkpoint.dir``
     (a local scratch folder only when that setting is absent, as in tests)."""
-    import uuid
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"sl-stream-{name}-")
+    return f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str = "append",
@@ -84,7 +85,7 @@ def run_until_consumed(df: DataFrame, name: str, input_rows: int, mode: str = "u
                        every: str = "1 second", timeout_s: float = 120.0,
                        checkpoint: str | None = None) -> DataFrame:
     """Run ``df`` on a processing-time trigger until ``input_rows`` input rows
-    were processed (or ``timeout_s`` passed), then stop.  For processing-time
+    were processed, then stop; fails if that takes over ``timeout_s``.  For processing-time
     state (TTL), whose housekeeping batches keep ``availableNow`` and
     ``processAllAvailable`` from returning."""
     import time
@@ -98,6 +99,8 @@ def run_until_consumed(df: DataFrame, name: str, input_rows: int, mode: str = "u
             seen = sum(p.get("numInputRows", 0) for p in q.recentProgress)
         if q.exception() is not None:
             raise q.exception()
+        if seen < input_rows:
+            raise TimeoutError(f"{name}: {seen} of {input_rows} rows in {timeout_s} s")
     finally:
         q.stop()
     return df.sparkSession.table(name)
