@@ -82,12 +82,24 @@ def by_bucket(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _short(turned: np.ndarray, bits: int) -> np.ndarray:
-    """The 40 bits behind the bucket, as five bytes each."""
-    return ((turned << U(bits)) >> U(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    """The 32 bits behind the bucket."""
+    return (turned << U(bits)) >> U(32)
+
+
+def to_bytes(ascending: np.ndarray) -> bytes:
+    """Differences of sorted values, byte plane by byte plane: the upper
+    planes are zeros, which the shuffle's compression takes away."""
+    steps = np.diff(ascending, prepend=np.zeros(1, np.uint64)).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_bytes(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _probe_bits(short: np.ndarray, segment: int) -> np.ndarray:
-    """PROBES bit numbers below 2 ** segment for each 40-bit value."""
+    """PROBES bit numbers below 2 ** segment for each 32-bit value."""
     a = mix(short + U(1))
     b = (a >> U(32)) | U(1)
     return np.stack([(a + U(k) * b) & U((1 << segment) - 1) for k in range(PROBES)])
@@ -101,7 +113,7 @@ class Filter:
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         turned = (keys << U(64 - self.bits)) | (keys >> U(self.bits))
-        short = (turned << U(self.bits)) >> U(24)
+        short = _short(turned, self.bits)
         base = (turned >> U(64 - self.bits)) << U(self.segment)
         out = np.ones(len(keys), bool)
         for bit in _probe_bits(short, self.segment):
@@ -146,15 +158,12 @@ def repeated_samples(rows: DataFrame, bits: int, length: int, filter_bits: int)
                 buckets = np.flatnonzero(np.diff(begins))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(buckets, pa.int32()),
-                     pa.array([short[begins[k]:begins[k + 1]].tobytes() for k in buckets], pa.binary()),
-                     pa.array([short[begins[k]:begins[k + 1]][often[begins[k]:begins[k + 1]]].tobytes()
+                     pa.array([to_bytes(short[begins[k]:begins[k + 1]]) for k in buckets], pa.binary()),
+                     pa.array([to_bytes(short[begins[k]:begins[k + 1]][often[begins[k]:begins[k + 1]]])
                                for k in buckets], pa.binary())], ["bucket", "once", "often"])
 
     def wide(column: pa.ChunkedArray) -> np.ndarray:
-        raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 5)
-        out = np.zeros((len(raw), 8), np.uint8)
-        out[:, :5] = raw
-        return out.view("<u8").ravel()
+        return np.concatenate([from_bytes(b) for b in column.to_pylist()])
 
     def rank(table: pa.Table) -> pa.Table:
         values = np.sort(wide(table.column("once")))
@@ -259,11 +268,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 buckets = np.flatnonzero(np.diff(begins))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(buckets, pa.int32()), pa.array([block] * len(buckets), pa.int64()),
-                     pa.array([turned[begins[k]:begins[k + 1]].astype("<u8").tobytes() for k in buckets],
-                              pa.binary())], ["bucket", "block", "keys"])
+                     pa.array([to_bytes(turned[begins[k]:begins[k + 1]]) for k in buckets], pa.binary())], ["bucket", "block", "keys"])
 
     def sort_bucket(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(k, "<u8") for k in table.column("keys").to_pylist()]
+        parts = [from_bytes(k) for k in table.column("keys").to_pylist()]
         ordered = np.sort(np.concatenate(parts))
         again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         answers = []
