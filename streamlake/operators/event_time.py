@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-from .running import running, time_bucket
+from .running import bucket_width, running, time_bucket
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -46,7 +46,7 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys=(), aggs=()) ->
 
 
 def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
-                bucket_seconds: int = 3600, materialize: bool = True) -> DataFrame:
+                bucket_seconds: float | None = None, materialize: bool = True) -> DataFrame:
     """T12 (batch): gap-and-island session numbering, skew-safe.
 
     A row opens a session when it is the key's first row or follows the
@@ -60,6 +60,7 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
     order = [order] if isinstance(order, str) else list(order)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     d = df.withColumn("_tms", t)
+    bucket_seconds = bucket_width(df, ts, bucket_seconds)
     b = time_bucket(ts, bucket_seconds)
     d = running(d, [key], order, "_tms", "max", "_prev", b, include_current=False)
     d = d.withColumn("_open", (F.col("_prev").isNull() |
@@ -73,7 +74,7 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
 
 
 def session_windows(df: DataFrame, key: str, ts: str, order, gap_ms: int, aggs=(),
-                    bucket_seconds: int = 3600) -> DataFrame:
+                    bucket_seconds: float | None = None) -> DataFrame:
     """Per session: start (first ts), end (last ts + gap) and ``aggs``."""
     s = session_ids(df, key, ts, order, gap_ms, bucket_seconds)
     t = F.col(ts).cast("timestamp")
@@ -92,7 +93,7 @@ def session_windows_native(df: DataFrame, key: str, ts: str, gap: str, aggs=())
 
 
 def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slide: int,
-                     ts: str, bucket_seconds: int = 3600) -> DataFrame:
+                     ts: str, bucket_seconds: float | None = None) -> DataFrame:
     """``countWindow(size, slide).sum(value)`` -- every ``slide``-th row of
     a key emits the sum of that key's last ``size`` rows.
 
@@ -101,6 +102,7 @@ def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slid
     so no per-key frame buffer is needed.
     """
     order = [order] if isinstance(order, str) else list(order)
+    bucket_seconds = bucket_width(df, ts, bucket_seconds)
     b = time_bucket(ts, bucket_seconds)
     d = running(df, [key], order, F.lit(1).cast("long"), "sum", "_n", b)
     d = running(d, [key], order, value, "sum", "_s", time_bucket(ts, bucket_seconds))

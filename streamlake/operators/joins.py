@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_keys
+from .running import bucket_width, time_bucket
 from .sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 
 
@@ -139,7 +141,7 @@ def version_table(versions: DataFrame, key: str, ts: str,
 
 
 def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
-              ts_p: str, ts_v: str, bucket_seconds: int = 86_400,
+              ts_p: str, ts_v: str, bucket_seconds: float | None = None,
               version_order: str | None = None) -> DataFrame:
     """For each probe row the latest version with ``ts_v <= ts_p``
     of the same key (inner: probes without an earlier version are dropped).
@@ -162,7 +164,9 @@ def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
     pt = probe.select(F.col(key_p).alias("_k"), F.col(ts_p).cast("timestamp").alias("_t"),
                       F.lit(1).alias("_side"), F.lit(0).alias("_tie"),
                       F.lit(None).cast(ver_type).alias("_ver"), F.struct(*pcols).alias("_prb"))
-    u = vt.unionByName(pt).withColumn("_bk", F.floor(F.unix_seconds("_t") / bucket_seconds))
+    # about as many rows in a bucket whatever time they span
+    width = bucket_width(vt.select("_t").unionByName(pt.select("_t")), "_t", bucket_seconds)
+    u = vt.unionByName(pt).withColumn("_bk", time_bucket("_t", width))
     order = ["_t", "_side", "_tie"]
     # level 1: last version so far inside each (key, bucket)
     w_in = Window.partitionBy("_k", "_bk").orderBy(*order) \
@@ -174,7 +178,7 @@ def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
         F.max_by("_ver", F.struct(F.col("_ver").isNotNull(), *order)).alias("_bl"))
     w_prev = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     carry = buckets.withColumn("_carry", F.last("_bl", ignorenulls=True).over(w_prev)).drop("_bl")
-    r = u.filter(F.col("_side") == 1).join(carry, ["_k", "_bk"], "left") \
+    r = join_keys(u.filter((F.col("_side") == 1) & F.col("_k").isNotNull()), carry, ["_k", "_bk"]) \
          .withColumn("_v", F.coalesce("_cur", "_carry")).filter(F.col("_v").isNotNull())
     return r.select(*[F.col(f"_prb.{c}").alias(c) for c in pcols],
                     *[F.col(f"_v.{c}").alias(c) for c in vcols])

@@ -21,12 +21,26 @@ from pyspark.sql import functions as F
 
 from .keys import join_keys
 
-DEFAULT_BUCKET_SECONDS = 3600
+ROWS_PER_BUCKET = 500_000
 
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 
 
-def time_bucket(ts: str, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
+def bucket_width(df: DataFrame, ts: str, bucket_seconds: float | None = None) -> float:
+    """Seconds per bucket: as given, or so that a bucket holds about
+    ``ROWS_PER_BUCKET`` rows -- the number of buckets grows with the rows,
+    whatever time they span (one aggregate over the time column)."""
+    if bucket_seconds is not None:
+        return bucket_seconds
+    if df.isStreaming:
+        return 3600.0
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    low, high, rows = df.agg(F.min(t), F.max(t), F.count(t)).first()
+    span = (high - low) / 1e6 if rows else 0.0
+    return max(span / max(1, rows // ROWS_PER_BUCKET), 1e-3) + 1e-3
+
+
+def time_bucket(ts: str, seconds: float) -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000))
 
 
@@ -68,20 +82,20 @@ def running(df: DataFrame, keys, order, value, kind: str, out: str,
     return d.withColumn(out, res).drop("_bk", "_v", "_in", "_c")
 
 
-def running_sum(df, keys, order, value, out, ts, bucket_seconds=DEFAULT_BUCKET_SECONDS):
+def running_sum(df, keys, order, value, out, ts, bucket_seconds=None):
     """One output per input row carrying the key's sum so far."""
-    return running(df, keys, order, value, "sum", out, time_bucket(ts, bucket_seconds))
+    return running(df, keys, order, value, "sum", out, time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
 
 
-def running_count(df, keys, order, out, ts, bucket_seconds=DEFAULT_BUCKET_SECONDS):
+def running_count(df, keys, order, out, ts, bucket_seconds=None):
     """Running ``COUNT(*)`` (no keys = over the whole table)."""
     return running(df, keys, order, F.lit(1).cast("long"), "sum", out,
-                   time_bucket(ts, bucket_seconds))
+                   time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
 
 
-def running_max(df, keys, order, value, out, ts, bucket_seconds=DEFAULT_BUCKET_SECONDS):
+def running_max(df, keys, order, value, out, ts, bucket_seconds=None):
     """Running max."""
-    return running(df, keys, order, value, "max", out, time_bucket(ts, bucket_seconds))
+    return running(df, keys, order, value, "max", out, time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
 
 
 def first_seen_flag(df: DataFrame, entity, order, row_id: str, out: str = "first_seen",
@@ -101,13 +115,13 @@ def first_seen_flag(df: DataFrame, entity, order, row_id: str, out: str = "first
 
 
 def running_distinct(df, entity, order, row_id, out, ts, keys=(),
-                     bucket_seconds=DEFAULT_BUCKET_SECONDS):
+                     bucket_seconds=None):
     """Running ``COUNT(DISTINCT entity) OVER (ORDER BY ..)`` -- Spark has
     no distinct window aggregates, so count first sightings instead."""
     keys = list(keys)
     flagged = first_seen_flag(df, entity, order, row_id, "_fs", keys)
     return running(flagged, keys, order, "_fs", "sum", out,
-                   time_bucket(ts, bucket_seconds)).drop("_fs")
+                   time_bucket(ts, bucket_width(df, ts, bucket_seconds))).drop("_fs")
 
 
 def lag_bucketed(df: DataFrame, keys, order, value, out: str, bucket: Column) -> DataFrame:
@@ -131,7 +145,7 @@ def lag_bucketed(df: DataFrame, keys, order, value, out: str, bucket: Column) ->
 
 
 def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1,
-                     ts: str | None = None, bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     ts: str | None = None, bucket_seconds=None) -> DataFrame:
     """``SUM(v) OVER (PARTITION BY k ORDER BY o ROWS BETWEEN n PRECEDING
     AND CURRENT ROW)``.  With ``ts`` given and ``preceding == 1`` it is
     computed as ``v + LAG(v)`` over time buckets (skew-safe); otherwise as a
@@ -141,7 +155,7 @@ def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1,
     v = F.col(value) if isinstance(value, str) else value
     if ts is not None and preceding == 1:
         d = lag_bucketed(df.withColumn("_cur", v), keys, order, "_cur", "_prev",
-                         time_bucket(ts, bucket_seconds))
+                         time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
         return d.withColumn(out, F.when(F.col("_prev").isNull(), F.col("_cur"))
                             .otherwise(F.col("_cur") + F.col("_prev"))).drop("_cur", "_prev")
     w = Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)) \
@@ -150,7 +164,7 @@ def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1,
 
 
 def running_max_keep_first(df: DataFrame, keys, order, value, ts, out_prefix="",
-                           bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                           bucket_seconds=None) -> DataFrame:
     """``keyBy(k).max(f)`` -- per row, the running max of ``value``;
     every other field comes from the key's *first* row."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -164,7 +178,7 @@ def running_max_keep_first(df: DataFrame, keys, order, value, ts, out_prefix="",
 
 
 def retract_changelog(df: DataFrame, keys, order, value_col: str, ts: str,
-                      kind: str = "count", bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      kind: str = "count", bucket_seconds=None) -> DataFrame:
     """K11 (batch form): the retract stream of a running grouped aggregate.
 
     For every input row the aggregate of its key changes from ``old`` to
@@ -172,6 +186,7 @@ def retract_changelog(df: DataFrame, keys, order, value_col: str, ts: str,
     ``(true, key, new)``; ``seq`` orders the pair within the input row.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    bucket_seconds = bucket_width(df, ts, bucket_seconds)
     r = running_count(df, keys, order, "_n", ts, bucket_seconds)
     if kind == "count":
         r = r.withColumn("_new", F.col("_n"))
@@ -189,10 +204,11 @@ def retract_changelog(df: DataFrame, keys, order, value_col: str, ts: str,
 
 
 def running_reduce_labeled(df: DataFrame, key: str, order, value: str, label_col: str,
-                           ts: str, label: str = "Sum", bucket_seconds=DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                           ts: str, label: str = "Sum", bucket_seconds=None) -> DataFrame:
     """``keyBy(k).reduce((a, b) -> (a.k, "Sum", a.v + b.v))`` on a stream:
     the first row of a key is emitted unchanged, every later row carries the
     running total and the constant label."""
+    bucket_seconds = bucket_width(df, ts, bucket_seconds)
     r = running_count(df, [key], order, "_n", ts, bucket_seconds)
     r = running_sum(r, [key], order, value, "_s", ts, bucket_seconds)
     return r.withColumn(label_col, F.when(F.col("_n") == 1, F.col(label_col)).otherwise(F.lit(label))) \

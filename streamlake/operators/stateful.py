@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-from .running import running, time_bucket
+from .running import bucket_width, running, time_bucket
 
 # ----------------------------------------------------------------- U05 -----
 # The state machine's transition table (state, event) -> state.
@@ -70,13 +70,14 @@ def state_machine_step(state: str | None, event: str) -> tuple[str | None, bool]
 
 
 def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str,
-                         block_rows: int = 200_000, bucket_seconds: int = 3600,
+                         block_rows: int = 200_000, bucket_seconds: float | None = None,
                          ts: str = "ts") -> DataFrame:
     """Alerts (key, row_id, state, event) for every invalid transition
     in each key's event sequence (ordered by ``order``)."""
     order = [order] if isinstance(order, str) else list(order)
     d = df.select(key, row_id, event, *[c for c in order if c not in (row_id,)])
-    d = running(d, [key], order, F.lit(1).cast("long"), "sum", "_rn", time_bucket(ts, bucket_seconds))
+    d = running(d, [key], order, F.lit(1).cast("long"), "sum", "_rn",
+                time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
     d = d.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows)).select(key, row_id, event, "_rn", "_blk")
     # read by pass A and pass C: materialise the numbered rows once
     from ..session import ensure_checkpoint_dir
@@ -291,7 +292,7 @@ class _RiseSegmentFold(KeyedFold):
 
 
 def rise_alerts_segmented(df: DataFrame, key: str, ts: str, value: str, order,
-                          interval_ms: int = 3000, bucket_seconds: int = 3600) -> DataFrame:
+                          interval_ms: int = 3000, bucket_seconds: float | None = None) -> DataFrame:
     """U01 split at resets: a falling value always clears the timer, so the
     rows between two falls form independent segments.  Falls come from a
     bucketed lag, segment numbers from a bucketed running count, and each
@@ -304,6 +305,7 @@ def rise_alerts_segmented(df: DataFrame, key: str, ts: str, value: str, order,
                   F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"),
                   F.col(value).alias("_val"), *[c for c in order if c not in (key, ts, value)])
     o = ["_ts"] + [c for c in order if c != ts]
+    bucket_seconds = bucket_width(df, ts, bucket_seconds)
     b = time_bucket("_ts", bucket_seconds)
     d = lag_bucketed(d, [key], o, "_val", "_pv", b)
     d = d.withColumn("_start", (F.col("_pv").isNull() | (F.col("_val") < F.col("_pv"))).cast("long"))

@@ -119,7 +119,7 @@ def j25_predict_with_latest_model(spark, sf):
     models = u11_window_models(spark, sf).select(F.lit(0).alias("_mk"), F.col("model_time").cast("timestamp").alias("mt"), "model")
     v = events(spark, sf, "event_id", "ts", "event_type", "value").filter(F.col("event_type") == "view") \
         .select("event_id", "ts", "value", F.lit(0).alias("_pk"))
-    r = J.asof_join(v, models, "_pk", "_mk", "ts", "mt", bucket_seconds=3600)
+    r = J.asof_join(v, models, "_pk", "_mk", "ts", "mt")
     return r.select("event_id", (F.col("value") - F.col("model")).alias("residual"))
 
 

@@ -51,7 +51,7 @@ def a05_running_max_by(spark, sf):
     best = F.struct(F.col("value").alias("value"), (-F.unix_micros("ts")).alias("nts"),
                     (-F.col("event_id")).alias("nid"), F.col("event_type").alias("event_type"))
     r = RN.running(e.withColumn("_s", best), ["user_id"], ORDER, "_s", "max", "_best",
-                   RN.time_bucket("ts"))
+                   RN.time_bucket("ts", RN.bucket_width(e, "ts")))
     return r.select("event_id", "user_id", F.col("_best.value").alias("max_value"),
                     (-F.col("_best.nid")).alias("max_event_id"),
                     F.col("_best.event_type").alias("max_event_type"))
@@ -121,7 +121,7 @@ def g17_uv_per_ten_minutes(spark, sf):
     label's max (the label itself is a running max, as in the SQL form)."""
     e = _ev(spark, sf, "event_id", "ts", "user_id").withColumn("label", ten_minute_bucket("ts"))
     r = RN.running_distinct(e, "user_id", ORDER, "event_id", "uv", "ts")
-    r = RN.running(r, [], ORDER, "label", "max", "time_str", RN.time_bucket("ts"))
+    r = RN.running(r, [], ORDER, "label", "max", "time_str", RN.time_bucket("ts", RN.bucket_width(e, "ts")))
     return r.groupBy("time_str").agg(F.max("uv").alias("uv"))
 
 
