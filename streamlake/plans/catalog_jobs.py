@@ -21,3 +21,4 @@ from . import iter_jobs  # noqa: F401,E402
 from . import state_jobs  # noqa: F401,E402
 from . import misc_jobs  # noqa: F401,E402
 from . import trigger_jobs  # noqa: F401,E402
+from . import parse_jobs  # noqa: F401,E402
