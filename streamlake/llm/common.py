@@ -32,13 +32,14 @@ def table_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts
     the lineage, fixes the rows (they don't change when a task runs again)
-    and survives lost executors.  Deleted when the application ends."""
+    and survives lost executors.  Deleted when the application ends.
+    ``files`` bounds the number of files of a table that is small by its meaning."""
     spark = df.sparkSession
     path = table_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import word_count, write_table
 
-CELLS = 4096  # cells of a refinement of the shift
-PASSES = 3  # refinements: 4096 ** -3 of the range holds one document
+CELLS = 65536  # cells of a refinement of the shift
+PASSES = 2  # refinements: 65536 ** -2 of the range holds a few documents at most
 ROUNDS = 4  # fillings with ever smaller documents
 
 
@@ -74,7 +74,7 @@ def solve(hist: DataFrame, state: DataFrame, cap: float, tolerance: float = 1e-9
                               F.lit(0.0)).alias("lam"),
                        F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
                        F.lit(1.0).alias("gap"))
-    now = write_table(now, "mix-step")
+    now = write_table(now, "mix-step", 1)
     for _ in range(steps):
         x = F.col("size") / F.col("top")
         rate = _rate(F.col("lam"), x, cap)
@@ -94,7 +94,7 @@ def solve(hist: DataFrame, state: DataFrame, cap: float, tolerance: float = 1e-9
         now = write_table(now.join(sums, "sid", "left").select(
             "sid", "top", "target", F.when(F.col("lam").isNotNull(), step).alias("lam"),
             low.alias("low"), high.alias("high"),
-            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap")), "mix-step")
+            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap")), "mix-step", 1)
         if now.agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0] <= tolerance:
             break
     # rounded: sums of doubles depend on their order in the last digits, reruns must agree
@@ -125,18 +125,17 @@ def _shifts(rows: DataFrame, state: DataFrame, cap: int) -> DataFrame:
                       .filter(f"k >= 0 and k < {CELLS}")
                       .groupBy("sid", "k").agg(F.sum("size").alias("words")))
             upto = Window.partitionBy("sid").orderBy("k")
-            first = (inside.withColumn("sum", F.sum("words").over(upto)).join(cell.select("sid", "need"), "sid")
-                     .filter(F.col("sum") > F.col("need"))
-                     .groupBy("sid").agg(F.min(F.struct("k", "sum", "words")).alias("c")))
-            spent = inside.groupBy("sid").agg(F.sum("words").alias("all"))
+            over = (inside.withColumn("sum", F.sum("words").over(upto)).join(cell.select("sid", "need"), "sid")
+                    .groupBy("sid").agg(F.min(F.when(F.col("sum") > F.col("need"), F.struct("k", "sum", "words")))
+                                        .alias("c"), F.sum("words").alias("all")))
             # if no cell exceeds the need, all gains of the range are taken and the cell moves past it
-            cell = write_table(cell.join(first, "sid", "left").join(spent, "sid", "left").select(
+            cell = write_table(cell.join(over, "sid", "left").select(
                 "sid", F.when(F.col("c").isNull(), F.col("need") - F.coalesce("all", F.lit(0)))
                 .otherwise(F.col("need") - F.col("c.sum") + F.col("c.words")).alias("need"),
                 (F.col("low") + F.coalesce(F.col("c.k").cast("double"), F.lit(float(CELLS))) * F.col("width") / CELLS)
-                .alias("low"), (F.col("width") / CELLS).alias("width")), "mix-cells")
+                .alias("low"), (F.col("width") / CELLS).alias("width")), "mix-cells", 1)
         known = write_table(known.drop("need").join(
-            cell.select("sid", "need", F.col("low").alias(f"shift_{r}")), "sid"), "mix-shifts")
+            cell.select("sid", "need", F.col("low").alias(f"shift_{r}")), "sid"), "mix-shifts", 1)
     return known.drop("need")
 
 
@@ -145,14 +144,14 @@ def fit(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3)
     source_size, target, top, lam`` and the shifts. ``sized``: id, source, size."""
     counts = write_table(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "mix-histogram")
     sizes = write_table(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"),
-                                                     F.max("size").alias("top")), "mix-sources")
+                                                     F.max("size").alias("top")), "mix-sources", 1)
     state = write_table(targets(sizes.drop("top"), weights, cap).alias("t")
                         .join(sizes.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
-                        .select("t.source", "sid", "t.source_size", "target", "top"), "mix-targets")
+                        .select("t.source", "sid", "t.source_size", "target", "top"), "mix-targets", 1)
     hist = _of_source(counts, state.select("source", "sid")).select("sid", "size", "docs")
-    params = write_table(state.join(solve(hist, state, float(cap)), ["sid", "top"]), "mix-multipliers")
+    params = write_table(state.join(solve(hist, state, float(cap)), ["sid", "top"]), "mix-multipliers", 1)
     levels = _level(_of_source(sized, params), cap).select("sid", "size", "level")
-    return write_table(params.join(_shifts(write_table(levels, "mix-levels"), state, cap), "sid"), "mix-parameters")
+    return write_table(params.join(_shifts(write_table(levels, "mix-levels"), state, cap), "sid"), "mix-parameters", 1)
 
 
 def _of_source(rows: DataFrame, params: DataFrame) -> DataFrame:
