@@ -45,21 +45,11 @@ def substr(c, pos: int, length: int) -> Column:
     return F.substring(col_(c), pos, length)
 
 
-def concat_str(*cols) -> Column:
-    """``a || b`` (null if any side is null, as SQL)."""
-    return F.concat(*[col_(c) for c in cols])
-
-
 def prefix_text(prefix: str, c) -> Column:
     """``"prefix" + value`` string formatting."""
     return F.concat(F.lit(prefix), col_(c).cast("string"))
 
 
-def year_of_string(c) -> Column:
-    """Integer year from the first four characters of a date string."""
-    return F.substring(col_(c).cast("string"), 1, 4).cast("int")
-
-
 def to_date_str(c, fmt: str = "yyyy-MM-dd") -> Column:
     """parse a date string."""
     return F.to_date(col_(c), fmt)
@@ -122,6 +112,3 @@ def int_to_ip(c) -> Column:
 
 
 # ---------------------------------------------------------------- json ------
-def json_field(c, path: str) -> Column:
-    """JSON field access as text (null when absent)."""
-    return F.get_json_object(col_(c), path)

@@ -59,11 +59,3 @@ def weighted_avg_udaf(v: pd.Series, w: pd.Series) -> float:
         return None
     q = abs(num) // abs(den)
     return float(q if (num >= 0) == (den > 0) else -q)
-
-
-@F.pandas_udf(T.BooleanType())
-def in_box_pandas(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    """D01 Python form (string, float or double input): vectorised test."""
-    x = pd.to_numeric(lon).astype("float64")
-    y = pd.to_numeric(lat).astype("float64")
-    return (x >= LON_WEST) & (x <= LON_EAST) & (y >= LAT_SOUTH) & (y <= LAT_NORTH)

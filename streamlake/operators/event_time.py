@@ -84,14 +84,6 @@ def session_windows(df: DataFrame, key: str, ts: str, order, gap_ms: int, aggs=(
         *aggs).drop("session_id")
 
 
-def session_windows_native(df: DataFrame, key: str, ts: str, gap: str, aggs=()) -> DataFrame:
-    """T12 with Spark's ``session_window`` (the streaming form)."""
-    w = F.session_window(F.col(ts).cast("timestamp"), gap)
-    return df.groupBy(key, w.alias("s")).agg(*aggs) \
-             .withColumn("session_start", F.col("s.start")) \
-             .withColumn("session_end", F.col("s.end")).drop("s")
-
-
 def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slide: int,
                      ts: str, bucket_seconds: float | None = None) -> DataFrame:
     """``countWindow(size, slide).sum(value)`` -- every ``slide``-th row of

@@ -132,14 +132,6 @@ def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
     return lb.join(rb, cond).drop("_b", "_rb")
 
 
-def version_table(versions: DataFrame, key: str, ts: str,
-                  valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Turn a change stream into versions valid on ``[from, to)``."""
-    w = Window.partitionBy(key).orderBy(ts)
-    return versions.withColumn(valid_from, F.col(ts)) \
-                   .withColumn(valid_to, F.lead(ts).over(w))
-
-
 def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
               ts_p: str, ts_v: str, bucket_seconds: float | None = None,
               version_order: str | None = None) -> DataFrame:

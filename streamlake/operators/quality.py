@@ -27,14 +27,6 @@ def missing_counts(df: DataFrame, cols) -> DataFrame:
     return df.agg(*[F.count_if(is_missing(c)).alias(f"missing_{c}") for c in cols])
 
 
-def drop_missing_observed(df: DataFrame, cols, name: str = "missing_fields"):
-    """P15 in one pass: filtered rows plus an Observation holding the
-    per-field missing counts (read after the first action)."""
-    obs = Observation(name)
-    observed = df.observe(obs, *[F.count_if(is_missing(c)).alias(f"missing_{c}") for c in cols])
-    return drop_missing(observed, cols), obs
-
-
 def count_rows_observed(df: DataFrame, name: str = "num_lines"):
     """Named counter of rows seen, collected alongside the main job."""
     obs = Observation(name)

@@ -79,12 +79,6 @@ def filter_year(df: DataFrame, col: str, op: str, year: int) -> DataFrame:
     return df.filter(tests[op])
 
 
-def filter_contains_all(df: DataFrame, col: str, keywords) -> DataFrame:
-    """Keep rows whose text contains every keyword."""
-    cond = reduce(lambda a, b: a & b, [F.col(col).contains(k) for k in keywords])
-    return df.filter(cond)
-
-
 # ------------------------------------------------------------ keys ----------
 def key_by(df: DataFrame, key) -> GroupedData:
     """Key by position, field name or expression (a grouping)."""
@@ -112,10 +106,6 @@ def canonical_edges(edges: DataFrame, a: str = "v1", b: str = "v2") -> DataFrame
 
 
 # ------------------------------------------------------------ aggregates ----
-def grouped_sum(df: DataFrame, keys, value: str, alias: str | None = None) -> DataFrame:
-    """``groupBy(keys).sum(value)``."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.sum(value).alias(alias or f"sum_{value}"))
 
 
 def grouped_min(df: DataFrame, keys, value: str, alias: str | None = None) -> DataFrame:
@@ -141,11 +131,6 @@ def max_by_row(df: DataFrame, keys, value: str, order: str | None = None) -> Dat
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
 
 
-def global_sum(df: DataFrame, value: str, alias: str = "total") -> DataFrame:
-    """Global reduce."""
-    return df.agg(F.sum(value).alias(alias))
-
-
 def group_to_list(df: DataFrame, key: str, value: str, alias: str = "values",
                   sort: bool = True) -> DataFrame:
     """Group-reduce to a (sorted) list.
@@ -187,15 +172,6 @@ def weighted_avg(df: DataFrame, keys, v: str, w: str, alias: str = "wavg") -> Da
     return df.groupBy(*keys).agg(weighted_avg_expr(v, w).alias(alias))
 
 
-def ohlc_vwap(df: DataFrame, keys, ts: str, price: str, volume: str) -> DataFrame:
-    """open/high/low/close and volume-weighted average price."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(
-        F.min_by(price, ts).alias("open"), F.max(price).alias("high"),
-        F.min(price).alias("low"), F.max_by(price, ts).alias("close"),
-        (F.sum(F.col(price) * F.col(volume)) / F.sum(volume)).alias("vwap"))
-
-
 def having(agg: DataFrame, cond) -> DataFrame:
     """Filter after the aggregate."""
     return agg.filter(cond)

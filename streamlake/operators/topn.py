@@ -37,15 +37,3 @@ def top_n(df: DataFrame, keys, order, n: int, keep_rank: bool = True,
     """Top ``n`` rows per group (``keep_rank=False`` drops it)."""
     r = row_number(df, keys, order, out).filter(F.col(out) <= n)
     return r if keep_rank else r.drop(out)
-
-
-def sort_by(df: DataFrame, *order) -> DataFrame:
-    """Multi-key global order, mixed directions (range-partitioned
-    sort, so it scales across executors)."""
-    return df.orderBy(*_order_cols(list(order)))
-
-
-def sort_within_group(df: DataFrame, key: str, order, partitions: int | None = None) -> DataFrame:
-    """Co-locate each group and sort inside it without a global sort."""
-    d = df.repartition(partitions, key) if partitions else df.repartition(key)
-    return d.sortWithinPartitions(key, *_order_cols(order))

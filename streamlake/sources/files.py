@@ -109,9 +109,6 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-TWEET_FIELDS = "struct<text: string, lang: string, user: struct<lang: string>>"
-
-
 def read_json_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """JSON-lines records kept as raw text (``value``) for lazy parsing."""
     return read_lines(spark, path, stream=stream)

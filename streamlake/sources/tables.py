@@ -44,9 +44,3 @@ def to_ntz(df: DataFrame, *cols: str) -> DataFrame:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return df
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables as temporary views for SQL text."""
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)
-
