@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .words import U, chunks, shingle_sets, word_table
 
-SAMPLE_ROWS = 16384
+SAMPLE_ROWS = 8192
 BITS = 18
 BEGINNINGS = (4, 5)  # bytes
 SHAPES = ("shouted", "symbols", "repeated", "fragments")
@@ -121,13 +121,13 @@ def posterior(patterns: np.ndarray, prior: float, rates: np.ndarray) -> np.ndarr
 
 
 def train(shares: np.ndarray, words: list[np.ndarray], target: np.ndarray, rounds: int = 300,
-          penalty: float = 1e-3, least_rows: int = 4, features_used: int = 2048) -> np.ndarray:
+          penalty: float = 1e-3, least_rows: int = 4, features_used: int = 1024) -> np.ndarray:
     """Logistic regression on soft targets with an L1 penalty on the words, so
     that only words that set the classes apart count (Adam with a proximal
     step, full batches): weights of the hashed words, the shapes and the
     intercept. Of the words that ``least_rows`` rows hold, the
     ``features_used`` that depend most on the target take part."""
-    rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    rows = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
     slots = np.concatenate(words) if words else np.zeros(0, np.int32)
     held = np.bincount(slots, minlength=1 << BITS)
     mean = target.mean() if len(target) else 0.0
@@ -137,8 +137,11 @@ def train(shares: np.ndarray, words: list[np.ndarray], target: np.ndarray, round
     taken = np.zeros(1 << BITS, bool)
     taken[np.argsort(-apart, kind="stable")[:features_used]] = True
     taken &= apart > 0
-    rows, slots = rows[taken[slots]], slots[taken[slots]]
-    used, at = np.unique(slots, return_inverse=True)
+    here = taken[slots]
+    rows, slots = rows[here], slots[here]
+    used = np.flatnonzero(taken)
+    at = (np.cumsum(taken, dtype=np.int32) - 1)[slots]  # position among the used ones
+    del here, slots
     w, dense = np.zeros(len(used)), np.zeros(shares.shape[1] + 1)
     x = np.column_stack([shares, np.ones(len(shares))])
     state = [np.zeros(len(used) + len(dense)) for _ in range(2)]
