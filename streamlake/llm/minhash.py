@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .common import write_table
-from .words import chunks, shingle_sets
+from .words import chunks, raw_texts, shingle_sets
 
 TREES, LEVELS, LEAST, NEAR = 20, 8, 4, 3
 _rng = np.random.default_rng(85)
@@ -61,7 +61,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
+            for texts in chunks(raw_texts(batch.column("text"))):
                 sets = shingle_sets(texts, width)
                 full = [s for s in sets if len(s)]
                 sig = iter(minima(full) if full else [])
@@ -158,7 +158,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
     """``node, set`` (packed 64-bit hashes) for ``wanted`` (node, key, id)."""
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
+            for texts in chunks(raw_texts(batch.column("text"))):
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_set_key(s) for s in sets], pa.binary()),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import U, chunks, shingle_sets, word_table
+from .words import U, chunks, raw_texts, shingle_sets, word_table
 
 SAMPLE_ROWS = 8192
 BITS = 18
@@ -221,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
         for batch in batches:
             ids = batch.column("id").to_pylist()
             done = 0
-            for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
+            for texts in chunks(raw_texts(batch.column("text"))):
                 shares, words, counts = features(texts)
                 least = [s[:LEAST].astype("<u8").tobytes() for s in shingle_sets(texts)]
                 yield pa.RecordBatch.from_arrays(
@@ -248,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, done = batch.column("id"), 0
-            for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
+            for texts in chunks(raw_texts(batch.column("text"))):
                 v = votes(*features(texts), lexicon)
                 code = ((v + 1) * 3 ** np.arange(v.shape[1])).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([ids.slice(done, len(texts)), pa.array(code, pa.int64())],
@@ -287,7 +287,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in chunks([(t or "").encode() for t in batch.column("text").to_pylist()]):
+            for texts in chunks(raw_texts(batch.column("text"))):
                 shares, words, _ = features(texts)
                 low, toxic = (shared.value.score(t, shares, words) for t in ("low", "toxic"))
                 yield pa.RecordBatch.from_arrays(

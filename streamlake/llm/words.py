@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -42,7 +43,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def chunks(texts: list[bytes], size: int = 2_000_000) -> Iterator[list[bytes]]:
+def raw_texts(column: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of a text column, null as empty."""
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return [t or b"" for t in column.cast(kind).to_pylist()]
+
+
+def chunks(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]]:
     """Consecutive texts of about ``size`` bytes together (a longer text alone)."""
     out, held = [], 0
     for t in texts:
