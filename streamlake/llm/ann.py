@@ -95,21 +95,23 @@ def robust_prune(x: np.ndarray, node: int, pool: np.ndarray, degree: int, alpha:
 
 
 def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> np.ndarray:
-    """Neighbour lists (-1 where there is none) of the rows of ``x`` (distinct)."""
-    n = len(x)
+    """Neighbour lists (-1 where there is none) of the rows of ``x`` (distinct).
+    A list is pruned to ``degree`` and may grow by half of that through edges
+    back to it before it is pruned again."""
+    n, most = len(x), degree + degree // 2
     rng = np.random.default_rng(n)
-    graph = np.full((n, degree), -1)
+    graph = np.full((n, most), -1)
     if n <= degree + 1:
         for k in range(n):
             graph[k, :n - 1] = np.delete(np.arange(n), k)
         return graph
-    graph[:] = rng.integers(0, n, (n, degree))
+    graph[:, :degree] = rng.integers(0, n, (n, degree))
     entries = entry_points(n)
-    for relax in (1.0, alpha):
+    for relax in (1.0, alpha):  # a coarse graph, then the one that stays
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             nodes = order[at:at + BATCH]
-            ids, _, visited = beam_search(x, graph, entries, x[nodes], beam, nodes)
+            ids, _, visited = beam_search(x, graph, entries, x[nodes], beam if relax > 1 else beam // 2, nodes)
             back: dict[int, list[int]] = {}
             for node, near, passed in zip(nodes, ids, visited):
                 kept = robust_prune(x, node, np.concatenate([near, passed, graph[node]]), degree, relax)
@@ -120,7 +122,7 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float =
             for k, new in back.items():
                 have = graph[k][graph[k] >= 0]
                 more = np.setdiff1d(new, have)
-                if len(have) + len(more) > degree:
+                if len(have) + len(more) > most:
                     kept = robust_prune(x, k, np.concatenate([have, more]), degree, relax)
                 else:
                     kept = np.concatenate([have, more])
