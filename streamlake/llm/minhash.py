@@ -7,13 +7,23 @@ over tasks); candidates are the neighbours in that order with a common prefix
 of at least ``least`` minima: the ``NEAR`` rows before a row, and for each
 prefix length the first row of its region (a dense region so compares at the
 depth where it branches, a sparse one at the least depth). Their number is
-linear in the rows. Rows beside a partition's border are compared again.
+linear in the rows. Rows beside a partition's border are compared again. Sets
+in a region of more than ``NEAR`` + 1 rows (there not all pairs are candidates)
+are marked as crowded, and ``complete`` finds all links between them.
 
 Candidates are confirmed on the full sets in two rounds: first each set's
 deepest candidate; then only those that would join different components, so
 a group of n near copies costs about n comparisons. Components come from
 alternating large-star and small-star steps, checkpointed each.
 
+Crowded sets then go through an exact prefix-filter join: a pair at the
+threshold shares one of the ``n - ceil(percent * n) + 1`` rarest shingles of
+both sets. Only shingles that stand in several components go on; their sets
+meet the one with the fewest rarer shingles first (the base of a star), and
+what is still apart is compared in full, salted, under exact size, position
+and parity filters. Each step only joins components, none leaves out a pair
+that could.
+
 Defined results: null and empty texts, or texts of white space, have the
 empty set and are linked with nothing; a null id is never reported as a
 component while the component has an id; repeated rows are documents with
@@ -27,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -35,6 +45,9 @@ from .common import write_table
 from .words import chunks, raw_texts, shingle_sets
 
 TREES, LEVELS, LEAST, NEAR = 20, 8, 4, 3
+CELLS = 20  # bits of the cells that count shingles for their order
+PARITY = 8  # words of 64 bits that hold a set's parities
+SALT_ROWS = 1000  # rows of a shingle that are compared in one piece
 _rng = np.random.default_rng(85)
 _A = _rng.integers(1, 1 << 32, TREES * LEVELS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, TREES * LEVELS, dtype=np.uint32)
@@ -84,7 +97,8 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def neighbours(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterator[pa.RecordBatch]:
     """Candidates among rows (tree, path, node) in sorted order: ``a, b,
-    depth``, and with ``path`` set the first and last rows (border rows)."""
+    depth``, with ``path`` set the first and last rows (border rows), and with
+    ``a`` alone the nodes in regions of more than NEAR + 1 rows."""
     shape = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("depth", pa.int32()), ("tree", pa.int32()),
                        ("path", pa.binary())])
 
@@ -94,13 +108,18 @@ def neighbours(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterato
             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(depth.astype(np.int32)),
              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=shape)
 
+    def marked(nodes: np.ndarray) -> pa.RecordBatch:
+        n = len(nodes)
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
+                                           pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=shape)
+
     def border(rows: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(nodes), pa.nulls(len(nodes), pa.int64()), pa.nulls(len(nodes), pa.int32()),
              pa.array(rows[:, 0].astype(np.int32)),
              pa.array([r.astype(">u2").tobytes() for r in rows[:, 1:]], pa.binary())], schema=shape)
 
-    rows, nodes = np.zeros((0, LEVELS + 1), np.int32), np.zeros(0, np.int64)  # the last NEAR rows
+    rows, nodes = np.zeros((0, LEVELS + 1), np.int32), np.zeros(0, np.int64)  # the last NEAR + 1 rows
     heads = np.zeros(LEVELS + 1, np.int64)  # first node of the running region, by depth
     first = True
     for batch in batches:
@@ -113,7 +132,7 @@ def neighbours(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterato
         kept = len(rows)
         rows, nodes = np.concatenate([rows, new]), np.concatenate([nodes, ids])
         if first:
-            yield border(new[:NEAR], ids[:NEAR])
+            yield border(new[:NEAR + 1], ids[:NEAR + 1])
             first = False
         here = np.arange(kept, kept + n)
         before = np.full(n, -1)  # common prefix with the row before
@@ -126,6 +145,10 @@ def neighbours(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterato
             ok = depth >= least
             if ok.any():
                 yield pairs(nodes[k[ok]], nodes[k[ok] - back], depth[ok])
+        far = here[here > NEAR]
+        far = far[_common(rows[far], rows[far - NEAR - 1]) > least]
+        if len(far):
+            yield marked(np.unique(nodes[far[:, None] - np.arange(NEAR + 2)]))
         for d in range(least, LEVELS + 1):
             starts = before < d
             at = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
@@ -134,13 +157,14 @@ def neighbours(batches: Iterator[pa.RecordBatch], least: int = LEAST) -> Iterato
             ok = (lead != ids) & ~starts
             if ok.any():
                 yield pairs(ids[ok], lead[ok], np.full(ok.sum(), d))
-        rows, nodes = rows[-NEAR:], nodes[-NEAR:]
+        rows, nodes = rows[-NEAR - 1:], nodes[-NEAR - 1:]
     if not first:
         yield border(rows, nodes)
 
 
-def candidates(nodes: DataFrame, least: int = LEAST) -> DataFrame:
-    """Distinct pairs ``a < b`` with the greatest ``depth`` of any tree."""
+def candidates(nodes: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` with the greatest ``depth`` of any tree, and
+    the crowded nodes."""
     order = ["tree", "path", "node"]
     paths = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig").select(
         "tree", F.expr(f"substring(sig, tree * {2 * LEVELS} + 1, {2 * LEVELS})").alias("path"), "node")
@@ -151,7 +175,8 @@ def candidates(nodes: DataFrame, least: int = LEAST) -> DataFrame:
     around = (border.repartition("tree").sortWithinPartitions(*order).mapInArrow(
         lambda rows: neighbours(rows, least), "a long, b long, depth int, tree int, path binary"))
     both = found.filter("path is null").unionByName(around.filter("path is null"))
-    return both.filter("a < b").groupBy("a", "b").agg(F.max("depth").alias("depth"))
+    return (both.filter("a < b").groupBy("a", "b").agg(F.max("depth").alias("depth")),
+            both.filter("b is null").select(F.col("a").alias("node")).distinct())
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -221,6 +246,125 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root"))))
 
 
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``token, node, pos, n``: of each set (node, set) the rarest shingles
+    (token) of which a pair at the threshold shares one, with their place in the
+    set's order. The order is by the shingle's count in a table of fixed size,
+    then by hash: any order common to all sets is right, a rare-first one is short."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << CELLS, np.int64)
+        for batch in batches:
+            for s in batch.column("set").to_pylist():
+                np.add.at(held, (np.frombuffer(s, np.uint64) >> np.uint64(64 - CELLS)).astype(np.int64), 1)
+        cells = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(held[cells])], ["cell", "held"])
+
+    # at most 2 ** CELLS rows
+    counts = (sets.select("set").mapInArrow(count, "cell long, held long").groupBy("cell")
+              .agg(F.sum("held").alias("held")).toArrow())
+    ranks = np.zeros(1 << CELLS, np.uint8)
+    ranks[counts.column("cell").to_numpy()] = np.minimum(8 * np.log2(counts.column("held").to_numpy()), 255)
+    shared = sets.sparkSession.sparkContext.broadcast(ranks)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, s in zip(batch.column("node").to_pylist(), batch.column("set").to_pylist()):
+                s = np.frombuffer(s, np.uint64)
+                taken = len(s) + percent * -len(s) // 100 + 1
+                rank = shared.value[(s >> np.uint64(64 - CELLS)).astype(np.int64)]
+                tokens = s[np.lexsort((s, rank))[:taken]].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens), pa.array(np.full(len(tokens), node)),
+                     pa.array(np.arange(len(tokens), dtype=np.int32)),
+                     pa.array(np.full(len(tokens), len(s), np.int32))], ["token", "node", "pos", "n"])
+
+    return sets.select("node", "set").mapInArrow(rarest, "token long, node long, pos int, n int")
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """``node, parity``: bit k tells whether an odd number of the set's hashes
+    fall into class k. Two sets differ in at least as many shingles as bits."""
+    @pandas_udf("array<long>")
+    def parity(column):
+        import pandas as pd
+        bits = 64 * PARITY
+        return pd.Series([np.packbits(np.bincount((np.frombuffer(s, np.uint64) % np.uint64(bits)).astype(np.int64),
+                                                  minlength=bits) & 1).view(np.int64) for s in column])
+
+    return sets.select("node", parity("set").alias("parity"))
+
+
+def complete(crowded: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``old, root``: how the components of ``roots`` (node, root) that hold
+    crowded nodes join when all pairs of crowded sets are linked that are alike."""
+    state = write_table(crowded.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("old"))
+                        .withColumn("root", F.col("old")), "crowded")
+    own = write_table(sets.join(crowded, "node", "left_semi"), "crowded-sets")
+    tokens = write_table(rare_shingles(own, percent), "crowded-shingles")
+    used = None
+
+    def apart() -> tuple[DataFrame, DataFrame]:
+        """Rows of shingles that stand in several components, and these shingles."""
+        rows = tokens.join(state.select("node", "root"), "node")
+        hub = F.struct("pos", "node", "root", "n")
+        if used is not None:
+            rows = rows.join(used.withColumn("was", F.lit(True)), "node", "left")
+            hub = F.when(F.col("was").isNull(), hub)
+        wide = (rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"), F.min(hub).alias("hub"))
+                .groupBy("token").agg(F.sum("c").alias("rows"), F.count(F.lit(1)).alias("roots"),
+                                      F.max(F.struct("c", "root")).alias("most"), F.min("hub").alias("hub"))
+                .filter("roots > 1").select("token", "rows", F.col("most.root").alias("main"), "hub"))
+        wide = write_table(wide, "crowded-open")
+        return write_table(rows.select("token", "node", "pos", "n", "root").join(wide.select("token"), "token"),
+                           "crowded-rows"), wide
+
+    def may_link(n: str, pos: str, m: str, at: str) -> str:
+        """Sizes allow the similarity, and so does what follows a first common shingle."""
+        return (f"100L * least({n}, {m}) >= {percent}L * greatest({n}, {m}) and "
+                f"{100 + percent}L * least({n} - {pos}, {m} - {at}) >= {percent}L * ({n} + {m})")
+
+    def merged(pairs: DataFrame) -> DataFrame:
+        links = confirm(pairs, own, percent)
+        root = lambda end: state.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        edges = links.join(root("a"), "a").join(root("b"), "b").select(F.col("root_a").alias("a"),
+                                                                       F.col("root_b").alias("b"))
+        joined = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+        return write_table(state.join(joined, "root", "left")
+                           .select("node", "old", F.coalesce("new", "root").alias("root")), "crowded")
+
+    def pair(a: str, b: str) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    last = None
+    while True:
+        rows, wide = apart()
+        left = rows.count()
+        if not left:
+            break
+        if last is None or 2 * left <= last:  # a round pays while it halves the rows
+            last = left
+            near = (rows.join(wide.filter("hub is not null").select("token", "hub"), "token")
+                    .filter("root != hub.root").filter(may_link("n", "pos", "hub.n", "hub.pos")))
+            state = merged(near.select(*pair("node", "hub.node")).distinct())
+            hubs = wide.filter("hub is not null").select("hub.node").distinct()
+            used = write_table(hubs if used is None else used.unionByName(hubs).distinct(), "crowded-hubs")
+            continue
+        # all pairs of different components: one of them is not of the shingle's main component
+        rows = (rows.join(parities(own), "node").join(wide.select("token", "rows", "main"), "token")
+                .withColumn("pieces", F.ceil(F.col("rows") / SALT_ROWS).cast("int")))
+        one = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")).alias("x")
+        other = (rows.filter("root != main")
+                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).alias("y"))
+        differ = " + ".join(f"bit_count(x.parity[{k}] ^ y.parity[{k}])" for k in range(PARITY))
+        near = one.join(other, F.expr(
+            "x.token = y.token and x.salt = y.salt and x.root != y.root and (x.root = x.main or x.node < y.node) and "
+            f"{may_link('x.n', 'x.pos', 'y.n', 'y.pos')} and "
+            f"{100 + percent}L * ({differ}) <= {100 - percent}L * (x.n + y.n)"))
+        state = merged(write_table(near.select(*pair("x.node", "y.node")).distinct(), "crowded-pairs"))
+        break
+    return state.select("old", "root").distinct()
+
+
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
           percent: int = 85, least: int = LEAST) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (the
@@ -230,7 +374,8 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     nodes = write_table(members.filter("key is not null").groupBy("key")
                         .agg(F.min("id").alias("id"), F.any_value("sig").alias("sig"))
                         .withColumn("node", F.monotonically_increasing_id()), "forest-nodes")
-    pairs = write_table(candidates(nodes, least), "forest-candidates")
+    pairs, crowded = candidates(nodes, least)
+    pairs, crowded = write_table(pairs, "forest-candidates"), write_table(crowded, "forest-crowded")
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = write_table(nodes.select("node", "key", "id").join(ends, "node", "left_semi"), "forest-wanted")
@@ -251,9 +396,15 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     more = confirm(other, sets, percent)
     joined = components(first.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
                         .unionByName(more))
-
-    placed = write_table(nodes.select("node", "key", "id").join(joined, "node", "left")
-                         .select("key", "id", F.coalesce("root", "node").alias("root")), "forest-roots")
+    roots = nodes.select("node", "key", "id").join(joined, "node", "left").select(
+        "node", "key", "id", F.coalesce("root", "node").alias("root"))
+    if not crowded.isEmpty():
+        roots = write_table(roots, "forest-roots")
+        further = complete(crowded, roots.select("node", "root"), sets, percent)
+        roots = roots.join(further.withColumnRenamed("root", "new"), F.col("root") == F.col("old"), "left").select(
+            "key", "id", F.coalesce("new", "root").alias("root"))
+
+    placed = write_table(roots.select("key", "id", "root"), "forest-roots")
     lowest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     of_key = placed.join(lowest, "root").select("key", "component_id")
     return members.select("id", "key", "n").join(of_key, "key", "left").select(

@@ -115,6 +115,32 @@ def test_near_duplicates_of_generated_groups(ctx):
     assert got == near_brute(docs, 85)
 
 
+@pytest.mark.parametrize("percent, edits", [(85, 3), (80, 4)])
+def test_near_duplicates_of_large_stars(ctx, percent, edits):
+    """Copies that are alike only through their base, copies whose base is
+    missing, and pairs inside such a crowd."""
+    rng = np.random.default_rng(percent)
+    docs = []
+
+    def copy(words, n):
+        own = list(words)
+        for at in rng.choice(len(own), n, replace=False):
+            own[at] = f"e{rng.integers(0, 10**9)}"
+        docs.append((len(docs), " ".join(own), None))
+        return own
+
+    for copies, with_base in ((400, True), (300, False)):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        own = [copy(base, edits) for _ in range(copies)]
+        for k in range(0, 20, 2):
+            copy(own[k], 1)
+        if with_base:
+            copy(base, 0)
+    df = ctx.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    got = as_sorted(map(tuple, minhash.group(df, percent=percent).drop("key").collect()))
+    assert got == near_brute(docs, percent)
+
+
 def test_drop_near_copies(odd_docs, no_docs):
     kept = minhash.drop_near_copies(odd_docs)
     assert kept.columns == odd_docs.columns
