@@ -3,16 +3,18 @@
 Two targets, low quality and toxicity, each with overlapping labellers that
 vote bad (1), good (0) or abstain (-1): shares of shouted, symbol-laden,
 repeated and fragment words for quality; words of a lexicon (words that the
-labelled rows of the sample set apart) for toxicity; and the human label
+labelled rows set apart) for toxicity; and the human label
 where there is one. Expectation-maximisation over the counts of all
 documents' vote patterns (at most 3 ** labellers rows) estimates every
 labeller's accuracies and each document's posterior without trusting any of
 them. The posteriors of a bounded sample train two logistic scorers on hashed
 words and word shapes; all documents are scored in one pass.
 
-The sample is the documents whose id hash falls below ``SAMPLE_ROWS`` /
-(number of documents): about SAMPLE_ROWS rows at any size. Counts and
-scoring cover all documents.
+The sample holds about SAMPLE_ROWS rows at any size: labels are joined first,
+then half of it (less, if there are fewer) is drawn from the labelled rows and
+the rest from the others, by a hash of id and text, so many rows of one id are
+drawn apart and equal rows count once. The lexicon comes from word counts over
+all labelled documents; counts of votes and scoring cover all documents.
 
 Defined results: null and empty texts get the votes of no words (all
 heuristics abstain) and are judged by the intercept; several labels of one id
@@ -24,6 +26,7 @@ other columns are ignored by ``score`` and carried through by ``keep``.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import write_table
 from .words import U, chunks, raw_texts, shingle_sets, word_table
 
 SAMPLE_ROWS = 8192
@@ -175,15 +179,42 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def find_lexicon(words: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+def find_lexicon(labelled: DataFrame) -> np.ndarray:
     """Hashed words that at least 3 and 3 % of the labelled toxic rows hold and
-    hardly any other labelled row: 95 % of the rows with the word are toxic."""
-    yes, no = (toxic == 1), (toxic == 0)
-    count = lambda which: np.bincount(np.concatenate(
-        [w for w, k in zip(words, which) if k] or [np.zeros(0, np.int32)]), minlength=1 << BITS)
-    have, other = count(yes), count(no)
-    often = have >= max(3, 0.03 * yes.sum())
-    return np.flatnonzero(often & (have >= 0.95 * (have + other))).astype(np.int32)
+    hardly any other labelled row: 95 % of the rows with the word are toxic.
+    ``labelled``: text, toxic (0, 1), all rows. Of rows with one smallest shingle
+    (near copies would count many times) one of each label counts."""
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in chunks(raw_texts(batch.column("text"))):
+                _, words, _ = features(texts)
+                lead = [int(s[0]) - (1 << 63) if len(s) else None for s in shingle_sets(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lead, pa.int64()), batch.column("toxic").slice(done, len(texts)),
+                     pa.array([zlib.compress(np.diff(w, prepend=0).astype("<i4").tobytes(), 1) for w in words],
+                              pa.binary())], ["lead", "toxic", "words"])
+                done += len(texts)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((2, 1 << BITS), np.int64)
+        rows = 0
+        for batch in batches:
+            for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words").to_pylist()):
+                held[toxic, np.cumsum(np.frombuffer(zlib.decompress(words), "<i4"))] += 1
+                rows += toxic
+        at = np.flatnonzero(held.any(axis=0))
+        # word -1 counts the toxic rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[1, at], rows)),
+                                          pa.array(np.append(held[0, at], 0))], ["word", "yes", "no"])
+
+    one = (labelled.select("text", "toxic").mapInArrow(extract, "lead long, toxic int, words binary")
+           .filter("lead is not null").groupBy("lead", "toxic").agg(F.min("words").alias("words")))
+    counts = (one.select("toxic", "words").mapInArrow(count, "word long, yes long, no long")
+              .groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
+    found = counts.filter("word = -1 or (yes >= 3 and yes >= 0.95D * (yes + no))").collect()  # at most 2 ** BITS
+    rows = sum(r["yes"] for r in found if r["word"] == -1)
+    return np.array(sorted(r["word"] for r in found if r["word"] >= 0 and r["yes"] >= 0.03 * rows), np.int32)
 
 
 def without_near_copies(least: list[list[int]]) -> list[int]:
@@ -212,10 +243,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
         text_col: str = "text") -> Model:
     """``labels``: doc_id, quality (1 good, 0 bad), toxic (1 bad)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    human = _human(labels)
-    total = rows.count()
-    below = int(min(1.0, sample_rows / max(total, 1)) * (1 << 30))
-    drawn = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) < below)
+    human = write_table(_human(labels), "quality-labels")  # its size on disk tells whether a broadcast fits
+    known = F.col("_id").isNotNull() & ((F.col("low") >= 0) | (F.col("toxic") >= 0))
+    sizes = {bool(r["known"]): r["n"] for r in rows.select("id").join(human, F.col("id") == F.col("_id"), "left")
+             .groupBy(known.alias("known")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    part = {True: min(sizes.get(True, 0), max(sample_rows // 2, sample_rows - sizes.get(False, 0)))}
+    part[False] = sample_rows - part[True]
+    below = {k: int(min(1.0, part[k] / max(sizes.get(k, 0), 1)) * (1 << 30)) for k in part}
+    digest = F.xxhash64(F.lit("sample"), "id", "text").alias("h")
+    share = F.when(known, below[True]).otherwise(below[False])
+    keys = (rows.select("id", digest).join(human, F.col("id") == F.col("_id"), "left")
+            .filter(F.pmod("h", F.lit(1 << 30)) < share)
+            .select("h", F.coalesce("low", F.lit(-1)).alias("low"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
+            .dropDuplicates(["h"]))
+    # texts stay where they are; about sample_rows keys travel
+    drawn = rows.select("id", "text", digest).join(F.broadcast(keys), "h").dropDuplicates(["h"])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,22 +270,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
                     [pa.array(ids[done:done + len(texts)], batch.schema.field("id").type),
                      pa.array([s.astype("<f8").tobytes() for s in shares], pa.binary()),
                      pa.array([w.astype("<i4").tobytes() for w in words], pa.binary()),
-                     pa.array(counts, pa.int64()), pa.array(least, pa.binary())],
-                    ["id", "shares", "words", "n", "least"])
+                     pa.array(counts, pa.int64()), pa.array(least, pa.binary()),
+                     *[batch.column(c).slice(done, len(texts)) for c in ("low", "toxic")]],
+                    ["id", "shares", "words", "n", "least", "low", "toxic"])
                 done += len(texts)
 
     kind = dict(rows.dtypes)["id"]
-    found = (drawn.mapInArrow(extract, f"id {kind}, shares binary, words binary, n long, least binary")
-             .join(human, F.col("id") == F.col("_id"), "left")
-             .select("id", "shares", "words", "n", "least", F.coalesce("low", F.lit(-1)).alias("low"),
-                     F.coalesce("toxic", F.lit(-1)).alias("toxic")).collect())  # about sample_rows rows
+    found = drawn.mapInArrow(  # about sample_rows rows
+        extract, f"id {kind}, shares binary, words binary, n long, least binary, low int, toxic int").collect()
     found.sort(key=lambda r: (r["id"] is None, r["id"], r["words"]))
     found = [found[k] for k in without_near_copies([np.frombuffer(r["least"], "<u8").tolist() for r in found])]
     shares = np.array([np.frombuffer(r["shares"], "<f8") for r in found]).reshape(len(found), len(SHAPES))
     words = [np.frombuffer(r["words"], "<i4") for r in found]
     counts = np.array([r["n"] for r in found], np.int64)
     low, toxic = (np.array([r[c] for r in found], np.int64) for c in ("low", "toxic"))
-    lexicon = find_lexicon(words, toxic)
+    lexicon = find_lexicon(rows.join(human.filter("toxic >= 0"), F.col("id") == F.col("_id")))
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -417,6 +417,21 @@ def test_quality_held_out(ctx):
     assert sum(not r["kept"] for r in toxic) >= 0.8 * len(toxic)
 
 
+def test_quality_of_few_labels(ctx):
+    """Labels of a small part of the documents all shape the model, also where
+    many rows share a null id."""
+    rng = np.random.default_rng(6)
+    prose = lambda k: " ".join(f"w{x}" for x in rng.integers(0, 3000, 40)) + (" foulword" if k % 10 == 0 else "")
+    docs = [(k, prose(k)) for k in range(3000)] + [(None, prose(1)) for _ in range(1000)]
+    df = ctx.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    labels = ctx.createDataFrame([(k, 1, int(k % 10 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
+    model = quality.fit(df, labels, sample_rows=400)
+    assert len(model.lexicon)
+    kept = {r["doc_id"]: r["kept"] for r in quality.score(df, model).filter("doc_id is not null").collect()}
+    assert not any(kept[k] for k in range(0, 3000, 10))
+    assert sum(kept.values()) >= 0.97 * 2700
+
+
 def test_quality_odd_rows(ctx, odd_docs, no_docs):
     labels = ctx.createDataFrame([(1, 1, 0), (1, 0, 0), (3, None, 1), (None, 0, 1), (99, 0, 0)],
                                  "doc_id long, quality int, toxic int")
