@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, url_filter
+from . import (ann, chat, exact_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, url_filter,
+               whitening)
 from .common import load_table, prepare
 
 
@@ -92,11 +93,15 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(turns.unionByName(trap), BYTE_RANKS, public_tokenizers.PATTERN))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 _QUERIES = {"op1_url_filter": op1_url_filter, "op2_source_mixing": op2_source_mixing,
             "op3_exact_dedup": op3_exact_dedup, "op4_quality_classifier": op4_quality_classifier,
             "op5_nearest_neighbours": op5_nearest_neighbours, "op6_sequence_packing": op6_sequence_packing,
             "op7_repeated_spans": op7_repeated_spans, "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
-            "op10_chat_windows": op10_chat_windows}
+            "op10_chat_windows": op10_chat_windows, "op13_embedding_whitening": op13_embedding_whitening}
 _SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL}
 
 
