@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, chat, exact_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, url_filter,
-               whitening)
+               warc, whitening)
 from .common import load_table, prepare
 
 
@@ -93,6 +93,23 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(turns.unionByName(trap), BYTE_RANKS, public_tokenizers.PATTERN))
 
 
+def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(load_table(spark, sf_dir, "pages", "page_id", "url", "html")).drop("intact")
+
+
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT page_id, strlen(t) AS n, sha1(t) AS h, max(page_id) OVER w AS top,
+    row_number() OVER (PARTITION BY t ORDER BY page_id DESC NULLS LAST) AS k FROM p WINDOW w AS (PARTITION BY t))
+SELECT page_id, n AS payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN top END AS refers_to
+FROM g
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(load_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -101,8 +118,9 @@ _QUERIES = {"op1_url_filter": op1_url_filter, "op2_source_mixing": op2_source_mi
             "op3_exact_dedup": op3_exact_dedup, "op4_quality_classifier": op4_quality_classifier,
             "op5_nearest_neighbours": op5_nearest_neighbours, "op6_sequence_packing": op6_sequence_packing,
             "op7_repeated_spans": op7_repeated_spans, "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
-            "op10_chat_windows": op10_chat_windows, "op13_embedding_whitening": op13_embedding_whitening}
-_SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL}
+            "op10_chat_windows": op10_chat_windows, "op11_warc_archives": op11_warc_archives,
+            "op13_embedding_whitening": op13_embedding_whitening}
+_SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op11_warc_archives": OP11_SQL}
 
 
 def _prepared(query):
