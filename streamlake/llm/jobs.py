@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat, exact_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, url_filter,
-               warc, whitening)
+from . import (ann, chat, exact_dedup, minhash, mining, mixing, packing, quality, suffix_dedup, token_counts,
+               url_filter, warc, whitening)
 from .common import load_table, prepare
 
 
@@ -110,6 +110,32 @@ FROM g
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH r AS (SELECT row_number() OVER () AS uid, vec_id AS id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.uid AS au, a.id AS anchor_id, r.uid, r.id, a.label = r.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, r.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM r a JOIN r ON a.id % 100 = 0 AND a.uid <> r.uid),
+p AS (SELECT *, row_number() OVER (PARTITION BY au ORDER BY score DESC, id NULLS LAST, uid) AS k FROM s WHERE same),
+n AS (SELECT p.au, p.anchor_id, p.k, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id,
+    s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.au, p.k ORDER BY s.score DESC, s.id NULLS LAST, s.uid) AS rank
+  FROM p JOIN s ON p.au = s.au AND NOT s.same
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score WHERE p.k <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(load_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -119,8 +145,9 @@ _QUERIES = {"op1_url_filter": op1_url_filter, "op2_source_mixing": op2_source_mi
             "op5_nearest_neighbours": op5_nearest_neighbours, "op6_sequence_packing": op6_sequence_packing,
             "op7_repeated_spans": op7_repeated_spans, "op8_near_duplicates": op8_near_duplicates, "op9_section_tokens": op9_section_tokens,
             "op10_chat_windows": op10_chat_windows, "op11_warc_archives": op11_warc_archives,
-            "op13_embedding_whitening": op13_embedding_whitening}
-_SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op11_warc_archives": OP11_SQL}
+            "op12_hard_negatives": op12_hard_negatives, "op13_embedding_whitening": op13_embedding_whitening}
+_SQL = {"op1_url_filter": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op11_warc_archives": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL}
 
 
 def _prepared(query):
