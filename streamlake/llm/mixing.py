@@ -11,10 +11,11 @@ once by Newton steps over the histogram (source, size, documents), which holds
 all that the dual depends on and is far smaller than the corpus; each step is
 one aggregation. A bracket per source keeps the steps safe.
 
-Rates become copies by floor(r + u + t): u is a hash of the document id, t a
-shift per source, found by refining a histogram of the places where some
-document gains a copy, so that the words taken stay below the target by less
-than one document. Further rounds let only documents that fit into what is
+Rates become copies by floor(r + u + t): u is a hash of the document's id, size
+and number among equal ones (rows of equal id, source and size are numbered, so
+a crowd of them gains copies one by one), t a shift per source, found by
+refining a histogram of the places where some document gains a copy, so that
+the words taken stay below the target by less than one document. Further rounds let only documents that fit into what is
 missing gain copies, so the gap shrinks to that of a small document.
 
 Targets: sources by code point, null last, weigh ``weights`` in turn and share
@@ -22,8 +23,9 @@ all words; a target stops at cap times its source's size and the excess is
 shared by weight again. That is target = min(cap * size, weight * theta).
 
 Defined results: a null text has size 0, takes nothing and counts in its
-source; null sources form one source; repeated rows are documents of their own
-(with the same copies); an empty table gives an empty result; other columns
+source; null sources form one source; repeated rows are documents of their own,
+whose copies may differ (in ``mix`` they cannot be told apart, ``repeat_rows``
+numbers them by their position); an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -32,11 +34,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import marks
 from .common import word_count, write_table
 
 CELLS = 65536  # cells of a refinement of the shift
 PASSES = 2  # refinements: 65536 ** -2 of the range holds a few documents at most
 ROUNDS = 4  # fillings with ever smaller documents
+RUN = 4096  # equal rows that are numbered together
+SALTS = 64  # parts in which many equal rows are numbered
+EQUAL = ["id", "source", "size"]
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
@@ -141,7 +147,7 @@ def _shifts(rows: DataFrame, state: DataFrame, cap: int) -> DataFrame:
 
 def fit(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
     """Per source what its documents' copies follow from: ``source, sid,
-    source_size, target, top, lam`` and the shifts. ``sized``: id, source, size."""
+    source_size, target, top, lam`` and the shifts. ``sized``: id, source, size, num."""
     counts = write_table(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "mix-histogram")
     sizes = write_table(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"),
                                                      F.max("size").alias("top")), "mix-sources", 1)
@@ -161,17 +167,17 @@ def _of_source(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def _level(rows: DataFrame, cap: int) -> DataFrame:
-    """Adds ``rate`` and ``level`` = rate + a hash of the id in [0, 1). A
-    source at its cap takes everything cap times, one without target nothing."""
+    """Adds ``rate`` and ``level`` = rate + a hash of (id, size, num) in [0, 1).
+    A source at its cap takes everything cap times, one without target nothing."""
     rate = (F.when(F.col("lam").isNotNull(), _rate(F.col("lam"), F.col("size") / F.col("top"), float(cap)))
             .when(F.col("target") > 0, F.lit(float(cap))).otherwise(F.lit(0.0)))
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("id")), 11).cast("double") / F.lit(float(1 << 53))
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "id", "size", "num"), 11).cast("double") / F.lit(float(1 << 53))
     return rows.withColumn("rate", rate).withColumn("level", F.col("rate") + unit)
 
 
 def with_copies(rows: DataFrame, params: DataFrame, cap: int = 3) -> DataFrame:
     """Adds the parameters of its source, ``rate`` and ``copies`` to every row
-    (id, source, size, ...). Documents without words stay once."""
+    (id, source, size, num, ...). Documents without words stay once."""
     shift = F.col("shift_0")
     for r in range(1, ROUNDS):
         shift = F.when(F.col("size") <= F.col(f"limit_{r}"), F.col(f"shift_{r}")).otherwise(shift)
@@ -183,27 +189,64 @@ def with_copies(rows: DataFrame, params: DataFrame, cap: int = 3) -> DataFrame:
             .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(1))))
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Distinct ``id, source, size`` and their number of rows ``n``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        word_count(F.col(text_col)).alias("size"))
+    return write_table(rows.groupBy(*EQUAL).agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
+
+
+def numbered(equal: DataFrame) -> DataFrame:
+    """One row per document of ``equal`` (id, source, size, n): ``num`` counts
+    equal ones from 0. Runs of many equal rows are dealt out before they unfold."""
+    few = equal.filter(F.col("n") <= RUN).select(
+        *EQUAL, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("num"))
+    runs = (equal.filter(F.col("n") > RUN)
+            .select(*EQUAL, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))).alias("run"))
+            .repartition(F.xxhash64(*EQUAL, "run")))
+    many = runs.select(*EQUAL, F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, "n") - 1)).alias("num"))
+    return few.unionByName(many)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: id, ``source``, ``size``, ``source_size``,
     ``target``, ``rate``, ``copies`` (0 to ``cap``) and ``taken`` = copies * size."""
-    sized = write_table(_sized(docs, id_col, text_col, source_col), "mix-sizes")
+    sized = numbered(_sizes(docs, id_col, text_col, source_col))
     return with_copies(sized, fit(sized, weights, cap), cap).select(
         F.col("id").alias(id_col), "source", "size", "source_size", "target", "rate", "copies",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def _numbers(rows: DataFrame, equal: DataFrame) -> DataFrame:
+    """``file, at, num`` for the ``rows`` (file, at, id, source, size) that equal
+    others: numbered by position within salted parts, and the parts in order."""
+    crowd = equal.filter("n > 1").select(*[F.col(c).alias(f"_{c}") for c in EQUAL])
+    same = F.col("id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & F.expr("size = _size")
+    own = rows.join(crowd, same, "left_semi").withColumn("salt", F.pmod(F.xxhash64("file", "at"), F.lit(SALTS)))
+    own = write_table(own.withColumn("k", F.row_number().over(
+        Window.partitionBy(*EQUAL, "salt").orderBy("file", "at"))), "mix-equal")
+    parts = own.groupBy(*EQUAL, "salt").agg(F.max("k").cast("long").alias("held"))
+    before = F.sum("held").over(Window.partitionBy(*EQUAL).orderBy("salt")) - F.col("held")  # SALTS rows at most
+    parts = parts.select(*[F.col(c).alias(f"_{c}") for c in EQUAL], F.col("salt").alias("_salt"), before.alias("before"))
+    return (own.join(parts, same & F.expr("salt = _salt"))
+            .select("file", "at", (F.col("before") + F.col("k") - 1).alias("num")))
+
+
 def repeat_rows(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs`` ``copies`` times (0: not at all).
     Texts stay where they are; only the parameters travel."""
-    params = fit(write_table(_sized(docs, id_col, text_col, source_col), "mix-sizes"), weights, cap)
-    row = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                      word_count(F.col(text_col)).alias("size"))
+    docs = marks.scan(docs, "mix-documents")
+    row = marks.placed(docs).select("row", "file", "at", F.col(f"row.{id_col}").alias("id"),
+                                    F.col(f"row.{source_col}").alias("source"),
+                                    word_count(F.col(f"row.{text_col}")).alias("size"))
+    equal = _sizes(docs, id_col, text_col, source_col)
+    params = fit(numbered(equal), weights, cap)
+    if equal.filter("n > 1").isEmpty():
+        row = row.withColumn("num", F.lit(0).cast("long"))
+    else:
+        number = marks.save(_numbers(row.drop("row"), equal), "mix-numbers")
+        row = row.withColumn("num", F.coalesce(number.of(F.col("file"), F.col("at"))["num"], F.lit(0)))
     return (with_copies(row, params, cap).filter("copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))

@@ -272,6 +272,29 @@ def test_mix_rows(odd_docs, no_docs):
     assert mixing.repeat_rows(no_docs).collect() == []
 
 
+def test_equal_ids_reach_the_target(ctx, monkeypatch):
+    """Rows of one id (none, or one for all) and of one size gain copies one by one."""
+    monkeypatch.setattr(mixing, "RUN", 100)
+    docs = [(None, "ten words " * 5, "s1")] * 1000 + [(7, "and ten more words " * 3, "s2")] * 700
+    docs += [(k, "w " * 20, "s3") for k in range(500)]
+    df = ctx.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = mixing.mix(df.repartition(3)).collect()
+    taken, target, size = Counter(), {}, {}
+    for r in rows:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]], size[r["source"]] = r["target"], r["size"]
+    assert len(rows) == len(docs)
+    for s in target:
+        assert 0 <= target[s] - taken[s] <= size[s], (s, taken, target)
+    again = mixing.mix(df.repartition(7)).collect()
+    assert as_sorted(map(tuple, rows)) == as_sorted(map(tuple, again))
+    out = mixing.repeat_rows(df.repartition(5)).groupBy("doc_id", "source").count().collect()
+    want = Counter()
+    for r in rows:
+        want[(r["doc_id"], r["source"])] += r["copies"]
+    assert {(r["doc_id"], r["source"]): r["count"] for r in out} == dict(want)
+
+
 # packing
 
 def test_packing(odd_docs, no_docs):
