@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import marks
 from .common import write_table
 
 CACHE_CHARS = 9_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
@@ -116,8 +117,8 @@ class WordIds(dict):
 
 def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``uid, doc_id, start, length, doc_tokens, ids``: full pieces, then the
-    rest. The driver reads the tokenizer's definition (a fixed few MB)."""
+    """``doc_id, start, length, doc_tokens, ids``: full pieces, then the
+    rest, as a written table. The driver reads the tokenizer's definition (a fixed few MB)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     end = np.array([end_id], "<u4").tobytes()
@@ -142,7 +143,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     pieces = rows.mapInArrow(cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
-    return write_table(pieces.withColumn("uid", F.monotonically_increasing_id()), "pack-pieces")
+    return write_table(pieces, "pack-pieces")
 
 
 def _pieces(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -232,7 +233,7 @@ def _slots(patterns: list[tuple[np.ndarray, int]]) -> list[tuple]:
 
 
 def layout(pieces: DataFrame, capacity: int = 2048, grain: int = 8, bucket_rows: int = 65536) -> DataFrame:
-    """``uid, sequence_id, offset`` for ``pieces`` (uid, doc_id, start, length)."""
+    """``uid, sequence_id, offset`` for ``pieces`` (uid: any unique value, doc_id, start, length)."""
     spark = pieces.sparkSession
     buckets = max(64, pieces.count() // bucket_rows)
     rows = pieces.select("uid", "doc_id", "start", "length",
@@ -266,6 +267,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, doc_tokens, ids`` (binary,
     little-endian unsigned 32-bit), ``sequence_id, offset``."""
-    pieces = encode_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col)
-    placed = write_table(layout(pieces.drop("ids"), capacity, grain), "pack-layout")
-    return pieces.join(placed, "uid").drop("uid")
+    pieces = marks.scan(encode_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col))
+    rows = marks.placed(pieces)
+    place = layout(rows.select(F.struct("file", "at").alias("uid"), "row.doc_id", "row.start", "row.length"), capacity, grain)
+    # the ids stay in their files; each scan reads where its pieces go
+    spot = marks.save(place.select("uid.file", "uid.at", "sequence_id", "offset"), "pack-layout")
+    return (rows.withColumn("spot", spot.of(F.col("file"), F.col("at")))
+            .select("row.*", "spot.sequence_id", "spot.offset"))
