@@ -11,10 +11,17 @@ decide where it ends. Every turn is new in exactly one window. New assistant
 texts are the loss; repeated turns are masked, so each target counts once.
 A turn that exceeds the budget alone gets a window with the system turn only.
 
-The turns of a conversation are streamed in order through one task, which
-holds one window at a time, never the conversation.
-
-Defined results: turns are ordered by (turn, role, text), nulls first; a null
+A conversation of more than ``BLOCK`` turns is cut into blocks of so many
+turns, which are worked on apart: a running count over balanced ranges of the
+turns numbers them, and a block starts with the system turn and the last
+``CARRIED`` turns of the block before, from which its first window takes its
+history. Windows end at block borders. The turns of a block are streamed in
+order through a task, which holds one window at a time. Only the digest of
+``read_back`` runs over a whole conversation, window by window.
+
+Defined results: turns are ordered by (turn, role, text), nulls first (in
+conversations of several blocks texts of one turn and role by their digest);
+``window`` ascends within a conversation, with gaps at block borders; a null
 role or text is empty; a null conv_id is a conversation; repeated rows are
 turns of their own; an empty table gives no windows; other columns are
 ignored.
@@ -33,6 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from streamlake.operators.ranges import order_range
+from streamlake.operators.running import running_count
+
+from . import marks
+from .common import write_table
+
+BLOCK = 1024  # turns of a conversation that are formatted together
+CARRIED = 64  # turns before a block that can be its history
 START, END, TURN, TURN_END = "<s>", "</s>", "[INST]", "[/INST]"
 _CONTROL = re.compile(r"<(?=/?s>)|\[(?=/?INST\])")
 _ESCAPED = re.compile(r"\\(.?)", re.S)
@@ -89,8 +104,27 @@ class _Windows:
         self.context = self.repeated = 0
         self.seen = self.number = 0
 
+    def resume(self, role: str, text: str, tokens: int, first: bool) -> None:
+        """A turn of an earlier block: the system turn (``first``), or history."""
+        turn = (role, text, tokens)
+        if first:
+            self.system = turn
+            return
+        self.seen = max(self.seen, 1) + 1
+        self.total += tokens
+        self._remember(turn)
+        self.begun = self.total
+
+    def _remember(self, turn: tuple) -> None:
+        self.recent.append((self.seen, self.total, turn))
+        while self.recent and self.total - self.recent[0][1] + self.recent[0][2][2] > self.history:
+            self.recent.popleft()
+
     def add(self, role: str, text: str, tokens: int) -> Iterator[dict]:
         turn = (role, text, tokens)
+        if not self.turns and (self.seen or self.system):  # the first turn of a later block
+            self.seen = max(self.seen, 1)
+            self.open(tokens)
         if len(self.turns) > self.repeated and self.context + self.total - self.begun + tokens > self.budget:
             yield self.close()
             self.open(tokens)
@@ -99,9 +133,7 @@ class _Windows:
         self.turns.append(turn)
         self.seen += 1
         self.total += tokens
-        self.recent.append((self.seen, self.total, turn))
-        while self.recent and self.total - self.recent[0][1] + self.recent[0][2][2] > self.history:
-            self.recent.popleft()
+        self._remember(turn)
 
     def open(self, tokens: int) -> None:
         context = [self.system] if self.system else []
@@ -134,8 +166,8 @@ def _counter(ranks: bytes, pattern: str):
 
 def format_windows(turns: DataFrame, ranks_path: str, pattern: str, budget: int = 512, history: int = 128,
                    columns: tuple[str, str, str, str] = ("conv_id", "turn", "role", "text")) -> DataFrame:
-    """One row per window (schema ``WINDOWS``); a conversation's windows
-    follow one another in order. ``ranks_path`` names the rank file that
+    """One row per window (schema ``WINDOWS``); ``window`` gives their order
+    within a conversation. ``ranks_path`` names the rank file that
     counts turn tokens; the driver reads it (a fixed few MB) and broadcasts it."""
     conv, turn, role, text = columns
     with open(ranks_path, "rb") as f:
@@ -151,35 +183,66 @@ def format_windows(turns: DataFrame, ranks_path: str, pattern: str, budget: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, window, out = None, None, []
         shape = None
+
+        def row(w: dict) -> dict:
+            return {"conv_id": current[0], **w, "window": current[1] * BLOCK + w["window"]}
+
         for batch in batches:
             if shape is None:
                 shape = pa.schema([("conv_id", batch.schema.field("conv_id").type), ("window", pa.int64()),
                                    ("repeated", pa.int32()), ("n_turns", pa.int32()), ("tokens", pa.int64()),
                                    ("formatted", pa.string()),
                                    ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-            for c, r, t, n in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text", "tokens"))):
-                if window is None or c != current:
+            names = ("conv_id", "block", "carried", "n", "role", "text", "tokens")
+            for c, block, carried, n, r, t, size in zip(*(batch.column(k).to_pylist() for k in names)):
+                if window is None or (c, block) != current:
                     if window is not None:
-                        out.append({"conv_id": current, **window.close()})
-                    current, window = c, _Windows(budget, history)
-                out += [{"conv_id": c, **w} for w in window.add(r, t, n)]
+                        out.append(row(window.close()))
+                    current, window = (c, block), _Windows(budget, history)
+                if carried:
+                    window.resume(r, t, size, n == 1)
+                else:
+                    out += [row(w) for w in window.add(r, t, size)]
             if len(out) >= 500:
                 yield pa.RecordBatch.from_pylist(out, shape)
                 out = []
         if window is not None:
-            out.append({"conv_id": current, **window.close()})
+            out.append(row(window.close()))
             yield pa.RecordBatch.from_pylist(out, shape)
 
-    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
-                        F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
-                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return (rows.withColumn("tokens", tokens("text")).repartition("conv_id")
-            .sortWithinPartitions("conv_id", "turn", "role", "text")
-            .drop("turn").mapInArrow(cut, schema))
+    rows = marks.placed(marks.scan(turns, "chat-turns")).select(
+        "file", "at", F.col(f"row.{conv}").alias("conv_id"), F.col(f"row.{turn}").alias("turn"),
+        F.coalesce(F.col(f"row.{role}").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col(f"row.{text}"), F.lit("")).alias("text"))
+    number = marks.save(_numbers(rows), "chat-numbers")
+    rows = (rows.withColumn("place", number.of(F.col("file"), F.col("at")))
+            .select("conv_id", "turn", "role", "text", F.col("place.n").alias("n"), F.col("place.blocks").alias("blocks")))
+    own = F.coalesce(F.floor((F.col("n") - 1) / BLOCK), F.lit(0)).cast("int")
+    # the system turn goes to every block of its conversation, a block's last turns to the next one
+    blocks = (F.when((F.col("n") == 1) & (F.col("role") == "system"), F.sequence(F.lit(0), F.col("blocks") - 1))
+              .when(((F.col("n") - 1) % BLOCK >= BLOCK - CARRIED) & (own + 1 < F.col("blocks")), F.array(own, own + 1))
+              .otherwise(F.array(own)))
+    dealt = (rows.withColumn("tokens", tokens("text")).withColumn("own", own)
+             .withColumn("block", F.explode(blocks)).withColumn("carried", F.col("block") != F.col("own")))
+    order = ["conv_id", "block", "n", "turn", "role", "text"]
+    return (dealt.repartition("conv_id", "block").sortWithinPartitions(*order)
+            .select("conv_id", "block", "carried", "n", "role", "text", "tokens").mapInArrow(cut, schema))
+
+
+def _numbers(rows: DataFrame) -> DataFrame:
+    """``file, at, n`` (from 1) and ``blocks`` (of its conversation) for the
+    turns of conversations of more than BLOCK turns; no text takes part."""
+    narrow = rows.select("file", "at", "conv_id", "turn", "role", F.md5("text").alias("digest"))
+    long = (rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).filter(F.col("turns") > BLOCK)
+            .select(F.col("conv_id").alias("_conv"), F.ceil(F.col("turns") / BLOCK).cast("int").alias("blocks")))
+    own = write_table(narrow.join(long, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv"), "chat-long")
+    order = ["turn", "role", "digest", "file", "at"]
+    counted = running_count(own, ["conv_id"], order, "n", "turn", bucket=order_range(own, ["conv_id", *order], 100_000))
+    return counted.select("file", "at", "n", "blocks")
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """Per conversation, from the formatted windows alone: ``n_turns``,
+    """Per conversation, from the formatted windows in their order alone: ``n_turns``,
     ``turns_sha256`` (role, newline, text, newline of each turn),
     ``loss_chars``, ``loss_sha256``, ``formatted_chars``."""
     kind = dict(windows.dtypes)["conv_id"]
@@ -217,6 +280,8 @@ def read_back(windows: DataFrame) -> DataFrame:
             out.append(row())
             yield pa.RecordBatch.from_pylist(out, shape)
 
-    return windows.select("conv_id", "repeated", "formatted", "loss").mapInArrow(
+    ordered = (windows.select("conv_id", "window", "repeated", "formatted", "loss").repartition("conv_id")
+               .sortWithinPartitions("conv_id", "window").drop("window"))
+    return ordered.mapInArrow(
         digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                 "formatted_chars long")

@@ -80,7 +80,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(load_table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_RANKS,
-                                       public_tokenizers.PATTERN)
+                                       public_tokenizers.PATTERN, sections=token_counts.sentences)
 
 
 #: a conversation that consists of control strings

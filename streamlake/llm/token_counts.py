@@ -9,7 +9,9 @@ crosses a section's border is allocated by a rule:
 * ``last``: to the section with its last character;
 * ``most``: to the section with most of its characters, the earlier of equals.
 
-A section is a line with its newline (``lines``) unless spans are given.
+A section is a line with its newline (``lines``), a sentence with the white
+space after it (``sentences``, where tokens that begin with that space cross
+the border), or any spans given.
 
 Defined results: a null or empty text has one empty section 0 without tokens;
 repeated rows are counted each; an empty table gives an empty result; other
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RULES = ("first", "last", "most")
+_SENTENCE_END = re.compile(r"[.!?]+[\"')\]]*[ \t]+\n*|\n+")
 _ENCODINGS: dict = {}
 
 
@@ -52,6 +56,15 @@ def lines(text: str) -> np.ndarray:
     return np.concatenate([[0], ends[ends < len(codes)], [len(codes)]])
 
 
+def sentences(text: str) -> np.ndarray:
+    """Where the sentences of a text begin, then the text's length. A sentence
+    ends after the white space that follows its end marks, or a line's end."""
+    ends = [m.end() for m in _SENTENCE_END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    return np.array([0, *ends])
+
+
 def token_spans(raw: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First character and character after the last one, per token of the
     UTF-8 text ``raw``; a token that holds part of a character covers it."""

@@ -379,6 +379,28 @@ def test_words_encode_as_the_whole_text(text):
 
 # token counts
 
+@given(st.lists(st.sampled_from(["a", "Bc", ".", "!", "?", " ", "\n", ")", "é", "  "]), max_size=20).map("".join))
+def test_sentences_cover_the_text(text):
+    borders = token_counts.sentences(text) if text else np.array([0, 0])
+    assert borders[0] == 0 and borders[-1] == len(text) and (np.diff(borders) > 0).all() == bool(text)
+    for b in borders[1:-1]:
+        assert text[b - 1].isspace() and not (text[b - 1] == "\n" and text[b] == "\n")
+
+
+def test_tokens_over_sentence_borders(ctx):
+    """The rules decide where a token goes that begins with the space before a sentence."""
+    docs = ctx.createDataFrame([(1, "One two. Three four! Five")], "doc_id long, text string")
+    got = {}
+    for rule in token_counts.RULES:
+        rows = token_counts.section_tokens(docs, jobs.BYTE_RANKS, public_tokenizers.PATTERN, rule,
+                                           token_counts.sentences).orderBy("section").collect()
+        assert [(r["start"], r["end"]) for r in rows] == [(0, 9), (9, 21), (21, 25)]
+        got[rule] = ([r["tokens"] for r in rows], sum(r["crossing"] for r in rows))
+    total = sum(got["most"][0])
+    assert got["most"] == got["last"] and got["most"][1] == 2
+    assert got["first"][0][0] == got["most"][0][0] + 1 and sum(got["first"][0]) == total == sum(got["last"][0])
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_section_tokens(odd_docs, no_docs, rule):
     counts = token_counts.section_tokens(odd_docs, jobs.BYTE_RANKS, public_tokenizers.PATTERN, rule)

@@ -160,11 +160,48 @@ def test_chat_odd_rows(ctx):
     assert chat.read_back(none).collect() == []
 
 
+def test_long_conversations_are_cut_into_blocks(ctx, monkeypatch):
+    """Turns of any block appear once, with the system turn and the history before them."""
+    monkeypatch.setattr(chat, "BLOCK", 20)
+    monkeypatch.setattr(chat, "CARRIED", 6)
+    from streamlake.operators import ranges
+    monkeypatch.setattr(ranges, "MAX_RANGES", 5)
+    rows = [(1, 0, "system", "be kind")] + [(1, k, ["assistant", "user"][k % 2], f"turn {k} of one") for k in range(1, 137)]
+    rows += [(2, k, ["user", "assistant"][k % 2], f"turn {k} of two") for k in range(41)]
+    rows += [(None, k, "assistant", "same") for k in range(45)] + [(3, 0, "system", "short"), (3, 1, "user", "hi")]
+    table = ctx.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    windows = chat.format_windows(table, jobs.BYTE_RANKS, public_tokenizers.PATTERN, budget=40, history=15)
+    held = defaultdict(list)
+    for w in windows.collect():
+        held[w["conv_id"]].append(w)
+    for c, own in held.items():
+        own.sort(key=lambda w: w["window"])
+        assert len({w["window"] for w in own}) == len(own)
+        want = [(r, t) for i, _, r, t in sorted((x for x in rows if x[0] == c), key=lambda x: x[1])]
+        new = []
+        for w in own:
+            parsed = [(r, t) for r, t, _, _ in chat.parse(w["formatted"])]
+            fresh, repeated = parsed[w["repeated"]:], parsed[:w["repeated"]]
+            if want[0][0] == "system" and new:
+                assert repeated[0] == want[0]
+                repeated = repeated[1:]
+            if c != 3 and new:  # history: the turns just before, as many as fit
+                assert repeated and repeated == new[-len(repeated):]
+            new += fresh
+        assert new == want
+    got = {r["conv_id"]: r for r in chat.read_back(windows).collect()}
+    for c, own in held.items():
+        turns = [(r, t) for i, _, r, t in sorted((x for x in rows if x[0] == c), key=lambda x: x[1])]
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert got[c]["loss_chars"] == sum(len(t) for r, t in turns if r == "assistant")
+
+
 # queries and pipeline
 
 def test_queries_match_sql(ctx):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in jobs.oracle_sql().items():
         df = E.queries()[name](ctx, SF_SMALL)
