@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.event_time import cascade, with_event_time
+from .keyed import top_n_stream
 from .processors import (LatestStatusProcessor, RetractCountProcessor, RiseAlertProcessor,
-                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor, FoldProcessor,
-                         LatenessProcessor)
+                         StateMachineProcessor, TtlCountProcessor, BehaviorCountProcessor, LatenessProcessor)
+from .triggers import CoGroupFireProcessor, PriceDropProcessor, TopSpeedProcessor
 
 
 def state_machine_stream(events: DataFrame, letter) -> DataFrame:
@@ -71,41 +73,56 @@ def behavior_counts_stream(events: DataFrame) -> DataFrame:
         BehaviorCountProcessor(), "event_id long, user_id long, event_type string, cnt long", "Append", "None")
 
 
-def top_speed_stream(events: DataFrame, threshold: float, evict_ms: int) -> DataFrame:
-    """T15 on a stream; input needs ``distance`` (per-key running total)."""
-    from ..operators.triggers import TopSpeedFold
-    e = events.select(F.col("user_id"), F.unix_micros("ts").alias("ts_us"), F.col("event_id").alias("row_id"),
-                      F.col("value").alias("speed"), F.col("distance").cast("double").alias("distance"))
-    names = ["user_id", "fire_us", "fire_id", "max_id", "max_speed"]
-    return e.groupBy("user_id").transformWithStateInPandas(
-        FoldProcessor(lambda: TopSpeedFold(threshold, evict_ms * 1000), ["ts_us", "row_id"], names),
-        "user_id long, fire_us long, fire_id long, max_id long, max_speed double", "Append", "None")
-
-
-def price_drop_stream(events: DataFrame, size_s: int, boundary_s: int) -> DataFrame:
-    """T25 on a stream keyed by event type (a window closes when the key's
-    next window starts)."""
-    from ..operators.triggers import PriceDropFold
-    e = events.select(F.col("event_type").alias("key"), F.unix_micros("ts").alias("t"),
-                      F.col("event_id").alias("rid"), F.col("value").alias("p"))
-    names = ["key", "ws", "fire_us", "reason", "n", "avg_price"]
+def top_speed_stream(events: DataFrame, threshold: float, evict_ms: int, delay: str = "0 seconds") -> DataFrame:
+    """T15 on a stream: the distance (running total of ``value`` per user) is
+    part of the state."""
+    e = events.withWatermark("ts", delay).select(
+        F.col("user_id").alias("key"), "ts", F.unix_micros("ts").alias("ts_us"), F.col("event_id").alias("row_id"),
+        F.col("value").alias("speed"), F.col("value").cast("decimal(18,2)").alias("step"))
     return e.groupBy("key").transformWithStateInPandas(
-        FoldProcessor(lambda: PriceDropFold(size_s * 10**6, boundary_s * 10**6, 0.05, 0.01), ["t", "rid"], names),
-        "key string, ws long, fire_us long, reason string, n long, avg_price double", "Append", "None")
+        TopSpeedProcessor(threshold, evict_ms), "user_id long, fire_us long, fire_id long, max_id long, max_speed double",
+        "Append", "EventTime")
 
 
-def cogroup_fire_stream(events: DataFrame, size: str = "1 hour") -> DataFrame:
-    """J19 on a stream: clicks (left) and purchases (right) per user."""
-    from ..operators.triggers import CoGroupFireFold
-    e = events.filter(F.col("event_type").isin("click", "purchase")).select(
-        "user_id", "ts", "event_id", F.window("ts", size).start.alias("ws"),
+def price_drop_stream(events: DataFrame, size_s: int, boundary_s: int, delay: str = "0 seconds") -> DataFrame:
+    """T25 on a stream, keyed by event type and window: timers at the boundaries and at the window's end."""
+    size = size_s * 10**6
+    e = events.withWatermark("ts", delay).select(
+        F.col("event_type").alias("key"), "ts", F.unix_micros("ts").alias("t"), F.col("event_id").alias("rid"),
+        F.col("value").alias("p")).withColumn("ws", F.floor(F.col("t") / size) * size)
+    return e.groupBy("key", "ws").transformWithStateInPandas(
+        PriceDropProcessor(size, boundary_s * 10**6, 0.05, 0.01),
+        "key string, ws long, fire_us long, reason string, n long, avg_price double", "Append", "EventTime")
+
+
+def cogroup_fire_stream(events: DataFrame, size_s: int = 3600, delay: str = "0 seconds") -> DataFrame:
+    """J19 on a stream: clicks (left) and purchases (right) per user and window."""
+    size = size_s * 10**6
+    e = events.filter(F.col("event_type").isin("click", "purchase")).withWatermark("ts", delay).select(
+        F.col("user_id").alias("key"), "ts", "event_id",
+        (F.floor(F.unix_micros("ts") / size) * size).alias("ws_us"),
         F.when(F.col("event_type") == "click", "L").otherwise("R").alias("side"),
         F.col("value").cast("decimal(18,2)").alias("v"))
-    names = ["user_id", "ws", "fire_seq", "trigger", "n_left", "n_right", "sum_left", "sum_right"]
-    return e.groupBy("user_id").transformWithStateInPandas(
-        FoldProcessor(CoGroupFireFold, ["ts", "side", "event_id"], names),
-        "user_id long, ws timestamp, fire_seq long, trigger string, n_left long, n_right long, "
-        "sum_left double, sum_right double", "Append", "None")
+    out = e.groupBy("key", "ws_us").transformWithStateInPandas(
+        CoGroupFireProcessor(size, ["ts", "side", "event_id"]),
+        "user_id long, ws_us long, fire_seq long, trigger string, n_left long, n_right long, "
+        "sum_left double, sum_right double", "Append", "EventTime")
+    return out.withColumn("ws", F.timestamp_micros("ws_us")).drop("ws_us")
+
+
+def top_users_stream(events: DataFrame, size: str, n: int, delay: str = "0 seconds") -> DataFrame:
+    """W07 on a stream: sums per user and window, final when the watermark
+    passes the window, then the window's best ``n`` users as a changelog."""
+    w = F.window("ts", size)
+    sums = (events.withWatermark("ts", delay).groupBy("user_id", w.alias("w"))
+            .agg(F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("rss")))
+    rows = sums.select("user_id", "rss", F.col("w.start").alias("start_time"), "w")
+    return top_n_stream(rows, "start_time", ["-rss", "user_id"], n, "w")
+
+
+def cascade_stream(events: DataFrame, first: str, second: str, keys, delay: str = "0 seconds") -> DataFrame:
+    """T20 on a stream: both windows follow one watermark."""
+    return cascade(with_event_time(events, "ts", delay), "ts", first, second, keys)
 
 
 def lateness_stream(events: DataFrame, size_ms: int, delay: str, lateness_ms: int = 0) -> DataFrame:

@@ -1,5 +1,5 @@
 """Stateful processors for ``transformWithStateInPandas`` (streaming forms
-of U01, U05, K11, J20, A03).
+of U01, U05, K11, J20, U02, T26, T21/T22).
 
 Each processor keeps O(1) state per key (values, a timer) in the state
 store.  Rows of a key inside one micro-batch arrive in no particular order,
@@ -16,8 +16,6 @@ import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
-import pickle
-
 from ..operators.stateful import state_machine_step
 
 
@@ -199,36 +197,6 @@ class BehaviorCountProcessor(StatefulProcessor):
         pass
 
 
-class FoldProcessor(StatefulProcessor):
-    """Streaming form of any keyed fold from ``streamlake.operators``: the
-    fold object (bounded state: counters, a time-evicted buffer, timers) is
-    kept pickled in one value-state entry per key; each micro-batch's rows of
-    the key are sorted by ``order`` and fed to it."""
-
-    def __init__(self, factory, order, out_names):
-        self.factory, self.order, self.names = factory, list(order), list(out_names)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.blob = handle.getValueState("fold", "blob binary")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _sorted(rows, self.order)
-        if self.blob.exists():
-            fold = pickle.loads(self.blob.get()[0])
-        else:
-            fold = self.factory()
-            fold.start(key[0])
-        out = []
-        cols = list(pdf.columns)
-        for tup in pdf.itertuples(index=False, name=None):
-            out.extend(fold.row(dict(zip(cols, tup))))
-        self.blob.update((pickle.dumps(fold),))
-        yield pd.DataFrame(out, columns=self.names)
-
-    def close(self) -> None:
-        pass
-
-
 class LatenessProcessor(StatefulProcessor):
     """T21/T22 on a stream: tag each row against the watermark in force for
     its micro-batch -- ``on_time``, ``late`` (its tumbling window already

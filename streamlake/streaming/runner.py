@@ -45,13 +45,14 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """A fresh query checkpoint folder under the shared ``spark.checkpoint.dir``
-    (a local scratch folder only when that setting is absent, as in tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-    return f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+def stream_checkpoint(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A query's checkpoint folder under the shared ``spark.checkpoint.dir``
+    (a local scratch folder only when that setting is absent, as in tests).
+    A fresh one for every start, or with ``lasting`` the one that belongs to
+    the name: a query that starts again under it goes on from its state."""
+    base = spark.conf.get("spark.checkpoint.dir", None)  # not the application's own subfolder
+    folder = f"{(base or ensure_checkpoint_dir(spark)).rstrip('/')}/streams/{name}"
+    return folder if lasting else f"{folder}-{uuid.uuid4().hex}"
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str = "append",
@@ -66,6 +67,19 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append",
     return df.sparkSession.table(name)
 
 
+def run_with_progress(df: DataFrame, name: str, mode: str = "append",
+                      checkpoint: str | None = None) -> tuple[DataFrame, list[dict]]:
+    """``run_to_memory`` and the progress report of every micro-batch (rows in
+    state, watermark, ...)."""
+    ck = checkpoint or stream_checkpoint(df.sparkSession, name)
+    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return df.sparkSession.table(name), [dict(p) for p in q.recentProgress]
+
+
 def run_until_idle(df: DataFrame, name: str, mode: str = "append", every: str = "1 second",
                    checkpoint: str | None = None) -> DataFrame:
     """Run ``df`` on a processing-time trigger until all available input is
