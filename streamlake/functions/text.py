@@ -55,9 +55,22 @@ def word_tokens(c) -> Column:
     return F.split(F.lower(col_(c)), r"\W+")
 
 
-def tokenize_words(df: DataFrame, text: str = "text", out: str = "word") -> DataFrame:
-    """One row per non-empty lower-case word."""
-    return df.select(F.explode(word_tokens(text)).alias(out)).filter(F.length(out) > 0)
+def tokenize_words(df: DataFrame, text: str = "text", out: str = "word", keep=()) -> DataFrame:
+    """One row per non-empty lower-case word (with the columns ``keep``)."""
+    return df.select(*keep, F.explode(word_tokens(text)).alias(out)).filter(F.length(out) > 0)
+
+
+def split_by_length(words: DataFrame, word: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The words that go on, and those over ``limit`` characters for the side output."""
+    long = F.length(word) > limit
+    return words.filter(~long), words.filter(long)
+
+
+def windowed_word_counts(words: DataFrame, ts: str, word: str, size: str) -> DataFrame:
+    """``word, window_start, cnt`` per tumbling window (on a stream with a
+    watermark on ``ts`` each window is emitted when it is final)."""
+    return words.groupBy(word, F.window(ts, size).alias("w")).agg(F.count(F.lit(1)).alias("cnt")) \
+        .select(word, F.col("w.start").alias("window_start"), "cnt")
 
 
 def tokenize_long_lines(df: DataFrame, line: str = "line", limit: int = 15,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-from .running import bucket_width, running, time_bucket
+from .running import order_bucket, running
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -60,8 +60,7 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
     order = [order] if isinstance(order, str) else list(order)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     d = df.withColumn("_tms", t)
-    bucket_seconds = bucket_width(df, ts, bucket_seconds)
-    b = time_bucket(ts, bucket_seconds)
+    b = order_bucket(df, order, ts, bucket_seconds)
     d = running(d, [key], order, "_tms", "max", "_prev", b, include_current=False)
     d = d.withColumn("_open", (F.col("_prev").isNull() |
                                (F.col("_tms") - F.col("_prev") > gap_ms * 1000)).cast("long"))
@@ -69,7 +68,7 @@ def session_ids(df: DataFrame, key: str, ts: str, order, gap_ms: int,
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(d.sparkSession)
         d = d.checkpoint(eager=True)
-    d = running(d, [key], order, "_open", "sum", "session_id", time_bucket(ts, bucket_seconds))
+    d = running(d, [key], order, "_open", "sum", "session_id", b)
     return d.drop("_prev", "_open", "_tms")
 
 
@@ -94,10 +93,9 @@ def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slid
     so no per-key frame buffer is needed.
     """
     order = [order] if isinstance(order, str) else list(order)
-    bucket_seconds = bucket_width(df, ts, bucket_seconds)
-    b = time_bucket(ts, bucket_seconds)
+    b = order_bucket(df, order, ts, bucket_seconds)
     d = running(df, [key], order, F.lit(1).cast("long"), "sum", "_n", b)
-    d = running(d, [key], order, value, "sum", "_s", time_bucket(ts, bucket_seconds))
+    d = running(d, [key], order, value, "sum", "_s", b)
     fire = d.filter(F.col("_n") % slide == 0)
     base = d.select(F.col(key).alias("_k"), (F.col("_n") + size).alias("_n2"),
                     F.col("_s").alias("_s0"))
@@ -108,9 +106,9 @@ def count_window_sum(df: DataFrame, key: str, order, value: str, size: int, slid
 
 
 def window_reduce_last(df: DataFrame, key: str, ts: str, size: str, price: str,
-                       volume: str) -> DataFrame:
-    """Per window the last price (by time) and the summed volume."""
-    return tumbling(df, ts, size, [key], [F.max_by(price, ts).alias(price),
+                       volume: str, tie: str) -> DataFrame:
+    """Per window the last price (by time, then by ``tie``) and the summed volume."""
+    return tumbling(df, ts, size, [key], [F.max_by(price, F.struct(ts, tie)).alias(price),
                                           F.max(ts).alias(ts),
                                           F.sum(volume).alias(volume)])
 
@@ -131,7 +129,8 @@ def window_keep_first(df: DataFrame, key: str, ts: str, size: str, arrival: str)
 def cascade(df: DataFrame, ts: str, first: str, second: str, keys=(), count_alias="cnt") -> DataFrame:
     """Counts per ``first`` window re-windowed into ``second`` windows
     using the first window's rowtime (``window_time`` = end - 1 microsecond)."""
-    w1 = F.window(F.col(ts).cast("timestamp"), first)
+    # a stream's watermark belongs to the column itself, not to a cast of it
+    w1 = F.window(F.col(ts) if df.schema[ts].dataType.typeName() == "timestamp" else F.col(ts).cast("timestamp"), first)
     inner = df.groupBy(*keys, w1.alias("w")).agg(F.count(F.lit(1)).alias("_c")) \
               .withColumn("rowtime", F.window_time("w"))
     w2 = F.window(F.col("rowtime"), second)

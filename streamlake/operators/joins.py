@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-from .running import bucket_width, time_bucket
+from .ranges import order_range
+from .running import order_bucket
 from .sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 
 
@@ -87,23 +88,37 @@ def cogroup_difference(new: DataFrame, old: DataFrame) -> DataFrame:
     return new.distinct().exceptAll(old.distinct())
 
 
-def with_broadcast_set(df: DataFrame, small: DataFrame, name: str) -> DataFrame:
+MAX_SET_BYTES = 32 << 20  # of a broadcast set, as JSON text
+
+
+def _measured(small: DataFrame) -> tuple[int, int]:
+    """Rows and bytes (as JSON text) of a data set."""
+    n, size = small.select(F.octet_length(F.to_json(F.struct(*small.columns))).alias("b")) \
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return n, size
+
+
+def with_broadcast_set(df: DataFrame, small: DataFrame, name: str, max_bytes: int = MAX_SET_BYTES) -> DataFrame:
     """Make a small data set available to every row, as one array
     column ``name`` (the set travels once per task as a one-row broadcast;
-    rows are not multiplied).  For sets that are small by their meaning; a
-    set that may grow is passed block by block (``broadcast_blocks``)."""
+    rows are not multiplied).  The set is measured; one that is larger than
+    ``max_bytes`` is refused, it goes block by block (``broadcast_blocks``)."""
+    _, size = _measured(small)
+    if size > max_bytes:
+        raise ValueError(f"a broadcast set of {size} bytes is over the bound of {max_bytes}")
     one = small.agg(F.collect_list(F.struct(*small.columns)).alias(name))
     return df.crossJoin(F.broadcast(one))
 
 
-def broadcast_blocks(small: DataFrame, order: str, block_rows: int = 10_000) -> list[DataFrame]:
-    """``small`` in blocks of at most ``block_rows`` rows by rank of ``order``."""
-    n = small.count()
-    if n <= block_rows:
+def broadcast_blocks(small: DataFrame, order: str, max_bytes: int = MAX_SET_BYTES // 2) -> list[DataFrame]:
+    """``small`` in blocks of about ``max_bytes`` by rank of ``order`` (ranges
+    of the order, so no window runs over the whole set)."""
+    n, size = _measured(small)
+    if size <= max_bytes:
         return [small]
-    ranked = small.withColumn("_rank", F.row_number().over(Window.orderBy(order)) - 1)
-    return [ranked.filter(F.floor(F.col("_rank") / block_rows) == k).drop("_rank")
-            for k in range(-(-n // block_rows))]
+    ranged = small.withColumn("_block", order_range(small, order, max(1, n * max_bytes // size)))
+    blocks = sorted(r[0] for r in ranged.select("_block").distinct().collect())  # at most MAX_RANGES
+    return [ranged.filter(F.col("_block") == k).drop("_block") for k in blocks]
 
 
 def interval_join(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
@@ -156,10 +171,10 @@ def asof_join(probe: DataFrame, versions: DataFrame, key_p: str, key_v: str,
     pt = probe.select(F.col(key_p).alias("_k"), F.col(ts_p).cast("timestamp").alias("_t"),
                       F.lit(1).alias("_side"), F.lit(0).alias("_tie"),
                       F.lit(None).cast(ver_type).alias("_ver"), F.struct(*pcols).alias("_prb"))
-    # about as many rows in a bucket whatever time they span
-    width = bucket_width(vt.select("_t").unionByName(pt.select("_t")), "_t", bucket_seconds)
-    u = vt.unionByName(pt).withColumn("_bk", time_bucket("_t", width))
     order = ["_t", "_side", "_tie"]
+    # about as many rows in a bucket whatever time they span
+    ends = vt.select(*order).unionByName(pt.select(*order))
+    u = vt.unionByName(pt).withColumn("_bk", order_bucket(ends, order, "_t", bucket_seconds))
     # level 1: last version so far inside each (key, bucket)
     w_in = Window.partitionBy("_k", "_bk").orderBy(*order) \
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -2,7 +2,7 @@
 
 A running aggregate over a whole key -- or over the whole table, for the
 unpartitioned windows -- would put every row of that key into one task.
-``running`` splits the order into time buckets instead:
+``running`` splits the order into balanced ranges (buckets) instead:
 
 1. within-bucket running value: window partitioned by (keys, bucket);
 2. per-bucket totals: a partial+final hash aggregate (a hot key is
@@ -20,24 +20,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-
-ROWS_PER_BUCKET = 500_000
+from .ranges import order_range
 
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 
 
-def bucket_width(df: DataFrame, ts: str, bucket_seconds: float | None = None) -> float:
-    """Seconds per bucket: as given, or so that a bucket holds about
-    ``ROWS_PER_BUCKET`` rows -- the number of buckets grows with the rows,
-    whatever time they span (one aggregate over the time column)."""
+def order_bucket(df: DataFrame, order, ts: str, bucket_seconds: float | None = None) -> Column:
+    """Where ``running`` cuts the order: time buckets of ``bucket_seconds`` if
+    given (and of an hour on streams), else balanced ranges of all the order
+    columns (``ranges.order_range``)."""
     if bucket_seconds is not None:
-        return bucket_seconds
-    if df.isStreaming:
-        return 3600.0
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    low, high, rows = df.agg(F.min(t), F.max(t), F.count(t)).first()
-    span = (high - low) / 1e6 if rows else 0.0
-    return max(span / max(1, rows // ROWS_PER_BUCKET), 1e-3) + 1e-3
+        return time_bucket(ts, bucket_seconds)
+    return time_bucket(ts, 3600.0) if df.isStreaming else order_range(df, order)
 
 
 def time_bucket(ts: str, seconds: float) -> Column:
@@ -82,46 +76,38 @@ def running(df: DataFrame, keys, order, value, kind: str, out: str,
     return d.withColumn(out, res).drop("_bk", "_v", "_in", "_c")
 
 
-def running_sum(df, keys, order, value, out, ts, bucket_seconds=None):
-    """One output per input row carrying the key's sum so far."""
-    return running(df, keys, order, value, "sum", out, time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
+def running_sum(df, keys, order, value, out, ts, bucket_seconds=None, bucket=None):
+    """One output per input row carrying the key's sum so far. ``bucket``:
+    an ``order_bucket`` at hand (several running values share one)."""
+    return running(df, keys, order, value, "sum", out,
+                   order_bucket(df, order, ts, bucket_seconds) if bucket is None else bucket)
 
 
-def running_count(df, keys, order, out, ts, bucket_seconds=None):
+def running_count(df, keys, order, out, ts, bucket_seconds=None, bucket=None):
     """Running ``COUNT(*)`` (no keys = over the whole table)."""
-    return running(df, keys, order, F.lit(1).cast("long"), "sum", out,
-                   time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
+    return running_sum(df, keys, order, F.lit(1).cast("long"), out, ts, bucket_seconds, bucket)
 
 
 def running_max(df, keys, order, value, out, ts, bucket_seconds=None):
     """Running max."""
-    return running(df, keys, order, value, "max", out, time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
-
+    return running(df, keys, order, value, "max", out, order_bucket(df, order, ts, bucket_seconds))
 
-def first_seen_flag(df: DataFrame, entity, order, row_id: str, out: str = "first_seen",
-                    keys=()) -> DataFrame:
-    """1 on the first row of each (``keys``, ``entity``) in ``order``, else 0;
-    a null entity is never a sighting (as in ``COUNT(DISTINCT)``).
 
-    The first row comes from a grouped ``min_by`` (partial aggregation, so a
-    hot entity is combined map-side) and is joined back by ``row_id``.
-    """
-    order = [order] if isinstance(order, str) else list(order)
-    group = [*keys, entity]
-    firsts = df.groupBy(*group).agg(
-        F.min_by(F.col(row_id), F.struct(*[F.col(c) for c in order])).alias("_first"))
-    return join_keys(df, firsts, group).withColumn(
-        out, (F.col(entity).isNotNull() & (F.col(row_id) == F.col("_first"))).cast("long")).drop("_first")
-
-
-def running_distinct(df, entity, order, row_id, out, ts, keys=(),
-                     bucket_seconds=None):
+def running_distinct(df, entity, order, row_id, out, ts, keys=(), bucket_seconds=None):
     """Running ``COUNT(DISTINCT entity) OVER (ORDER BY ..)`` -- Spark has
-    no distinct window aggregates, so count first sightings instead."""
-    keys = list(keys)
-    flagged = first_seen_flag(df, entity, order, row_id, "_fs", keys)
-    return running(flagged, keys, order, "_fs", "sum", out,
-                   time_bucket(ts, bucket_width(df, ts, bucket_seconds))).drop("_fs")
+    no distinct window aggregates, so count first sightings: where each
+    (``keys``, ``entity``) is first seen comes from a grouped minimum (a hot
+    entity is combined map-side), these places are merged into the order, and
+    a row's count is the number of places up to it. No row is joined on its
+    entity; a null entity is no sighting. ``row_id`` makes the order total."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = list(dict.fromkeys([*([order] if isinstance(order, str) else order), row_id]))
+    firsts = (df.filter(F.col(entity).isNotNull()).groupBy(*keys, entity)
+              .agg(F.min(F.struct(*order)).alias("_at")).select(*keys, "_at.*", F.lit(0).alias("_side")))
+    rows = df.withColumn("_side", F.lit(1)).unionByName(firsts, allowMissingColumns=True)
+    along = [*order, "_side"]  # a first sighting stands just before its own row
+    counted = running(rows, keys, along, F.lit(1) - F.col("_side"), "sum", out, order_bucket(rows, along, ts, bucket_seconds))
+    return counted.filter("_side = 1").drop("_side")
 
 
 def lag_bucketed(df: DataFrame, keys, order, value, out: str, bucket: Column) -> DataFrame:
@@ -155,7 +141,7 @@ def sliding_rows_sum(df: DataFrame, keys, order, value, out, preceding: int = 1,
     v = F.col(value) if isinstance(value, str) else value
     if ts is not None and preceding == 1:
         d = lag_bucketed(df.withColumn("_cur", v), keys, order, "_cur", "_prev",
-                         time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
+                         order_bucket(df, order, ts, bucket_seconds))
         return d.withColumn(out, F.when(F.col("_prev").isNull(), F.col("_cur"))
                             .otherwise(F.col("_cur") + F.col("_prev"))).drop("_cur", "_prev")
     w = Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)) \
@@ -186,13 +172,13 @@ def retract_changelog(df: DataFrame, keys, order, value_col: str, ts: str,
     ``(true, key, new)``; ``seq`` orders the pair within the input row.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    bucket_seconds = bucket_width(df, ts, bucket_seconds)
-    r = running_count(df, keys, order, "_n", ts, bucket_seconds)
+    bucket = order_bucket(df, order, ts, bucket_seconds)
+    r = running_count(df, keys, order, "_n", ts, bucket=bucket)
     if kind == "count":
         r = r.withColumn("_new", F.col("_n"))
         r = r.withColumn("_old", F.when(F.col("_n") > 1, F.col("_n") - 1))
     else:
-        r = running_sum(r, keys, order, value_col, "_new", ts, bucket_seconds)
+        r = running_sum(r, keys, order, value_col, "_new", ts, bucket=bucket)
         r = r.withColumn("_old", F.when(F.col("_n") > 1, F.col("_new") - F.col(value_col)))
     order = [order] if isinstance(order, str) else list(order)
     retract = r.filter(F.col("_old").isNotNull()).select(
@@ -208,8 +194,8 @@ def running_reduce_labeled(df: DataFrame, key: str, order, value: str, label_col
     """``keyBy(k).reduce((a, b) -> (a.k, "Sum", a.v + b.v))`` on a stream:
     the first row of a key is emitted unchanged, every later row carries the
     running total and the constant label."""
-    bucket_seconds = bucket_width(df, ts, bucket_seconds)
-    r = running_count(df, [key], order, "_n", ts, bucket_seconds)
-    r = running_sum(r, [key], order, value, "_s", ts, bucket_seconds)
+    bucket = order_bucket(df, order, ts, bucket_seconds)
+    r = running_count(df, [key], order, "_n", ts, bucket=bucket)
+    r = running_sum(r, [key], order, value, "_s", ts, bucket=bucket)
     return r.withColumn(label_col, F.when(F.col("_n") == 1, F.col(label_col)).otherwise(F.lit(label))) \
             .withColumn(value, F.col("_s")).drop("_n", "_s")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import join_keys
-from .running import bucket_width, running, time_bucket
+from .running import order_bucket, running
 
 # ----------------------------------------------------------------- U05 -----
 # The state machine's transition table (state, event) -> state.
@@ -77,7 +77,7 @@ def state_machine_alerts(df: DataFrame, key: str, order, event: str, row_id: str
     order = [order] if isinstance(order, str) else list(order)
     d = df.select(key, row_id, event, *[c for c in order if c not in (row_id,)])
     d = running(d, [key], order, F.lit(1).cast("long"), "sum", "_rn",
-                time_bucket(ts, bucket_width(df, ts, bucket_seconds)))
+                order_bucket(df, order, ts, bucket_seconds))
     d = d.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_rows)).select(key, row_id, event, "_rn", "_blk")
     # read by pass A and pass C: materialise the numbered rows once
     from ..session import ensure_checkpoint_dir
@@ -305,11 +305,10 @@ def rise_alerts_segmented(df: DataFrame, key: str, ts: str, value: str, order,
                   F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"),
                   F.col(value).alias("_val"), *[c for c in order if c not in (key, ts, value)])
     o = ["_ts"] + [c for c in order if c != ts]
-    bucket_seconds = bucket_width(df, ts, bucket_seconds)
-    b = time_bucket("_ts", bucket_seconds)
+    b = order_bucket(d, o, "_ts", bucket_seconds)
     d = lag_bucketed(d, [key], o, "_val", "_pv", b)
     d = d.withColumn("_start", (F.col("_pv").isNull() | (F.col("_val") < F.col("_pv"))).cast("long"))
-    d = running(d, [key], o, "_start", "sum", "_seg", time_bucket("_ts", bucket_seconds))
+    d = running(d, [key], o, "_start", "sum", "_seg", b)
     nxt = d.filter(F.col("_start") == 1).select(F.col(key).alias("_k2"), (F.col("_seg") - 1).alias("_s2"),
                                                 F.col("ts_ms").alias("_tnext"))
     d = d.join(nxt, d[key].eqNullSafe(nxt["_k2"]) & (d["_seg"] == nxt["_s2"]), "left").drop("_k2", "_s2")

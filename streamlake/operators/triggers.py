@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import join_keys
+from ..session import ensure_checkpoint_dir
 from .joins import interval_join
+from .keys import join_keys
+from .ranges import order_range
+from .running import lag_bucketed, running, running_count
 from .stateful import KeyedFold, keyed_scan
 
 
@@ -89,12 +92,71 @@ class DeltaTriggerFold(KeyedFold):
         return []
 
 
+def delta_fires_by_jumps(d: DataFrame, threshold) -> DataFrame:
+    """T15 fires of keys whose distance never falls, without a scan along a key.
+
+    Every row points to the row that would fire next if it were the reference
+    (the first whose distance exceeds its own by more than the threshold): a
+    running minimum over the descending distances finds all of them at once.
+    The fires are the rows on the path from a key's first row; pointer
+    doubling finds them in as many joins as the path's length has binary
+    digits. ``d``: key, ts_us, row_id, distance (exact: decimal or integer)."""
+    order = ["ts_us", "row_id"]
+    n = running_count(d, ["key"], order, "n", "ts_us", bucket=order_range(d, ["key", *order]))
+    n = n.checkpoint(eager=True)
+    limit = F.lit(str(threshold)).cast("decimal(38,6)")
+    at = F.col("distance").cast("decimal(38,6)")
+    ends = (n.select("key", (-at).alias("fall"), F.lit(1).alias("side"), F.col("n").alias("here"), F.col("n").alias("version"))
+            .unionByName(n.select("key", (-(at + limit)).alias("fall"), F.lit(0).alias("side"), F.col("n").alias("here"),
+                                  F.lit(None).cast("long").alias("version"))))
+    # descending; of equal values the probe first, as a row must exceed the limit
+    along = ["fall", "side", "here"]
+    seen = running(ends, ["key"], along, "version", "min", "next", order_range(ends, ["key", *along]))
+    jump = seen.filter("side = 0 and next is not null").select("key", F.col("here").alias("n"), "next").checkpoint(eager=True)
+    on_path = n.filter("n = 1").select("key", "n").checkpoint(eager=True)
+    reached = 0
+    while True:
+        more = join_keys(on_path, jump, ["key", "n"], "inner").select("key", F.col("next").alias("n"))
+        on_path = on_path.unionByName(more).distinct().checkpoint(eager=True)
+        count = on_path.count()
+        if count == reached:
+            break
+        reached = count
+        far = jump.select("key", F.col("n").alias("next"), F.col("next").alias("further"))
+        jump = join_keys(jump, far, ["key", "next"], "inner").select("key", "n", F.col("further").alias("next")) \
+            .checkpoint(eager=True)
+    fires = join_keys(n, on_path.filter("n > 1"), ["key", "n"], "inner")
+    return fires.select("key", F.col("ts_us").alias("fire_us"), F.col("row_id").alias("fire_id"))
+
+
+def _delta_fires(d: DataFrame, threshold: float, schema: str, hot_rows: int) -> DataFrame:
+    """The fires by a scan per key; keys of more than ``hot_rows`` rows whose
+    distances are exact and never fall by jumps, so their rows spread over tasks."""
+    def scan(rows: DataFrame) -> DataFrame:
+        return keyed_scan(rows, "key", ["ts_us", "row_id"], lambda: DeltaTriggerFold(threshold), schema)
+
+    kind = d.schema["distance"].dataType.typeName()
+    hot = d.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows).select("key")
+    if kind not in ("decimal", "long", "integer", "short", "byte") or hot.isEmpty():
+        return scan(d)
+    ensure_checkpoint_dir(d.sparkSession)
+    own = join_keys(d, hot, "key", "inner").checkpoint(eager=True)
+    order = ["ts_us", "row_id"]
+    back = lag_bucketed(own, ["key"], order, "distance", "before", order_range(own, ["key", *order]))
+    falls = back.filter("distance < before or distance is null").select("key").distinct().checkpoint(eager=True)
+    same = lambda keys: d["key"].eqNullSafe(keys["key"])
+    jumping = hot.join(falls, hot["key"].eqNullSafe(falls["key"]), "left_anti").checkpoint(eager=True)
+    rest = d.join(jumping, same(jumping), "left_anti")
+    return scan(rest).unionByName(delta_fires_by_jumps(join_keys(own, jumping, "key", "inner"), threshold))
+
+
 def top_speed_delta_trigger(df: DataFrame, key: str, ts: str, row_id: str, speed: str, distance: str,
-                            threshold: float, evict_ms: int) -> DataFrame:
+                            threshold: float, evict_ms: int, hot_rows: int = 1_000_000) -> DataFrame:
     """Global window per key + delta trigger on ``distance`` + time
     evictor keeping the last ``evict_ms`` + maxBy(``speed``).
 
-    Fires are found by a sorted keyed scan (O(1) state); the window content
+    Fires are found by a sorted keyed scan (O(1) state), of keys over
+    ``hot_rows`` rows by pointer doubling; the window content
     at a fire at time T is exactly the key's rows in (T - evict, T] (older rows
     are evicted by then), gathered by a bucketed interval join and reduced
     with ``max_by`` (first row wins ties).
@@ -103,8 +165,7 @@ def top_speed_delta_trigger(df: DataFrame, key: str, ts: str, row_id: str, speed
                   F.col(row_id).alias("row_id"), F.col(distance).alias("distance"))
     ktype = df.schema[key].dataType.simpleString()
     rtype = df.schema[row_id].dataType.simpleString()
-    fires = keyed_scan(d, "key", ["ts_us", "row_id"], lambda: DeltaTriggerFold(threshold),
-                       f"key {ktype}, fire_us long, fire_id {rtype}")
+    fires = _delta_fires(d, threshold, f"key {ktype}, fire_us long, fire_id {rtype}", hot_rows)
     rows = df.select(F.col(key).alias("rkey"), F.col(ts).cast("timestamp").alias("rts"),
                      F.col(row_id).alias("rid"), F.col(speed).alias("rspeed"))
     f = fires.withColumn("fts", F.timestamp_micros("fire_us"))
@@ -146,8 +207,8 @@ def price_drop_trigger(df: DataFrame, key: str, ts: str, row_id: str, price: str
 
 
 class PriceDropFold(KeyedFold):
-    """T25 state per key: the current window's buffer, last price and
-    pending boundary timers; a new window flushes the previous one."""
+    """T25 state per key: number and sum of the prices not yet fired, the last
+    price and the pending boundary timers; a new window flushes the previous one."""
 
     def __init__(self, size_us, bnd_us, big, small):
         super().__init__()
@@ -158,12 +219,12 @@ class PriceDropFold(KeyedFold):
         self.key, self.ws = (key[0] if isinstance(key, tuple) else key), None
 
     def _open(self, ws):
-        self.ws, self.buf, self.last, self.timers = ws, [], None, []
+        self.ws, self.n, self.total, self.last, self.timers = ws, 0, 0.0, None, []
 
     def _emit(self, out, when, why):
-        if self.buf:
-            out.append((self.key, self.ws, when, why, len(self.buf), sum(self.buf) / len(self.buf)))
-            self.buf = []
+        if self.n:
+            out.append((self.key, self.ws, when, why, self.n, self.total / self.n))
+            self.n, self.total = 0, 0.0
 
     def _close(self, out):
         end = self.ws + self.size
@@ -182,7 +243,7 @@ class PriceDropFold(KeyedFold):
             self._open(ws)
         while self.timers and self.timers[0] <= t:
             self._emit(out, self.timers.pop(0), "timer")
-        self.buf.append(p)
+        self.n, self.total = self.n + 1, self.total + p
         if self.last is not None:
             if self.last - p > self.last * self.big:
                 self._emit(out, t, "drop")
@@ -199,77 +260,3 @@ class PriceDropFold(KeyedFold):
         if self.ws is not None:
             self._close(out)
         return out
-
-
-class TopSpeedFold(KeyedFold):
-    """T15 as one fold (streaming form): delta trigger on ``distance`` plus a
-    time-evicted buffer of the last ``evict_us``; a fire emits the buffer's
-    max-speed row (earliest, then lowest id, on ties).  Rows carry
-    ``ts_us``, ``row_id``, ``speed``, ``distance``."""
-
-    def __init__(self, threshold: float, evict_us: int):
-        super().__init__()
-        self.threshold, self.evict = threshold, evict_us
-
-    def start(self, key):
-        self.key, self.last, self.buf = key, None, []
-
-    def row(self, rec):
-        t = rec["ts_us"]
-        self.buf.append((t, rec["row_id"], rec["speed"]))
-        self.buf = [b for b in self.buf if b[0] > t - self.evict]
-        d = rec["distance"]
-        if self.last is None:
-            self.last = d
-            return []
-        if d - self.last > self.threshold:
-            self.last = d
-            best = max(self.buf, key=lambda b: (b[2], -b[0], -b[1]))
-            return [(self.key, t, rec["row_id"], best[1], best[2])]
-        return []
-
-    def finish(self):
-        return []
-
-
-class CoGroupFireFold(KeyedFold):
-    """J19 as one fold per key (streaming form): rows carry ``ws`` (window
-    start), ``side`` ('L'/'R'), ``v`` (Decimal or float).  Emits
-    (key, ws, fire_seq, trigger, n_left, n_right, sum_left, sum_right)."""
-
-    def start(self, key):
-        self.key, self.ws = key, None
-
-    def _open(self, ws):
-        self.ws, self.k, self.nr, self.sr, self.bl, self.sbl, self.seen_l = ws, 0, 0, None, 0, None, False
-
-    def _close(self, out):
-        out.append((self.key, self.ws, self.k + 1, "end", self.bl, self.nr,
-                    None if self.sbl is None else float(self.sbl), None if self.sr is None else float(self.sr)))
-
-    def row(self, rec):
-        out = []
-        if rec["ws"] != self.ws:
-            if self.ws is not None:
-                self._close(out)
-            self._open(rec["ws"])
-        self.k += 1
-        v = rec["v"]
-        if rec["side"] == "L":
-            self.seen_l = True
-            self.bl += 1
-            self.sbl = v if self.sbl is None else self.sbl + v
-        else:
-            self.nr += 1
-            self.sr = v if self.sr is None else self.sr + v
-        if self.seen_l and self.nr > 0:
-            out.append((self.key, self.ws, self.k, "both", self.bl, self.nr,
-                        None if self.sbl is None else float(self.sbl), float(self.sr)))
-            self.bl, self.sbl = 0, None          # evict the left side after firing
-        return out
-
-    def finish(self):
-        out = []
-        if self.ws is not None:
-            self._close(out)
-        return out

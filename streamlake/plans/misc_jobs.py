@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import int_to_ip
-from ..functions.text import tokenize_words
+from ..functions.text import split_by_length, tokenize_words, windowed_word_counts
 from ..operators import event_time as ET
 from ..sources import codec
 from ..sources.tables import events, load, to_ntz
@@ -94,3 +94,25 @@ def u04_length_side_output(spark, sf):
 register("u04_length_side_output", u04_length_side_output, """
 SELECT word, COUNT(*) AS cnt FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\W+')) AS word FROM documents)
 WHERE length(word) > 0 AND length(word) <= 5 GROUP BY word""")
+
+
+def u04_windowed_side_outputs(spark, sf):
+    """U04 whole: words of more than 5 characters go to the side output, the
+    rest are counted per word and 5-second window; one job returns both. A
+    document's id in seconds stands in for its time."""
+    docs = load(spark, sf, "documents", "doc_id", "text").withColumn("ts", F.timestamp_seconds("doc_id"))
+    main, rejected = split_by_length(tokenize_words(docs, keep=["ts"]), "word", 5)
+    counts = windowed_word_counts(main, "ts", "word", "5 seconds")
+    return to_ntz(counts.select(F.lit("main").alias("output"), "window_start", "word", "cnt").unionByName(
+        rejected.groupBy("word").agg(F.count(F.lit(1)).alias("cnt")).select(
+            F.lit("rejected").alias("output"), F.lit(None).cast("timestamp").alias("window_start"), "word", "cnt")),
+        "window_start")
+
+
+register("u04_windowed_side_outputs", u04_windowed_side_outputs, """
+WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\W+')) AS word FROM documents)
+SELECT 'main' AS output, make_timestamp((doc_id // 5) * 5000000) AS window_start, word, COUNT(*) AS cnt
+FROM w WHERE length(word) > 0 AND length(word) <= 5 GROUP BY ALL
+UNION ALL
+SELECT 'rejected' AS output, CAST(NULL AS TIMESTAMP) AS window_start, word, COUNT(*) AS cnt
+FROM w WHERE length(word) > 5 GROUP BY ALL""")

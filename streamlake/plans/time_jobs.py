@@ -93,14 +93,14 @@ SELECT {_bucket_sql(HOUR_US)} AS window_start, {_bucket_sql(HOUR_US)} + INTERVAL
 
 
 def t16_window_last_and_volume(spark, sf):
-    e = _ev(spark, sf, "ts", "event_type", "value", "props").withColumn("volume", props_k())
-    r = ET.window_reduce_last(e, "event_type", "ts", "1 hour", "value", "volume")
+    e = _ev(spark, sf, "event_id", "ts", "event_type", "value", "props").withColumn("volume", props_k())
+    r = ET.window_reduce_last(e, "event_type", "ts", "1 hour", "value", "volume", "event_id")
     return to_ntz(r, "ts", "window_start", "window_end")
 
 
 register("t16_window_last_and_volume", t16_window_last_and_volume, f"""
 SELECT event_type, {_bucket_sql(HOUR_US)} AS window_start, {_bucket_sql(HOUR_US)} + INTERVAL 1 HOUR AS window_end,
-       arg_max(value, ts) AS value, MAX(ts) AS ts, CAST(SUM({PROPS_K_SQL}) AS BIGINT) AS volume FROM events GROUP BY ALL""")
+       arg_max(value, (ts, event_id)) AS value, MAX(ts) AS ts, CAST(SUM({PROPS_K_SQL}) AS BIGINT) AS volume FROM events GROUP BY ALL""")
 
 
 def t17_window_max_min(spark, sf):
@@ -221,19 +221,20 @@ SELECT event_id, make_timestamp(1000 * MAX(CASE WHEN event_type = 'signup' THEN
 
 
 def a13_ohlc_vwap(spark, sf):
-    e = _ev(spark, sf, "ts", "event_type", "value", "props").withColumn("k", props_k())
+    e = _ev(spark, sf, "event_id", "ts", "event_type", "value", "props").withColumn("k", props_k())
     w = F.window("ts", "1 hour")
+    at = F.struct("ts", "event_id")
     pv = F.col("value").cast("decimal(18,2)") * F.col("k")
     r = e.groupBy("event_type", w.start.alias("window_start")).agg(
-        F.min_by("value", "ts").alias("open"), F.max("value").alias("high"),
-        F.min("value").alias("low"), F.max_by("value", "ts").alias("close"),
+        F.min_by("value", at).alias("open"), F.max("value").alias("high"),
+        F.min("value").alias("low"), F.max_by("value", at).alias("close"),
         (exact_sum(pv) / F.nullif(F.sum("k"), F.lit(0))).alias("vwap"))
     return to_ntz(r, "window_start")
 
 
 register("a13_ohlc_vwap", a13_ohlc_vwap, f"""
-SELECT event_type, {_bucket_sql(HOUR_US)} AS window_start, arg_min(value, ts) AS open, MAX(value) AS high,
-       MIN(value) AS low, arg_max(value, ts) AS close,
+SELECT event_type, {_bucket_sql(HOUR_US)} AS window_start, arg_min(value, (ts, event_id)) AS open, MAX(value) AS high,
+       MIN(value) AS low, arg_max(value, (ts, event_id)) AS close,
        CAST(SUM(CAST(CAST(value AS DECIMAL(18,2)) * {PROPS_K_SQL} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(SUM({PROPS_K_SQL}), 0) AS vwap
 FROM events GROUP BY ALL""")
 

@@ -96,7 +96,35 @@ def t25_price_drop_trigger(spark, sf):
     return to_ntz(r, "window_start", "fire_time")
 
 
-register("t25_price_drop_trigger", t25_price_drop_trigger)   # checked against a plain-Python model in tests
+# row by row per (type, hour): what is held (rows, sum, last price), and the one boundary that can be
+# pending (a later drop inside the same ten minutes asks for the same one)
+register("t25_price_drop_trigger", t25_price_drop_trigger, f"""
+WITH RECURSIVE ev AS (
+  SELECT event_type, (epoch_us(ts) // {HOUR_US}) * {HOUR_US} AS ws, epoch_us(ts) AS t, value AS p,
+         ROW_NUMBER() OVER (PARTITION BY event_type, epoch_us(ts) // {HOUR_US} ORDER BY ts, event_id) AS rn FROM events),
+st AS (
+  SELECT DISTINCT event_type, ws, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS n, CAST(0 AS DOUBLE) AS s,
+         CAST(NULL AS DOUBLE) AS last, CAST(NULL AS BIGINT) AS due,
+         CAST(NULL AS BIGINT) AS due_at, CAST(0 AS BIGINT) AS due_n, CAST(0 AS DOUBLE) AS due_s,
+         CAST(NULL AS BIGINT) AS drop_at, CAST(0 AS BIGINT) AS drop_n, CAST(0 AS DOUBLE) AS drop_s FROM ev
+  UNION ALL
+  SELECT event_type, ws, rn, CASE WHEN big THEN 0 ELSE n1 + 1 END, CASE WHEN big THEN 0 ELSE s1 + p END, p,
+         CASE WHEN small AND NOT big THEN (t // 600000000 + 1) * 600000000 WHEN NOT reached THEN due END,
+         CASE WHEN reached AND n > 0 THEN due END, n, s, CASE WHEN big THEN t END, n1 + 1, s1 + p
+  FROM (SELECT ev.event_type, ev.ws, ev.rn, ev.t, ev.p, st.n, st.s, st.due, r.reached,
+               CASE WHEN r.reached THEN 0 ELSE st.n END AS n1, CASE WHEN r.reached THEN 0 ELSE st.s END AS s1,
+               COALESCE(st.last - ev.p > st.last * 0.05, false) AS big,
+               COALESCE(st.last - ev.p > st.last * 0.01, false) AS small
+        FROM st JOIN ev ON ev.event_type = st.event_type AND ev.ws = st.ws AND ev.rn = st.rn + 1,
+             LATERAL (SELECT COALESCE(st.due <= ev.t, false) AS reached) r)),
+fin AS (SELECT * FROM st QUALIFY ROW_NUMBER() OVER (PARTITION BY event_type, ws ORDER BY rn DESC) = 1),
+fired AS (
+  SELECT event_type, ws, due_at AS fired_at, 'timer' AS reason, due_n AS n, due_s AS s FROM st WHERE due_at IS NOT NULL
+  UNION ALL SELECT event_type, ws, drop_at, 'drop', drop_n, drop_s FROM st WHERE drop_at IS NOT NULL
+  UNION ALL SELECT event_type, ws, CASE WHEN due < ws + {HOUR_US} THEN due ELSE ws + {HOUR_US} END,
+                   CASE WHEN due < ws + {HOUR_US} THEN 'timer' ELSE 'end' END, n, s FROM fin WHERE n > 0)
+SELECT event_type, make_timestamp(ws) AS window_start, make_timestamp(fired_at) AS fire_time, reason, n, s / n AS avg_price
+FROM fired""")
 
 
 def u11_window_models(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import exact_sum, ten_minute_bucket
 from ..operators import running as RN
+from ..operators.ranges import order_range
 from ..operators import topn as TN
 from ..sources.tables import events, load, to_ntz
 from . import tpch
@@ -51,7 +52,7 @@ def a05_running_max_by(spark, sf):
     best = F.struct(F.col("value").alias("value"), (-F.unix_micros("ts")).alias("nts"),
                     (-F.col("event_id")).alias("nid"), F.col("event_type").alias("event_type"))
     r = RN.running(e.withColumn("_s", best), ["user_id"], ORDER, "_s", "max", "_best",
-                   RN.time_bucket("ts", RN.bucket_width(e, "ts")))
+                   RN.order_bucket(e, ORDER, "ts"))
     return r.select("event_id", "user_id", F.col("_best.value").alias("max_value"),
                     (-F.col("_best.nid")).alias("max_event_id"),
                     F.col("_best.event_type").alias("max_event_type"))
@@ -121,7 +122,7 @@ def g17_uv_per_ten_minutes(spark, sf):
     label's max (the label itself is a running max, as in the SQL form)."""
     e = _ev(spark, sf, "event_id", "ts", "user_id").withColumn("label", ten_minute_bucket("ts"))
     r = RN.running_distinct(e, "user_id", ORDER, "event_id", "uv", "ts")
-    r = RN.running(r, [], ORDER, "label", "max", "time_str", RN.time_bucket("ts", RN.bucket_width(e, "ts")))
+    r = RN.running(r, [], ORDER, "label", "max", "time_str", RN.order_bucket(e, ORDER, "ts"))
     return r.groupBy("time_str").agg(F.max("uv").alias("uv"))
 
 
@@ -133,11 +134,11 @@ SELECT time_str, MAX(uv) AS uv FROM (
 
 def w05_row_number(spark, sf):
     """ROW_NUMBER per user by value desc -- as a running count over
-    value buckets (monotone in the order), so a hot user is split."""
+    balanced ranges of the order, so a hot user is split."""
     e = _ev(spark, sf, "event_id", "user_id", "value")
     order = [F.col("value").desc(), F.col("event_id").asc()]
     r = RN.running(e, ["user_id"], order, F.lit(1).cast("long"), "sum", "row_num",
-                   -F.floor(F.col("value")))
+                   order_range(e, [F.col("value").isNull(), -F.col("value"), "event_id"]))
     return r.select("event_id", "user_id", F.col("row_num").cast("long").alias("row_num"))
 
 

@@ -98,6 +98,18 @@ def test_jdbc_append_and_upsert(spark, tmpdir_path):
     jdbc.upsert(b, url, "hits", ["ip", "win"])
     got = sorted(tuple(r) for r in jdbc.read_table(spark, url, "hits").collect())
     assert got == [("1.1.1.1", "10", 3), ("2.2.2.2", "10", 5), ("3.3.3.3", "11", 1)]
+    # long texts, connection properties, and no staging table left, also after a failed merge
+    jdbc._execute(spark, url, ["CREATE TABLE notes (id BIGINT NOT NULL PRIMARY KEY, note VARCHAR(20000))"],
+                  {"user": "app", "password": "secret"})
+    long = spark.createDataFrame([(1, "x" * 9000), (2, None)], "id long, note string")
+    for _ in range(2):
+        jdbc.upsert(long, url, "notes", "id", props={"user": "app", "password": "secret"})
+    assert sorted((r[0], len(r[1] or "")) for r in jdbc.read_table(spark, url, "notes").collect()) == [(1, 9000), (2, 0)]
+    import pytest
+    with pytest.raises(Exception):
+        jdbc.upsert(long.withColumnRenamed("note", "missing"), url, "notes", "id", props={"user": "app"})
+    tables = jdbc.read_table(spark, url, "select tablename from sys.systables where tablename like '%STAGE%'")
+    assert tables.collect() == []
 
 
 def test_kafka_options():

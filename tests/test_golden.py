@@ -109,7 +109,7 @@ def test_kmeans(spark):
     assert got == {1: (-4.904, -45.118), 2: (46.732, -48.337), 3: (26.636, 47.53), 4: (-32.843, 35.964)}
     sizes = [r["count"] for r in assigned.groupBy("cluster").count().collect()]
     assert sorted(sizes) == [10, 10, 10, 10]
-    blocks = M.assign_nearest(pts, final, block_rows=1)      # many centroids come in blocks
+    blocks = M.assign_nearest(pts, final, block_bytes=1)      # many centroids come in blocks
     assert sorted(blocks.collect()) == sorted(assigned.collect())
 
 
@@ -338,3 +338,36 @@ def test_broadcast_set_is_one_array(spark):
     small = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     r = with_broadcast_set(big, small, "s")
     assert r.count() == 50 and {len(x.s) for x in r.collect()} == {2}
+
+
+def test_sorted_q3_is_in_order(spark):
+    """[W08] revenue descending, then order date ascending"""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    got = [(-r["revenue"], r["o_orderdate"]) for r in E.queries()["w08_sorted_q3"](spark, SF_SMALL).collect()]
+    assert len(got) > 3 and got == sorted(got)
+
+
+def test_state_machine_knows_all_letters(spark):
+    """[U05] every letter from every state, against the transitions written out"""
+    moves = {"Initial": {"a": "W", "c": "X"}, "W": {"b": "Y"}, "X": {"b": "Y", "d": "Z"}, "Y": {"e": "Z"}, "Z": {"g": "Initial"}}
+    reach = {"Initial": "", "W": "a", "X": "c", "Y": "ab", "Z": "cd"}
+    rows, want = [], []
+    for i, (state, way) in enumerate(reach.items()):
+        for j, letter in enumerate("abcdefg"):
+            key = 10 * i + j
+            rows += [(key, 100 * key + t, t, c) for t, c in enumerate(way + letter)]
+            if letter not in moves[state]:
+                want.append((key, 100 * key + len(way), state, letter))
+    df = spark.createDataFrame(rows, "addr long, seq long, ts long, evt string").withColumn("ts", F.timestamp_seconds("ts"))
+    got = ST.state_machine_alerts(df, "addr", ["ts", "seq"], "evt", "seq").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_broadcast_sets_are_measured(spark):
+    """[J11] a set over the bound is refused"""
+    from streamlake.operators.joins import with_broadcast_set
+    small = spark.range(100).withColumn("t", F.lit("x" * 50))
+    assert with_broadcast_set(spark.range(2), small, "s").select(F.size("s").alias("n")).collect()[0]["n"] == 100
+    with pytest.raises(ValueError, match="bound"):
+        with_broadcast_set(spark.range(2), small, "s", max_bytes=1000)

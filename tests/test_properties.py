@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streamlake.operators import joins as J
 from streamlake.operators import running as RN
-from streamlake.operators.event_time import session_ids
+from streamlake.operators.event_time import count_window_sum, session_ids
 
 EPOCH = datetime.datetime(2024, 1, 1)
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -187,3 +187,74 @@ def test_segmented_rise_alerts_match_fold(spark, rows, interval):
     b = ST.rise_alerts_segmented(df, "k", "ts", "v", ["ts", "id"], interval_ms=interval * 1000,
                                  bucket_seconds=5).select("k", "alert_ms")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+# balanced ranges
+
+@st.composite
+def skewed_times(draw):
+    """Rows with a stray timestamp, a burst of a third at one instant, nulls."""
+    n = draw(st.integers(60, 150))
+    times = draw(st.lists(st.integers(0, 5000), min_size=n, max_size=n))
+    for k in range(n // 3):
+        times[k] = 777
+    times[-1] = -1_700_000_000
+    return times
+
+
+@settings(SETTINGS, max_examples=6)
+@given(skewed_times(), st.integers(5, 15))
+def test_ranges_are_balanced_and_monotone(spark, times, rows):
+    """[W02 A03] a burst and a stray timestamp are cut as finely as their rows need"""
+    from streamlake.operators.ranges import order_range
+    df = spark.createDataFrame([(k, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=t) if k % 17 else None)
+                                for k, t in enumerate(times)], "id long, ts timestamp")
+    got = df.withColumn("r", order_range(df, ["ts", "id"], rows)).collect()
+    got.sort(key=lambda r: (r["ts"] is not None, r["ts"] or datetime.datetime.min, r["id"]))
+    numbers = [r["r"] for r in got]
+    assert numbers == sorted(numbers)
+    sizes = sorted(numbers.count(x) for x in set(numbers))
+    assert sizes[-1] < 2 * max(sizes[len(sizes) // 2], 2) and len(sizes) >= len(times) // rows
+
+
+def test_stray_timestamp_and_burst_keep_tasks_even(spark, monkeypatch):
+    """[W02 W03 A03 T12 J16] results as before, with ranges of 40 rows"""
+    from streamlake.operators import ranges
+    rows = [(k, k % 3, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=100 if k < 200 else k), (k * 7) % 50)
+            for k in range(600)] + [(600, 1, datetime.datetime(1970, 1, 1), 5), (601, 1, datetime.datetime(9999, 1, 1), 6)]
+    df = spark.createDataFrame(rows, "id long, k int, ts timestamp, v long")
+    calls = lambda: [
+        sorted(map(tuple, RN.running_count(df, [], ["ts", "id"], "n", "ts").collect())),
+        sorted(map(tuple, RN.running_max(df, ["k"], ["ts", "id"], "v", "m", "ts").collect())),
+        sorted(map(tuple, RN.running_distinct(df, "v", ["ts", "id"], "id", "d", "ts").collect())),
+        sorted(map(tuple, RN.sliding_rows_sum(df, "k", ["ts", "id"], "v", "s", 1, "ts").collect())),
+        sorted(map(tuple, session_ids(df, "k", "ts", ["ts", "id"], 5000).collect())),
+        sorted(map(tuple, count_window_sum(df, "k", ["ts", "id"], "v", 4, 2, "ts").collect())),
+        sorted(map(tuple, J.asof_join(df.select("id", "k", "ts"), df.filter("v % 5 = 0").select(
+            F.col("id").alias("vid"), F.col("k").alias("vk"), F.col("ts").alias("vts")), "k", "vk", "ts", "vts",
+            version_order="vid").collect()))]
+    whole = calls()
+    monkeypatch.setattr(ranges, "ROWS_PER_RANGE", 40)
+    assert calls() == whole
+    sizes = sorted(r["count"] for r in df.groupBy(ranges.order_range(df, ["ts", "id"]).alias("r")).count().collect())
+    assert len(sizes) >= 14 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    same = df.select("id", F.lit(datetime.datetime(2024, 1, 1)).alias("ts"))  # all rows at one instant
+    sizes = sorted(r["count"] for r in same.groupBy(ranges.order_range(same, ["ts", "id"]).alias("r")).count().collect())
+    assert len(sizes) >= 14 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+@settings(SETTINGS, max_examples=5)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60), st.integers(0, 30)), min_size=1, max_size=60),
+       st.integers(0, 70), st.booleans())
+def test_delta_fires_by_jumps_equal_the_scan(spark, rows, threshold, falls):
+    """[T15] keys over the bound spread over tasks; one whose distance falls is scanned"""
+    from streamlake.operators.stateful import keyed_scan
+    from streamlake.operators.triggers import DeltaTriggerFold, _delta_fires
+    total, data = {}, []
+    for i, (k, t, step) in enumerate(sorted(rows, key=lambda r: r[1])):
+        total[k] = total.get(k, 0) + (-step if falls and k == 1 else step)
+        data.append((k, t, i, total[k]))
+    d = spark.createDataFrame(data, "key int, ts_us long, row_id long, distance long")
+    schema = "key int, fire_us long, fire_id long"
+    want = keyed_scan(d, "key", ["ts_us", "row_id"], lambda: DeltaTriggerFold(threshold), schema)
+    assert sorted(map(tuple, _delta_fires(d, threshold, schema, 2).collect())) == sorted(map(tuple, want.collect()))
