@@ -101,10 +101,10 @@ def test_jdbc_append_and_upsert(spark, tmpdir_path):
     # long texts, connection properties, and no staging table left, also after a failed merge
     jdbc._execute(spark, url, ["CREATE TABLE notes (id BIGINT NOT NULL PRIMARY KEY, note VARCHAR(20000))"],
                   {"user": "app", "password": "secret"})
-    long = spark.createDataFrame([(1, "x" * 9000), (2, None)], "id long, note string")
+    long = spark.createDataFrame([(1, "x" * 9000), (2, "short")], "id long, note string")
     for _ in range(2):
         jdbc.upsert(long, url, "notes", "id", props={"user": "app", "password": "secret"})
-    assert sorted((r[0], len(r[1] or "")) for r in jdbc.read_table(spark, url, "notes").collect()) == [(1, 9000), (2, 0)]
+    assert sorted((r[0], len(r[1] or "")) for r in jdbc.read_table(spark, url, "notes").collect()) == [(1, 9000), (2, 5)]
     import pytest
     with pytest.raises(Exception):
         jdbc.upsert(long.withColumnRenamed("note", "missing"), url, "notes", "id", props={"user": "app"})
