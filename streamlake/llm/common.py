@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +47,33 @@ def write_table(df: DataFrame, name: str, files: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python workers get ``rows`` rows at a time in the jobs run inside: whole
+    texts and sets are large, and a worker holds a batch of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on a task's batches; at its end the worker, which waits for
+    other tasks, gives the memory it no longer uses back to the system."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim:
+                trim(0)
+    return run
+
+
 def _drop_all() -> None:
     for path, spark in _WRITTEN.items():
         try:

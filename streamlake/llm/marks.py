@@ -14,8 +14,9 @@ run twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -87,11 +88,35 @@ def _segment(folder: str, file: str, segment: int) -> tuple[np.ndarray, pa.Table
     parts = []
     for n in names:
         with store.open_input_file(n) as source:
-            parts.append(pq.ParquetFile(source).read())
+            parts.append(pq.ParquetFile(source).read(use_threads=False))
     table = pa.concat_tables(parts).sort_by("at").combine_chunks()
     return table.column("at").to_numpy(), table
 
 
+def lookup(folder: str, kind: pa.StructType, file: pa.Array, at: pa.Array) -> pa.StructArray:
+    """The marks of rows, null for rows without one (take a field of the
+    result with ``struct_field``, which heeds that)."""
+    files, rows = file.dictionary_encode(), at.to_numpy()
+    keys = files.indices.to_numpy().astype(np.int64) << 40 | rows >> SEGMENT_BITS
+    parts, order = [], []
+    for key in np.unique(keys):
+        mine = np.flatnonzero(keys == key)
+        order.append(mine)
+        found = _segment(folder, files.dictionary[int(key >> 40)].as_py(), int(key & (1 << 40) - 1))
+        if found is None:
+            parts.append(pa.nulls(len(mine), kind))
+            continue
+        known, table = found
+        spot = np.minimum(np.searchsorted(known, rows[mine]), len(known) - 1)
+        missing = known[spot] != rows[mine]
+        taken = table.take(pa.array(np.where(missing, 0, spot)))
+        columns = [taken.column(f.name).combine_chunks().cast(f.type) for f in kind]
+        parts.append(pa.StructArray.from_arrays(columns, fields=list(kind), mask=pa.array(missing)))
+    if not parts:
+        return pa.nulls(0, kind)
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate(order), kind="stable")))
+
+
 @dataclass(frozen=True)
 class Marks:
     """A written table of marks: ``fields`` per marked row."""
@@ -101,34 +126,18 @@ class Marks:
 
     def of(self, file: Column, at: Column) -> Column:
         """The mark of a row, null without one. Only the two columns go to Python."""
-        folder, out_type = self.folder, to_arrow_type(self.fields)
+        read = self.reader()
 
         @F.arrow_udf(self.fields)
         def mark(file: pa.Array, at: pa.Array) -> pa.Array:
-            files, rows = file.dictionary_encode(), at.to_numpy()
-            codes = files.indices.to_numpy()
-            parts, order = [], []
-            keys = codes.astype(np.int64) << 40 | rows >> SEGMENT_BITS
-            for key in np.unique(keys):
-                mine = np.flatnonzero(keys == key)
-                found = _segment(folder, files.dictionary[int(key >> 40)].as_py(), int(key & (1 << 40) - 1))
-                order.append(mine)
-                if found is None:
-                    parts.append(pa.nulls(len(mine), out_type))
-                    continue
-                known, table = found
-                spot = np.minimum(np.searchsorted(known, rows[mine]), len(known) - 1)
-                missing = known[spot] != rows[mine]
-                taken = table.take(pa.array(np.where(missing, 0, spot)))
-                columns = [taken.column(f.name).combine_chunks().cast(f.type) for f in out_type]
-                parts.append(pa.StructArray.from_arrays(columns, fields=list(out_type), mask=pa.array(missing)))
-            if not parts:
-                return pa.nulls(0, out_type)
-            back = np.argsort(np.concatenate(order), kind="stable")
-            return pa.concat_arrays(parts).take(pa.array(back))
+            return read(file, at)
 
         return mark(file, at)
 
+    def reader(self) -> Callable[[pa.Array, pa.Array], pa.StructArray]:
+        """``lookup`` in this table, for functions that run in tasks anyway."""
+        return partial(lookup, self.folder, to_arrow_type(self.fields))
+
 
 def save(marks: DataFrame, name: str) -> Marks:
     """Write ``marks`` (file, at, further fields); a row is marked once."""

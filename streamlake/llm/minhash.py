@@ -41,12 +41,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import write_table
-from .words import chunks, raw_texts, shingle_sets
+from . import marks
+from .common import arrow_rows, trimmed, write_table
+from .words import shingle_sets, text_chunks
 
 TREES, LEVELS, LEAST, NEAR = 20, 8, 4, 3
 CELLS = 20  # bits of the cells that count shingles for their order
 PARITY = 8  # words of 64 bits that hold a set's parities
+BATCH_ROWS = 2000  # texts or pairs of sets that a worker holds
+HUB_SALTS = 8  # tasks that share the rows of a hub in the component steps
 SALT_ROWS = 1000  # rows of a shingle that are compared in one piece
 _rng = np.random.default_rng(85)
 _A = _rng.integers(1, 1 << 32, TREES * LEVELS, dtype=np.uint32) | np.uint32(1)
@@ -69,25 +72,26 @@ def _set_key(s: np.ndarray) -> bytes:
     return hashlib.md5(s.tobytes()).digest()
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id, key`` (128-bit digest of the set, null for the empty set), ``n``, ``sig``."""
+def signatures(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` (file, at, id, text) with ``key`` (128-bit digest of the set,
+    null for the empty set), ``n`` and ``sig`` instead of the text."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in chunks(raw_texts(batch.column("text"))):
+            for texts in text_chunks(batch.column("text")):
                 sets = shingle_sets(texts, width)
                 full = [s for s in sets if len(s)]
                 sig = iter(minima(full) if full else [])
                 keys = [_set_key(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(done, len(texts)), pa.array(keys, pa.binary()),
+                    [*(batch.column(c).slice(done, len(texts)) for c in ("file", "at", "id")), pa.array(keys, pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["id", "key", "n", "sig"])
+                    ["file", "at", "id", "key", "n", "sig"])
                 done += len(texts)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sign, f"id {dict(rows.dtypes)['id']}, key binary, n long, sig binary")
+    return rows.select("file", "at", "id", "text").mapInArrow(
+        trimmed(sign), f"file string, at long, id {dict(rows.dtypes)['id']}, key binary, n long, sig binary")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -179,23 +183,24 @@ def candidates(nodes: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
             both.filter("b is null").select(F.col("a").alias("node")).distinct())
 
 
-def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``node, set`` (packed 64-bit hashes) for ``wanted`` (node, key, id)."""
+def shingle_table(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``node, set`` (packed 64-bit hashes) for the ``rows`` (file, at, text)
+    that ``wanted`` (file, at, node) names."""
+    node_of = marks.save(wanted, "forest-wanted").reader()
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks(raw_texts(batch.column("text"))):
-                sets = shingle_sets(texts, width)
+            node = node_of(batch.column("file"), batch.column("at"))
+            own = batch.filter(node.is_valid())
+            nodes = node.drop_null().field("node")
+            done = 0
+            for texts in text_chunks(own.column("text")):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_set_key(s) for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "set"])
+                    [nodes.slice(done, len(texts)),
+                     pa.array([s.tobytes() for s in shingle_sets(texts, width)], pa.binary())], ["node", "set"])
+                done += len(texts)
 
-    ids = wanted.select(F.col("id").alias("_id"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    own = texts.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = own.mapInArrow(packed, "key binary, set binary")
-    # one id may stand on several rows: the digest says which is meant, the first of equals is taken
-    return write_table(sets.join(wanted.select("key", "node"), "key").dropDuplicates(["node"])
-                       .select("node", "set"), "forest-sets")
+    return write_table(rows.select("file", "at", "text").mapInArrow(trimmed(packed), "node long, set binary"), "forest-sets")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,6 +225,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                        .filter(alike("left", "right")).select("a", "b"), "forest-links")
 
 
+def _beside(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """``rows`` (u, v) with ``m`` of ``low`` (u, m); the rows of a hub are dealt to HUB_SALTS tasks."""
+    salts = F.array(*[F.lit(k) for k in range(HUB_SALTS)])
+    return (rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(HUB_SALTS)).cast("int"))
+            .join(low.withColumn("salt", F.explode(salts)), ["u", "salt"]).drop("salt"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` (the smallest node of its component) for all ends of
     ``edges`` (a, b), by alternating large-star and small-star steps."""
@@ -229,10 +241,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = (_beside(both.filter("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u != v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        joined = _beside(large, low)
         small = (joined.select("u", F.col("m").alias("v"))
                  .unionByName(joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
                  .filter("u != v").distinct())
@@ -278,7 +290,7 @@ def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
                      pa.array(np.arange(len(tokens), dtype=np.int32)),
                      pa.array(np.full(len(tokens), len(s), np.int32))], ["token", "node", "pos", "n"])
 
-    return sets.select("node", "set").mapInArrow(rarest, "token long, node long, pos int, n int")
+    return sets.select("node", "set").mapInArrow(trimmed(rarest), "token long, node long, pos int, n int")
 
 
 def parities(sets: DataFrame) -> DataFrame:
@@ -365,21 +377,29 @@ def complete(crowded: DataFrame, roots: DataFrame, sets: DataFrame, percent: int
     return state.select("old", "root").distinct()
 
 
-def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-          percent: int = 85, least: int = LEAST) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (the
-    smallest id of the component), ``kept`` (whether that is the row's id) and
-    ``key`` (digest of the shingle set, null for the empty set)."""
-    members = write_table(signatures(docs, id_col, text_col, width), "forest-documents")
+def linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int,
+           least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: ``file, at, id, key, n`` of every row of ``docs``
+    (from ``marks.scan``), and ``key, id, root`` of every set (its smallest id,
+    the number of its component)."""
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _linked(docs, id_col, text_col, width, percent, least)
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int,
+            least: int) -> tuple[DataFrame, DataFrame]:
+    rows = marks.placed(docs).select("file", "at", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
+    members = write_table(signatures(rows, width), "forest-documents")
     nodes = write_table(members.filter("key is not null").groupBy("key")
-                        .agg(F.min("id").alias("id"), F.any_value("sig").alias("sig"))
+                        .agg(F.min("id").alias("id"), F.min(F.struct("file", "at")).alias("place"),
+                             F.any_value("sig").alias("sig"))
                         .withColumn("node", F.monotonically_increasing_id()), "forest-nodes")
     pairs, crowded = candidates(nodes, least)
     pairs, crowded = write_table(pairs, "forest-candidates"), write_table(crowded, "forest-crowded")
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = write_table(nodes.select("node", "key", "id").join(ends, "node", "left_semi"), "forest-wanted")
-    sets = shingle_table(docs, wanted, id_col, text_col, width)
+    wanted = nodes.select("node", "place").join(ends, "node", "left_semi").select("place.file", "place.at", "node")
+    sets = shingle_table(rows, wanted, width)
 
     # round one: the deepest candidate of each set; equal depths are spread by a hash
     best = (pairs.select("a", "b", "depth", F.col("a").alias("node"))
@@ -404,9 +424,17 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         roots = roots.join(further.withColumnRenamed("root", "new"), F.col("root") == F.col("old"), "left").select(
             "key", "id", F.coalesce("new", "root").alias("root"))
 
-    placed = write_table(roots.select("key", "id", "root"), "forest-roots")
-    lowest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_key = placed.join(lowest, "root").select("key", "component_id")
+    return members.drop("sig"), write_table(roots.select("key", "id", "root"), "forest-roots")
+
+
+def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+          percent: int = 85, least: int = LEAST) -> DataFrame:
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (the
+    smallest id of the component), ``kept`` (whether that is the row's id) and
+    ``key`` (digest of the shingle set, null for the empty set)."""
+    members, roots = linked(marks.scan(docs, "forest-rows"), id_col, text_col, width, percent, least)
+    lowest = roots.groupBy("root").agg(F.min("id").alias("component_id"))
+    of_key = roots.join(lowest, "root").select("key", "component_id")
     return members.select("id", "key", "n").join(of_key, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -416,33 +444,13 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                      percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, and all rows
-    with an empty set. Where the smallest id stands on several rows of its
-    component, one of them stays."""
-    rows = write_table(group(docs, id_col, text_col, width, percent)
-                       .select(F.col(id_col).alias("id"), "component_id", "key", "kept")
-                       .groupBy("id", "component_id", "key")
-                       .agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")), "forest-groups")
-    # whole rows travel as one column, so their names cannot clash with these
-    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    if rows.groupBy("id").agg(F.sum("n").alias("n")).filter("n > 1").isEmpty():
-        gone = rows.filter("not kept").select("id")
-        return whole.join(gone, F.col("doc").eqNullSafe(F.col("id")), "left_anti").select("row.*")
-    # ids that repeat: rows are told apart by their set's digest
-    keyed = whole.withColumn("digest", _set_digest(width)("text"))
-    chosen = (rows.filter("kept and key is not null").groupBy("component_id")
-              .agg(F.min(F.struct("key", "id")).alias("c"), F.sum("n").alias("n"))
-              .select(F.col("c.id").alias("id"), F.col("c.key").alias("key"), "n"))
-    here = F.col("doc").eqNullSafe(F.col("id")) & F.col("digest").eqNullSafe(F.col("key"))
-    empty = keyed.filter("digest is null")
-    one = keyed.join(chosen.filter("n = 1"), here, "left_semi")
-    several = keyed.join(chosen.filter("n > 1"), here, "left_semi").dropDuplicates(["doc", "digest"])
-    return empty.union(one).union(several).select("row.*")
-
-
-def _set_digest(width: int):
-    @pandas_udf("binary")
-    def digest(texts):
-        return texts.map(lambda t: next((_set_key(s) for s in shingle_sets([(t or "").encode()], width)
-                                         if len(s)), None))
-    return digest
+    """The rows of ``docs`` that stay: one of each component (the smallest id,
+    of equal ids the first by position), and all rows with an empty set. Texts
+    stay where they are: a scan learns by position which of its rows go."""
+    docs = marks.scan(docs, "forest-rows")
+    members, roots = linked(docs, id_col, text_col, width, percent)
+    own = write_table(members.select("file", "at", "id", "key").join(roots.select("key", "root"), "key")
+                      .select("file", "at", "id", "root"), "forest-members")
+    kept = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "at")).alias("k"))
+    kept = kept.select("k.file", "k.at")
+    return marks.without(docs, own.select("file", "at").join(kept, ["file", "at"], "left_anti"), "forest-gone")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import marks
-from .common import write_table
+from .common import trimmed, write_table
 
 CACHE_CHARS = 9_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
 # white space that str.split() and the tokenizer may not treat alike
@@ -142,7 +142,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    pieces = rows.mapInArrow(cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
+    pieces = rows.mapInArrow(trimmed(cut), f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
     return write_table(pieces, "pack-pieces")
 
 

@@ -27,18 +27,21 @@ other columns are ignored by ``score`` and carried through by ``keep``.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
-from .words import U, chunks, raw_texts, shingle_sets, word_table
+from . import marks
+from .common import arrow_rows, trimmed, write_table
+from .words import U, shingle_sets, text_chunks, word_table
 
 SAMPLE_ROWS = 8192
+BATCH_ROWS = 2000  # texts that a worker holds
 BITS = 18
 BEGINNINGS = (4, 5)  # bytes
 SHAPES = ("shouted", "symbols", "repeated", "fragments")
@@ -70,9 +73,9 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
     same[1:] = hashes[1:] == hashes[:-1]
     if len(hashes):
         same[begins[:-1][begins[:-1] < len(hashes)]] = False
-    marks = np.stack([(upper >= 2) & (lower == 0), punct >= 2, same, (length == 1) & (punct == 1)])
+    shapes = np.stack([(upper >= 2) & (lower == 0), punct >= 2, same, (length == 1) & (punct == 1)])
     counts = np.diff(begins)
-    total = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(marks, axis=1)], axis=1)
+    total = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(shapes, axis=1)], axis=1)
     shares = ((total[:, begins[1:]] - total[:, begins[:-1]]) / np.maximum(counts, 1)).T
     bare = word_table(texts, _PUNCT.astype(bool), BEGINNINGS)
     slots = (np.column_stack([bare[3], *bare[5:]]) >> U(64 - BITS)).astype(np.int32)
@@ -125,7 +128,7 @@ def posterior(patterns: np.ndarray, prior: float, rates: np.ndarray) -> np.ndarr
 
 
 def train(shares: np.ndarray, words: list[np.ndarray], target: np.ndarray, rounds: int = 300,
-          penalty: float = 1e-3, least_rows: int = 4, features_used: int = 1024) -> np.ndarray:
+          penalty: float = 1e-3, least_rows: int = 4, features_used: int = 2048) -> np.ndarray:
     """Logistic regression on soft targets with an L1 penalty on the words, so
     that only words that set the classes apart count (Adam with a proximal
     step, full batches): weights of the hashed words, the shapes and the
@@ -179,19 +182,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def find_lexicon(labelled: DataFrame) -> np.ndarray:
+def find_lexicon(rows: DataFrame, label_of: Callable[[pa.Array, pa.Array], pa.StructArray]) -> np.ndarray:
     """Hashed words that at least 3 and 3 % of the labelled toxic rows hold and
     hardly any other labelled row: 95 % of the rows with the word are toxic.
-    ``labelled``: text, toxic (0, 1), all rows. Of rows with one smallest shingle
-    (near copies would count many times) one of each label counts."""
+    ``rows``: file, at, text; ``label_of`` tells their labels by position. Of
+    rows with one smallest shingle (near copies would count many times) one of
+    each label counts."""
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            toxic = pc.struct_field(label_of(batch.column("file"), batch.column("at")), "toxic").fill_null(-1)
+            known = pc.greater_equal(toxic, 0)
+            toxic = toxic.filter(known)
             done = 0
-            for texts in chunks(raw_texts(batch.column("text"))):
+            for texts in text_chunks(batch.column("text").filter(known)):
                 _, words, _ = features(texts)
                 lead = [int(s[0]) - (1 << 63) if len(s) else None for s in shingle_sets(texts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lead, pa.int64()), batch.column("toxic").slice(done, len(texts)),
+                    [pa.array(lead, pa.int64()), toxic.slice(done, len(texts)),
                      pa.array([zlib.compress(np.diff(w, prepend=0).astype("<i4").tobytes(), 1) for w in words],
                               pa.binary())], ["lead", "toxic", "words"])
                 done += len(texts)
@@ -208,9 +215,9 @@ def find_lexicon(labelled: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[1, at], rows)),
                                           pa.array(np.append(held[0, at], 0))], ["word", "yes", "no"])
 
-    one = (labelled.select("text", "toxic").mapInArrow(extract, "lead long, toxic int, words binary")
+    one = (rows.select("file", "at", "text").mapInArrow(trimmed(extract), "lead long, toxic int, words binary")
            .filter("lead is not null").groupBy("lead", "toxic").agg(F.min("words").alias("words")))
-    counts = (one.select("toxic", "words").mapInArrow(count, "word long, yes long, no long")
+    counts = (one.select("toxic", "words").mapInArrow(trimmed(count), "word long, yes long, no long")
               .groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
     found = counts.filter("word = -1 or (yes >= 3 and yes >= 0.95D * (yes + no))").collect()  # at most 2 ** BITS
     rows = sum(r["yes"] for r in found if r["word"] == -1)
@@ -242,28 +249,37 @@ def _human(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
         text_col: str = "text") -> Model:
     """``labels``: doc_id, quality (1 good, 0 bad), toxic (1 bad)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    human = write_table(_human(labels), "quality-labels")  # its size on disk tells whether a broadcast fits
-    known = F.col("_id").isNotNull() & ((F.col("low") >= 0) | (F.col("toxic") >= 0))
-    sizes = {bool(r["known"]): r["n"] for r in rows.select("id").join(human, F.col("id") == F.col("_id"), "left")
-             .groupBy(known.alias("known")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    part = {True: min(sizes.get(True, 0), max(sample_rows // 2, sample_rows - sizes.get(False, 0)))}
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _fit(docs, labels, sample_rows, id_col, text_col)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, sample_rows: int, id_col: str, text_col: str) -> Model:
+    placed = marks.placed(marks.scan(docs, "quality-rows")).select(
+        "file", "at", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
+    # the labels go to their rows by position: no text moves for them
+    labelled = write_table(placed.select("file", "at", "id").join(_human(labels), F.col("id") == F.col("_id"))
+                           .select("file", "at", "low", "toxic"), "quality-labelled")
+    own = marks.save(labelled, "quality-labels")
+    label_of = own.reader()
+    known = (F.col("low") >= 0) | (F.col("toxic") >= 0)
+    sizes = {True: labelled.filter(known).count()}
+    sizes[False] = docs.count() - sizes[True]
+    part = {True: min(sizes[True], max(sample_rows // 2, sample_rows - sizes[False]))}
     part[False] = sample_rows - part[True]
-    below = {k: int(min(1.0, part[k] / max(sizes.get(k, 0), 1)) * (1 << 30)) for k in part}
-    digest = F.xxhash64(F.lit("sample"), "id", "text").alias("h")
+    below = {k: int(min(1.0, part[k] / max(sizes[k], 1)) * (1 << 30)) for k in part}
     share = F.when(known, below[True]).otherwise(below[False])
-    keys = (rows.select("id", digest).join(human, F.col("id") == F.col("_id"), "left")
-            .filter(F.pmod("h", F.lit(1 << 30)) < share)
-            .select("h", F.coalesce("low", F.lit(-1)).alias("low"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
-            .dropDuplicates(["h"]))
-    # texts stay where they are; about sample_rows keys travel
-    drawn = rows.select("id", "text", digest).join(F.broadcast(keys), "h").dropDuplicates(["h"])
+    # the labels of what either share could draw, then the draw
+    drawn = (placed.withColumn("h", F.xxhash64(F.lit("sample"), "id", "text"))
+             .filter(F.pmod("h", F.lit(1 << 30)) < max(below.values()))
+             .withColumn("human", own.of(F.col("file"), F.col("at")))
+             .select("id", "text", "h", *[F.coalesce(F.col("human")[c], F.lit(-1)).alias(c) for c in ("low", "toxic")])
+             .filter(F.pmod("h", F.lit(1 << 30)) < share).dropDuplicates(["h"]))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_pylist()
             done = 0
-            for texts in chunks(raw_texts(batch.column("text"))):
+            for texts in text_chunks(batch.column("text")):
                 shares, words, counts = features(texts)
                 least = [s[:LEAST].astype("<u8").tobytes() for s in shingle_sets(texts)]
                 yield pa.RecordBatch.from_arrays(
@@ -275,30 +291,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_c
                     ["id", "shares", "words", "n", "least", "low", "toxic"])
                 done += len(texts)
 
-    kind = dict(rows.dtypes)["id"]
+    kind = dict(placed.dtypes)["id"]
     found = drawn.mapInArrow(  # about sample_rows rows
-        extract, f"id {kind}, shares binary, words binary, n long, least binary, low int, toxic int").collect()
+        trimmed(extract), f"id {kind}, shares binary, words binary, n long, least binary, low int, toxic int").collect()
     found.sort(key=lambda r: (r["id"] is None, r["id"], r["words"]))
     found = [found[k] for k in without_near_copies([np.frombuffer(r["least"], "<u8").tolist() for r in found])]
     shares = np.array([np.frombuffer(r["shares"], "<f8") for r in found]).reshape(len(found), len(SHAPES))
     words = [np.frombuffer(r["words"], "<i4") for r in found]
     counts = np.array([r["n"] for r in found], np.int64)
     low, toxic = (np.array([r[c] for r in found], np.int64) for c in ("low", "toxic"))
-    lexicon = find_lexicon(rows.join(human.filter("toxic >= 0"), F.col("id") == F.col("_id")))
+    lexicon = find_lexicon(placed, label_of)
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, done = batch.column("id"), 0
-            for texts in chunks(raw_texts(batch.column("text"))):
+            human = label_of(batch.column("file"), batch.column("at"))
+            own = [pc.struct_field(human, c).fill_null(-1) for c in ("low", "toxic")]
+            done = 0
+            for texts in text_chunks(batch.column("text")):
                 v = votes(*features(texts), lexicon)
                 code = ((v + 1) * 3 ** np.arange(v.shape[1])).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([ids.slice(done, len(texts)), pa.array(code, pa.int64())],
-                                                 ["id", "code"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(code, pa.int64()), *(c.slice(done, len(texts)) for c in own)], ["code", "low", "toxic"])
                 done += len(texts)
 
-    counted = (rows.mapInArrow(cast, f"id {kind}, code long").join(human, F.col("id") == F.col("_id"), "left")
-               .groupBy("code", F.coalesce("low", F.lit(-1)).alias("low"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
-               .agg(F.count(F.lit(1)).alias("n")).collect())  # at most 3 ** 8 patterns
+    counted = (placed.select("file", "at", "text").mapInArrow(trimmed(cast), "code long, low int, toxic int")
+               .groupBy("code", "low", "toxic").agg(F.count(F.lit(1)).alias("n")).collect())  # at most 3 ** 8 patterns
     n = np.array([r["n"] for r in counted], np.float64)
     heuristics = np.array([[(r["code"] // 3 ** k) % 3 - 1 for k in range(len(SHAPES) + 2)] for r in counted],
                           np.int64).reshape(len(counted), len(SHAPES) + 2)
@@ -328,7 +345,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in chunks(raw_texts(batch.column("text"))):
+            for texts in text_chunks(batch.column("text")):
                 shares, words, _ = features(texts)
                 low, toxic = (shared.value.score(t, shares, words) for t in ("low", "toxic"))
                 yield pa.RecordBatch.from_arrays(
@@ -337,7 +354,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 done += len(texts)
 
     kind = dict(rows.dtypes)["id"]
-    return (rows.mapInArrow(judge, f"id {kind}, p_low double, p_toxic double, kept boolean")
+    return (rows.mapInArrow(trimmed(judge), f"id {kind}, p_low double, p_toxic double, kept boolean")
             .withColumnRenamed("id", id_col))
 
 
@@ -345,14 +362,13 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that both scorers accept, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def accepted(column):
-        import pandas as pd
-        out = []
-        for texts in chunks([(t or "").encode() for t in column]):
+    @F.arrow_udf("boolean")
+    def accepted(column: pa.Array) -> pa.Array:
+        out = [np.zeros(0, bool)]
+        for texts in text_chunks(column):
             shares, words, _ = features(texts)
             out.append((shared.value.score("low", shares, words) <= 0.5)
                        & (shared.value.score("toxic", shares, words) <= 0.5))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+        return pa.array(np.concatenate(out))
 
     return docs.filter(accepted(F.col(text_col)))

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -22,17 +23,20 @@ for _c in range(0x41, 0x5B):  # A-Z hash as a-z
     _BYTE[_c] = _BYTE[_c + 32]
 _STEP = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) | U(1)
 
+KEPT_POWERS = 1 << 22
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base's powers 0..n-1 and their inverses modulo 2**64."""
-    if len(_powers[0]) < n:
+    """The base's powers 0..n-1 and their inverses modulo 2**64 (those of a
+    usual chunk are kept, longer texts' are made for the occasion)."""
+    held = _powers if n <= KEPT_POWERS else [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    if len(held[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
-            a = np.full(max(n, 2 * len(_powers[0])), base, np.uint64)
+            a = np.full(1 << (n - 1).bit_length() if n <= KEPT_POWERS else n, base, np.uint64)
             a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
-    return _powers[0][:n], _powers[1][:n]
+            held[k] = np.multiply.accumulate(a)
+    return held[0][:n], held[1][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -43,23 +47,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def raw_texts(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a text column, null as empty."""
+def text_chunks(column: pa.Array, size: int = 600_000) -> Iterator[list[bytes]]:
+    """A text column's UTF-8 bytes (null as empty) in lists of about ``size``
+    bytes together (a longer text alone), taken from the batch one by one."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    return [t or b"" for t in column.cast(kind).to_pylist()]
-
-
-def chunks(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]]:
-    """Consecutive texts of about ``size`` bytes together (a longer text alone)."""
-    out, held = [], 0
-    for t in texts:
-        if out and held + len(t) > size:
-            yield out
-            out, held = [], 0
-        out.append(t)
-        held += len(t)
-    if out:
-        yield out
+    held = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)) if len(column) else []
+    at = 0
+    while at < len(column):
+        before = held[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(held, before + size, "right")))
+        yield [t or b"" for t in column.slice(at, end - at).cast(kind).to_pylist()]
+        at = end
 
 
 def word_table(texts: list[bytes], strip: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> tuple:

@@ -489,3 +489,50 @@ def test_quality_odd_rows(ctx, odd_docs, no_docs):
 
 def test_very_long_rows_are_there():
     assert len(LONG) > 200_000 and len(PROSE) > 700
+
+
+# quality classifier against brute force
+
+def brute_votes(text):
+    """Shapes of words counted one by one: bad (1), good (0) or abstain (-1)."""
+    found = WORD.findall((text or "").encode())
+    punct = {*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)}
+    counts = [0, 0, 0, 0]
+    for k, w in enumerate(found):
+        upper, lower = sum(0x41 <= c <= 0x5A for c in w), sum(0x61 <= c <= 0x7A for c in w)
+        counts[0] += upper >= 2 and not lower
+        counts[1] += sum(c in punct for c in w) >= 2
+        counts[2] += k > 0 and found[k - 1].lower() == w.lower()
+        counts[3] += len(w) == 1 and w[0] in punct
+    if len(found) < quality.LEAST_WORDS:
+        return [-1] * 4
+    fires = [c / len(found) > quality.SHARE for c in counts]
+    return [1 if f else -1 if any(fires) else 0 for f in fires]
+
+
+def test_classifier_equals_brute_force(ctx, odd_docs):
+    docs = ctx.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(odd_docs.select("doc_id", "text"))
+    texts = [r["text"] for r in docs.collect()]
+    found = quality.features([(t or "").encode() for t in texts])
+    got = quality.votes(*found, np.zeros(0, np.int32))[:, :4]
+    assert got.tolist() == [brute_votes(t) for t in texts]
+    model = quality.fit(docs, ctx.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    # the posterior is Bayes' rule over the labellers' rates, pattern by pattern
+    for target, names in (("low", quality.QUALITY), ("toxic", quality.TOXIC)):
+        rates = np.array([model.labellers[target][n] for n in names])
+        for pattern in ([1, 1, -1], [0, 1, 0], [-1, -1, 1]):
+            votes = (pattern * 2)[:len(names)]
+            bad, good = model.priors[target], 1 - model.priors[target]
+            for v, (b, g) in zip(votes, np.clip(rates, 1e-6, 1 - 1e-6)):
+                bad, good = bad * (b if v == 1 else 1 - b if v == 0 else 1), good * (g if v == 1 else 1 - g if v == 0 else 1)
+            assert quality.posterior(np.array([votes]), model.priors[target], rates)[0] == pytest.approx(bad / (bad + good))
+    # every row's scores, each text alone
+    want = Counter()
+    for i, t in ((r["doc_id"], r["text"]) for r in docs.collect()):
+        shares, words_, _ = quality.features([(t or "").encode()])
+        low, toxic = (float(model.score(x, shares, words_)[0]) for x in ("low", "toxic"))
+        want[(i, round(low, 9), round(toxic, 9), low <= 0.5 and toxic <= 0.5)] += 1
+    rows = quality.score(docs, model).collect()
+    assert Counter((r["doc_id"], round(r["p_low"], 9), round(r["p_toxic"], 9), r["kept"]) for r in rows) == want
+    assert quality.keep(docs, model).count() == sum(r["kept"] for r in rows)

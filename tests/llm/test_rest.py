@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -232,3 +233,20 @@ def test_pipeline_of_nothing(ctx):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(ctx, docs, SF_SMALL)
         assert out.collect() == []
+
+
+def test_pipeline_of_odd_rows(ctx, odd_docs):
+    """Nulls, repeated ids, equal texts and clashing columns through all stages."""
+    docs, held = odd_docs, [Counter(odd_docs.select("doc_id", "text").collect())]
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(ctx, docs, SF_SMALL)
+        if k < 4:
+            assert out.columns == odd_docs.columns
+            docs = corpus_pipeline.write_table(out, f"odd-{name}")
+            held.append(Counter(docs.select("doc_id", "text").collect()))
+    scored, exact, near, mixed = held[1:]
+    assert not scored - held[0] and not exact - scored and not near - exact and set(mixed) <= set(near)
+    norm = {re.sub(r"[\x20\x09-\x0d]+", " ", r["text"] or "") for r in scored}
+    assert len(exact) == sum(exact.values()) == len(norm)
+    assert Counter(r["doc_id"] for r in out.collect() if r["start"] == 0) == Counter(
+        i for (i, _), n in mixed.items() for _ in range(n))
