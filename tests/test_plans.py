@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import __spark_entry__ as E
+from streamlake.operators import ranges
 from streamlake.plans import registry
 
 from conftest import SF_SMALL
@@ -34,8 +35,9 @@ def test_relational_jobs_stay_in_the_jvm(spark):
             assert py not in p, (name, py)
 
 
-def test_running_windows_are_bucketed(spark):
-    """[W02 A03] every window over rows is partitioned by (key, time bucket)."""
+def test_running_windows_are_bucketed(spark, monkeypatch):
+    """[W02 A03] every window over rows is partitioned by (key, range)."""
+    monkeypatch.setattr(ranges, "ROWS_PER_RANGE", 200)  # the small table would be one range
     for name in ("w02_running_count", "a03_running_sum"):
         p = _plan(spark, name)
         specs = [line for line in p.splitlines() if line.strip().startswith("Arguments:") and "windowspecdefinition" in line]
