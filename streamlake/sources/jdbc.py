@@ -83,7 +83,8 @@ def upsert(df: DataFrame, url: str, target: str, keys, order_col: str | None = N
     """Upsert by primary key.  Within the batch the last row per key (by
     ``order_col``) wins.  The batch lands in a staging table of its own name,
     is merged, and the staging table is dropped, also when the merge fails.
-    ``props``: user, password, driver, ... of the connection."""
+    ``props``: user, password, driver, ... of the connection. (Spark's Derby
+    dialect cannot write null strings into a VARCHAR.)"""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order_col:
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
