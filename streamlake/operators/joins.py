@@ -249,8 +249,36 @@ def connect_map(a: DataFrame, b: DataFrame, map_a, map_b) -> DataFrame:
     return map_a(a).unionByName(map_b(b))
 
 
-def path_extend(paths: DataFrame, edges: DataFrame) -> DataFrame:
-    """Extend every path ``(src, dst)`` by an edge ``dst -> x``."""
+PAIRS_PER_TASK = 2_000_000  # extended paths that one task tells apart
+LIST = 1024  # next vertices that travel together, or so
+
+
+def path_extend(paths: DataFrame, edges: DataFrame, distinct: bool = False) -> DataFrame:
+    """Extend every path ``(src, dst)`` by an edge ``dst -> x``; with
+    ``distinct`` each pair ``(src, x)`` once.
+
+    For distinct pairs the next vertices of ``dst`` travel as sorted lists and
+    unfold only where all paths of ``src`` meet, so a step's bytes are those of
+    compressed lists, not of the many equal pairs.  Sources with more paths than
+    a task should hold are paired one by one and meet by pair."""
     p, e = paths.alias("p"), edges.alias("e")
-    return p.join(e, F.col("p.dst") == F.col("e.src")) \
-            .select(F.col("p.src").alias("src"), F.col("e.dst").alias("dst"))
+    pairs = p.join(e, F.col("p.dst") == F.col("e.src")) \
+             .select(F.col("p.src").alias("src"), F.col("e.dst").alias("dst"))
+    if not distinct:
+        return pairs
+    degree = edges.groupBy(F.col("src").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    work = paths.join(degree, F.col("dst") == F.col("_m")).groupBy("src").agg(F.sum("_n").alias("work"))
+    total, most = work.agg(F.sum("work"), F.max("work")).first()
+    hubs = work.filter(F.col("work") > PAIRS_PER_TASK).select("src")
+    kind = edges.schema["dst"].dataType
+    lists = edges.join(degree, F.col("src") == F.col("_m")) \
+                 .groupBy("_m", F.pmod(F.xxhash64("dst"), F.ceil(F.col("_n") / LIST)).alias("_k")) \
+                 .agg(F.sort_array(F.collect_list("dst")).alias("_next"),
+                      F.count(F.when(F.col("dst").isNull(), 1)).cast("int").alias("_nulls")) \
+                 .select("_m", F.concat("_next", F.array_repeat(F.lit(None).cast(kind), F.col("_nulls"))).alias("_next"))
+    some = (most or 0) > PAIRS_PER_TASK
+    few = join_keys(paths, hubs, "src", "left_anti") if some else paths
+    tasks = max(paths.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // PAIRS_PER_TASK))
+    out = few.join(lists, F.col("dst") == F.col("_m")).select("src", "_next").repartition(tasks, "src") \
+             .select("src", F.explode("_next").alias("dst")).distinct()
+    return out.unionByName(join_keys(pairs, hubs, "src", "left_semi").distinct()) if some else out

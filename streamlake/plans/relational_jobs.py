@@ -11,6 +11,7 @@ from ..operators import quality as Q
 from ..operators import relational as R
 from ..sources.tables import load
 from .derived import PROPS_K_SQL, event_graph_edges, EDGES_SQL, props_k
+from .iterate import cut
 from .registry import register
 
 DEC_REV = "CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))"
@@ -513,8 +514,8 @@ UNION ALL SELECT l_orderkey AS key, 'item' AS kind, l_extendedprice AS amount FR
 
 
 def j26_path_extend(spark, sf):
-    e = event_graph_edges(spark, sf)
-    return J.path_extend(e, e).distinct()
+    e = cut(event_graph_edges(spark, sf))   # derived once, read several times
+    return J.path_extend(e, e, distinct=True)
 
 
 register("j26_path_extend", j26_path_extend, f"""

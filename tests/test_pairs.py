@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from streamlake.operators import joins as J
 from streamlake.plans import graph as G
 
 
@@ -56,3 +57,27 @@ def test_closure_steps_follow_edges(spark, monkeypatch):
     edges = {(v, w % n) for v in range(n) for w in (v + 1, v + 7)}
     assert _rows(G.transitive_closure(_edges(spark, edges))) == {(a, b) for a in range(n) for b in range(n)}
     assert max(held) <= len(edges)
+
+
+@pytest.mark.parametrize("most", [2_000_000, 25])
+def test_path_extend_pairs_once(spark, monkeypatch, most):
+    """Lists of next vertices and, for sources with many paths, single pairs."""
+    monkeypatch.setattr(J, "PAIRS_PER_TASK", most)
+    monkeypatch.setattr(J, "LIST", 4)
+    draw = random.Random(5)
+    paths = [(draw.choice([None, *range(12)]), draw.choice([None, *range(30)])) for _ in range(90)]
+    paths += [(3, v) for v in range(30)]
+    edges = [(draw.choice([None, *range(30)]), draw.choice([None, *range(20)])) for _ in range(150)]
+    left, right = (spark.createDataFrame(x, "src long, dst long") for x in (paths, edges))
+    expected = [(a, d) for a, b in paths for c, d in edges if b is not None and b == c]
+    assert _rows(J.path_extend(left, right, distinct=True)) == set(expected)
+    assert sorted(map(str, map(tuple, J.path_extend(left, right).collect()))) == sorted(map(str, expected))
+    none = left.limit(0)
+    assert J.path_extend(none, right, distinct=True).count() == J.path_extend(left, none, distinct=True).count() == 0
+
+
+def test_path_extend_shuffles_lists(spark):
+    """Pairs unfold behind the last exchange; before, every pair went through it."""
+    edges = spark.createDataFrame([(a, b) for a in range(30) for b in range(30) if a != b], "src long, dst long")
+    plan = J.path_extend(edges, edges, distinct=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Generate explode")]
