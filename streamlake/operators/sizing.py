@@ -23,3 +23,15 @@ def plan_bytes(df: DataFrame) -> int:
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only if it is known to be small."""
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
+
+
+ROWS_PER_TASK = 500_000
+
+
+def spread(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """Partition ``df`` by ``keys`` into tasks of about ``rows`` rows, for steps
+    that hold a task's rows several times (an aggregate joined back to its
+    input): partitions sized by their compressed bytes take many times these in
+    memory, and a fixed number of them grows with the table.  Counts ``df``."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or ROWS_PER_TASK)))
+    return df.repartition(tasks, *keys)

@@ -9,6 +9,7 @@ from ..functions.scalar import exact_sum, int_to_ip, revenue
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import relational as R
+from ..operators.sizing import spread
 from ..sources.tables import load
 from .derived import PROPS_K_SQL, event_graph_edges, EDGES_SQL, props_k
 from .iterate import cut
@@ -391,7 +392,7 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-
 
 
 def j06_composite_key(spark, sf):
-    li = load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    li = spread(load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"), "l_partkey", "l_suppkey")
     tot = li.groupBy("l_partkey", "l_suppkey").agg(exact_sum("l_quantity").alias("ps_qty")) \
             .withColumnsRenamed({"l_partkey": "ps_partkey", "l_suppkey": "ps_suppkey"})
     return J.equi_join(li, tot, ["l_partkey", "l_suppkey"], ["ps_partkey", "ps_suppkey"]) \

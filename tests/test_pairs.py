@@ -7,6 +7,7 @@ import random
 import pytest
 
 from streamlake.operators import joins as J
+from streamlake.operators.sizing import spread
 from streamlake.plans import graph as G
 
 
@@ -81,3 +82,16 @@ def test_path_extend_shuffles_lists(spark):
     edges = spark.createDataFrame([(a, b) for a in range(30) for b in range(30) if a != b], "src long, dst long")
     plan = J.path_extend(edges, edges, distinct=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[:plan.index("Generate explode")]
+
+
+def test_spread_bounds_a_task(spark):
+    """Twice the rows, twice the tasks; the aggregate joined back needs no other exchange."""
+    def tasks(n):
+        df = spread(spark.range(n).selectExpr("id % 50 as k", "id as v"), "k", rows=20)
+        sums = df.groupBy("k").agg({"v": "sum"}).withColumnRenamed("k", "j")
+        out = J.equi_join(df, sums, "k", "j")
+        assert out.count() == n
+        assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") \
+            == out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        return df.rdd.getNumPartitions()
+    assert (tasks(400), tasks(800)) == (20, 40)
