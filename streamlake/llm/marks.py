@@ -93,11 +93,11 @@ def _segment(folder: str, file: str, segment: int) -> tuple[np.ndarray, pa.Table
     return table.column("at").to_numpy(), table
 
 
-def lookup(folder: str, kind: pa.StructType, file: pa.Array, at: pa.Array) -> pa.StructArray:
+def lookup(folder: str, kind: pa.StructType, bits: int, file: pa.Array, at: pa.Array) -> pa.StructArray:
     """The marks of rows, null for rows without one (take a field of the
     result with ``struct_field``, which heeds that)."""
     files, rows = file.dictionary_encode(), at.to_numpy()
-    keys = files.indices.to_numpy().astype(np.int64) << 40 | rows >> SEGMENT_BITS
+    keys = files.indices.to_numpy().astype(np.int64) << 40 | rows >> bits
     parts, order = [], []
     for key in np.unique(keys):
         mine = np.flatnonzero(keys == key)
@@ -123,6 +123,7 @@ class Marks:
 
     folder: str
     fields: T.StructType  # of a mark
+    bits: int  # of a segment, as written: a worker's own setting may differ
 
     def of(self, file: Column, at: Column) -> Column:
         """The mark of a row, null without one. Only the two columns go to Python."""
@@ -136,7 +137,7 @@ class Marks:
 
     def reader(self) -> Callable[[pa.Array, pa.Array], pa.StructArray]:
         """``lookup`` in this table, for functions that run in tasks anyway."""
-        return partial(lookup, self.folder, to_arrow_type(self.fields))
+        return partial(lookup, self.folder, to_arrow_type(self.fields), self.bits)
 
 
 def save(marks: DataFrame, name: str) -> Marks:
@@ -146,7 +147,7 @@ def save(marks: DataFrame, name: str) -> Marks:
     (marks.withColumn("seg", F.shiftright("at", SEGMENT_BITS)).repartition("file", "seg")
      .sortWithinPartitions("file", "seg", "at").write.option("compression", "zstd")
      .partitionBy("file", "seg").parquet(folder))
-    return Marks(folder, T.StructType(rest))
+    return Marks(folder, T.StructType(rest), SEGMENT_BITS)
 
 
 def without(df: DataFrame, gone: DataFrame, name: str) -> DataFrame:
