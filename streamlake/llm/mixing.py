@@ -31,7 +31,7 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from . import marks
@@ -97,11 +97,13 @@ def solve(hist: DataFrame, state: DataFrame, cap: float, tolerance: float = 1e-9
         step = (F.when(g == 0, F.col("lam")).when(inside, newton)
                 .when(low.isNotNull() & high.isNotNull(), (low + high) / 2)
                 .otherwise(F.col("lam") - F.signum(g) * (4 + 4 * F.abs(F.col("lam")))))
+        seen = Observation()  # the largest gap, without another query
         now = write_table(now.join(sums, "sid", "left").select(
             "sid", "top", "target", F.when(F.col("lam").isNotNull(), step).alias("lam"),
             low.alias("low"), high.alias("high"),
-            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap")), "mix-step", 1)
-        if now.agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0] <= tolerance:
+            F.coalesce(F.abs(g) * F.col("top") / F.col("target"), F.lit(0.0)).alias("gap"))
+            .observe(seen, F.max("gap").alias("gap")), "mix-step", 1)
+        if (seen.get.get("gap") or 0.0) <= tolerance:
             break
     # rounded: sums of doubles depend on their order in the last digits, reruns must agree
     return now.select("sid", "top", F.round("lam", 8).alias("lam"))
@@ -125,7 +127,7 @@ def _shifts(rows: DataFrame, state: DataFrame, cap: int) -> DataFrame:
             open_ = open_.filter((F.col("at") > F.col(f"shift_{r - 1}")) & (F.col("at") <= F.col("shift_0") + 1))
         open_ = open_.select("sid", "size", "at")
         cell = known.select("sid", "need", F.lit(low).alias("low"), F.lit(width).alias("width"))
-        for _ in range(PASSES):
+        for p in range(PASSES):
             inside = (open_.join(cell.select("sid", "low", "width"), "sid")
                       .withColumn("k", F.floor((F.col("at") - F.col("low")) / F.col("width") * CELLS))
                       .filter(f"k >= 0 and k < {CELLS}")
@@ -135,11 +137,13 @@ def _shifts(rows: DataFrame, state: DataFrame, cap: int) -> DataFrame:
                     .groupBy("sid").agg(F.min(F.when(F.col("sum") > F.col("need"), F.struct("k", "sum", "words")))
                                         .alias("c"), F.sum("words").alias("all")))
             # if no cell exceeds the need, all gains of the range are taken and the cell moves past it
-            cell = write_table(cell.join(over, "sid", "left").select(
+            cell = cell.join(over, "sid", "left").select(
                 "sid", F.when(F.col("c").isNull(), F.col("need") - F.coalesce("all", F.lit(0)))
                 .otherwise(F.col("need") - F.col("c.sum") + F.col("c.words")).alias("need"),
                 (F.col("low") + F.coalesce(F.col("c.k").cast("double"), F.lit(float(CELLS))) * F.col("width") / CELLS)
-                .alias("low"), (F.col("width") / CELLS).alias("width")), "mix-cells", 1)
+                .alias("low"), (F.col("width") / CELLS).alias("width"))
+            if p < PASSES - 1:
+                cell = write_table(cell, "mix-cells", 1)
         known = write_table(known.drop("need").join(
             cell.select("sid", "need", F.col("low").alias(f"shift_{r}")), "sid"), "mix-shifts", 1)
     return known.drop("need")
