@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import marks
-from .common import trimmed, write_table
+from .common import arrow_rows, trimmed, write_table
 
-CACHE_CHARS = 9_000_000  # characters of the words whose ids a worker keeps; results don't depend on it
+CACHE_CHARS = 5_000_000  # characters of the words whose ids a task keeps; results don't depend on it
+BATCH_ROWS = 2000  # texts that a worker holds
 # white space that str.split() and the tokenizer may not treat alike
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _TOKENIZERS: dict = {}
@@ -49,7 +50,7 @@ def _byte_letters() -> dict[int, int]:
 class WordIds(dict):
     """Ids (unsigned little-endian 32-bit) of words, and so of texts whose
     tokenizer never joins characters across white space: each word is encoded
-    once and kept until CACHE_CHARS are held.
+    once and kept until CACHE_CHARS are held or the task ends.
 
     Words of Latin letters with closing punctuation, if the tokenizer lower-cases
     and splits letters from punctuation, go to its BPE model directly, piece
@@ -72,6 +73,11 @@ class WordIds(dict):
         self.direct = split == {"Regex": self.SPLIT} and kinds == ["NFC", "Replace", "Lowercase"]
         self.chars = 0
 
+    def forget(self) -> None:
+        """All words go; the tokenizer stays."""
+        self.clear()
+        self.chars = 0
+
     @staticmethod
     def cached(definition: str) -> WordIds:
         key = hashlib.md5(definition.encode()).digest()
@@ -110,8 +116,7 @@ class WordIds(dict):
         if _ODD_SPACE.search(text):
             return self.whole(text)
         if self.chars > CACHE_CHARS:
-            self.clear()
-            self.chars = 0
+            self.forget()
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -125,25 +130,29 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds.cached(definition.value)
-        for batch in batches:
-            kind = batch.schema.field("doc_id").type
-            out, held = [], 0
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = words.encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                for at in range(0, n, capacity):
-                    out.append((doc, at, min(capacity, n - at), n, ids[4 * at:4 * (at + capacity)]))
-                held += len(ids)
-                if held > 4_000_000:
+        try:
+            for batch in batches:
+                kind = batch.schema.field("doc_id").type
+                out, held = [], 0
+                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                    ids = words.encode(text.as_py() or "") + end
+                    n = len(ids) // 4
+                    for at in range(0, n, capacity):
+                        out.append((doc, at, min(capacity, n - at), n, ids[4 * at:4 * (at + capacity)]))
+                    held += len(ids)
+                    if held > 4_000_000:
+                        yield _pieces(out, kind)
+                        out, held = [], 0
+                if out:
                     yield _pieces(out, kind)
-                    out, held = [], 0
-            if out:
-                yield _pieces(out, kind)
+        finally:
+            words.forget()  # the worker outlives the task
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     pieces = rows.mapInArrow(trimmed(cut), f"doc_id {kind}, start long, length long, doc_tokens long, ids binary")
-    return write_table(pieces, "pack-pieces")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return write_table(pieces, "pack-pieces")
 
 
 def _pieces(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:

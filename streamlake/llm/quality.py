@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import marks
-from .common import arrow_rows, trimmed, write_table
+from .common import arrow_rows, give_back, trimmed, write_table
 from .words import U, shingle_sets, text_chunks, word_table
 
 SAMPLE_ROWS = 8192
@@ -363,12 +363,16 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
-    def accepted(column: pa.Array) -> pa.Array:
-        out = [np.zeros(0, bool)]
-        for texts in text_chunks(column):
-            shares, words, _ = features(texts)
-            out.append((shared.value.score("low", shares, words) <= 0.5)
-                       & (shared.value.score("toxic", shares, words) <= 0.5))
-        return pa.array(np.concatenate(out))
+    def accepted(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for column in columns:
+                out = [np.zeros(0, bool)]
+                for texts in text_chunks(column):
+                    shares, words, _ = features(texts)
+                    out.append((shared.value.score("low", shares, words) <= 0.5)
+                               & (shared.value.score("toxic", shares, words) <= 0.5))
+                yield pa.array(np.concatenate(out))
+        finally:
+            give_back()
 
     return docs.filter(accepted(F.col(text_col)))

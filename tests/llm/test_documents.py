@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from hypothesis import given, settings
@@ -377,6 +378,28 @@ def test_words_encode_as_the_whole_text(text):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
 
 
+def test_words_go_with_the_task(ctx):
+    """A worker outlives its tasks and would hold the words of all of them."""
+    docs = ctx.range(4000).selectExpr("id as doc_id", "concat_ws(' ', md5(string(id)), 'and', md5(string(-id))) as text")
+    assert packing.encode_pieces(docs.repartition(8), jobs.WORD_BPE).count() == 4000
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, packing._TOKENIZERS.values()))])], ["n"])
+
+    assert all(r["n"] == 0 for r in ctx.range(0, 16, 1, 16).mapInArrow(held, "n long").collect())
+
+
+def test_chunks_of_texts_are_small_and_do_not_change_them():
+    texts = [f"Tale {k} of MANY words, {k * k}!".encode() * (1 + k % 50) for k in range(2000)]
+    chunks = list(words.text_chunks(pa.array([t.decode() for t in texts])))
+    assert [t for c in chunks for t in c] == texts and max(sum(map(len, c)) for c in chunks) <= 200_000
+    whole, parts = quality.features(texts), [quality.features(c) for c in chunks]
+    assert np.array_equal(whole[0], np.concatenate([p[0] for p in parts]))
+    assert all(map(np.array_equal, whole[1], [w for p in parts for w in p[1]]))
+    assert np.array_equal(whole[2], np.concatenate([p[2] for p in parts]))
+
+
 # token counts
 
 @given(st.lists(st.sampled_from(["a", "Bc", ".", "!", "?", " ", "\n", ")", "é", "  "]), max_size=20).map("".join))
