@@ -26,58 +26,78 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import marks
 from .common import arrow_rows, trimmed, write_table
+from .words import column_chunks
 
 CACHE_CHARS = 5_000_000  # characters of the words whose ids a task keeps; results don't depend on it
 BATCH_ROWS = 2000  # texts that a worker holds
+CHUNK_BYTES = 4_000_000  # texts whose new words are encoded together (a longer text alone)
 # white space that str.split() and the tokenizer may not treat alike
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 _TOKENIZERS: dict = {}
 
 
-def _byte_letters() -> dict[int, int]:
-    """The printable character that stands for each byte in a byte-level
-    vocabulary: printable bytes for themselves, the others from 256 on."""
+def _byte_letters() -> np.ndarray:
+    """The printable character (UTF-16) that stands for each byte in a byte-level
+    vocabulary: printable bytes for themselves, the others from 256 on; spaces stay, as they separate words."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in printable)
-    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+    others = [b for b in range(256) if b not in printable]
+    out = np.arange(256)
+    out[others] = 256 + np.arange(len(others))
+    out[ord(" ")] = ord(" ")
+    return out.astype("<u2")
 
 
-class WordIds(dict):
+class WordIds:
     """Ids (unsigned little-endian 32-bit) of words, and so of texts whose
     tokenizer never joins characters across white space: each word is encoded
     once and kept until CACHE_CHARS are held or the task ends.
 
-    Words of Latin letters with closing punctuation, if the tokenizer lower-cases
-    and splits letters from punctuation, go to its BPE model directly, piece
-    by piece; all others go through the whole tokenizer."""
+    If the tokenizer lower-cases and splits letters from punctuation, texts are
+    lower-cased and cut there first; words of Latin letters or of punctuation
+    go to its BPE model directly, all new ones of some texts in one call, and
+    all others go through the whole tokenizer."""
 
     #: Fixed value: the split of the tokenizer that may take the direct way.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?()*$%&#+=/-]*)")
+    _LETTER, _MARK = "[A-Za-zÀ-ÖØ-öø-ÿ]", "[.,;:!?()*$%&#+=/-]"
+    _PLAIN = f"^({_LETTER}+|{_MARK}+)$"
     _LETTERS = _byte_letters()
 
     def __init__(self, definition: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_str(definition)
-        self.model = self.tokenizer.model
         steps = json.loads(definition)
         split = ((steps.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0].get("pattern")
         kinds = [n["type"] for n in (steps.get("normalizer") or {}).get("normalizers", [])]
-        self.direct = split == {"Regex": self.SPLIT} and kinds == ["NFC", "Replace", "Lowercase"]
-        self.chars = 0
+        suffix = steps["model"].get("end_of_word_suffix")
+        self.direct = split == {"Regex": self.SPLIT} and kinds == ["NFC", "Replace", "Lowercase"] and bool(suffix)
+        if self.direct:
+            self.model = Tokenizer(self.tokenizer.model)  # neither normalizer nor split
+            self.model.pre_tokenizer = WhitespaceSplit()
+            vocab = steps["model"]["vocab"]
+            self.closes = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+            self.closes[[k for token, k in vocab.items() if token.endswith(suffix)]] = True
+            # marks that join the character before, and tokens looked for before lower-casing
+            self.fixed = "|".join(["[\u0300-\u036f]", *(re.escape(t["content"].lower())
+                                                       for t in steps.get("added_tokens") or [])])
+        self.forget()
 
     def forget(self) -> None:
         """All words go; the tokenizer stays."""
-        self.clear()
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         self.chars = 0
 
+    def __len__(self) -> int:
+        return len(self.words)
+
     @staticmethod
     def cached(definition: str) -> WordIds:
         key = hashlib.md5(definition.encode()).digest()
@@ -85,39 +105,63 @@ class WordIds(dict):
             _TOKENIZERS[key] = WordIds(definition)
         return _TOKENIZERS[key]
 
-    def __missing__(self, word: str) -> bytes:
-        plain = self.direct and self._PLAIN.fullmatch(word)
-        if plain:
-            letters, marks = plain[1].lower(), plain[2]
-            if letters == word:
-                spelled = word.encode().decode("latin-1").translate(self._LETTERS)
-                ids = [t.id for t in self.model.tokenize(spelled)]
-                packed = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                packed = self[letters] + (self._marks(marks) if marks else b"")
-        else:
-            packed = self.whole(word)
-        self[word] = packed
-        self.chars += len(word)
-        return packed
-
-    def _marks(self, marks: str) -> bytes:
-        key = " " + marks  # no word has a space
-        if key not in self:
-            ids = [t.id for t in self.model.tokenize(marks)]
-            self[key] = struct.pack(f"<{len(ids)}I", *ids)
-        return self[key]
-
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self.whole(text)
+    def _model_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of words that the split leaves whole."""
+        raw = np.frombuffer(" ".join(words.to_pylist()).lower().encode(), np.uint8)
+        spelled = self._LETTERS[raw].tobytes().decode("utf-16-le")
+        ids = np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1]) * 4
+        if len(ends) != len(words) + 1:  # a model that leaves out letters
+            return pa.array(map(self.whole, words.to_pylist()), pa.large_binary())
+        return pa.Array.from_buffers(pa.large_binary(), len(words),
+                                     [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())])
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of ``words`` (distinct) are held."""
+        held = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        new = np.flatnonzero(held < 0)
+        if len(new):
+            words = words.take(pa.array(new))
+            plain = np.zeros(len(new), bool)
+            if self.direct:
+                plain = pc.match_substring_regex(words, self._PLAIN).to_numpy(zero_copy_only=False)
+            ways = [words.filter(pa.array(plain)), words.filter(pa.array(~plain))]
+            held[np.concatenate([new[plain], new[~plain]])] = len(self) + np.arange(len(new))
+            ids = [self._model_ids(ways[0])] if len(ways[0]) else []
+            ids.append(pa.array(map(self.whole, ways[1].to_pylist()), pa.large_binary()))
+            self.words, self.ids = pa.concat_arrays([self.words, *ways]), pa.concat_arrays([self.ids, *ids])
+            self.chars += pc.sum(pc.utf8_length(words)).as_py()
+        return held
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text (null as empty)."""
         if self.chars > CACHE_CHARS:
             self.forget()
-        return b"".join(map(self.__getitem__, text.split()))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        parts = pc.if_else(odd, "", texts)
+        if self.direct:
+            lower = pc.ascii_lower(parts)
+            cut = pc.replace_substring_regex(lower, f"({self._LETTER})({self._MARK})", r"\1 \2")
+            parts = pc.if_else(pc.match_substring_regex(lower, self.fixed), parts, cut)
+        parts = pc.ascii_split_whitespace(parts)
+        begins, parts = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
+        held = pa.array(self._learn(parts.dictionary)).take(parts.indices)
+        ids = self.ids.take(held)
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False))])[begins].tolist()
+        packed = ids.buffers()[2]
+        for k, whole in enumerate(odd.to_pylist()):
+            if whole:
+                yield self.whole(texts[k].as_py())
+            else:
+                yield packed[at[k]:at[k + 1]].to_pybytes() if at[k + 1] > at[k] else b""
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all(pa.array([text])))
 
 
 def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048,
@@ -134,8 +178,10 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
             for batch in batches:
                 kind = batch.schema.field("doc_id").type
                 out, held = [], 0
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    ids = words.encode(text.as_py() or "") + end
+                encoded = (ids for texts in column_chunks(batch.column("text"), CHUNK_BYTES)
+                           for ids in words.encode_all(texts))
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                    ids += end
                     n = len(ids) // 4
                     for at in range(0, n, capacity):
                         out.append((doc, at, min(capacity, n - at), n, ids[4 * at:4 * (at + capacity)]))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -378,6 +379,25 @@ def test_words_encode_as_the_whole_text(text):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
 
 
+def test_forms_of_a_word_are_encoded_once():
+    with open(jobs.WORD_BPE, encoding="utf-8") as f:
+        own = packing.WordIds(f.read())
+    calls, model = [], own.model
+    own.model = SimpleNamespace(
+        encode_batch_fast=lambda texts, **k: calls.append(texts) or model.encode_batch_fast(texts, **k))
+    texts = ["Home home, HOME... (home)", None, "", "\u00c9t\u00e9 \u00e9t\u00e9. home", "odd\u2028space Home",
+             "Home<|endoftext|> HOME <|ENDOFTEXT|>", "H\u0331ome E\u0301t\u00e9, \u4e2d", " home, "] * 3
+    tokenizer = Tokenizer.from_file(jobs.WORD_BPE)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["cut off", *texts], kind).slice(1)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(column)] == want
+    assert len(calls) == 1 and {"home", "home,", "HOME..."} & set(own.words.to_pylist()) == {"home"}
+    own.direct = False  # another tokenizer: every word by the whole of it
+    own.forget()
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(pa.array(texts))] == want
+
+
 def test_words_go_with_the_task(ctx):
     """A worker outlives its tasks and would hold the words of all of them."""
     docs = ctx.range(4000).selectExpr("id as doc_id", "concat_ws(' ', md5(string(id)), 'and', md5(string(-id))) as text")
