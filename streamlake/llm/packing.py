@@ -60,8 +60,8 @@ class WordIds:
 
     If the tokenizer lower-cases and splits letters from punctuation, texts are
     lower-cased and cut there first; words of Latin letters or of punctuation
-    go to its BPE model directly, all new ones of some texts in one call, and
-    all others go through the whole tokenizer."""
+    go to its BPE model directly, many new ones in a call, and all others
+    through the whole tokenizer."""
 
     #: Fixed value: the split of the tokenizer that may take the direct way.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -109,11 +109,14 @@ class WordIds:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _model_ids(self, words: pa.Array) -> pa.Array:
+    def _model_ids(self, words: pa.Array, at_once: int = 10_000) -> pa.Array:
         """Ids of words that the split leaves whole."""
-        raw = np.frombuffer(" ".join(words.to_pylist()).lower().encode(), np.uint8)
-        spelled = self._LETTERS[raw].tobytes().decode("utf-16-le")
-        ids = np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        parts = []
+        for at in range(0, len(words), at_once):
+            raw = np.frombuffer(" ".join(words.slice(at, at_once).to_pylist()).lower().encode(), np.uint8)
+            spelled = self._LETTERS[raw].tobytes().decode("utf-16-le")
+            parts.append(np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(parts)
         ends = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1]) * 4
         if len(ends) != len(words) + 1:  # a model that leaves out letters
             return pa.array(map(self.whole, words.to_pylist()), pa.large_binary())
