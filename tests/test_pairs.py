@@ -95,3 +95,28 @@ def test_spread_bounds_a_task(spark):
             == out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
         return df.rdd.getNumPartitions()
     assert (tasks(400), tasks(800)) == (20, 40)
+
+
+@pytest.mark.parametrize("seed, held", [(1, 6), (2, 0)])
+def test_closure_beyond_one_task(spark, seed, held, monkeypatch):
+    """More edges than a task may hold go in rounds, with the same pairs."""
+    monkeypatch.setattr(G, "MEMBERS", 3)
+    monkeypatch.setattr(G, "EDGES_PER_TASK", held)
+    draw = random.Random(seed)
+    n, m = ((30, 24), (24, 40), (14, 40))[seed]
+    edges = {(draw.randrange(n), draw.randrange(n)) for _ in range(m)}
+    assert _rows(G.transitive_closure(_edges(spark, edges))) == _closure(edges)
+
+
+@pytest.mark.parametrize("held", [2_000_000, 200])
+def test_closure_steps_do_not_follow_the_longest_path(spark, held, monkeypatch):
+    """Components in a chain; before, each was a round of its own or more."""
+    steps, cut = [], G.cut
+    monkeypatch.setattr(G, "EDGES_PER_TASK", held, raising=False)
+    monkeypatch.setattr(G, "cut", lambda df: steps.append(1) or cut(df))
+    groups, size = 12, 6
+    inside = {(g * size + a, g * size + b) for g in range(groups) for a in range(size) for b in range(size) if a != b}
+    edges = inside | {(g * size, g * size + size) for g in range(groups - 1)}
+    expected = {(a, b) for a in range(groups * size) for b in range(a // size * size, groups * size)}
+    assert _rows(G.transitive_closure(_edges(spark, edges))) == expected
+    assert len(steps) <= 18
